@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Used only where the session names no checkpoint folder (tests, one machine).
 DEFAULT_SHARED = "file:///tmp/checkpoints"
@@ -92,3 +96,23 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def with_results(df: DataFrame, start: Callable, fields: pa.Schema) -> DataFrame:
+    """Apply Python to Arrow batches of df and keep the input beside the result.
+
+    start() is called once in each task and returns a function from a batch's rows (pa.StructArray) to the columns
+    named in fields. The result has the whole input row in the struct column `row`, untouched, so that input columns
+    may have any names and types.
+    """
+    packed = df.select(F.struct("*").alias("row"))
+    schema = StructType(packed.schema.fields + from_arrow_schema(fields).fields)
+    names, kinds = schema.names, fields.types
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run = start()
+        for batch in found:
+            row = batch.column(0)
+            yield pa.RecordBatch.from_arrays([row, *(pa.array(c, t) for c, t in zip(run(row), kinds))], names)
+
+    return packed.mapInArrow(batches, schema)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from augury.llm import bpe, kneserney, langid, wumanber
 from augury.llm.minhash import near_duplicates
 
 
@@ -17,8 +19,57 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def digests(encoded: DataFrame, path: str) -> DataFrame:
+    """Digest columns of encoded documents (doc_id, ids)."""
+    return bpe.decode(encoded, path).select(
+        "row.doc_id",
+        F.size("row.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("row.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return digests(encoded.select("row.doc_id", "ids"), path)
+
+
+def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = wumanber.contamination(docs, table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = langid.fit(docs.where(~held_out))
+    found = langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
+def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Judged documents; those that a label calls good, and none calls bad or toxic, are the trusted ones."""
+    marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("__good"))
+    marks = marks.where("__good").select(F.col("doc_id").alias("__labelled"))
+    return kneserney.judged(docs.join(marks, F.col("doc_id") == F.col("__labelled"), "left"), F.col("__labelled").isNotNull())
+
+
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality(docs, table(spark, sf_dir, "labels")).select("row.doc_id", "row.lang", "n_symbols", "perplexity", "threshold", "accepted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op7_wu_manber": op7_wu_manber,
+    "op9_language_id": op9_language_id,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -44,4 +95,27 @@ ORACLE_SQL: dict[str, str] = {
         ), least AS (SELECT a, min(r) AS component_id FROM reach GROUP BY a)
         SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN least ON a = doc_id
     """,
+    "op7_wu_manber": rf"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), item_words AS (
+            SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS x
+            FROM (SELECT item_id, w, least(10, len(w)) AS k FROM item_words WHERE len(w) > 0)
+        ), places AS (
+            SELECT doc_id, w, len(w) AS n, k, unnest(range(1, len(w) - k + 2)) AS i
+            FROM words, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k
+        ), found AS (
+            SELECT doc_id, i, p.k, item_id FROM places p JOIN windows x ON x.k = p.k AND x.x = array_to_string(w[i:i+p.k-1], ' ')
+        ), hit AS (
+            SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM found) GROUP BY doc_id
+        ), listed AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM found) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
 }
