@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from augury.llm import bpe, kneserney, langid, wumanber
+from augury.llm import bpe, credentials, kneserney, langid, lines, wumanber
 from augury.llm.minhash import near_duplicates
 
 
@@ -37,6 +37,23 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encoded.select("row.doc_id", "ids"), path)
 
 
+def op5_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", lines.page_text(F.col("html")).alias("text"))
+    found = lines.without_boilerplate(pages, lines.page_host(F.col("url")))
+    return found.select("row.page_id", "host", "n_lines", "n_dropped", F.col("clean").alias("text"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.credentials(table(spark, sf_dir, "documents"))
+    kinds = F.array(*map(F.lit, credentials.KINDS))
+    shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(shown("base"), 256).alias("base_sha256"), shown("spans").alias("spans"),
+    )
+
+
 def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = wumanber.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -67,6 +84,8 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_site_lines": op5_site_lines,
+    "op6_secret_scan": op6_secret_scan,
     "op7_wu_manber": op7_wu_manber,
     "op9_language_id": op9_language_id,
     "op10_kneser_ney": op10_kneser_ney,
@@ -118,4 +137,30 @@ ORACLE_SQL: dict[str, str] = {
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
     """,
+    "op5_site_lines": rf"""
+        WITH shown AS (
+            SELECT page_id, lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')) AS host,
+                regexp_replace(regexp_replace(regexp_replace(html,
+                    '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
+                    '(?i)</?({lines._BLOCKS})\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') AS text
+            FROM pages
+        ), parts AS (SELECT *, string_split(text, chr(10)) AS l, row_number() OVER () AS r FROM shown),
+        each AS (SELECT DISTINCT host, text, trim(unnest(l), ' ' || chr(9) || chr(13)) AS k FROM parts WHERE text IS NOT NULL),
+        totals AS (SELECT host, count(DISTINCT text) AS total FROM parts GROUP BY host),
+        often AS (
+            SELECT host, k FROM each JOIN totals USING (host) WHERE k <> '' GROUP BY host, k, total HAVING count(*) >= 3 AND count(*) > {lines.RATIO} * total
+        ), places AS (
+            SELECT r, host, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM parts
+        ), marked AS (
+            SELECT r, i, line, trim(line, ' ' || chr(9) || chr(13)) AS t, o.k IS NOT NULL AS gone
+            FROM places p LEFT JOIN often o ON o.host = p.host AND o.k = trim(line, ' ' || chr(9) || chr(13))
+        ), summed AS (
+            SELECT r, count(*) FILTER (t <> '') AS n_lines, count(*) FILTER (gone) AS n_gone,
+                string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
+            FROM marked GROUP BY r
+        )
+        SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, CASE WHEN n_gone = n_lines THEN 0 ELSE n_gone END AS n_dropped,
+            CASE WHEN n_gone = n_lines THEN text ELSE kept END AS text
+        FROM parts JOIN summed USING (r)
+    """,
 }
