@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from augury.llm import bpe, credentials, kneserney, langid, lines, wumanber
+from augury.llm import bpe, credentials, kneserney, langid, lines, quotes, simhash, wumanber
 from augury.llm.minhash import near_duplicates
 
 
@@ -19,6 +19,14 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op2_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.likeness(table(spark, sf_dir, "documents"))
+
+
 def digests(encoded: DataFrame, path: str) -> DataFrame:
     """Digest columns of encoded documents (doc_id, ids)."""
     return bpe.decode(encoded, path).select(
@@ -83,6 +91,8 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_quote_threads": op2_quote_threads,
+    "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_site_lines": op5_site_lines,
     "op6_secret_scan": op6_secret_scan,
