@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from augury.llm import bpe, credentials, kneserney, langid, lines, quotes, simhash, wumanber
+from augury.llm import bpe, credentials, kneserney, langid, lines, quotes, simhash, triemodel, wumanber
 from augury.llm.minhash import near_duplicates
 
 
@@ -69,6 +69,14 @@ def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), "contaminated")
 
 
+def op8_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = lambda: F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    model = triemodel.fit(docs.where(~held_out()))
+    found = triemodel.score(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
@@ -97,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_site_lines": op5_site_lines,
     "op6_secret_scan": op6_secret_scan,
     "op7_wu_manber": op7_wu_manber,
+    "op8_trie_scores": op8_trie_scores,
     "op9_language_id": op9_language_id,
     "op10_kneser_ney": op10_kneser_ney,
 }
