@@ -27,10 +27,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.likeness(table(spark, sf_dir, "documents"))
 
 
-def digests(encoded: DataFrame, path: str) -> DataFrame:
-    """Digest columns of encoded documents (doc_id, ids)."""
+def digests(encoded: DataFrame, path: str, *more: str) -> DataFrame:
+    """Digest columns of encoded documents (doc_id, ids), and more of their columns."""
     return bpe.decode(encoded, path).select(
         "row.doc_id",
+        *[f"row.{c}" for c in more],
         F.size("row.ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("row.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
