@@ -1,8 +1,70 @@
-"""Corpus pipeline: filled in once its stages exist."""
+"""Corpus pipeline: quality, line dedup, near-dedup, decontamination, tokens.
 
-STAGES: list = []
+Each stage takes the documents that the stage before kept and returns documents with the same columns; the last one
+returns their tokens. Nulls, empty texts, ties, repeated rows and extra columns are handled as the operators say:
+null and empty texts are rejected by the quality stage; rows that repeat an id and text stay or go together.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from augury.llm import bpe, lines, queries, wumanber
+from augury.llm.common import written
+from augury.llm.minhash import near_duplicates
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the Kneser-Ney classifier, trained on labelled good ones, accepts."""
+    judged = queries.quality(docs, queries.table(spark, sf_dir, "labels"))
+    return judged.where("accepted").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that are boilerplate of their source."""
+    found = lines.without_boilerplate(docs, F.col("source"))
+    new = {"text": F.col("clean"), "n_chars": F.when(F.col("n_dropped") > 0, F.char_length("clean").cast("long")).otherwise(F.col("row.n_chars"))}
+    return found.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the least id."""
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(kept, same, "left_semi")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    found = wumanber.contamination(docs, queries.table(spark, sf_dir, "benchmark"))
+    return found.where(~F.col("contaminated")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, with digests of the ids and of the bytes that they decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return queries.digests(encoded.select("row.doc_id", "ids"), path, "ids")
+
+
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("tokens", tokens),
+]
+
+#: A language model's perplexity is beyond SQL; the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; each reads what the one before has written to the shared folder."""
+    docs = queries.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
