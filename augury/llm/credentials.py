@@ -47,7 +47,8 @@ def base_spans(text: str) -> list[dict]:
 
 def weak_spans(text: str, base: list[dict]) -> list[dict]:
     """Candidates that count only beside complementary parts; none lies in a base finding."""
-    found = [(3, m) for m in _IDENTIFIER.finditer(text)] if "id" in text.lower() else []
+    low = text.lower()
+    found = [(3, m) for m in _IDENTIFIER.finditer(text)] if any(w in low for w in ("id", "asia", "aroa")) else []
     found += [(4, m) for m in _BARE.finditer(text)]
     found += [(5, m) for m in _ENDPOINT.finditer(text)] if "://" in text else []
     taken = [(b["start"], b["end"]) for b in base]
