@@ -214,8 +214,9 @@ def fit(texts: DataFrame, folder: str | None = None) -> dict:
         totals = trie.totals(contexts, words, documents)
         place = np.repeat(np.arange(len(contexts)), np.diff(pointers))
         share = np.log10((counts - DISCOUNT) / totals[place])
-        levels = np.quantile(share, np.linspace(0, 1, 256)).astype(np.float32)
-        code = np.clip(np.searchsorted((levels[1:] + levels[:-1]) / 2, share), 0, 255).astype(np.uint8)
+        # 256 even steps bound the error of every pair; quantiles would blur the rare ends.
+        levels = np.linspace(share.min(), share.max(), 256).astype(np.float32)
+        code = np.searchsorted((levels[1:] + levels[:-1]) / 2, share).astype(np.uint8)
         arrays = encode("contexts", contexts, words + 1) | encode("pointers", pointers, len(keys) + 1)
         arrays |= encode("successors", place * (words + 1) + successor, len(contexts) * (words + 1))
         save(f"{folder}/pairs-{key[0].as_py()}", arrays | {"code": code, "levels": levels})
