@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from augury.plans import fill_queries
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+for _part in (fill_queries,):
+    QUERIES |= _part.QUERIES
+    ORACLE_SQL |= _part.ORACLE_SQL
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return fill_queries.volume(spark, sf_dir)
