@@ -86,17 +86,17 @@ def book_events(d: Dialect) -> str:
 
 
 def readiness(d: Dialect) -> str:
-    """Readiness changes: plant, lane, token, at (ms), ready, id."""
+    """Readiness changes: plant, lane, token, ms, ready, id."""
     return f"""
-        SELECT event_id % 2 AS plant, {d.div('event_id', 2)} % 2 AS lane, user_id AS token, {d.millis('ts')} AS at,
+        SELECT event_id % 2 AS plant, {d.div('event_id', 2)} % 2 AS lane, user_id AS token, {d.millis('ts')} AS ms,
             event_type IN ('signup', 'purchase') AS ready, event_id AS id
         FROM {{events}} WHERE event_type IN ('signup', 'purchase', 'error')"""
 
 
 def probes(d: Dialect) -> str:
-    """Ping and pong events of connections: id, connection, kind, at (ms)."""
+    """Ping and pong events of connections: id, connection, kind, ms."""
     return f"""
-        SELECT event_id AS id, user_id AS connection, CASE event_type WHEN 'click' THEN 'PING' ELSE 'PONG' END AS kind, {d.millis('ts')} AS at
+        SELECT event_id AS id, user_id AS connection, CASE event_type WHEN 'click' THEN 'PING' ELSE 'PONG' END AS kind, {d.millis('ts')} AS ms
         FROM {{events}} WHERE event_type IN ('click', 'view')"""
 
 
