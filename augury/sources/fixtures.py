@@ -138,3 +138,26 @@ def cte(**builds) -> str:
             text = text.replace(f"{{{t}}}", t)
         parts.append(f"{name} AS ({text})")
     return "WITH " + ",\n".join(parts)
+
+
+def pages(d: Dialect) -> str:
+    """Market catalogue rows as JSON text: id, payload. Lists come as arrays or as JSON text; some rows are broken."""
+    q, b = "chr(34)", "chr(92)"
+    p = "p_partkey"
+    text = lambda x: f"{q} || {x} || {q}"
+    quoted = lambda x: f"{b} || {q} || {x} || {b} || {q}"
+    token = lambda k: f"cast({p} * 2 + {k} AS varchar(20))"
+    same = f"CASE WHEN {p} % 23 = 5 THEN {token(1)} ELSE {token(2)} END"
+    return f"""
+        SELECT {p} AS id, CASE WHEN {p} % 41 = 7 THEN chr(123) || 'broken' ELSE chr(123) || {text("'id'")} || ':' || cast({p} AS varchar(20))
+            || ',' || {text("'conditionId'")} || ':' || CASE WHEN {p} % 31 = 3 THEN 'null' ELSE {text("'0x' || " + d.hex64(p + ' + 900'))} END
+            || ',' || {text("'clobTokenIds'")} || ':' || CASE {p} % 2 WHEN 0 THEN {text("'[' || " + quoted(token(1)) + " || ',' || " + quoted(same) + " || ']'")} ELSE '[' || {text(token(1))} || ',' || {text(same)} || ']' END
+            || ',' || {text("'outcomes'")} || ':' || CASE {p} % 5 WHEN 0 THEN '[' || {text("'Yes'")} || ',' || {text("'No'")} || ']' WHEN 1 THEN '[' || {text("' no '")} || ',' || {text("'YES'")} || ']'
+                WHEN 2 THEN '[' || {text("'Down'")} || ',' || {text("'Up'")} || ']' WHEN 3 THEN '[' || {text("'Team   A'")} || ',' || {text("'Team B'")} || ']' ELSE CASE {p} % 3 WHEN 0 THEN '[' || {text("''")} || ',' || {text("'x'")} || ']' ELSE '[' || {text("'x'")} || ']' END END
+            || ',' || {text("'outcomePrices'")} || ':[' || {text("'0.' || cast(" + p + " % 10 AS varchar(2))")} || ',' || {text("CASE WHEN " + p + " % 19 = 2 THEN '1.5' ELSE '0.5' END")} || ']'
+            || ',' || {text("'tags'")} || ':[' || {text("p_brand")} || ',' || {text("CASE " + p + " % 4 WHEN 0 THEN 'Sports' WHEN 1 THEN 'Crypto' ELSE 'other-things' END")} || ',' || {text("lower(p_brand)".replace('lower', 'upper'))} || ']'
+            || ',' || {text("'category'")} || ':' || CASE {p} % 6 WHEN 1 THEN {text("'  Politics '")} ELSE 'null' END
+            || ',' || {text("'closed'")} || ':' || CASE {p} % 4 WHEN 0 THEN 'true' WHEN 1 THEN {text("'FALSE'")} WHEN 2 THEN '1' ELSE CASE {p} % 37 WHEN 11 THEN {text("'maybe'")} ELSE 'null' END END
+            || ',' || {text("'createdAt'")} || ':' || CASE {p} % 3 WHEN 0 THEN {text("'2024-05-06T07:08:09.123456789Z'")} WHEN 1 THEN {text("'2024-05-06 07:08:09'")} ELSE CASE {p} % 29 WHEN 4 THEN {text("'soon'")} ELSE 'null' END END
+            || chr(125) END AS payload
+        FROM {{part}}"""
