@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 #: Used only where the session names no checkpoint folder (tests, one machine).
 DEFAULT_SHARED = "file:///tmp/checkpoints"
+BATCH_ROWS = 1_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -98,6 +99,15 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with Arrow batches of at most BATCH_ROWS rows in its session: texts are long, and every Python worker holds
+    a batch as Arrow and as strings."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def with_results(df: DataFrame, start: Callable, fields: pa.Schema) -> DataFrame:
     """Apply Python to Arrow batches of df and keep the input beside the result.
 
@@ -105,7 +115,7 @@ def with_results(df: DataFrame, start: Callable, fields: pa.Schema) -> DataFrame
     named in fields. The result has the whole input row in the struct column `row`, untouched, so that input columns
     may have any names and types.
     """
-    packed = df.select(F.struct("*").alias("row"))
+    packed = small_batches(df).select(F.struct("*").alias("row"))
     schema = StructType(packed.schema.fields + from_arrow_schema(fields).fields)
     names, kinds = schema.names, fields.types
 

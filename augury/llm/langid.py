@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from augury.llm.common import with_results
+from augury.llm.common import small_batches, with_results
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -58,7 +58,7 @@ def fit(rows: DataFrame, bits: int = BITS) -> tuple[list[str], np.ndarray]:
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], schema=out)
 
-    known = rows.where("text is not null and lang is not null").select("text", "lang")
+    known = small_batches(rows).where("text is not null and lang is not null").select("text", "lang")
     counts = known.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).persist()
     try:
         langs = sorted(r["lang"] for r in counts.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())

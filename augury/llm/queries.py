@@ -88,9 +88,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Judged documents; those that a label calls good, and none calls bad or toxic, are the trusted ones."""
-    marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("__good"))
-    marks = marks.where("__good").select(F.col("doc_id").alias("__labelled"))
-    return kneserney.judged(docs.join(marks, F.col("doc_id") == F.col("__labelled"), "left"), F.col("__labelled").isNotNull())
+    marks = labels.groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
+    return kneserney.judged(docs, marks.where("good"))
 
 
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -377,11 +377,12 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     junk = [prose(rng, 60, ["$$#%", "QX9", "|||", "zzkq"]) for _ in range(10)]
     rows = [(i, t, "en", None) for i, t in enumerate(clean)] + [(100 + i, t, "en" if i % 2 else None, None) for i, t in enumerate(junk)]
     rows += [(200, None, "en", None), (201, "", None, None), (None, clean[0], "fr", None)]
-    found = kneserney.judged(docs(spark, rows), F.col("doc_id") < 40).select("row.doc_id", "accepted", "perplexity", "threshold").collect()
+    table = docs(spark, rows)
+    found = kneserney.judged(table, table.where("doc_id < 40")).select("row.doc_id", "accepted", "perplexity", "threshold").collect()
     got = {r["doc_id"]: r["accepted"] for r in found}
     assert len(found) == len(rows) and all(got[i] for i in range(60)) and got[None]
     assert not any(got[100 + i] for i in range(10)) and not got[200] and not got[201]
-    untrained = kneserney.judged(docs(spark, rows), F.lit(False)).select("accepted", "row.text").collect()
+    untrained = kneserney.judged(table, table.limit(0)).select("accepted", "row.text").collect()
     assert all(r["accepted"] == bool(r["text"]) for r in untrained)
 
 
