@@ -161,3 +161,30 @@ def pages(d: Dialect) -> str:
             || ',' || {text("'createdAt'")} || ':' || CASE {p} % 3 WHEN 0 THEN {text("'2024-05-06T07:08:09.123456789Z'")} WHEN 1 THEN {text("'2024-05-06 07:08:09'")} ELSE CASE {p} % 29 WHEN 4 THEN {text("'soon'")} ELSE 'null' END END
             || chr(125) END AS payload
         FROM {{part}}"""
+
+
+def frames(d: Dialect) -> str:
+    """Captured frames as text: pos, raw. Some hold two messages, some are broken, some are heartbeats."""
+    k, q = d.number("props"), "chr(34)"
+    pair = lambda name, value: f"{q} || '{name}' || {q} || ':' || {q} || {value} || {q}"
+    price = f"'0.' || lpad(cast({k} % 99 + 1 AS varchar(3)), 2, '0') || CASE WHEN event_id % 4 = 1 THEN '00' ELSE '' END"
+    level = "chr(123) || " + pair("price", price) + " || ',' || " + pair("size", "cast(cast(round(value) AS bigint) AS varchar(20)) || '.50'") + " || chr(125)"
+    book = "chr(123) || " + pair("event_type", "'book'") + " || ',' || " + pair("market", "cast(user_id AS varchar(20))") + " || ',' || " + pair("asset_id", "cast(event_id % 2 AS varchar(2))") + f" || ',' || {q} || 'bids' || {q} || ':[' || {level} || '],' || {q} || 'asks' || {q} || ':[]' || chr(125)"
+    last = "chr(123) || " + pair("event_type", "'last_trade'") + " || ',' || " + pair("market", "cast(user_id AS varchar(20))") + " || chr(125)"
+    return f"""
+        SELECT event_id AS pos, CASE WHEN event_id % 31 = 4 THEN 'PING' WHEN event_id % 37 = 6 THEN chr(123) || 'oops' WHEN event_id % 41 = 9 THEN '[' || {last} || ',' || chr(123) || chr(125) || ']'
+            WHEN event_id % 3 = 0 THEN '[' || {book} || ',' || {last} || ']' WHEN event_id % 3 = 1 THEN {book} ELSE {last} END AS raw FROM {{events}}"""
+
+
+def ancillary(d: Dialect) -> str:
+    """Ancillary texts of questions: id, text."""
+    return """
+        SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 3 THEN 'nothing here' ELSE 'q: title: ' || p_name || ' ?, description: about ' || p_brand || '. MARKET_ID: ' || cast(p_partkey * 7 AS varchar(20))
+            || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE ' p1: 0, p2: 1.5' END END AS text FROM {part}"""
+
+
+def positions(d: Dialect) -> str:
+    """Combination positions: id, owner, position (64 digits). Some have a wrong module or outcome."""
+    return f"""
+        SELECT event_id AS id, user_id AS owner, CASE event_id % 11 WHEN 5 THEN '04' WHEN 3 THEN '01' WHEN 2 THEN '02' ELSE CASE WHEN event_id % 2 = 0 THEN '03' ELSE '01' END END
+            || substr({d.hex64('event_id * 977 % 100003')}, 5) || CASE event_id % 13 WHEN 4 THEN '07' ELSE CASE event_id % 2 WHEN 0 THEN '00' ELSE '01' END END AS position FROM {{events}}"""
