@@ -188,3 +188,35 @@ def positions(d: Dialect) -> str:
     return f"""
         SELECT event_id AS id, user_id AS owner, CASE event_id % 11 WHEN 5 THEN '04' WHEN 3 THEN '01' WHEN 2 THEN '02' ELSE CASE WHEN event_id % 2 = 0 THEN '03' ELSE '01' END END
             || substr({d.hex64('event_id * 977 % 100003')}, 5) || CASE event_id % 13 WHEN 4 THEN '07' ELSE CASE event_id % 2 WHEN 0 THEN '00' ELSE '01' END END AS position FROM {{events}}"""
+
+
+def settlement_markets(d: Dialect) -> str:
+    """Markets to settle: id, identity_kind, condition_id, active, closed, open_until (minutes, -1: none)."""
+    return f"""
+        SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN 'combo' ELSE 'gamma' END AS identity_kind,
+            CASE WHEN p_partkey % 19 = 7 THEN '0xlegacy' WHEN p_partkey % 17 = 4 THEN '0x03' || substr({d.hex64('p_partkey')}, 5) || '' WHEN p_partkey % 17 = 5 THEN '0x01' || substr({d.hex64('p_partkey')}, 5, 60)
+                ELSE '0x' || {d.hex64('p_partkey + 1')} END AS condition_id,
+            p_partkey % 4 <> 1 AS active, p_partkey % 5 = 2 AS closed, CASE p_partkey % 7 WHEN 3 THEN 100 WHEN 4 THEN -1 ELSE 1000000000 END AS open_until
+        FROM {{part}}"""
+
+
+def settlement_tokens(d: Dialect) -> str:
+    """Tokens of those markets: market_id, token_id (decimal text), outcome_index, outcome, condition_id."""
+    condition = f"CASE WHEN p_partkey % 19 = 7 THEN '0xlegacy' ELSE '0x' || {d.hex64('p_partkey + 1')} END"
+    return f"""
+        SELECT p_partkey AS market_id, cast(p_partkey * 100 + s + 1 AS varchar(30)) AS token_id, cast(CASE WHEN p_partkey % 23 = 6 THEN 0 ELSE s END AS int) AS outcome_index,
+            'position_' || cast(s AS varchar(2)) AS outcome, {condition} AS condition_id
+        FROM {{part}}, (SELECT 0 AS s UNION ALL SELECT 1) AS slots WHERE p_partkey % 29 <> 8"""
+
+
+def settlement_events(d: Dialect) -> str:
+    """Resolution and adjudication events: the columns that settlement evidence reads; block_time is minutes."""
+    k, market = d.number("props"), "(user_id * 13 + event_id) % 400"
+    return f"""
+        SELECT event_id AS id, '0x' || {d.hex64(market + ' + 1')} AS condition_id, {market} AS market_id,
+            CASE event_type WHEN 'view' THEN 'request' WHEN 'click' THEN CASE WHEN event_id % 3 = 0 THEN 'propose' ELSE 'settle' END WHEN 'error' THEN 'dispute' ELSE 'settle' END AS event_status,
+            CASE event_id % 4 WHEN 0 THEN '0xbb1a8db2d4350976a11cdfa60a1d43f97710da49' ELSE '0x4d97dcd97ec945f40cf65f87097ace5ea0476045' END AS source_oracle,
+            CASE WHEN event_id % 43 = 2 THEN 'nobody' ELSE '0x' || substr({d.hex64('user_id')}, 25) END AS source_adapter, '0x' || {d.hex64('event_id')} AS adapter_question_id,
+            {d.div(d.millis('ts'), 60000)} AS block_number, event_id % 100 AS log_index, '0x' || {d.hex64('event_id * 3')} AS tx_hash, {d.div(d.millis('ts'), 60000)} AS event_time,
+            CASE {k} % 11 WHEN 3 THEN '[0,0]' WHEN 4 THEN '[01,2]' WHEN 5 THEN 'oops' WHEN 6 THEN '[1, 2, 3]' ELSE '[' || cast({k} AS varchar(20)) || ', ' || cast(100 - {k} % 100 AS varchar(20)) || ']' END AS payout
+        FROM {{events}}"""
