@@ -84,3 +84,36 @@ def soak_windows(samples: DataFrame, gap: int) -> DataFrame:
     new = F.coalesce((F.col("at") - F.lag("at").over(w) > gap) | (F.col("fingerprint") != F.lag("fingerprint").over(w)), F.lit(True))
     marked = samples.withColumn("session", F.sum(new.cast("int")).over(w))
     return marked.groupBy("key", "session").agg(F.min("at").alias("from"), F.max("at").alias("to"), F.count("*").alias("samples"))
+
+
+def gateway_checks(markets: DataFrame, gateway: DataFrame, plants: DataFrame) -> DataFrame:
+    """Each market with all reasons against its gateway: books not ready, no committed source at the same number, a
+    session or stream of another plant, or a source beyond what that plant has committed and applied.
+
+    markets: market; gateway: market, ready, crossed, market_seq, source_seq, plant, session, stream, parent_seq,
+    parent_offset; plants: plant, market, session, stream, committed_seq, applied_offset.
+    """
+    p = plants.select("plant", "market", *[F.col(c).alias(f"p_{c}") for c in ("session", "stream", "committed_seq", "applied_offset")])
+    rows = markets.select("market").join(gateway, "market", "left").join(p, ["plant", "market"], "left")
+    ready = F.coalesce(F.col("ready") & ~F.col("crossed"), F.lit(False))
+    source = F.col("source_seq").isNotNull()
+    why = tables.reasons(
+        (ready, "GATEWAY_PAIR_NOT_READY"), (~ready | (source & (F.col("source_seq") == F.col("market_seq"))), "COMMITTED_SOURCE_EVIDENCE_MISSING"),
+        (~source | F.col("session").eqNullSafe(F.col("p_session")), "GATEWAY_SOURCE_SESSION_MISMATCH"),
+        (~source | ((F.col("stream") == F.col("p_stream")) & (F.col("parent_seq") <= F.col("p_committed_seq")) & (F.col("parent_offset") <= F.col("p_applied_offset"))), "GATEWAY_PARENT_OUTSIDE_CAPTURED_PLANT_PREFIX"),
+    )
+    return rows.select("market", ready.alias("ready"), why.alias("reasons"), (F.size(why) == 0).alias("qualified"))
+
+
+def fleet_health(status: DataFrame) -> DataFrame:
+    """Nodes by role: how many, sums of counters, maxima of delays. status: role, node, records, errors, p99_ms, lag."""
+    return status.groupBy("role").agg(
+        F.count("*").alias("nodes"), F.sum("records").alias("records"), F.sum("errors").alias("errors"), F.max("p99_ms").alias("max_p99_ms"), F.min("p99_ms").alias("min_p99_ms"),
+        F.count_if(F.col("p99_ms") > 50).alias("slow_nodes"), F.max("lag").alias("max_lag"),
+    )
+
+
+def storage_rollup(segments: DataFrame) -> DataFrame:
+    """Bytes of segments by stream and state, oldest uncommitted time. segments: stream, state, bytes, at."""
+    total = lambda s: F.coalesce(F.sum(F.when(F.col("state") == s, F.col("bytes"))), F.lit(0)).alias(s)
+    return segments.groupBy("stream").agg(*map(total, ("pending", "committed", "evicted")), F.min(F.when(F.col("state") == "pending", F.col("at"))).alias("oldest_pending"))

@@ -113,3 +113,58 @@ def probe_health(probes: DataFrame, limit_ms: int = 2_000, needed: int = 3) -> D
     runs = w.rowsBetween(1 - needed, 0)
     good = F.sum(F.col("good").cast("int")).over(runs)
     return rows.select("id", "connection", "kind", (F.col("ms") - F.col("__ms")).alias("rtt_ms"), "good", (good == needed).alias("healthy"))
+
+
+def upsert_registry(rows: DataFrame, markets: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(markets, tokens, conflicts) after adding normalised rows (condition_id, yes_token, no_token, category).
+
+    Conditions whose tokens are claimed elsewhere are conflicts and change nothing. Known conditions keep their id and
+    take a new category; new ones get ids after the highest, in the order of their condition, by distributed ranks.
+    Tokens of a market have the ids 2m - 1 and 2m, negated.
+    """
+    claims = rows.select("condition_id", F.explode(F.array("yes_token", "no_token")).alias("token"))
+    owned = tokens.join(markets.select("market_id", "condition_id"), "market_id").select("condition_id", F.col("token_id").alias("token"))
+    accepted, conflicts = filter_claims(claims, owned)
+    good = rows.join(accepted, "condition_id", "left_semi").dropDuplicates(["condition_id"])
+    new = good.join(markets.select("condition_id"), "condition_id", "left_anti").select("condition_id", "yes_token", "no_token", "category")
+    top = markets.agg(F.coalesce(F.max("market_id"), F.lit(0)).alias("__top"))
+    # Ranks by hash cell: no task orders all conditions.
+    cell = F.pmod(F.xxhash64("condition_id"), F.lit(256))
+    placed = new.withColumn("__cell", cell).withColumn("__n", F.row_number().over(tables.Window.partitionBy("__cell").orderBy("condition_id")))
+    before = placed.groupBy("__cell").agg(F.count("*").alias("__c")).withColumn("__before", F.coalesce(F.sum("__c").over(tables.Window.orderBy("__cell").rowsBetween(tables.Window.unboundedPreceding, -1)), F.lit(0))).drop("__c")
+    placed = placed.join(F.broadcast(before), "__cell").crossJoin(F.broadcast(top)).withColumn("market_id", F.col("__top") + F.col("__before") + F.col("__n"))
+    changed = markets.join(good.select("condition_id", F.col("category").alias("__new")), "condition_id", "left").withColumn("category", F.coalesce("__new", "category")).select("market_id", "condition_id", "category")
+    slots = F.explode(F.array(F.struct(F.col("yes_token").alias("token_id"), (-(2 * F.col("market_id") - 1)).alias("id"), F.lit(0).alias("outcome_index")), F.struct(F.col("no_token").alias("token_id"), (-2 * F.col("market_id")).alias("id"), F.lit(1).alias("outcome_index"))))
+    added = placed.select("market_id", slots.alias("t")).select("market_id", "t.*")
+    return changed.unionByName(placed.select("market_id", "condition_id", "category")), tokens.select("market_id", "token_id", "id", "outcome_index").unionByName(added.select("market_id", "token_id", "id", "outcome_index")), conflicts
+
+
+def recover_failures(ledger: DataFrame, latest: DataFrame, markets: DataFrame) -> DataFrame:
+    """Ledger in which open failures are resolved whose latest payload of the same generation now normalises to a
+    registered condition. ledger: failure_key, generation, status; latest: failure_key, generation, id, payload."""
+    good = normalize_markets(latest.select(F.struct("failure_key", "generation").alias("id"), "payload"))[0]
+    fixed = good.join(markets.select("condition_id").distinct(), "condition_id", "left_semi").select("id.failure_key", "id.generation").distinct().withColumn("__fixed", F.lit(True))
+    out = ledger.join(fixed, ["failure_key", "generation"], "left")
+    return out.withColumn("status", F.when((F.col("status") == "open") & F.col("__fixed"), "resolved").otherwise(F.col("status"))).select(*ledger.columns)
+
+
+#: Rule pages of five-minute rounds, and what their wording must hold: fixed values.
+RULE_URL, RULE_WORDS, ROUND_MS = "https://data.chain.link/streams/%s-usd-twap-60s-streams", ("greater than or equal to", "time-weighted average"), 300_000
+
+
+def bind_rules(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bound rounds, others): rows asset, start_ms, end_ms, slug, source, description, version, condition_id, labels and
+    tokens (arrays) bind if slug, end, rule page, wording, identity, labels and tokens all fit. The rule's version is a
+    prefix of the description's hash."""
+    asset = F.lower("asset")
+    url = F.concat(F.lit(RULE_URL.split("%s")[0]), asset, F.lit(RULE_URL.split("%s")[1]))
+    fits = (
+        (F.col("slug") == F.concat(asset, F.lit("-updown-5m-"), F.floor(F.col("start_ms") / 1000).cast("string"))) & (F.col("end_ms") == F.col("start_ms") + ROUND_MS) & F.col("version").isin("v1", "v2")
+        & (F.col("source") == url) & F.contains("description", url) & F.contains("description", F.lit(RULE_WORDS[0])) & F.contains("description", F.lit(RULE_WORDS[1])) & F.col("condition_id").rlike("^0x[0-9a-fA-F]{64}$")
+        & (F.array_join(F.array_sort(F.transform("labels", F.upper)), ",") == "DOWN,UP") & (F.size(F.array_distinct("tokens")) == 2) & (F.size("tokens") == 2) & F.forall("tokens", lambda t: t.rlike("^[1-9][0-9]{0,77}$"))
+    )
+    marked = tables.settled(rows.withColumn("__fits", F.coalesce(fits, F.lit(False))))
+    up = F.get("tokens", F.when(F.upper(F.get("labels", 0)) == "UP", 0).otherwise(1))
+    down = F.get("tokens", F.when(F.upper(F.get("labels", 0)) == "UP", 1).otherwise(0))
+    version = F.concat(F.lit("market-data:twap60:"), F.substring(F.sha2("description", 256), 1, 16))
+    return marked.where("__fits").select("asset", "start_ms", "end_ms", "condition_id", up.alias("up_token"), down.alias("down_token"), version.alias("rule_version")), marked.where("not __fits").drop("__fits")

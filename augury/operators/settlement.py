@@ -160,3 +160,60 @@ def native_results(module_events: DataFrame, epochs: DataFrame) -> DataFrame:
         .when(~supported, "MODULE_IMPLEMENTATION_UNSUPPORTED").otherwise("READY")
     )
     return last.select("condition_id", state.alias("module_readiness"), "module_numerators", F.lit("1000000").alias("module_denominator"))
+
+
+#: Implementation of the combination module whose results are understood: fixed value.
+COMBO = ("0x30000034706c7d8e12009dab006be20000c031a8", "0x572cd48cce93b2e58f1cc0253a7fdd4b4952a9c2")
+
+
+def combo_results(preparations: DataFrame, native: DataFrame, epochs: DataFrame) -> DataFrame:
+    """Result of each combination, as settlement_evidence() takes it.
+
+    preparations: id, condition_id, legs (array of 64-digit positions), block_number, log_index; of several the first
+    counts, and different definitions conflict. A leg that pays nothing decides the combination; otherwise all legs
+    need a result, and the payout is folded exactly for the unit 10**36.
+    """
+    from augury.operators import audits, oracle
+
+    order = F.struct("block_number", "log_index", "id")
+    first = preparations.groupBy("condition_id").agg(F.count_distinct(F.to_json(F.array("legs"))).alias("definitions"), F.min_by("legs", order).alias("legs"))
+    each = first.select("condition_id", F.posexplode("legs").alias("ordinal", "leg"))
+    results = native.select(F.col("condition_id").alias("__c"), "module_readiness", "module_numerators")
+    each = each.join(results, F.concat(F.lit("0x"), F.substring("leg", 1, 62)) == F.col("__c"), "left")
+    number = F.get("module_numerators", F.when(F.col("leg").endswith("01"), 1).otherwise(0)).try_cast("decimal(38,0)")
+    ready = F.col("module_readiness") == "READY"
+    stats = each.groupBy("condition_id").agg(
+        F.count_if(F.col("__c").isNull()).alias("missing"), F.max(F.coalesce(ready & (number == 0), F.lit(False))).alias("terminal_zero"),
+        *[F.max(F.coalesce(F.col("module_readiness") == s, F.lit(False))).alias(s) for s in ("CONFLICTING_MODULE_SETTLEMENTS", "INVALID_MODULE_PAYOUT", "INCOMPLETE_MODULE_PROVENANCE", "MODULE_IMPLEMENTATION_UNVERIFIED", "MODULE_IMPLEMENTATION_UNSUPPORTED")],
+        F.transform(F.array_sort(F.collect_list(F.struct("ordinal", number.alias("n")))), lambda s: s["n"]).alias("numbers"),
+    )
+    own = epochs.where(F.col("module_address") == COMBO[0]).agg(F.max("implementation").alias("__own"))  # one row
+    rows = first.join(stats, "condition_id", "left").crossJoin(F.broadcast(own))
+    rows = rows.withColumn("paid", F.when((F.col("missing") == 0) & F.forall("numbers", lambda x: x.isNotNull()), oracle.combo_payout(F.col("numbers"))))
+    state = (
+        F.when(F.col("definitions") != 1, "CONFLICTING_COMBO_PREPARATION").when(~audits.valid_legs(F.col("legs")), "INVALID_COMBO_PREPARATION")
+        .when(F.col("CONFLICTING_MODULE_SETTLEMENTS"), "CONFLICTING_MODULE_SETTLEMENTS").when(F.col("INVALID_MODULE_PAYOUT"), "INVALID_MODULE_PAYOUT").when(F.col("INCOMPLETE_MODULE_PROVENANCE"), "INCOMPLETE_MODULE_PROVENANCE")
+        .when(F.col("__own").isNull() | F.col("MODULE_IMPLEMENTATION_UNVERIFIED"), "MODULE_IMPLEMENTATION_UNVERIFIED").when((F.col("__own") != COMBO[1]) | F.col("MODULE_IMPLEMENTATION_UNSUPPORTED"), "MODULE_IMPLEMENTATION_UNSUPPORTED")
+        .when(F.col("terminal_zero") | (F.col("missing") == 0), "READY").otherwise("MISSING_COMBO_LEG_RESULT")
+    )
+    text = lambda hi, lo: F.regexp_replace(F.concat(F.lpad(hi.cast("string"), 19, "0"), F.lpad(lo.cast("string"), 18, "0")), "^0+(?=[0-9])", "")
+    unit = F.lit(10**18).cast("decimal(19,0)")
+    # What is left of the unit for the other side, limb by limb.
+    borrow = F.when(F.col("paid.up.lo") > 0, 1).otherwise(0)
+    other = text((unit - F.col("paid.up.hi") - borrow).cast("decimal(38,0)"), F.when(F.col("paid.up.lo") > 0, unit - F.col("paid.up.lo")).otherwise(0).cast("decimal(38,0)"))
+    zero = F.coalesce("terminal_zero", F.lit(False))
+    numerators = F.when(zero, F.array(F.lit("0"), F.lit(str(10**36)))).when(F.col("paid").isNotNull(), F.array(text(F.col("paid.down.hi"), F.col("paid.down.lo")), other))
+    return rows.select("condition_id", state.alias("module_readiness"), numerators.alias("module_numerators"), F.lit(str(10**36)).alias("module_denominator"))
+
+
+def payout_for_amount(evidence: DataFrame, positions: DataFrame) -> DataFrame:
+    """Payout of held amounts (market_id, token_id, amount): floor(amount * numerator / denominator) of READY markets,
+    exact while the product has at most 38 digits; otherwise, and where nothing pays, a reason."""
+    paid = evidence.where("readiness = 'READY'").select("market_id", F.explode("payouts").alias("p")).select("market_id", "p.*")
+    rows = positions.join(paid, ["market_id", "token_id"], "left").join(evidence.select("market_id", "readiness"), "market_id", "left")
+    number = lambda c: F.col(c).try_cast("decimal(38,0)")
+    product = F.try_multiply(F.col("amount").cast("decimal(38,0)"), number("numerator")).cast("decimal(38,0)")
+    rows = rows.withColumns({"__p": product, "__d": number("denominator")})
+    exact = ((F.col("__p") - F.col("__p") % F.col("__d")) / F.col("__d")).cast("decimal(38,0)")
+    reason = F.when(F.col("readiness").isNull(), "unknown market").when(F.col("readiness") != "READY", F.col("readiness")).when(F.col("numerator").isNull(), "unknown token").when(F.col("__p").isNull() | F.col("__d").isNull(), "amount is too wide")
+    return rows.select("market_id", "token_id", "amount", F.when(reason.isNull(), exact).alias("payout"), reason.alias("reason"))

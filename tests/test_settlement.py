@@ -56,3 +56,27 @@ def test_native_modules(spark):
     epochs = settlement.module_epochs(spark.createDataFrame([(a, good.upper().replace("0X", "0x"), 5, 0)], seen), spark.createDataFrame([(a, "0xother", 5, 9), (b, "0xnew", 7, 1), (a, "0xold", 1, 1)], seen))
     got = {r["condition_id"]: r["module_readiness"] for r in settlement.native_results(events, epochs).collect()}
     assert got == {c(1): "READY", c(2): "INVALID_MODULE_PAYOUT", c(3): "INCOMPLETE_MODULE_PROVENANCE", c(4): "CONFLICTING_MODULE_SETTLEMENTS", c(5, 2): "MODULE_IMPLEMENTATION_UNSUPPORTED"}
+
+
+def test_combinations(spark):
+    leg = lambda m, n, o: f"{m:02x}{n:060x}0{o}"
+    c = lambda n: "0x03" + f"{n:060x}"
+    a, b = leg(1, 1, 0), leg(1, 2, 1)
+    rows = [(1, c(1), [a, b], 5, 1), (2, c(2), [a, leg(1, 3, 0)], 5, 2), (3, c(3), [a, leg(1, 9, 0)], 5, 3), (4, c(4), [b, a], 5, 4), (5, c(5), [a, b], 5, 5), (6, c(5), [a], 6, 6), (7, c(6), [leg(1, 3, 0), leg(1, 9, 0)], 5, 7)]
+    prepared = spark.createDataFrame(rows, "id long, condition_id string, legs array<string>, block_number long, log_index long")
+    native = spark.createDataFrame([("0x" + x[:62], "READY", p, "1000000") for x, p in ((a, ["333333", "666667"]), (b, ["1", "999999"]), (leg(1, 3, 0), ["0", "1000000"]))], "condition_id string, module_readiness string, module_numerators array<string>, module_denominator string")
+    epochs = spark.createDataFrame([settlement.COMBO], "module_address string, implementation string")
+    got = {r["condition_id"]: r for r in settlement.combo_results(prepared, native, epochs).collect()}
+    assert {k: r["module_readiness"] for k, r in got.items()} == {c(1): "READY", c(2): "READY", c(3): "MISSING_COMBO_LEG_RESULT", c(4): "INVALID_COMBO_PREPARATION", c(5): "CONFLICTING_COMBO_PREPARATION", c(6): "READY"}
+    down = 10**36 * 333333 // 10**6 * 999999 // 10**6
+    assert [int(x) for x in got[c(1)]["module_numerators"]] == [down, 10**36 - down]
+    assert got[c(2)]["module_numerators"] == got[c(6)]["module_numerators"] == ["0", str(10**36)]
+    none = settlement.combo_results(prepared, native, epochs.limit(0)).where(F.col("condition_id") == c(1)).first()
+    assert none["module_readiness"] == "MODULE_IMPLEMENTATION_UNVERIFIED"
+
+
+def test_amounts(spark):
+    evidence = settlement.settlement_evidence(*inventory(spark), F.lit(NOW))
+    held = spark.createDataFrame([(2, "200", 15), (1, "101", 5), (2, "999", 1), (3, "300", 1), (99, "1", 1)], "market_id long, token_id string, amount long")
+    got = {(r["market_id"], r["token_id"]): (r["payout"], r["reason"]) for r in settlement.payout_for_amount(evidence, held).collect()}
+    assert got == {(2, "200"): (7, None), (1, "101"): (0, None), (2, "999"): (None, "unknown token"), (3, "300"): (None, "PENDING"), (99, "1"): (None, "unknown market")}
