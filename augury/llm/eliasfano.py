@@ -34,7 +34,7 @@ def save(path: str, arrays: dict[str, np.ndarray]) -> None:
 
 def load(path: str) -> dict[str, np.ndarray]:
     """Views of the arrays in a file, read as they are used."""
-    whole = np.memmap(path, np.uint8, "r")
+    whole = np.asarray(np.memmap(path, np.uint8, "r"))
     table = json.loads(whole[:_HEAD].tobytes())
     return {name: whole[at : at + n * np.dtype(kind).itemsize].view(kind) for name, (kind, at, n) in table.items()}
 
@@ -102,26 +102,38 @@ class EliasFano:
         return 64 * at + bit
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """Index of each value, or -1: the successor search starts where the upper bits say, and compares low bits."""
+        """Index of each value, or -1.
+
+        The upper bits give the range of places that share them; in it the low bits are searched by interpolation,
+        every other step by halving, so that a frequent context with many successors in one range stays cheap.
+        """
         out = np.full(len(values), -1, np.int64)
         if not self.n or not len(values):
             return out
         upper = (values.astype(_U) >> _U(self.bits)).astype(np.int64)
-        low = values.astype(_U) & _U((1 << self.bits) - 1)
-        place = np.where(upper > 0, self._zero(np.maximum(upper - 1, 0)) + 1, 0)
-        open_ = np.arange(len(values))
+        exact = values.astype(_U) & _U((1 << self.bits) - 1)
+        wanted = exact.astype(np.float64)  # for guesses only
+        lo = np.where(upper > 0, self._zero(np.maximum(upper - 1, 0)) - upper + 1, 0)
+        hi = self._zero(upper) - upper
+        least, most = np.zeros(len(values)), np.full(len(values), float(1 << self.bits))
+        open_, step = np.flatnonzero(lo < hi), 0
         while len(open_):
-            p = place[open_]
-            one = (self.high[p >> 6] >> (p & 63).astype(_U)) & _U(1) != 0
-            open_ = open_[one]
-            if not len(open_):
-                break
-            index = place[open_] - upper[open_]
-            here = self._low(index)
-            hit = here == low[open_]
-            out[open_[hit]] = index[hit]
-            open_ = open_[here < low[open_]]
-            place[open_] += 1
+            a, z, w = lo[open_], hi[open_], wanted[open_]
+            if step & 1:
+                guess = (a + z) >> 1
+            else:
+                share = (w - least[open_]) / np.maximum(most[open_] - least[open_], 1)
+                guess = np.clip(a + (share * (z - a)).astype(np.int64), a, z - 1)
+            here = self._low(guess)
+            hit = here == exact[open_]
+            out[open_[hit]] = guess[hit]
+            under = here < exact[open_]
+            lo[open_] = np.where(under, guess + 1, a)
+            hi[open_] = np.where(under, z, guess)
+            least[open_] = np.where(under, here.astype(np.float64) + 1, least[open_])
+            most[open_] = np.where(under, most[open_], here.astype(np.float64))
+            open_ = open_[~hit & (lo[open_] < hi[open_])]
+            step += 1
         return out
 
     def at(self, index: np.ndarray) -> np.ndarray:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from augury.llm.common import shared_dir
+from augury.llm.common import shared_dir, small_batches
 from augury.llm.eliasfano import EliasFano, encode, load, save
 
 DISCOUNT = 0.75
@@ -160,7 +160,7 @@ def fit(texts: DataFrame, folder: str | None = None) -> dict:
     """Train on the column text; returns the description of the files, of bounded size."""
     folder = local(folder or f"{shared_dir(texts.sparkSession)}/trie-{uuid.uuid4().hex}")
     os.makedirs(folder, exist_ok=True)
-    texts = texts.select("text")
+    texts = small_batches(texts).select("text")
     total = texts.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) / 6 + 1), F.count("*")).first()
     documents = total[1]
     bits = max(0, int((total[0] or 1) / (4 * SHARD)).bit_length())  # some words repeat: fewer shards than of pairs
@@ -285,7 +285,7 @@ def _trie(folder: str, bits: int, sizes: tuple, n_shards: int) -> Trie:
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """Rows doc_id, n_tokens, n_known, base_score, score (log10) for doc_id and text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = small_batches(docs).sparkSession.sparkContext.broadcast(model)
     out = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
