@@ -220,3 +220,27 @@ def settlement_events(d: Dialect) -> str:
             {d.div(d.millis('ts'), 60000)} AS block_number, event_id % 100 AS log_index, '0x' || {d.hex64('event_id * 3')} AS tx_hash, {d.div(d.millis('ts'), 60000)} AS event_time,
             CASE {k} % 11 WHEN 3 THEN '[0,0]' WHEN 4 THEN '[01,2]' WHEN 5 THEN 'oops' WHEN 6 THEN '[1, 2, 3]' ELSE '[' || cast({k} AS varchar(20)) || ', ' || cast(100 - {k} % 100 AS varchar(20)) || ']' END AS payout
         FROM {{events}}"""
+
+
+def condition_logs(d: Dialect) -> str:
+    """Logs of condition preparations (topic 0x04) and resolutions (0x05), some broken."""
+    w, k = d.hex64, d.number("props")
+    return f"""
+        SELECT '0xCC' AS address, CASE WHEN event_id % 43 = 7 THEN '0x99' WHEN event_type = 'view' THEN '0x04' ELSE '0x05' END AS topic0,
+            '0x' || {w('user_id * 13 + event_id % 13')} AS topic1, '0x' || {w('user_id + 5')} AS topic2, '0x' || {w('event_id')} AS topic3,
+            '0x' || CASE WHEN event_type = 'view' THEN {w('2')} ELSE {w("CASE WHEN event_id % 29 = 3 THEN 3 ELSE 2 END")} || {w('64')} || {w("CASE WHEN event_id % 31 = 4 THEN 9 ELSE 2 END")} || {w(k)} || {w('100 - ' + k + ' % 100')} END AS data,
+            '0x' || {w('event_id')} AS tx_hash, event_id % 100 AS log_index, event_id AS block_number
+        FROM {{events}}"""
+
+
+def request_logs(d: Dialect) -> str:
+    """Logs of price requests (topic 0x01) and settlements (0x02) with ancillary text."""
+    w = d.hex64
+    text = "lower(hex('q: title: ' || p_name || ', description: d. market_id: ' || cast(p_partkey AS varchar(20))))"
+    blob = f"{w(d.div('length(' + text + ')', 2))} || rpad({text}, 256, '0')"
+    price = f"CASE p_partkey % 3 WHEN 0 THEN {w('1000000000000000000')} WHEN 1 THEN {w('0')} ELSE repeat('f', 63) || 'b' END"
+    return f"""
+        SELECT '0xAB' AS address, CASE WHEN p_partkey % 17 = 5 THEN '0x77' WHEN p_partkey % 2 = 0 THEN '0x01' ELSE '0x02' END AS topic0, '0x' || {w('p_partkey % 7')} AS topic1, '0x' || {w('p_partkey % 5 + 10')} AS topic2, '0x' || {w('3')} AS topic3,
+            '0x' || {w('1')} || {w('2')} || CASE WHEN p_partkey % 19 = 4 THEN {w('9999')} ELSE {w('192')} END || CASE WHEN p_partkey % 2 = 0 THEN {w('4')} ELSE {price} END || {w('p_partkey')} || {w('6')} || {blob} AS data,
+            '0x' || {w('p_partkey')} AS tx_hash, p_partkey % 10 AS log_index, p_partkey AS block_number, p_name AS name, p_partkey AS id
+        FROM {{part}}"""
