@@ -166,5 +166,5 @@ def bind_rules(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     marked = tables.settled(rows.withColumn("__fits", F.coalesce(fits, F.lit(False))))
     up = F.get("tokens", F.when(F.upper(F.get("labels", 0)) == "UP", 0).otherwise(1))
     down = F.get("tokens", F.when(F.upper(F.get("labels", 0)) == "UP", 1).otherwise(0))
-    version = F.concat(F.lit("market-data:twap60:"), F.substring(F.sha2("description", 256), 1, 16))
+    version = F.concat(F.lit("twap60:"), F.substring(F.sha2("description", 256), 1, 16))
     return marked.where("__fits").select("asset", "start_ms", "end_ms", "condition_id", up.alias("up_token"), down.alias("down_token"), version.alias("rule_version")), marked.where("not __fits").drop("__fits")
