@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from augury.llm.common import with_results
 
-_KEEP = 400_000
+_KEEP = 200_000
 #: Unicode's White_Space, which regex engines disagree on: fixed values.
 _SPACE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
@@ -65,11 +65,10 @@ class Encoder:
         merges = [(word(t[:k]), word(t[k:])) for t in tokens for k in range(1, len(t)) if t[:k] in ids and t[k:] in ids]
         self._model = Tokenizer(BPE(vocab={word(t): i for t, i in ids.items()}, merges=merges))
         self._split = splitter(pattern).findall
-        self._known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str], known: dict[str, bytes]) -> list[np.ndarray]:
+        """Ids of each text; known keeps the ids of pieces between calls and is emptied when it holds too many."""
         split = [self._split(t) for t in texts]
-        known = self._known
         new = list({p for pieces in split for p in pieces if p not in known})
         if len(known) + len(new) > _KEEP and known:
             known.clear()
@@ -112,11 +111,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_of
     """Columns row, ids array<int> and, if asked for, starts and ends array<int> (characters)."""
 
     def start():
+        known: dict[str, bytes] = {}  # of this task: a worker that is idle holds the model only
         encoder, lengths = _encoder(_place(path), pattern), np.array([len(t) for t in token_bytes(_place(path))], np.int64)
 
         def run(row: pa.StructArray) -> list:
             texts = [t or "" for t in row.field(text).to_pylist()]
-            ids = [x for s in _chunks(len(texts)) for x in encoder.encode(texts[s])]
+            ids = [x for s in _chunks(len(texts)) for x in encoder.encode(texts[s], known)]
             if not with_offsets:
                 return [_lists(ids)]
             spans = [offsets(t, i, lengths) for t, i in zip(texts, ids)]

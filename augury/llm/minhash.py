@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from augury.llm.common import components, ranked, remove, written
+from augury.llm.common import components, ranked, remove, small_batches, written
 
 SHINGLE, SIMILARITY = 5, 0.75
 BANDS, ROWS, BATCH = 32, 4, 16
@@ -29,7 +29,7 @@ MISS = 1e-6
 _STEP = 2048
 #: Most sets, and most shingles about, of a block of nodes that are compared with each other.
 _BLOCK, _BLOCK_ITEMS = 256, 1 << 21
-_KEEP = 1_000_000
+_KEEP = 300_000
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -107,7 +107,7 @@ def _signed(texts: DataFrame, size: int, n_perms: int) -> DataFrame:
                 sigs.append(signature(s, perms).tobytes() if len(s) else None)
             yield _table(out, batch.column("doc_id"), batch.column("text_hash"), sizes, keys, sigs)
 
-    return texts.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n_shingles long, key binary, sig binary")
+    return small_batches(texts).select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n_shingles long, key binary, sig binary")
 
 
 def _banded(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
