@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that are boilerplate of their source."""
-    found = lines.without_boilerplate(docs, F.col("source"))
+    found = lines.without_boilerplate(docs, F.col("source"), ratio=lines.SOURCE_RATIO)
     new = {"text": F.col("clean"), "n_chars": F.when(F.col("n_dropped") > 0, F.char_length("clean").cast("long")).otherwise(F.col("row.n_chars"))}
     return found.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 

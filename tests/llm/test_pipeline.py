@@ -91,3 +91,11 @@ def test_stages_take_empty_tables_and_keep_columns(spark, inputs):
         assert out.count() == 0, name
         if name != "tokens":
             assert out.columns == docs.columns
+
+
+def test_line_dedup_drops_lines_of_a_small_share_of_a_source(spark, inputs):
+    folder, _ = inputs
+    rows = [(i, f"own text {i}" + ("\nPlanted footer" if i % 40 == 0 else "") + ("\nQuoted twice" if i in (1, 2) else ""), "en", "s", 0) for i in range(400)]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, DOCS), folder).collect()}
+    assert not any("Planted footer" in t for t in got.values())  # 10 of 400 texts
+    assert "Quoted twice" in got[1] and all(got[i].startswith(f"own text {i}") for i in range(400))
