@@ -161,6 +161,24 @@ def test_simhash_votes_and_radius(spark):
     assert found == {frozenset((p, q)) for p in prints for q in prints if p != q and (p ^ q).bit_count() <= 3}
 
 
+def test_simhash_links_near_copies_at_any_radius(spark):
+    rng = np.random.default_rng(5)
+    prints = []
+    for _ in range(30):
+        x = int.from_bytes(rng.bytes(16), "big")
+        prints += [x, *(x ^ sum(1 << int(b) for b in rng.choice(128, k, False)) for k in (1, 2, 5, 8, 12, 17, 20, 21, 24))]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    frame = spark.createDataFrame([(signed(p & (1 << 64) - 1), signed(p >> 64)) for p in prints], "f0 long, f1 long")
+    for radius in (0, 2, 8, 11, 16, 20):
+        rows = [((r["f1"] % (1 << 64)) << 64 | r["f0"] % (1 << 64), (r["g1"] % (1 << 64)) << 64 | r["g0"] % (1 << 64)) for r in simhash.within_radius(frame, radius).collect()]
+        assert len(rows) == len({frozenset(r) for r in rows})
+        assert {frozenset(r) for r in rows} == {frozenset((p, q)) for p in prints for q in prints if p != q and (p ^ q).bit_count() <= radius}
+    words = [f"w{i}" for i in rng.integers(0, 300, 120)]
+    near = [*words[:60], "changed", *words[61:]]
+    table = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, prose(rng, 120))], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_links"] for r in simhash.likeness(table).collect()} == {1: 1, 2: 1, 3: 0}
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     import public_tokenizers
