@@ -202,12 +202,24 @@ def identity_classes(spark, sf_dir):
     return m.groupBy(label.alias("label")).agg(F.count("*").alias("markets"), F.min("market_id").alias("first"))
 
 
-def ownership_conflicts(spark, sf_dir):
-    """Tokens that more than one condition claims, from order lines as claims."""
-    claims = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_partkey").alias("token"), F.floor(F.col("l_orderkey") / 50).alias("condition")).where("token % 40 = 7")
+def _line_claims(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_partkey").alias("token"), F.floor(F.col("l_orderkey") / 50).alias("condition"))
+
+
+def _conflicts(claims):
     return claims.groupBy("token").agg(F.count_distinct("condition").alias("conditions"), F.min("condition").alias("lowest"), F.count("*").alias("claims")).where("conditions > 1")
 
 
+def ownership_conflicts(spark, sf_dir):
+    """Tokens that more than one condition claims, from order lines as claims; one token in 40, as its SQL says."""
+    return _conflicts(_line_claims(spark, sf_dir).where("token % 40 = 7"))
+
+
+def ownership_conflicts_all(spark, sf_dir):
+    """Tokens that more than one condition claims, of all tokens."""
+    return _conflicts(_line_claims(spark, sf_dir))
+
+
 def shard_plan(spark, sf_dir):
     """Markets packed in the order of their hash into shards of bounded size; the order is cut by hash range, so that
     no task sorts all markets."""
@@ -225,7 +237,7 @@ QUERIES = {
     "token_lanes": lane_reasons, "lane_counters": lane_counters, "market_pairs": pair_coverage, "catalog_membership": id_membership, "soak_windows": soak, "contiguous_prefix": ranges_prefix,
     "price_rejects": price_rejects, "price_window": recent_prices, "price_rounds": price_rounds, "price_asof": price_asof, "exact_quantiles": latency_quantiles, "histogram_quantiles": latency_histogram,
     "adjudication_readiness": adjudications, "market_bridge": bridged, "combo_payout": combos, "payload_reuse": payload_reuse, "identity_classes": identity_classes,
-    "ownership_conflicts": ownership_conflicts, "shard_plan": shard_plan,
+    "ownership_conflicts": ownership_conflicts, "ownership_conflicts_all": ownership_conflicts_all, "shard_plan": shard_plan,
 }
 
 _BOOK = fx.cte(ev=fx.book_events) + """
@@ -340,5 +352,6 @@ ORACLE_SQL = {
     "payload_reuse": "WITH e AS (SELECT source, text, count(*) AS n, max(strlen(text)) AS b FROM documents GROUP BY ALL) SELECT source, sum(n)::BIGINT AS occurrences, count(*) AS payloads, sum(n * b)::BIGINT AS raw_bytes, sum(b)::BIGINT AS unique_bytes, sum((n - 1) * b)::BIGINT AS saved_bytes FROM e GROUP BY source",
     "identity_classes": fx.cte(m=fx.markets) + "SELECT CASE WHEN slug LIKE 'ghost-market-%' OR lower(category) IN ('ghost', '[ghost]') THEN 'ghost' WHEN identity_kind = 'legacy_placeholder' THEN 'placeholder' WHEN identity_kind = 'invalid_shell' THEN 'shell' WHEN identity_kind = 'official_combo' THEN 'combo' ELSE 'standard' END AS label, count(*) AS markets, min(market_id) AS first FROM m GROUP BY 1",
     "ownership_conflicts": "SELECT l_partkey AS token, count(DISTINCT l_orderkey // 50) AS conditions, min(l_orderkey // 50) AS lowest, count(*) AS claims FROM lineitem WHERE l_partkey % 40 = 7 GROUP BY 1 HAVING conditions > 1",
+    "ownership_conflicts_all": "SELECT l_partkey AS token, count(DISTINCT l_orderkey // 50) AS conditions, min(l_orderkey // 50) AS lowest, count(*) AS claims FROM lineitem GROUP BY 1 HAVING conditions > 1",
     "shard_plan": fx.cte(m=fx.markets) + "SELECT market_id, (row_number() OVER (ORDER BY sha256(market_id::VARCHAR)) - 1) // 16 AS shard FROM m",
 }

@@ -19,10 +19,10 @@ def rejects(spark, sf_dir):
     return registry.normalize_markets(fx.frame(spark, sf_dir, fx.pages))[1]
 
 
-def _claims(spark, sf_dir):
+def _claims(spark, sf_dir, claiming="l_orderkey % 9 = 4", owning="l_orderkey % 9 = 5"):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    claims = lines.where("l_orderkey % 9 = 4").select(F.floor(F.col("l_orderkey") / 400).alias("condition_id"), (F.col("l_partkey") * 50 + F.col("l_suppkey")).alias("token")).distinct()
-    owned = lines.where("l_orderkey % 9 = 5").select(F.floor(F.col("l_orderkey") / 400).alias("condition_id"), (F.col("l_partkey") * 50 + F.col("l_suppkey")).alias("token")).distinct()
+    claims = lines.where(claiming).select(F.floor(F.col("l_orderkey") / 400).alias("condition_id"), (F.col("l_partkey") * 50 + F.col("l_suppkey")).alias("token")).distinct()
+    owned = lines.where(owning).select(F.floor(F.col("l_orderkey") / 400).alias("condition_id"), (F.col("l_partkey") * 50 + F.col("l_suppkey")).alias("token")).distinct()
     return claims, owned.groupBy("token").agg(F.min("condition_id").alias("condition_id"))
 
 
@@ -34,6 +34,18 @@ def blocked(spark, sf_dir):
     return registry.filter_claims(*_claims(spark, sf_dir))[1]
 
 
+#: Every order is either a claim or an owner.
+_ALL = ("l_orderkey % 9 < 8", "l_orderkey % 9 = 8")
+
+
+def accepted_all(spark, sf_dir):
+    return registry.filter_claims(*_claims(spark, sf_dir, *_ALL))[0]
+
+
+def blocked_all(spark, sf_dir):
+    return registry.filter_claims(*_claims(spark, sf_dir, *_ALL))[1]
+
+
 def ledger(spark, sf_dir):
     """Ledger of rejected catalogue rows after a second scan that saw only some of them."""
     bad = rejects(spark, sf_dir).select(F.col("id").cast("string").alias("failure_key"), "reason")
@@ -93,7 +105,7 @@ def streamed_fills(spark, sf_dir):
 
 
 QUERIES = {
-    "market_normalized": normalized, "market_rejects": rejects, "claims_accepted": accepted, "claims_blocked": blocked, "failure_ledger": ledger, "catalog_state": catalog_state, "catalog_changes": catalog_changes,
+    "market_normalized": normalized, "market_rejects": rejects, "claims_accepted": accepted, "claims_blocked": blocked, "claims_accepted_all": accepted_all, "claims_blocked_all": blocked_all, "failure_ledger": ledger, "catalog_state": catalog_state, "catalog_changes": catalog_changes,
     "probe_health": probes, "stream_rounds": streamed_rounds, "stream_dedupe": streamed_keys, "stream_tape": streamed_tape, "stream_fills": streamed_fills,
 }
 
@@ -120,6 +132,7 @@ _CLAIMS = """
         FROM c LEFT JOIN o ON o.token = c.token GROUP BY 1
     )
 """
+_CLAIMS_ALL = _CLAIMS.replace("l_orderkey % 9 = 4", "l_orderkey % 9 < 8").replace("l_orderkey % 9 = 5", "l_orderkey % 9 = 8")
 _CATALOG = """
     WITH e AS (
         SELECT user_id * 20 + event_id % 20 AS id, event_id AS seq, CASE event_type WHEN 'view' THEN 'ELIGIBLE' WHEN 'click' THEN 'QUARANTINED' WHEN 'error' THEN 'EXCLUDED_SCOPE' WHEN 'signup' THEN 'PENDING_VALIDATION'
@@ -136,6 +149,8 @@ ORACLE_SQL = {
     "market_rejects": _PAGES + "SELECT id, reason FROM k WHERE reason IS NOT NULL",
     "claims_accepted": _CLAIMS + "SELECT condition_id FROM r WHERE NOT taken AND NOT twice",
     "claims_blocked": _CLAIMS + "SELECT condition_id, CASE WHEN taken THEN 'token belongs to another condition' ELSE 'token claimed twice in batch' END AS reason FROM r WHERE taken OR twice",
+    "claims_accepted_all": _CLAIMS_ALL + "SELECT condition_id FROM r WHERE NOT taken AND NOT twice",
+    "claims_blocked_all": _CLAIMS_ALL + "SELECT condition_id, CASE WHEN taken THEN 'token belongs to another condition' ELSE 'token claimed twice in batch' END AS reason FROM r WHERE taken OR twice",
     "failure_ledger": _PAGES + """
         , x AS (SELECT id, reason, id % 5 <> 1 AS a, id % 2 = 0 AS b FROM k WHERE reason IS NOT NULL)
         SELECT id::VARCHAR AS failure_key, reason, a::BIGINT + b::BIGINT AS occurrences, CASE WHEN a THEN 1 ELSE 2 END AS first_seen, CASE WHEN b THEN 2 ELSE 1 END AS last_seen, CASE WHEN a AND id % 3 = 0 THEN 'closed' ELSE 'open' END AS status FROM x WHERE a OR b""",
