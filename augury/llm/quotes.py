@@ -2,9 +2,11 @@
 
 Leading `>` marks give each line's quote level. Runs of lines of one level are passages; a quoted passage is normalised
 (marks off, lower case, single blanks), hashed and joined to the messages of the same conversation that said it: each
-original contributes the hash of its whole unquoted text, of each of its passages and of each line. A message answers
-the latest earlier message that one of its quotes was found in; of several quotes the least nested, then the first,
-counts. Following the answers
+original contributes the hash of its whole unquoted text, of each of its passages, of their paragraphs (parts between
+blank lines) and of each line. A quote is looked up whole, by its paragraphs and by its lines, each of them in the latest
+earlier message that has it. A message answers the message that one of its quotes was found in; of several quotes the
+least nested, then the first, counts; its whole goes before its parts, and of these the message with the most text of
+parts, then the latest, counts. Following the answers
 up gives the thread and depth; messages are ordered by thread, depth and turn, and their text is left without quotes.
 
 A null text is an empty message. A null conv_id is a conversation of its own; a null turn sorts first and cannot be
@@ -14,12 +16,13 @@ passages are never linked. Extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from augury.llm.common import ranked, remove, written
 
 _MARKS = r"^((?:[ \t]*>)+)"
+_BLANK = r"\n\s*\n"
 
 
 def normal(text: Column) -> Column:
@@ -50,24 +53,49 @@ def _hash(text: Column) -> Column:
     return F.xxhash64(normal(text))
 
 
+def _parts(text: Column, by: str) -> Column:
+    """Parts of a text that are not blank; none if it is not divided."""
+    parts = F.split(text, by)
+    return F.when(F.size(parts) > 1, F.filter(parts, lambda x: normal(x) != "")).otherwise(F.array().cast("array<string>"))
+
+
+def _pieces(text: Column) -> Column:
+    """Array of struct(part, size, hash): the whole, and the paragraphs and lines that it is divided into."""
+    piece = lambda part: lambda x: F.struct(F.lit(part).alias("part"), F.length(normal(x)).alias("size"), _hash(x).alias("hash"))
+    return F.concat(F.array(piece(False)(text)), F.transform(F.concat(_parts(text, _BLANK), _parts(text, "\n")), piece(True)))
+
+
+def _latest(asked: DataFrame, there: DataFrame) -> DataFrame:
+    """Rows of asked (conv_id, hash, turn and others) with parent, the latest turn of there (conv_id, parent,
+    hash) before theirs; linear in both, however often a passage is repeated."""
+    wanted = asked.select(F.col("conv_id").alias("c"), F.col("hash").alias("h")).distinct()
+    there = there.join(wanted, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("hash") == F.col("h")), "left_semi")
+    said = there.select("conv_id", "hash", F.col("parent").alias("turn"), "parent")
+    before = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    both = asked.unionByName(said, allowMissingColumns=True).withColumn("parent", F.last("parent", ignorenulls=True).over(before))
+    return both.where("id is not null and parent is not null")
+
+
 def linked(messages: DataFrame) -> DataFrame:
     """Rows (conv_id, turn, id, clean, n_quotes, level, parent): parent is the turn that the message answers."""
     rows = parsed(messages.select("conv_id", "turn", "role", "text"))
     own = F.filter("passages", lambda p: p["level"] == 0)
     clean = F.btrim(F.array_join(F.transform(own, lambda p: p["text"]), "\n"), F.lit(" \t\r\n"))
     quotes = F.filter("passages", lambda p: (p["level"] > 0) & (normal(p["text"]) != ""))
-    said = F.array_distinct(F.concat(F.array(_hash(clean)), F.transform(own, lambda p: _hash(p["text"])), F.transform(F.filter("lines", lambda x: (x["level"] == 0) & (normal(x["text"]) != "")), lambda x: _hash(x["text"]))))
+    paragraphs = F.transform(F.flatten(F.transform(own, lambda p: _parts(p["text"], _BLANK))), _hash)
+    said = F.array_distinct(F.concat(F.array(_hash(clean)), F.transform(own, lambda p: _hash(p["text"])), paragraphs, F.transform(F.filter("lines", lambda x: (x["level"] == 0) & (normal(x["text"]) != "")), lambda x: _hash(x["text"]))))
     rows = ranked(rows.select(
         "conv_id", "turn", "role", clean.alias("clean"),
-        F.transform(quotes, lambda p: F.struct(p["level"].alias("level"), _hash(p["text"]).alias("hash"))).alias("quotes"),
+        F.transform(quotes, lambda p: F.struct(p["level"].alias("level"), _pieces(p["text"]).alias("pieces"))).alias("quotes"),
         said.alias("said"), F.xxhash64("text").alias("text_hash"),
     ), ["conv_id", "turn", "role", "text_hash"], "id")
     rows = written(rows, "messages")
-    asked = rows.where(F.size("quotes") > 0).select("conv_id", "id", F.col("turn").alias("at"), F.posexplode("quotes").alias("nth", "q")).select("conv_id", "id", "at", "nth", F.col("q.level").alias("level"), F.col("q.hash").alias("hash"))
+    asked = rows.where((F.size("quotes") > 0) & F.col("turn").isNotNull()).select("conv_id", "id", "turn", F.posexplode("quotes").alias("nth", "q"))
+    asked = asked.select("conv_id", "id", "turn", "nth", F.col("q.level").alias("level"), F.explode("q.pieces").alias("p")).select("conv_id", "id", "turn", "nth", "level", "p.part", "p.size", "p.hash")
     # Only messages of conversations that quote at all can be originals; repeated passages are one row per turn.
-    there = rows.where("turn is not null").select(F.col("conv_id").alias("conv_id_"), F.col("turn").alias("parent"), F.explode("said").alias("hash_")).distinct()
-    found = asked.join(there, F.col("conv_id").eqNullSafe(F.col("conv_id_")) & (F.col("hash") == F.col("hash_")) & (F.col("parent") < F.col("at")))
-    best = found.groupBy("id").agg(F.min_by("parent", F.struct("level", "nth", -F.col("parent"))).alias("parent"))
+    there = rows.where("turn is not null").select("conv_id", F.col("turn").alias("parent"), F.explode("said").alias("hash")).distinct()
+    votes = _latest(asked, there).groupBy("id", "level", "nth", "part", "parent").agg(F.sum("size").alias("n"))
+    best = votes.groupBy("id").agg(F.min_by("parent", F.struct("level", "nth", "part", -F.col("n"), -F.col("parent"))).alias("parent"))
     level = F.coalesce(F.array_max(F.transform("quotes", lambda q: q["level"])), F.lit(0))
     return rows.join(best, "id", "left").select("conv_id", "turn", "role", "id", "clean", F.size("quotes").cast("long").alias("n_quotes"), level.cast("long").alias("level"), "parent")
 

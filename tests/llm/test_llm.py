@@ -119,6 +119,22 @@ def test_quotes(spark):
     assert quotes.conversations(table.limit(0)).count() == 0
 
 
+def test_quotes_of_parts(spark):
+    original = "One first line\nand its second.\n\nTwo begins here\nand goes on\nto its end.\n\nThree."
+    rows = [
+        (1, 0, original), (1, 1, "Something else."),
+        (1, 2, "> Two begins here\n> and goes on\n> to its end.\nOne paragraph."),
+        (1, 3, "> and goes on\n> to its end.\nTwo of three lines."),
+        (1, 4, "> One first line\n> and its second.\n\n> Three.\nA blank line without a mark."),
+        (1, 5, "> Two begins\n> here and goes on to\n> its end.\nWrapped anew."),
+        (1, 6, "Three."), (1, 7, "> Three.\nThe latest."), (1, 8, "> goes\nNo part."), (1, 9, "> Two begins here\n> and goes on\n>\n> Three.\nMost parts."),
+        (2, 5, "Three."), (2, 5, "> Three.\nNot of its own turn."),
+    ]
+    table = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {r["text"].split("\n")[-1]: r["parent"] for r in quotes.conversations(table).collect() if r["n_quotes"]}
+    assert got == {"One paragraph.": 0, "Two of three lines.": 0, "A blank line without a mark.": 0, "Wrapped anew.": 0, "The latest.": 6, "No part.": None, "Most parts.": 0, "Not of its own turn.": None}
+
+
 def test_simhash(spark, corpus):
     table = docs(spark, corpus)
     got = simhash.likeness(table).collect()
