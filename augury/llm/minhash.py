@@ -287,8 +287,9 @@ def _across(star: DataFrame, first: DataFrame, nodes: DataFrame, docs: DataFrame
     return members.groupBy(*keys).applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, miss: float = MISS) -> DataFrame:
-    """One row per row of docs (doc_id long, text string): doc_id, n_shingles, component_id, kept, text_hash.
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, miss: float = MISS, roots: bool = False) -> DataFrame:
+    """One row per row of docs (doc_id long, text string): doc_id, n_shingles, component_id, kept, text_hash; with roots
+    also root, which names the component even if none of its ids is set (null: a text without words, its own component).
 
     Texts with equal sets are one node from the start, so copies never form pairs. In each band bucket every node is
     first held against the bucket's least node, its lead: that is linear in the bucket and joins most groups. Nodes
@@ -316,9 +317,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     named = nodes.select("key", "node", "rep").join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # In each component the least id; a node without links is its own.
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_key = written(named.join(least, "root").select("key", "component_id"), "named")
+    by_key = written(named.join(least, "root").select("key", "component_id", *["root"] * roots), "named")
     for table in (star, likely, links, first, links2, final, nodes):
         remove(table)
     out = signed.select("doc_id", "n_shingles", "key", "text_hash").join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash", *["root"] * roots)

@@ -2,7 +2,7 @@
 
 Each stage takes the documents that the stage before kept and returns documents with the same columns; the last one
 returns their tokens. Nulls, empty texts, ties, repeated rows and extra columns are handled as the operators say:
-null and empty texts are rejected by the quality stage; rows that repeat an id and text stay or go together.
+null and empty texts are rejected by the quality stage; of rows that repeat an id and text near-dedup keeps one.
 """
 
 from __future__ import annotations
@@ -29,10 +29,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the least id."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    """One row of each group of near duplicates: that with the least id, then text hash, then any of equal rows.
+
+    Null ids come last. Only rows that repeat an id and text are grouped with their texts, partially before the shuffle.
+    """
+    found = near_duplicates(docs, roots=True)
+    each = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    alone = F.when(F.col("root").isNull(), F.struct("doc_id", "text_hash"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("n").alias("__n")))
+    kept = written(each.groupBy("root", alone.alias("alone")).agg(first.alias("x")).select("x.__id", "x.__hash", "x.__n"), "kept")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(kept, same, "left_semi")
+    once = docs.join(kept.where("__n = 1"), same, "left_semi")
+    repeated = docs.join(kept.where("__n > 1"), same, "left_semi")
+    row = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+    return once.unionByName(repeated.groupBy("doc_id", F.xxhash64("text").alias("__hash")).agg(row).select("row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,3 +99,19 @@ def test_line_dedup_drops_lines_of_a_small_share_of_a_source(spark, inputs):
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, DOCS), folder).collect()}
     assert not any("Planted footer" in t for t in got.values())  # 10 of 400 texts
     assert "Quoted twice" in got[1] and all(got[i].startswith(f"own text {i}") for i in range(400))
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark, inputs):
+    folder, _ = inputs
+    words = [f"w{i}" for i in range(120)]
+    text, near = " ".join(words), " ".join([*words[:60], "changed", *words[61:]])
+    other = " ".join(reversed(words))
+    far = " ".join(words[::2])
+    rows = [(1, text, "en", "a")] * 5 + [(1, near, "en", "a"), (2, text, "en", "a"), (None, text, "en", "a")]  # one group
+    rows += [(None, other, "en", "b")] * 3 + [(None, far, "en", "c")] * 2 + [(7, " ", "en", "d")] * 2 + [(8, " ", "en", "d"), (9, "alone", "en", "d")]
+    table = spark.createDataFrame([(*r, 0) for r in rows], DOCS)
+    got = corpus_pipeline.near_dedup(spark, table, folder)
+    assert got.columns == table.columns
+    got = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert len(got) == 6 and {x for i, x in got if i == 1} <= {text, near}
+    assert sorted(map(str, got)) == sorted(map(str, [next(g for g in got if g[0] == 1), (None, other), (None, far), (7, " "), (8, " "), (9, "alone")]))
