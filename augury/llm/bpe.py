@@ -2,27 +2,39 @@
 
 Each match of the split pattern is encoded by itself and without special tokens. The model is built from the ranks
 file: bytes are mapped to printable characters, and any two adjacent parts whose join is in the vocabulary may merge,
-lowest rank first. Distinct pieces of a batch are encoded once; a task remembers a bounded number of them.
+lowest rank first. Distinct parts of a batch are encoded once; a task remembers a bounded number of them. Decoding takes
+the vocabulary's strings back to bytes by the reversed table; a character whose bytes lie in several tokens is whole
+again once they are joined.
 
-Null text is empty text: no ids, empty bytes. Row order, repeated rows, null ids and extra columns do not matter:
-every row is encoded by itself and kept as it is in the struct column `row`.
+Null text is empty text: no ids, empty bytes. Row order, ties, repeated rows, null ids and extra columns do not matter:
+every row is encoded by itself and kept as it is in the struct column `row`. A very long text is one row of ids, held by
+one task; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import array
 import base64
 import os
+import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 from augury.llm.common import with_results
 
-_KEEP = 200_000
+#: Parts and pieces of parts that a task remembers, of late and from before, each, and the longest in characters.
+_KEEP, _LONG = 150_000, 60
+#: A single blank between two characters that are none. No match of a split pattern goes on from other characters into
+#: white space, so every match lies between two such places. White space is taken widely here, which only splits less.
+_BLANK = re.compile(r" (?<!\s )(?!\s)")
+_FIRST = "\n"  # marks the first part of a text, before which there is no blank; other parts never begin with it
 #: Unicode's White_Space, which regex engines disagree on: fixed values.
 _SPACE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
@@ -49,6 +61,28 @@ def token_bytes(path: str) -> tuple[bytes, ...]:
     return tuple(ranks.get(i, b"") for i in range(max(ranks) + 1))
 
 
+class Recent:
+    """Values of keys that were met of late, and of those before; the latter go when the former are too many."""
+
+    def __init__(self):
+        self.late: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def unknown(self, keys: set[str]) -> list[str]:
+        """The keys without a value; late has those of all others."""
+        new = keys.difference(self.late)
+        again = new.intersection(self._before)
+        self.late.update((k, self._before[k]) for k in again)
+        return list(new - again)
+
+    def settle(self, new: list[str]) -> None:
+        for k in new:
+            if len(k) > _LONG:
+                del self.late[k]
+        if len(self.late) > _KEEP:
+            self.late, self._before = {}, self.late
+
+
 class Encoder:
     """Ids of pieces of text."""
 
@@ -66,18 +100,35 @@ class Encoder:
         self._model = Tokenizer(BPE(vocab={word(t): i for t, i in ids.items()}, merges=merges))
         self._split = splitter(pattern).findall
 
-    def encode(self, texts: list[str], known: dict[str, bytes]) -> list[np.ndarray]:
-        """Ids of each text; known keeps the ids of pieces between calls and is emptied when it holds too many."""
-        split = [self._split(t) for t in texts]
-        new = list({p for pieces in split for p in pieces if p not in known})
-        if len(known) + len(new) > _KEEP and known:
-            known.clear()
-            new = list({p for pieces in split for p in pieces})
+    def _ids(self, parts: list[str], pieces: Recent) -> list[bytes]:
+        """Ids of each part, given as it stands in the text."""
+        split = list(map(self._split, parts))
+        new = pieces.unknown(set(chain.from_iterable(split)))
         mapped = [p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._mapped) for p in new]
         for at in range(0, len(new), 10_000):
-            for p, e in zip(new[at : at + 10_000], self._model.encode_batch_fast(mapped[at : at + 10_000], add_special_tokens=False)):
-                known[p] = np.array(e.ids, np.int32).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, pieces)), np.int32) for pieces in split]
+            found = self._model.encode_batch_fast(mapped[at : at + 10_000], add_special_tokens=False)
+            pieces.late.update((p, array.array("i", e.ids).tobytes()) for p, e in zip(new[at : at + 10_000], found))
+        out = [b"".join(map(pieces.late.__getitem__, s)) for s in split]
+        pieces.settle(new)
+        return out
+
+    def encode(self, texts: list[str], known: tuple[Recent, Recent]) -> list[np.ndarray]:
+        """Ids of each text; known keeps the ids of parts and of pieces between calls."""
+        split = [_BLANK.split(t) for t in texts]
+        for parts in split:
+            parts[0] = _FIRST + parts[0]
+        whole, pieces = known
+        new = whole.unknown(set(chain.from_iterable(split)))
+        whole.late.update(zip(new, self._ids([p[1:] if p.startswith(_FIRST) else " " + p for p in new], pieces)))
+        out = [np.frombuffer(b"".join(map(whole.late.__getitem__, parts)), np.int32) for parts in split]
+        whole.settle(new)
+        return out
+
+    def token_bytes(self) -> list[bytes]:
+        """Bytes of each id: the characters of the vocabulary's string, each taken back to its byte."""
+        back = {c: b for b, c in self._mapped.items()}
+        strings = {i: t for t, i in self._model.get_vocab(with_added_tokens=False).items()}
+        return [bytes(map(back.__getitem__, strings.get(i, ""))) for i in range(max(strings, default=-1) + 1)]
 
 
 @lru_cache(1)
@@ -85,6 +136,11 @@ def _encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+@lru_cache(1)
+def _decoder(path: str, pattern: str) -> list[bytes]:
+    return _encoder(path, pattern).token_bytes()
+
+
 def offsets(text: str, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Characters that each token covers, end exclusive; tokens that share a split character all cover it."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -107,11 +163,12 @@ def _place(path: str) -> str:
     return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_offsets: bool = False) -> DataFrame:
-    """Columns row, ids array<int> and, if asked for, starts and ends array<int> (characters)."""
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_offsets: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Columns row, ids array<int> and, if asked for, starts and ends array<int> (characters). row has the columns
+    named in keep, all if that is not given."""
 
     def start():
-        known: dict[str, bytes] = {}  # of this task: a worker that is idle holds the model only
+        known = Recent(), Recent()  # of this task: a worker that is idle holds the model only
         encoder, lengths = _encoder(_place(path), pattern), np.array([len(t) for t in token_bytes(_place(path))], np.int64)
 
         def run(row: pa.StructArray) -> list:
@@ -124,30 +181,34 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_of
 
         return run
 
-    return with_results(docs, start, pa.schema([(c, pa.list_(pa.int32())) for c in ("ids", "starts", "ends")[: 3 if with_offsets else 1]]))
+    return with_results(docs, start, pa.schema([(c, pa.list_(pa.int32())) for c in ("ids", "starts", "ends")[: 3 if with_offsets else 1]]), keep)
+
+
+def joined(lists: pa.ListArray, table: pa.Array) -> pa.LargeBinaryArray:
+    """Bytes of each list of ids; the table's last entry stands for ids that it lacks."""
+    at = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+    at = np.where((at < 0) | (at >= len(table)), len(table) - 1, at)
+    found = table.take(pa.array(at))
+    ends = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1] if len(found) else np.zeros(1, np.int64)
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    edges = ends[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(edges.tobytes()), found.buffers()[2]])
 
 
-def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """Columns row, bytes binary and decoded string; bytes that are no whole character show as U+FFFD in the string.
+def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", with_text: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Columns row, bytes binary and, if asked for, decoded string, in which bytes that are no whole character show as
+    U+FFFD.
 
     A null list is empty; an id that the vocabulary lacks, or null, has no bytes.
     """
 
     def start():
-        table = list(token_bytes(_place(path)))
-        n = len(table)
+        table = pa.array([*_decoder(_place(path), pattern), b""], pa.large_binary())  # the last for what has no bytes
 
         def run(row: pa.StructArray) -> list:
-            lists = row.field(ids)
-            raw = []
-            for x in lists:
-                found = x.values.to_pylist() if x.is_valid else []
-                try:
-                    raw.append(b"".join(map(table.__getitem__, found)))
-                except (IndexError, TypeError):
-                    raw.append(b"".join(table[i] for i in found if i is not None and 0 <= i < n))
-            return [raw, [r.decode("utf-8", "replace") for r in raw]]
+            raw = joined(row.field(ids), table)
+            return [raw.cast(pa.binary()), *([[r.decode("utf-8", "replace") for r in raw.to_pylist()]] if with_text else [])]
 
         return run
 
-    return with_results(encoded, start, pa.schema([("bytes", pa.binary()), ("decoded", pa.string())]))
+    return with_results(encoded, start, pa.schema([("bytes", pa.binary()), ("decoded", pa.string())][: 2 if with_text else 1]), keep)

@@ -108,21 +108,23 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def with_results(df: DataFrame, start: Callable, fields: pa.Schema) -> DataFrame:
+def with_results(df: DataFrame, start: Callable, fields: pa.Schema, keep: list[str] | None = None) -> DataFrame:
     """Apply Python to Arrow batches of df and keep the input beside the result.
 
     start() is called once in each task and returns a function from a batch's rows (pa.StructArray) to the columns
-    named in fields. The result has the whole input row in the struct column `row`, untouched, so that input columns
-    may have any names and types.
+    named in fields. The result has the input row in the struct column `row`, untouched, so that input columns may have
+    any names and types; with keep only these columns of it.
     """
     packed = small_batches(df).select(F.struct("*").alias("row"))
-    schema = StructType(packed.schema.fields + from_arrow_schema(fields).fields)
+    kept = packed if keep is None else df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
+    schema = StructType(kept.schema.fields + from_arrow_schema(fields).fields)
     names, kinds = schema.names, fields.types
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = start()
         for batch in found:
             row = batch.column(0)
-            yield pa.RecordBatch.from_arrays([row, *(pa.array(c, t) for c, t in zip(run(row), kinds))], names)
+            back = row if keep is None else pa.StructArray.from_arrays([row.field(c) for c in keep], keep)
+            yield pa.RecordBatch.from_arrays([back, *(pa.array(c, t) for c, t in zip(run(row), kinds))], names)
 
     return packed.mapInArrow(batches, schema)

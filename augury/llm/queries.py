@@ -27,9 +27,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.likeness(table(spark, sf_dir, "documents"))
 
 
-def digests(encoded: DataFrame, path: str, *more: str) -> DataFrame:
-    """Digest columns of encoded documents (doc_id, ids), and more of their columns."""
-    return bpe.decode(encoded, path).select(
+def digests(encoded: DataFrame, path: str, pattern: str, *more: str) -> DataFrame:
+    """Digest columns of encoded documents (doc_id, ids and more columns that are passed on)."""
+    keep = list(dict.fromkeys(["doc_id", "ids", *more]))
+    return bpe.decode(encoded.select(*keep), path, pattern).select(
         "row.doc_id",
         *[f"row.{c}" for c in more],
         F.size("row.ids").cast("long").alias("n_tokens"),
@@ -39,11 +40,15 @@ def digests(encoded: DataFrame, path: str, *more: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_split: tokens that end within a character, which the next one shares."""
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    return digests(encoded.select("row.doc_id", "ids"), path)
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, path, pattern, with_offsets=True, keep=["doc_id"])
+    following = F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0)))
+    shared = F.size(F.filter(F.arrays_zip("ends", following.alias("next")), lambda x: x["next"] < x["ends"])).cast("long")
+    return digests(encoded.select("row.doc_id", "ids", shared.alias("n_split")), path, pattern, "n_split")
 
 
 def op5_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,9 +55,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the bytes that they decode to."""
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    return queries.digests(encoded.select("row.doc_id", "ids"), path, "ids")
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(docs.select("doc_id", "text"), path, pattern, keep=["doc_id"])
+    return queries.digests(encoded.select("row.doc_id", "ids"), path, pattern, "ids")
 
 
 STAGES = [

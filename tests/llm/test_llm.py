@@ -221,10 +221,32 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, corpus, vocabulary):
             piece = other.decode_single_token_bytes(i)
             assert piece in text[a:b].encode()
             assert len(text[a:b].encode()) - len(piece) < 6  # at most split characters at both ends
-    decoded = bpe.decode(encoded.select("ids", "row.text"), path).collect()
+    decoded = bpe.decode(encoded.select("ids", "row.text"), path, pattern, with_text=True).collect()
     assert all(r["bytes"] == (r["row"]["text"] or "").encode() and r["decoded"] == (r["row"]["text"] or "") for r in decoded)
-    odd = bpe.decode(spark.createDataFrame([([50_000_000, None, 0],), (None,)], "ids array<int>"), path).collect()
+    odd = bpe.decode(spark.createDataFrame([([50_000_000, None, 0],), (None,)], "ids array<int>"), path, pattern).collect()
     assert [bytes(r["bytes"]) for r in odd] == [next(t for t, i in ranks.items() if i == 0), b""]
+    assert bpe._encoder(path, pattern).token_bytes() == [next((t for t, i in ranks.items() if i == k), b"") for k in range(300)] + list(bpe.token_bytes(path)[300:])
+    emoji = next(r for r in bpe.decode(encoded.where("row.doc_id = 300").select("ids"), path, pattern, keep=["ids"]).collect())
+    alone = bpe.decode(spark.createDataFrame([([i],) for i in emoji["row"]["ids"]], "ids array<int>"), path, pattern, with_text=True).collect()
+    assert any("\ufffd" in r["decoded"] for r in alone) and b"".join(bytes(r["bytes"]) for r in alone).decode() == extra[0][1]
+    none = bpe.encode(docs(spark, []), path, pattern, keep=["doc_id"])
+    assert none.count() == 0 and bpe.decode(none.select("ids"), path, pattern).count() == 0
+
+
+def test_bpe_parts_are_cut_where_no_match_goes_on(vocabulary):
+    import tiktoken
+
+    path, pattern = vocabulary
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    other = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    rng = np.random.default_rng(12)
+    pieces = [" ", "  ", "\n", "\t ", " \n", "\x1c", "\x85", "\u3000", "a", "Ab's", "'ll", "12", "-", "é", "日本", "\u2028", "don't", "(x", "_"]
+    texts = ["".join(rng.choice(pieces, int(rng.integers(0, 40)))) for _ in range(3000)]
+    encoder, known = bpe.Encoder(path, pattern), (bpe.Recent(), bpe.Recent())
+    for at in range(0, len(texts), 500):
+        for t, ids in zip(texts[at : at + 500], encoder.encode(texts[at : at + 500], known)):
+            assert ids.tolist() == other.encode_ordinary(t), t
 
 
 def test_site_lines(spark):
