@@ -52,8 +52,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", lines.page_text(F.col("html")).alias("text"))
-    found = lines.without_boilerplate(pages, lines.page_host(F.col("url")))
+    pages = table(spark, sf_dir, "pages")
+    found = lines.without_boilerplate(pages, lines.page_host(F.col("url")), lines.page_text(F.col("html")), keep=["page_id"])
     return found.select("row.page_id", "host", "n_lines", "n_dropped", F.col("clean").alias("text"))
 
 
@@ -161,30 +161,29 @@ ORACLE_SQL: dict[str, str] = {
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
     """,
-    "op5_site_lines": rf"""
+    # Its own constants: half of the pages of a host, and the block elements.
+    "op5_site_lines": r"""
         WITH shown AS (
             SELECT page_id, lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')) AS host,
                 regexp_replace(regexp_replace(regexp_replace(html,
                     '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
-                    '(?i)</?({lines._BLOCKS})\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') AS text
+                    '(?i)</?(address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>', chr(10), 'g'),
+                    '<[^>]*>', '', 'g') AS text
             FROM pages
         ), parts AS (SELECT *, string_split(text, chr(10)) AS l, row_number() OVER () AS r FROM shown),
-        each AS (SELECT DISTINCT host, text, trim(unnest(l), ' ' || chr(9) || chr(13)) AS k FROM parts WHERE text IS NOT NULL),
-        totals AS (SELECT host, count(DISTINCT text) AS total FROM parts GROUP BY host),
-        often AS (
-            SELECT host, k FROM each JOIN totals USING (host) WHERE k <> '' GROUP BY host, k, total HAVING count(*) >= 3 AND count(*) > {lines.RATIO} * total
-        ), places AS (
-            SELECT r, host, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM parts
+        lines AS (
+            SELECT r, host, i, l[i] AS line, trim(l[i], ' ' || chr(9) || chr(13)) AS k FROM (SELECT r, host, l, unnest(range(1, len(l) + 1)) AS i FROM parts)
+        ), totals AS (SELECT host, count(*) AS total FROM parts WHERE text IS NOT NULL GROUP BY host),
+        shares AS (
+            SELECT n.host, k, n / total AS share FROM (SELECT host, k, count(DISTINCT r) AS n FROM lines WHERE k <> '' GROUP BY host, k) n
+            JOIN totals t ON t.host IS NOT DISTINCT FROM n.host
         ), marked AS (
-            SELECT r, i, line, trim(line, ' ' || chr(9) || chr(13)) AS t, o.k IS NOT NULL AS gone
-            FROM places p LEFT JOIN often o ON o.host = p.host AND o.k = trim(line, ' ' || chr(9) || chr(13))
+            SELECT r, i, line, x.k, coalesce(share > 0.5, false) AS gone FROM lines x LEFT JOIN shares s ON s.host IS NOT DISTINCT FROM x.host AND s.k = x.k
         ), summed AS (
-            SELECT r, count(*) FILTER (t <> '') AS n_lines, count(*) FILTER (gone) AS n_gone,
-                string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
+            SELECT r, count(*) FILTER (k <> '') AS n_lines, count(*) FILTER (gone) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
             FROM marked GROUP BY r
         )
-        SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, CASE WHEN n_gone = n_lines THEN 0 ELSE n_gone END AS n_dropped,
-            CASE WHEN n_gone = n_lines THEN text ELSE kept END AS text
-        FROM parts JOIN summed USING (r)
+        SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END AS text
+        FROM parts LEFT JOIN summed USING (r)
     """,
 }

@@ -22,8 +22,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that are boilerplate of their source."""
-    found = lines.without_boilerplate(docs, F.col("source"), ratio=lines.SOURCE_RATIO)
+    """Documents without the lines that are boilerplate of their source.
+
+    Equal texts count once and a document is never emptied, because copies are left to the next stage; a line must be in
+    three texts, because in a source of under a hundred documents one of them is already over the ratio.
+    """
+    found = lines.without_boilerplate(docs, F.col("source"), ratio=lines.SOURCE_RATIO, distinct=True, least_pages=3, spare=True)
     new = {"text": F.col("clean"), "n_chars": F.when(F.col("n_dropped") > 0, F.char_length("clean").cast("long")).otherwise(F.col("row.n_chars"))}
     return found.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 

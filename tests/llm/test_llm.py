@@ -249,14 +249,35 @@ def test_bpe_parts_are_cut_where_no_match_goes_on(vocabulary):
             assert ids.tolist() == other.encode_ordinary(t), t
 
 
-def test_site_lines(spark):
-    rows = [(i, f"Menu\nunique {i}\n Foot \n\nend {i % 2}", "en", "big") for i in range(10)]
-    rows += [(20, "Menu\nonly here", "en", "small"), (21, None, None, None), (22, "Menu\nFoot", "en", "big"), (23, "", "en", "big"), (0, rows[0][1], "en", "big")]
-    got = {(r["doc_id"], r["host"]): r for r in lines.without_boilerplate(docs(spark, rows), F.col("source"), ratio=0.6).select("row.doc_id", "host", "clean", "n_lines", "n_dropped").collect()}
-    assert got[3, "big"]["clean"] == "unique 3\n\nend 1" and got[3, "big"]["n_dropped"] == 2 and got[3, "big"]["n_lines"] == 4
-    assert got[20, "small"]["clean"] == "Menu\nonly here"
-    assert got[22, "big"]["clean"] == "Menu\nFoot" and got[22, "big"]["n_dropped"] == 0
-    assert got[21, None]["clean"] is None and got[23, "big"]["clean"] == ""
+def brute_lines(rows, ratio, distinct=False, least=1, spare=False):
+    """(text, lines, dropped lines) of each row (host, text), by counting whole lines in dictionaries."""
+    pages = collections.defaultdict(list)
+    for host, text in rows:
+        if text is not None and not (distinct and text in pages[host]):
+            pages[host].append(text)
+    bare = lambda x: x.strip(" \t\r")
+    counts = {h: collections.Counter(k for t in texts for k in {bare(x) for x in t.split("\n")} - {""}) for h, texts in pages.items()}
+    out = []
+    for host, text in rows:
+        all_ = [] if text is None else text.split("\n")
+        gone = lambda x: bare(x) != "" and counts[host][bare(x)] >= least and counts[host][bare(x)] > ratio * len(pages[host])
+        full, lost = sum(bare(x) != "" for x in all_), sum(map(gone, all_))
+        if spare and lost == full:
+            lost = 0
+        out.append((text if not lost else "\n".join(x for x in all_ if not gone(x)), full, lost))
+    return out
+
+
+@pytest.mark.parametrize("rules", [{"ratio": 0.5}, {"ratio": 0.25}, {"ratio": 0.6, "distinct": True, "least": 3, "spare": True}])
+def test_site_lines_equal_brute_force(spark, rules):
+    rng = np.random.default_rng(9)
+    rows = [(i, "\n".join(rng.choice(["Menu", " Menu\t", "Foot", "", "\r", f"own {i}", "again", "x y"], int(rng.integers(0, 9)))), "en", str(rng.choice(["big", "big", "big", "mid", "tiny"]))) for i in range(80)]
+    rows += [(90, None, "en", "big"), (91, "", "en", None), (92, "Menu\n" * 20_000 + "end", "en", "mid"), (93, "alone\nhere", "en", "single"), (94, "half\na", "en", "two"), (95, "half\nb", "en", "two"), (96, "half\nc", None, None), (None, "q\n\nMenu", "en", None)]
+    rows += rows[:6]
+    call = {{"least": "least_pages"}.get(k, k): v for k, v in rules.items()}
+    found = lines.without_boilerplate(docs(spark, rows), F.col("source"), **call).select("row.doc_id", "host", "clean", "n_lines", "n_dropped").collect()
+    want = [(r[0], r[3], *x) for r, x in zip(rows, brute_lines([(r[3], r[1]) for r in rows], **rules))]
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
     assert lines.without_boilerplate(docs(spark, []), F.col("source")).count() == 0
 
 
