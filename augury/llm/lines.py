@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from augury.llm.common import remove, written
 
-RATIO = 0.5
+RATIO = 0.2
 #: The ratio for whole sources of a corpus, which hold many sites: a line that one site repeats is on few of a
 #: source's texts. At 0.1 one line of sf0.1 went; see the README for what goes at other ratios.
 SOURCE_RATIO = 0.01

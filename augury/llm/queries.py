@@ -161,7 +161,7 @@ ORACLE_SQL: dict[str, str] = {
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
     """,
-    # Its own constants: half of the pages of a host, and the block elements.
+    # Its own constants: a fifth of the pages of a host, and the block elements.
     "op5_site_lines": r"""
         WITH shown AS (
             SELECT page_id, lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')) AS host,
@@ -178,7 +178,7 @@ ORACLE_SQL: dict[str, str] = {
             SELECT n.host, k, n / total AS share FROM (SELECT host, k, count(DISTINCT r) AS n FROM lines WHERE k <> '' GROUP BY host, k) n
             JOIN totals t ON t.host IS NOT DISTINCT FROM n.host
         ), marked AS (
-            SELECT r, i, line, x.k, coalesce(share > 0.5, false) AS gone FROM lines x LEFT JOIN shares s ON s.host IS NOT DISTINCT FROM x.host AND s.k = x.k
+            SELECT r, i, line, x.k, coalesce(share > 0.2, false) AS gone FROM lines x LEFT JOIN shares s ON s.host IS NOT DISTINCT FROM x.host AND s.k = x.k
         ), summed AS (
             SELECT r, count(*) FILTER (k <> '') AS n_lines, count(*) FILTER (gone) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
             FROM marked GROUP BY r
