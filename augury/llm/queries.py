@@ -24,7 +24,8 @@ def op2_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.likeness(table(spark, sf_dir, "documents"))
+    """The radius is searched for every document whose id is divisible by 50, against all documents."""
+    return simhash.likeness(table(spark, sf_dir, "documents"), queries=F.col("doc_id") % 50 == 0)
 
 
 def digests(encoded: DataFrame, path: str, pattern: str, *more: str) -> DataFrame:

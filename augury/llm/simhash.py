@@ -1,11 +1,12 @@
-"""SimHash fingerprints with DataFrame functions only, and the pairs within a Hamming radius.
+"""SimHash fingerprints with DataFrame functions only, and the search for all fingerprints within a Hamming radius.
 
 The terms of a text are its adjacent word pairs (the last word stands alone); each occurrence votes with the 128 bits
 of its hash, so a term weighs as much as it occurs, and a bit is set if more than half of the votes set it. Four votes
 share a long while they are summed, in chunks short enough for 16 bits each.
 
 A null text is an empty one; equal texts have equal fingerprints. Rows with equal id and text are one document with as
-many output rows. A null id sorts first. Extra columns are ignored; an empty table gives an empty result.
+many output rows. A null id sorts first and is no query unless all rows are; ties in the order of ids go by a hash of the
+text. Very long texts vote in chunks. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -65,13 +66,14 @@ def shown(f0: Column, f1: Column) -> Column:
     return F.lower(F.concat(F.lpad(F.hex(f1), 16, "0"), F.lpad(F.hex(f0), 16, "0")))
 
 
-def within_radius(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """All pairs (f0, f1, g0, g1) of different fingerprints at most radius apart, each once, f before g.
+def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """All pairs (q0, q1, f0, f1) of a fingerprint of queries and another one of prints, both with columns f0 and f1, at
+    most radius apart, each pair once.
 
-    The bits are cut into so many blocks that such a pair differs in two bits of one block at most. Each fingerprint is
-    dealt by its blocks and by its blocks with one bit flipped (128 + blocks rows whatever the radius), so the pair
-    meets under a common neighbour of its blocks. It counts in the first such block only, under one of the common
-    neighbours. Equal fingerprints are taken together before.
+    The bits are cut into so many blocks that such a pair differs in two bits of one block at most. Fingerprints are
+    dealt into a table for each block by the block's value; queries look every table up under all values that differ in
+    two bits at most. A pair counts in the first table only that it meets in. Equal fingerprints are taken together
+    before, so copies make no pairs, and the distance is checked as the rows meet: nothing else leaves the join.
     """
     n = max(2, radius // 3 + 1)
     edges = [128 * i // n for i in range(n + 1)]
@@ -87,19 +89,23 @@ def within_radius(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
             found = F.shiftrightunsigned(low, lo).bitwiseOR(F.shiftleft(high, 64 - lo))
         return found.bitwiseAND(mask)
 
-    flips = lambda i: F.array(F.lit(0).cast("long"), *[F.lit((1 << b) - (1 << 64 if b == 63 else 0)).cast("long") for b in range(edges[i + 1] - edges[i])])
-    key = lambda i, value: F.xxhash64(F.lit(i), value)
-    around = lambda i: F.transform(flips(i), lambda bit: key(i, block(i, "f0", "f1").bitwiseXOR(bit)))
-    dealt = prints.select("f0", "f1").distinct().select("f0", "f1", F.explode(F.concat(*map(around, range(n)))).alias("key"))
-    other = dealt.select(F.col("f0").alias("g0"), F.col("f1").alias("g1"), F.col("key").alias("other"))
-    before = (F.col("f0") < F.col("g0")) | ((F.col("f0") == F.col("g0")) & (F.col("f1") < F.col("g1")))
-    near = distance((F.col("f0"), F.col("f1")), (F.col("g0"), F.col("g1"))) <= radius
-    # Of the common neighbours that which is f's block, or f's block with the lowest of two differing bits flipped.
-    differing = [block(i, "f0", "f1").bitwiseXOR(block(i, "g0", "g1")) for i in range(n)]
-    meeting = [key(i, block(i, "f0", "f1").bitwiseXOR(F.when(F.bit_count(d) == 2, d.bitwiseAND(F.negative(d))).otherwise(F.lit(0).cast("long")))) for i, d in enumerate(differing)]
-    first = F.coalesce(*[F.when(F.bit_count(d) <= 2, k) for d, k in zip(differing, meeting)])
-    pairs = dealt.join(other, (F.col("key") == F.col("other")) & before & near & (F.col("key") == first))
-    return pairs.select("f0", "f1", "g0", "g1")
+    def flips(i: int) -> Column:
+        """Long values with at most so many bits of the block set as a pair may differ in there."""
+        width, most = edges[i + 1] - edges[i], min(2, radius // n)
+        bits = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b))
+        none = F.array(F.lit(0).cast("long"))
+        two = F.flatten(F.transform(bits, lambda x: F.transform(F.filter(bits, lambda y: F.array_position(bits, y) > F.array_position(bits, x)), lambda y: x.bitwiseOR(y))))
+        return F.concat(none, *[bits] * (most > 0), *[two] * (most > 1))
+
+    table = lambda i, value: F.xxhash64(F.lit(i), value)
+    own, asked = prints.select("f0", "f1").distinct(), queries.select(F.col("f0").alias("q0"), F.col("f1").alias("q1")).distinct()
+    dealt = own.select("f0", "f1", F.explode(F.array(*[table(i, block(i, "f0", "f1")) for i in range(n)])).alias("key"))
+    around = lambda i: F.transform(flips(i), lambda bits: table(i, block(i, "q0", "q1").bitwiseXOR(bits)))
+    looked = asked.select("q0", "q1", F.explode(F.concat(*map(around, range(n)))).alias("at"))
+    near = distance((F.col("f0"), F.col("f1")), (F.col("q0"), F.col("q1")))
+    differing = [block(i, "f0", "f1").bitwiseXOR(block(i, "q0", "q1")) for i in range(n)]
+    first = F.coalesce(*[F.when(F.bit_count(d) <= min(2, radius // n), table(i, block(i, "f0", "f1"))) for i, d in enumerate(differing)])
+    return looked.join(dealt, (F.col("at") == F.col("key")) & near.between(1, radius) & (F.col("key") == first)).select("q0", "q1", "f0", "f1")
 
 
 def edited_and_next(docs: DataFrame) -> DataFrame:
@@ -130,22 +136,24 @@ def edited_and_next(docs: DataFrame) -> DataFrame:
     return written(out.drop("k", "h"), "prints")
 
 
-def likeness(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def likeness(docs: DataFrame, radius: int = RADIUS, queries: Column | None = None) -> DataFrame:
     """One row per row of docs: the fingerprints and how alike they are, the class of equal fingerprints (its least
-    id) and the number of other fingerprints within the radius."""
+    id) and, for documents for which queries (a condition on doc_id; all if not given) holds, the number of other
+    fingerprints within the radius; null for the rest."""
     rows = edited_and_next(docs)
     total = rows.count()
     following = rows.select(((F.col("rank") + F.lit(max(1, total) - 1)) % F.lit(max(1, total))).alias("rank"), F.col("f0").alias("x0"), F.col("f1").alias("x1"))
-    pairs = within_radius(rows, radius)
-    ends = pairs.select(F.explode(F.array(F.struct("f0", "f1"), F.struct(F.col("g0").alias("f0"), F.col("g1").alias("f1")))).alias("end"))
-    links = ends.groupBy("end.f0", "end.f1").agg(F.count("*").alias("n_links"))
+    asks = F.lit(True) if queries is None else F.coalesce(queries, F.lit(False))
+    found = within_radius(rows.where(asks), rows, radius).groupBy("q0", "q1").agg(F.count("*").alias("n_links"))
     classes = rows.groupBy("f0", "f1").agg(F.min("doc_id").alias("class_id"))
+    # Written first, so that the join below is dealt by itself and Spark can split the rows of a class of many copies.
+    facts = written(classes.join(found, (F.col("f0") == F.col("q0")) & (F.col("f1") == F.col("q1")), "left").select("f0", "f1", "class_id", "n_links"), "classes")
     own, other, after = ((F.col(a), F.col(b)) for a, b in (("f0", "f1"), ("e0", "e1"), ("x0", "x1")))
     alike = lambda a, b: 1.0 - distance(a, b) / F.lit(128.0)
-    out = rows.join(following, "rank").join(classes, ["f0", "f1"]).join(links, ["f0", "f1"], "left")
+    out = written(rows.join(following, "rank"), "following").join(facts, ["f0", "f1"])
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select(
         "doc_id", "n_chars", "edited_sha256", shown(*own).alias("fingerprint"), shown(*other).alias("edited_fingerprint"),
         alike(own, other).alias("near_edited"), alike(own, after).alias("near_next"),
-        "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        "class_id", F.when(asks, F.coalesce("n_links", F.lit(0).cast("long"))).alias("n_links"),
     )

@@ -156,6 +156,10 @@ def test_simhash(spark, corpus):
     assert simhash.likeness(table.limit(0)).count() == 0
 
 
+def pair(r):
+    return (r["q1"] % (1 << 64)) << 64 | r["q0"] % (1 << 64), (r["f1"] % (1 << 64)) << 64 | r["f0"] % (1 << 64)
+
+
 def test_simhash_votes_and_radius(spark):
     text = "a b a b c " * 9_000  # several chunks of votes
     rows = spark.createDataFrame([(1, text), (2, "a"), (3, "")], "i long, text string")
@@ -173,8 +177,8 @@ def test_simhash_votes_and_radius(spark):
         prints += [x, *(x ^ sum(1 << int(b) for b in rng.choice(128, k, False)) for k in (1, 2, 3, 4))]
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     frame = spark.createDataFrame([(signed(p & (1 << 64) - 1), signed(p >> 64)) for p in prints], "f0 long, f1 long")
-    found = {frozenset(((r["f1"] % (1 << 64)) << 64 | r["f0"] % (1 << 64), (r["g1"] % (1 << 64)) << 64 | r["g0"] % (1 << 64))) for r in simhash.within_radius(frame, 3).collect()}
-    assert found == {frozenset((p, q)) for p in prints for q in prints if p != q and (p ^ q).bit_count() <= 3}
+    found = {pair(r) for r in simhash.within_radius(frame, frame, 3).collect()}
+    assert found == {(p, q) for p in prints for q in prints if p != q and (p ^ q).bit_count() <= 3}
 
 
 def test_simhash_links_near_copies_at_any_radius(spark):
@@ -185,14 +189,17 @@ def test_simhash_links_near_copies_at_any_radius(spark):
         prints += [x, *(x ^ sum(1 << int(b) for b in rng.choice(128, k, False)) for k in (1, 2, 5, 8, 12, 17, 20, 21, 24))]
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     frame = spark.createDataFrame([(signed(p & (1 << 64) - 1), signed(p >> 64)) for p in prints], "f0 long, f1 long")
-    for radius in (0, 2, 8, 11, 16, 20):
-        rows = [((r["f1"] % (1 << 64)) << 64 | r["f0"] % (1 << 64), (r["g1"] % (1 << 64)) << 64 | r["g0"] % (1 << 64)) for r in simhash.within_radius(frame, radius).collect()]
-        assert len(rows) == len({frozenset(r) for r in rows})
-        assert {frozenset(r) for r in rows} == {frozenset((p, q)) for p in prints for q in prints if p != q and (p ^ q).bit_count() <= radius}
+    some = prints[::7]
+    asked = spark.createDataFrame([(signed(p & (1 << 64) - 1), signed(p >> 64)) for p in some], "f0 long, f1 long")
+    for radius in (0, 1, 2, 8, 20):
+        rows = [pair(r) for r in simhash.within_radius(asked, frame.unionByName(frame), radius).collect()]
+        assert len(rows) == len(set(rows))
+        assert set(rows) == {(p, q) for p in some for q in prints if p != q and (p ^ q).bit_count() <= radius}
     words = [f"w{i}" for i in rng.integers(0, 300, 120)]
     near = [*words[:60], "changed", *words[61:]]
     table = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, prose(rng, 120))], "doc_id long, text string")
     assert {r["doc_id"]: r["n_links"] for r in simhash.likeness(table).collect()} == {1: 1, 2: 1, 3: 0}
+    assert {r["doc_id"]: r["n_links"] for r in simhash.likeness(table, queries=F.col("doc_id") == 2).collect()} == {1: None, 2: 1, 3: None}
 
 
 @pytest.fixture(scope="module")
