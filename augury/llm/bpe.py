@@ -163,9 +163,10 @@ def _place(path: str) -> str:
     return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_offsets: bool = False, keep: list[str] | None = None) -> DataFrame:
-    """Columns row, ids array<int> and, if asked for, starts and ends array<int> (characters). row has the columns
-    named in keep, all if that is not given."""
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_offsets: bool = False, with_split: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Columns row, ids array<int> and, if asked for, starts and ends array<int> (characters), and n_split long: tokens
+    that end within a character, by their offsets. row has the columns named in keep, all if that is not given."""
+    fields = pa.schema([("ids", pa.list_(pa.int32())), *[(c, pa.list_(pa.int32())) for c in ("starts", "ends") if with_offsets], *[("n_split", pa.int64())] * with_split])
 
     def start():
         known = Recent(), Recent()  # of this task: a worker that is idle holds the model only
@@ -174,14 +175,15 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_of
         def run(row: pa.StructArray) -> list:
             texts = [t or "" for t in row.field(text).to_pylist()]
             ids = [x for s in _chunks(len(texts)) for x in encoder.encode(texts[s], known)]
-            if not with_offsets:
+            if not with_offsets and not with_split:
                 return [_lists(ids)]
             spans = [offsets(t, i, lengths) for t, i in zip(texts, ids)]
-            return [_lists(ids), *(_lists([s[k].astype(np.int32) for s in spans]) for k in (0, 1))]
+            lists = [_lists([s[k].astype(np.int32) for s in spans]) for k in (0, 1)] if with_offsets else []
+            return [_lists(ids), *lists, *[[int((a[1:] < z[:-1]).sum()) for a, z in spans]] * with_split]
 
         return run
 
-    return with_results(docs, start, pa.schema([(c, pa.list_(pa.int32())) for c in ("ids", "starts", "ends")[: 3 if with_offsets else 1]]), keep)
+    return with_results(docs, start, fields, keep)
 
 
 def joined(lists: pa.ListArray, table: pa.Array) -> pa.LargeBinaryArray:

@@ -46,10 +46,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, path, pattern, with_offsets=True, keep=["doc_id"])
-    following = F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0)))
-    shared = F.size(F.filter(F.arrays_zip("ends", following.alias("next")), lambda x: x["next"] < x["ends"])).cast("long")
-    return digests(encoded.select("row.doc_id", "ids", shared.alias("n_split")), path, pattern, "n_split")
+    encoded = bpe.encode(docs, path, pattern, with_split=True, keep=["doc_id"])
+    return digests(encoded.select("row.doc_id", "ids", "n_split"), path, pattern, "n_split")
 
 
 def op5_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

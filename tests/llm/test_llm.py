@@ -218,12 +218,13 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, corpus, vocabulary):
     other = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     extra = [(300, "naïve \U0001f600\U0001f600 日本語\x85 <|endoftext|>  \n\n x", None, None), (301, "a" * 5_000 + "-" * 777, None, None), (302, "\x1c\x1d a  b ", None, None)]
     rows = [*corpus, *extra]
-    encoded = bpe.encode(docs(spark, rows), path, pattern, with_offsets=True)
-    found = encoded.select("row.doc_id", "row.text", "ids", "starts", "ends").collect()
+    encoded = bpe.encode(docs(spark, rows), path, pattern, with_offsets=True, with_split=True)
+    found = encoded.select("row.doc_id", "row.text", "ids", "starts", "ends", "n_split").collect()
     assert len(found) == len(rows)
     for r in found:
         text = r["text"] or ""
         assert r["ids"] == other.encode_ordinary(text)
+        assert r["n_split"] == sum(a < z for a, z in zip(r["starts"][1:], r["ends"]))
         for i, a, b in zip(r["ids"], r["starts"], r["ends"]):
             piece = other.decode_single_token_bytes(i)
             assert piece in text[a:b].encode()
