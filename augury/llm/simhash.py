@@ -11,6 +11,8 @@ text. Very long texts vote in chunks. Extra columns are ignored; an empty table
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,21 +93,22 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -
 
     def flips(i: int) -> Column:
         """Long values with at most so many bits of the block set as a pair may differ in there."""
-        width, most = edges[i + 1] - edges[i], min(2, radius // n)
-        bits = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b))
-        none = F.array(F.lit(0).cast("long"))
-        two = F.flatten(F.transform(bits, lambda x: F.transform(F.filter(bits, lambda y: F.array_position(bits, y) > F.array_position(bits, x)), lambda y: x.bitwiseOR(y))))
-        return F.concat(none, *[bits] * (most > 0), *[two] * (most > 1))
+        width = edges[i + 1] - edges[i]
+        sets = [c for k in range(min(2, radius // n) + 1) for c in combinations(range(width), k)]
+        values = [sum(1 << b for b in c) for c in sets]
+        return F.expr(f"array({', '.join(f'bigint({v - (1 << 64) * (v >> 63)})' for v in values)})")
 
     table = lambda i, value: F.xxhash64(F.lit(i), value)
     own, asked = prints.select("f0", "f1").distinct(), queries.select(F.col("f0").alias("q0"), F.col("f1").alias("q1")).distinct()
+    # The looks multiply after this exchange, which Spark would take for a small one and gather in few tasks.
+    asked = asked.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = own.select("f0", "f1", F.explode(F.array(*[table(i, block(i, "f0", "f1")) for i in range(n)])).alias("key"))
     around = lambda i: F.transform(flips(i), lambda bits: table(i, block(i, "q0", "q1").bitwiseXOR(bits)))
     looked = asked.select("q0", "q1", F.explode(F.concat(*map(around, range(n)))).alias("at"))
     near = distance((F.col("f0"), F.col("f1")), (F.col("q0"), F.col("q1")))
     differing = [block(i, "f0", "f1").bitwiseXOR(block(i, "q0", "q1")) for i in range(n)]
     first = F.coalesce(*[F.when(F.bit_count(d) <= min(2, radius // n), table(i, block(i, "f0", "f1"))) for i, d in enumerate(differing)])
-    return looked.join(dealt, (F.col("at") == F.col("key")) & near.between(1, radius) & (F.col("key") == first)).select("q0", "q1", "f0", "f1")
+    return looked.hint("merge").join(dealt, (F.col("at") == F.col("key")) & near.between(1, radius) & (F.col("key") == first)).select("q0", "q1", "f0", "f1")
 
 
 def edited_and_next(docs: DataFrame) -> DataFrame:
