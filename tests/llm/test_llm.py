@@ -394,21 +394,37 @@ def test_trie_scores_equal_brute_force(spark, corpus, monkeypatch, hot):
     assert len(empty) == len(rows) and all(r["n_known"] == 0 for r in empty)
 
 
-def test_language_id(spark):
+@pytest.mark.parametrize("slab", [64, 2])
+def test_language_id_equals_brute_force(spark, slab):
     rng = np.random.default_rng(2)
     parts = {"xx": ["ka", "ta", "ro", "mi"], "yy": ["schn", "ung", "ber", "ei"], "zz": ["çã", "õe", "lh", "nh"]}
     make = lambda p: " ".join("".join(rng.choice(p, 3)) for _ in range(30))
     rows = [(i, make(parts[lang]), lang, None) for i, lang in enumerate(list(parts) * 30)]
-    model = langid.fit(docs(spark, [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1] + [(900, None, "xx", None), (901, "text", None, None)]))
-    assert model[0] == ["xx", "yy", "zz"]
-    odd = [(902, None, None, None), (903, "12 34 _ !", None, None), (904, "", None, None), (None, rows[1][1], None, None)]
-    got = {r["doc_id"]: r for r in langid.predict(docs(spark, rows + odd), model).select("row.doc_id", "lang_pred", "score").collect()}
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1] + [(900, None, "xx", None), (901, "text", None, None), (905, "", "zz", None)]
+    model = langid.fit(docs(spark, train), slab=slab)
+    assert [lang for langs, _ in model for lang in langs] == ["xx", "yy", "zz"] and len(model) == -(-3 // slab)
+    odd = [(902, None, None, None), (903, "12 34 _ !", None, None), (904, "", None, None), (None, rows[1][1], None, None), (906, rows[0][1] * 300, None, None), (906, "kata schnung", None, None), (907, "q", None, None)]
+    found = langid.predict(docs(spark, rows + odd), model).select("row.doc_id", "row.text", "lang_pred", "score").collect()
+    assert len(found) == len(rows + odd)
+    # The textbook sum over dictionaries of n-grams.
+    counts, priors = collections.defaultdict(collections.Counter), collections.Counter()
+    for _, t, lang, _ in train:
+        if t is not None and lang is not None:
+            counts[lang].update(langid.features(t).tolist())
+            priors[lang] += 1
+    for r in found:
+        if r["text"] is None or not re.search(r"[^\W\d_]", r["text"]):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        grams = collections.Counter(langid.features(r["text"]).tolist())
+        logs = {lang: math.log(priors[lang]) + sum(n * math.log((counts[lang][g] + 0.5) / (counts[lang].total() + 0.5 * 65536)) for g, n in grams.items()) for lang in sorted(priors)}
+        best = max(logs, key=logs.get)
+        assert r["lang_pred"] == best and r["score"] == pytest.approx(1 / sum(math.exp(v - logs[best]) for v in logs.values()), rel=1e-3)
     held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 == 1]
-    assert sum(got[r[0]]["lang_pred"] == r[2] for r in held) >= 0.98 * len(held)
-    assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (902, 903, 904))
-    assert got[None]["lang_pred"] == "yy" and all(0 <= r["score"] <= 1 for r in got.values())
+    got = {r["doc_id"]: r["lang_pred"] for r in found}
+    assert sum(got[r[0]] == r[2] for r in held) >= 0.98 * len(held)
     nothing = langid.predict(docs(spark, rows), langid.fit(docs(spark, []))).collect()
-    assert {r["lang_pred"] for r in nothing} == {"und"}
+    assert {r["lang_pred"] for r in nothing} == {"und"} and langid.predict(docs(spark, []), model).count() == 0
 
 
 def brute_kneser_ney(texts, alphabet):
