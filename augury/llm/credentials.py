@@ -5,13 +5,16 @@ the parts that complete them start within SCOPE characters in the same text: an
 secret an identifier, an endpoint both. The parts of all texts meet in an interval join on cells of SCOPE characters,
 so a cell holds few parts however long a text is.
 
-A null text is empty. Every row gets its result; rows with equal id and text share it. Null ids, ties and extra
-columns do not matter: only doc_id and text are read.
+A null text is empty. Every row gets its result; rows with equal id and text share it. Null ids and extra columns do not
+matter: only doc_id and text are read. Findings with equal start are listed in the order of KINDS. Very long texts are
+scanned whole, in time that grows with their length. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +28,7 @@ KINDS = ("assign", "access", "hex", "identifier", "bare", "endpoint")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
-_IDENTIFIER = re.compile(r"\b(?:ASIA|AROA|AIDA)[A-Z0-9]{16}\b|\b(?:client|account|user|access)[_-]?id[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._-]{6,}", re.A | re.I)
+_IDENTIFIER = re.compile(r"\b(?:ASIA|AROA|AIDA)[A-Z0-9]{16}\b|\b(?i:client|account|user|access)[_-]?(?i:id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._-]{6,}", re.A)
 _BARE = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{40,64}(?![A-Za-z0-9+/_-])", re.A)
 _ENDPOINT = re.compile(r"https?://[^\s\"'<>]+", re.A)
 _HEX_RUN = re.compile(r"[0-9a-f]{24,}")
@@ -48,11 +51,14 @@ def base_spans(text: str) -> list[dict]:
 def weak_spans(text: str, base: list[dict]) -> list[dict]:
     """Candidates that count only beside complementary parts; none lies in a base finding."""
     low = text.lower()
-    found = [(3, m) for m in _IDENTIFIER.finditer(text)] if any(w in low for w in ("id", "asia", "aroa")) else []
-    found += [(4, m) for m in _BARE.finditer(text)]
-    found += [(5, m) for m in _ENDPOINT.finditer(text)] if "://" in text else []
-    taken = [(b["start"], b["end"]) for b in base]
-    return [{"kind": k, "start": m.start(), "end": m.end()} for k, m in found if not any(a < m.end() and m.start() < b for a, b in taken)]
+    found = [(3, *m.span()) for m in _IDENTIFIER.finditer(text)] if any(w in low for w in ("id", "asia", "aroa")) else []
+    found += [(4, *m.span()) for m in _BARE.finditer(text)]
+    found += [(5, *m.span()) for m in _ENDPOINT.finditer(text)] if "://" in text else []
+    # Base findings may overlap each other: of those that start before a candidate ends the furthest end decides.
+    starts = [b["start"] for b in base]
+    ends = list(accumulate((b["end"] for b in base), max))
+    free = lambda a, z: (k := bisect_left(starts, z)) == 0 or ends[k - 1] <= a
+    return [{"kind": k, "start": a, "end": z} for k, a, z in found if free(a, z)]
 
 
 def _parts(row: pa.StructArray) -> list:

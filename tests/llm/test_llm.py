@@ -295,6 +295,7 @@ def test_credentials(spark):
     texts = [
         f"token = '{'s' * 6}' and Api_Key:short API_KEY=longer-1 paſſword=aaaaaa", f"{key} {key[:19]}", "f" * 24 + " " + "0" * 23, None, "",
         f"{key} then {bare} at https://db.example/x", f"{bare}", f"{key}{filler}{bare}", f"https://db.example/x {key}", "secret=token:abcdef password==abcdef", "ASIA" + "B" * 16 + " secret=abcdefg", "ASIA" + "B" * 16,
+        "asiapacificregionalx secret=abcdefg", f"{'secret=' + 'ab' * 9 + ' '}{'x ' * 40_000}{key} {bare} https://a.example/q", "User_ID: abcdef-1 token=zyxwvu AROA" + "C" * 16, f"secret={bare} {key}",
     ]
     rows = [(i, t, None, None) for i, t in enumerate(texts)] + [(0, texts[0], None, None), (None, texts[5], None, None)]
     found = credentials.credentials(docs(spark, rows)).collect()
@@ -308,10 +309,28 @@ def test_credentials(spark):
     kinds = lambda i: [credentials.KINDS[s["kind"]] for s in got[i]["spans"]]
     assert kinds(5) == kinds(None) == ["access", "bare", "endpoint"]
     assert kinds(6) == [] and kinds(7) == ["access"] and kinds(8) == ["access"] and kinds(11) == []
-    assert kinds(10) == ["identifier", "assign"]
+    assert kinds(10) == ["identifier", "assign"] and kinds(12) == ["assign"] and kinds(13) == ["assign", "access", "bare", "endpoint"]
+    assert kinds(14) == ["identifier", "assign", "identifier"] and kinds(15) == ["assign", "access"]
     assert credentials.credentials(docs(spark, [])).count() == 0
 
 
+def test_linked_spans_equal_brute_force(spark):
+    """All pairs of parts of a text, tested one by one."""
+    rng = np.random.default_rng(15)
+    parts = ["AKIA" + "R2" * 9, "ASIA" + "D4" * 8, "account-id=abc.def", "Zz9" * 14, "secret: hunter22", "https://x.example/a?b=1", "0123456789abcdef01234567", "word " * 30, "lorem " * 15]
+    texts = [" ".join(rng.choice(parts, int(rng.integers(0, 14)))) for _ in range(60)]
+    found = credentials.credentials(docs(spark, [(i, t, None, None) for i, t in enumerate(texts)]), scope=200).collect()
+    assert any(s["kind"] > 2 for r in found for s in r["spans"])
+    for r in found:
+        text = texts[r["doc_id"]]
+        base = [(s["kind"], s["start"], s["end"]) for s in r["base"]]
+        weak = [(k, *m.span()) for k, pattern in ((3, credentials._IDENTIFIER), (4, credentials._BARE), (5, credentials._ENDPOINT)) for m in pattern.finditer(text)]
+        weak = [w for w in weak if not any(b[1] < w[2] and w[1] < b[2] for b in base)]
+        near = lambda w, kinds: any(k in kinds and abs(a - w[1]) <= 200 for k, a, _ in base + weak)
+        kept = [w for w in weak if (w[0] == 4 or near(w, (0, 2, 4))) and (w[0] == 3 or near(w, (1, 3)))]
+        assert [(s["start"], s["kind"], s["end"]) for s in r["spans"]] == sorted((a, k, z) for k, a, z in base + kept)
+
+
 def brute_hits(text, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     w, hit, ids = words(text), set(), set()
