@@ -342,7 +342,7 @@ def brute_hits(text, items):
                 if w[at : at + n] == x[a : a + n]:
                     hit.update(range(at, at + n))
                     ids.add(i)
-    return len(w), len(hit), sorted(x for x in ids if x is not None), bool(hit)
+    return len(w), len(hit), sorted(str(x) for x in ids if x is not None), bool(hit)
 
 
 @pytest.mark.parametrize("pass_bytes", [1_000_000, 200])
@@ -356,10 +356,24 @@ def test_wu_manber_equals_brute_force(spark, pass_bytes):
     found = wumanber.contamination(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), pass_bytes=pass_bytes)
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in found.select("row.doc_id", "n_words", "n_hit", "items", "contaminated").collect()}
     assert got == {r[0]: brute_hits(r[1], items) for r in rows}
+    for r in found.select("hits", "n_hit").collect():
+        assert all(a["last"] < b["first"] for a, b in zip(r["hits"], r["hits"][1:])) and sum(h["last"] - h["first"] for h in r["hits"]) == r["n_hit"]
+    assert wumanber.contamination(docs(spark, []), spark.createDataFrame(items, "item_id long, text string"), pass_bytes=pass_bytes).count() == 0
     none = wumanber.contamination(docs(spark, rows), spark.createDataFrame([], "item_id long, text string"))
     assert none.where("contaminated").count() == 0 and none.count() == len(rows)
 
 
+def test_wu_manber_cuts_long_items_and_takes_ids_of_text(spark, monkeypatch):
+    monkeypatch.setattr(wumanber, "PIECE", 20)
+    monkeypatch.setattr(wumanber, "SEGMENT", 7)
+    rng = np.random.default_rng(6)
+    items = [("q-1", prose(rng, 130)), ("q-2", prose(rng, 29)), ("q-10", prose(rng, 30)), ("q-3", "tiny")]
+    texts = [f"{prose(rng, 200)} {' '.join(items[0][1].split()[a : a + n])} {prose(rng, 50)} {items[2][1]}" for a, n in ((0, 10), (15, 11), (19, 10), (20, 10), (100, 30), (5, 9))] + [items[0][1], items[1][1] + " Tiny"]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    found = wumanber.contamination(docs(spark, [(i, t, None, None) for i, t in enumerate(texts)]), table).select("row.doc_id", "n_words", "n_hit", "items", "contaminated").collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in found} == {i: brute_hits(t, items) for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("n, universe", [(1, 5), (200, 201), (1000, 10**6), (3000, 2**60)])
 def test_elias_fano(n, universe):
     rng = np.random.default_rng(n)
