@@ -135,6 +135,79 @@ def test_quotes_of_parts(spark):
     assert got == {"One paragraph.": 0, "Two of three lines.": 0, "A blank line without a mark.": 0, "Wrapped anew.": 0, "The latest.": 6, "No part.": None, "Most parts.": 0, "Not of its own turn.": None}
 
 
+def brute_threads(rows):
+    """(conv, turn, text) -> (parent, thread, depth, position, clean), by comparing texts message by message."""
+    normal = lambda t: re.sub(r"\s+", " ", t).strip().lower()
+    parsed = []
+    for conv, turn, role, text in rows:
+        runs = []
+        for line in re.split(r"\r?\n", text or ""):
+            marks = re.match(r"(?:[ \t]*>)+", line)
+            level = marks[0].count(">") if marks else 0
+            if runs and runs[-1][0] == level:
+                runs[-1][1].append(line[marks.end() if marks else 0 :])
+            else:
+                runs.append((level, [line[marks.end() if marks else 0 :]]))
+        own = ["\n".join(ls) for level, ls in runs if level == 0]
+        quotes = [(level, "\n".join(ls)) for level, ls in runs if level and normal("\n".join(ls))]
+        clean = "\n".join(own).strip(" \t\r\n")
+        paragraphs = [x for p in own for x in re.split(r"\n\s*\n", p) if normal(x)]
+        full = [x for p in own for x in p.split("\n") if normal(x)]
+        offers = {normal(clean), *map(normal, own), *map(normal, paragraphs)} | {normal("\n".join(full[a:z])) for a in range(len(full)) for z in range(a + 1, len(full) + 1)}
+        parsed.append((conv, turn, role, clean, quotes, offers - {""}))
+    up = {}
+    for k, (conv, turn, _, _, quotes, _) in enumerate(parsed):
+        found = []
+        for nth, (level, text) in enumerate(quotes):
+            parts = [[x for x in re.split(by, text) if normal(x)] if len(re.split(by, text)) > 1 else [] for by in (r"\n\s*\n", "\n")]
+            for part, pieces in ((False, [text]), (True, sum(parts, []))):
+                votes = collections.Counter()
+                for piece in pieces:
+                    turns = [t for c, t, _, _, _, offers in parsed if c == conv and t < turn and normal(piece) in offers]
+                    if turns:
+                        votes[max(turns)] += len(normal(piece))
+                found += [((level, nth, part, -n, -t), t) for t, n in votes.items()]
+        up[conv, turn] = min(found)[1] if found else None
+    out = {}
+    for conv, turn, role, clean, _, _ in parsed:
+        top, depth = turn, 0
+        while up[conv, top] is not None:
+            top, depth = up[conv, top], depth + 1
+        out[conv, turn] = [up[conv, turn], top, depth, clean]
+    for conv in {c for c, _ in out}:
+        for place, turn in enumerate(sorted((t for c, t in out if c == conv), key=lambda t: (out[conv, t][1], out[conv, t][2], t))):
+            out[conv, turn].insert(3, place)
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def test_quotes_equal_brute_force(spark):
+    """Generated conversations that quote wholes, paragraphs, lines and runs of lines of earlier turns, nested ones too."""
+    rng = np.random.default_rng(13)
+    rows = []
+    for conv in range(250):
+        said = []
+        for turn in range(int(rng.integers(1, 8))):
+            own = ["\n".join(prose(rng, int(rng.integers(1, 6)), ["Aa", "bb", "cc", "Dd", "ee"]) for _ in range(int(rng.integers(1, 4)))) for _ in range(int(rng.integers(1, 3)))]
+            text = "\n\n".join(own)
+            if said and rng.random() < 0.75:
+                lines = str(rng.choice(said)).split("\n")
+                a = int(rng.integers(0, len(lines)))
+                z = int(rng.integers(a, len(lines))) + 1
+                quote = lines if rng.random() < 0.3 else lines[a:z]
+                mark = str(rng.choice(["> ", ">", ">> ", "  > "]))
+                quote = [x if not x and rng.random() < 0.5 else mark + (x.upper() if rng.random() < 0.2 else x.replace(" ", "  ")) for x in quote]
+                text = "\n".join([*quote, *([text] if rng.random() < 0.9 else [])])
+                if rng.random() < 0.2:
+                    text += "\r\n> made up\r\nend"
+            said.append(text)
+            rows.append((conv, turn * 2, "user", text))
+    got = {(r["conv_id"], r["turn"]): (r["parent"], r["thread"], r["depth"], r["position"], r["text"]) for r in quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    want = brute_threads(rows)
+    assert {k: v[:4] for k, v in got.items()} == {k: v[:4] for k, v in want.items()}
+    assert sum(v[0] is not None for v in want.values()) > 300 and max(v[2] for v in want.values()) > 3
+    assert all(got[k][4].split() == want[k][4].split() for k in want)
+
+
 def test_simhash(spark, corpus):
     table = docs(spark, corpus)
     got = simhash.likeness(table).collect()
