@@ -1,16 +1,20 @@
 """Language-model scores from an n-gram trie of Elias-Fano sequences in memory-mapped files.
 
 Tokens are the words of the text (A-Z lower-cased) and one end. Spark counts the words of the training texts, then the
-pairs of adjacent tokens; each shard of counts becomes one file in the shared folder: sorted contexts, monotone
-pointers to their successors, the successors themselves made monotone by adding their context's place, and one byte
-per pair for its discounted probability. Scoring maps over the documents and searches the files in place: a word's
-probability is its discounted share after the word before, plus what the discount left times its smoothed frequency.
+pairs of adjacent tokens, then the triples; each shard of counts becomes one file in the shared folder: sorted contexts,
+monotone pointers to their successors, the successors themselves made monotone by adding their context's place, and one
+byte per entry for its discounted probability. The context of a triple is its pair's place in the level above. Scoring
+maps over the documents and searches the files in place: a token's probability is its discounted share after the two
+tokens before, plus what the discount left times its share after the one before, and so on down to its smoothed frequency.
 
-Shards are chosen by hash of the context; contexts that are more frequent than a bound are dealt by hash of the pair,
-so no shard depends on one frequent word. Nothing is pruned.
+A word's shard is the top of its hash, a pair's goes by hash of its context, a triple's is that of its pair; contexts that
+are more frequent than a bound are dealt by hash of the entry, so no shard depends on one frequent word or pair. Nothing
+is pruned.
 
 A null text is empty: its one token is the end. Rows are scored one by one, whatever repeats; a null id counts as
-training. Without training tokens every probability is that of an unknown word. Extra columns are ignored.
+training. Without training tokens every probability is that of an unknown word. A very long text is one batch of tokens
+in one task. Equal texts have equal scores, so there are no ties to break. Extra columns are ignored; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,14 +36,20 @@ from augury.llm.eliasfano import EliasFano, encode, load, save
 
 DISCOUNT = 0.75
 SMOOTH = 0.1
-#: Token occurrences a shard holds about, and texts taken together in a task.
-SHARD, TEXTS = 2_000_000, 1_000
-#: Contexts more frequent than this, or than a 10,000th of all tokens, are dealt by pair.
+#: Token occurrences a shard holds about, and tokens that a task counts before it hands them out.
+SHARD, HELD = 2_000_000, 3_000_000
+#: Contexts more frequent than this, or than a 10,000th of all tokens, are dealt by entry.
 HOT = 1 << 20
-_END = b"\n"  # no word has white space
-_M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+#: In the shard of a triple, codes of pairs from here on stand for the frequent ones in their order.
+_SPREAD = 1 << 28
+_U = np.uint64
+_M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], _U)
+_END = _U(0x5851F42D4C957F2D)
+#: Bytes whose words are hashed together, and the bytes that part words.
+_GROUP, _SPACES = 1 << 18, b" \t\n\v\f\r"
 _DEALT = pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-_DONE = pa.schema([("shard", pa.int64()), ("entries", pa.int64()), ("tokens", pa.int64()), ("context", pa.int64()), ("successors", pa.int64())])
+_DONE = pa.schema([("shard", pa.int64()), ("entries", pa.int64()), ("tokens", pa.int64()), ("context", pa.int64()), ("successors", pa.int64()), ("total", pa.int64())])
+_DEALT_SQL, _DONE_SQL = "shard long, keys binary, counts binary", "shard long, entries long, tokens long, context long, successors long, total long"
 
 
 def local(folder: str) -> str:
@@ -51,76 +61,139 @@ def local(folder: str) -> str:
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x.astype(np.uint64) * _M[0]
-    x ^= x >> np.uint64(32)
+    x = x.astype(_U) * _M[0]
+    x ^= x >> _U(32)
     x *= _M[1]
-    return x ^ (x >> np.uint64(29))
+    return x ^ (x >> _U(29))
 
 
-class Tokens:
-    """Tokens of some texts: their distinct words with 64-bit hashes, and the place of each occurrence in them."""
+def _byte_values() -> np.ndarray:
+    """A number for each byte, the same for a capital and its small letter."""
+    out = _mixed(np.arange(1, 257))
+    out[65:91] = out[97:123]
+    return out
+
+
+_VALUES = _byte_values()
+_SPACE = np.isin(np.arange(256), np.frombuffer(_SPACES, np.uint8))
+_POWERS = np.cumprod(np.full(1 << 16, _M[0], _U))
 
-    def __init__(self, texts: list[str | None]):
-        place: dict[bytes, int] = {_END: 0}
-        codes: list[np.ndarray] = []
-        for t in texts:
-            found = (t or "").encode("utf-8", "surrogatepass").lower().split()
-            found.append(_END)
-            codes.append(np.fromiter((place.setdefault(w, len(place)) for w in found), np.int64, len(found)))
-        self.lengths = np.array([len(c) for c in codes], np.int64)
-        self.codes = np.concatenate(codes) if codes else np.empty(0, np.int64)
-        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, place), np.uint64, len(place))
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]) if codes else np.empty(0, np.int64)
 
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, data[start:end]."""
+    out = np.empty(len(starts), _U)
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _GROUP, "right")))
+        a, n = starts[at:to], ends[at:to] - starts[at:to]
+        first = np.cumsum(n) - n
+        inside = np.arange(int(n.sum())) - np.repeat(first, n)
+        values = _VALUES[data[np.repeat(a, n) + inside]] * _POWERS[inside & 0xFFFF]
+        if n.max() > 1 << 16:  # the powers go on
+            further = np.full(int(n.max() >> 16) + 1, _POWERS[-1], _U)
+            further[0] = 1
+            values *= np.cumprod(further)[inside >> 16]
+        out[at:to] = np.add.reduceat(values, first)
+        at = to
+    return _mixed(out)
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Tokens]]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, TEXTS):
-            part = batch.slice(at, TEXTS)
-            yield part, Tokens(part.column("text").to_pylist())
+
+class Tokens:
+    """Tokens of some texts: the hash of each occurrence, text after text, and where the texts start."""
+
+    def __init__(self, texts: pa.Array):
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        buffer = texts.buffers()[2] if len(texts) else None
+        data = np.frombuffer(buffer, np.uint8)[edges[0] : edges[-1]] if buffer is not None and edges[-1] > edges[0] else np.empty(0, np.uint8)
+        edges = edges - edges[0]
+        full = np.concatenate([[False], ~_SPACE[data], [False]])
+        begins, stops = full[1:-1] & ~full[:-2], full[1:-1] & ~full[2:]
+        inner = edges[(edges > 0) & (edges < len(data))]  # a word ends where its text does
+        begins[inner] = full[1:-1][inner]
+        stops[inner - 1] = full[1:-1][inner - 1]
+        starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+        words = np.diff(np.searchsorted(starts, edges, "left"))
+        self.lengths = words + 1
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.full(len(starts) + len(words), _END, _U)
+        last = np.zeros(len(self.flat), bool)
+        last[self.starts + words] = True
+        self.flat[~last] = _hashes(data, starts, ends)
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes in order, and the place of each occurrence among them."""
+        order = np.argsort(self.flat)
+        new = _changes(self.flat[order])
+        back = np.empty(len(order), np.int64)
+        back[order] = np.cumsum(new) - 1
+        return self.flat[order][new], back
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has a new value."""
+    return np.concatenate([[True], x[1:] != x[:-1]])[: len(x)]
+
+
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a sorted array, and how often each occurs."""
+    first = np.flatnonzero(_changes(x))
+    return x[first], np.diff(np.append(first, len(x)))
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, all lowest ones first: high bytes are mostly zero, which compression takes away."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _from_planes(b: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 class _Dealer:
-    """Collects counted keys by shard and hands them out when there are many."""
+    """Holds keys by shard and hands them out sorted and counted when there are many."""
 
-    def __init__(self, most: int = 3_000_000):
-        self.most, self.parts, self.n = most, [], 0
+    def __init__(self):
+        self.parts, self.n = [], 0
 
-    def add(self, keys: np.ndarray, counts: np.ndarray, shards: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append((keys, counts, shards))
+    def add(self, keys: np.ndarray, shards: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append((keys.astype(_U), shards.astype(np.uint32)))
         self.n += len(keys)
-        if self.n >= self.most:
+        if self.n >= HELD:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.n:
             return
-        keys, counts, shards = (np.concatenate(x) for x in zip(*self.parts))
+        keys, shards = (np.concatenate(x) for x in zip(*self.parts))
         self.parts, self.n = [], 0
-        keys, counts, shards = _summed(keys, counts, shards)
-        order = np.argsort(shards, kind="stable")
-        edges = np.flatnonzero(np.diff(shards[order])) + 1
-        for part in np.split(order, edges):
-            yield pa.RecordBatch.from_arrays([pa.array([int(shards[part[0]])]), pa.array([keys[part].tobytes()]), pa.array([counts[part].astype(np.int32).tobytes()])], schema=_DEALT)
+        order = np.argsort(shards.astype(np.uint16) if shards.max() < 1 << 16 else shards, kind="stable")
+        keys, (names, sizes) = keys[order], _runs(shards[order])
+        for name, end, size in zip(names, np.cumsum(sizes), sizes):
+            found, counts = _runs(np.sort(keys[end - size : end]))
+            yield pa.RecordBatch.from_arrays([pa.array([int(name)]), pa.array([_planes(np.diff(found, prepend=_U(0)))]), pa.array([_planes(counts.astype(np.uint32))])], schema=_DEALT)
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted distinct keys with summed counts; what goes with a key is the same in all its rows."""
+def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of a shard and their summed counts."""
+    keys = np.concatenate([np.cumsum(_from_planes(b, _U), dtype=_U) for b in group.column("keys").to_pylist()])
+    counts = np.concatenate([_from_planes(b, np.uint32) for b in group.column("counts").to_pylist()]).astype(np.int64)
     order = np.argsort(keys)
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0], *(x[order][first] for x in same)
-
-
-def _gathered(group: pa.Table, kind) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), kind)
-    return _summed(keys, np.frombuffer(b"".join(group.column("counts").to_pylist()), np.int32).astype(np.int64))
+    first = np.flatnonzero(_changes(keys[order]))
+    return keys[order][first], np.add.reduceat(counts[order], first)
 
 
 def _done(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in zip(*rows)], schema=_DONE)
 
 
+def _quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and 256 even steps between the extremes, which bound the error of every value."""
+    levels = np.linspace(values.min(), values.max(), 256).astype(np.float32)
+    return np.searchsorted((levels[1:] + levels[:-1]) / 2, values).astype(np.uint8), levels
+
+
 class Vocabulary:
     """Words by hash: ids in the order of hashes, and counts."""
 
@@ -136,14 +209,13 @@ class Vocabulary:
         return self._shards[s]
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (-1: unknown) and counts."""
-        shard = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
+        """Ids (-1: unknown) and counts of sorted hashes."""
+        shard = (hashes >> _U(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        mask = np.uint64((1 << (64 - self.bits)) - 1)
-        for s in np.unique(shard):
+        mask = _U((1 << (64 - self.bits)) - 1)
+        for s, here in _groups(shard):
             if self.offsets[s + 1] > self.offsets[s]:
-                here = np.flatnonzero(shard == s)
-                words, n = self._shard(int(s))
+                words, n = self._shard(s)
                 at = words.find(hashes[here] & mask)
                 ok = at >= 0
                 ids[here[ok]] = self.offsets[s] + at[ok]
@@ -151,136 +223,240 @@ class Vocabulary:
         return ids, counts
 
 
-def _shards_of(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, n_shards: int, hot: int) -> np.ndarray:
-    x = np.where(counts > hot, _mixed(contexts) ^ _mixed(words + 1), _mixed(contexts))
-    return (_mixed(x) % np.uint64(n_shards)).astype(np.int64)
+def _groups(shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard with the places that it has, in ascending order."""
+    if len(shards):
+        order = np.argsort(shards.astype(np.uint16) if shards.max() < 1 << 16 else shards, kind="stable")
+        for here in np.split(order, np.flatnonzero(np.diff(shards[order])) + 1):
+            yield int(shards[here[0]]), here
+
+
+class Level:
+    """Contexts with their successors in one shard: a context is found, then the successor within its range."""
+
+    def __init__(self, arrays: dict[str, np.ndarray], width: int):
+        self.contexts, self.pointers, self.successors = (EliasFano(arrays, k) for k in ("contexts", "pointers", "successors"))
+        self.code, self.levels, self.width = arrays["code"], arrays["levels"], width
+        self.rest = (arrays["rest"], arrays["rest_levels"]) if "rest" in arrays else None
+
+    def find(self, context: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For queries sorted by context: place of the entry (-1: not seen), its share, the number of successors of its
+        context, and what the discount left to the context, if the level has that."""
+        new = _changes(context)
+        which = np.cumsum(new) - 1
+        place = self.contexts.find(context[new])
+        seen = place >= 0
+        n, rest = np.zeros(len(place), np.int64), np.zeros(len(place))
+        lo, hi = self.pointers.ranges(place[seen])
+        n[seen] = (hi - lo).astype(np.int64)
+        if self.rest:
+            rest[seen] = 10.0 ** self.rest[1][self.rest[0][place[seen]]].astype(np.float64)
+        place = place[which]
+        at, share = np.full(len(context), -1, np.int64), np.zeros(len(context))
+        on = np.flatnonzero(place >= 0)
+        at[on] = self.successors.find(place[on] * self.width + successor[on])
+        hit = at >= 0
+        share[hit] = 10.0 ** self.levels[self.code[at[hit]]].astype(np.float64)
+        return at, share, n[which], rest[which]
+
+
+def _level_arrays(keys: np.ndarray, counts: np.ndarray, totals, contexts_under: int, width: int) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Arrays of a level whose sorted keys are context * width + successor, with its contexts, pointers and totals."""
+    context, successor = keys // _U(width), keys % _U(width)
+    first = np.flatnonzero(_changes(context))
+    contexts, pointers = context[first].astype(np.int64), np.append(first, len(keys))
+    totals = totals(contexts, np.add.reduceat(counts, first))
+    place = np.repeat(np.arange(len(contexts), dtype=_U), np.diff(pointers))
+    code, levels = _quantised(np.log10((counts - DISCOUNT) / totals[place.astype(np.int64)]))
+    arrays = encode("contexts", contexts, contexts_under) | encode("pointers", pointers, len(keys) + 1)
+    arrays |= encode("successors", place * _U(width) + successor, len(contexts) * width)
+    return arrays | {"code": code, "levels": levels}, contexts, pointers, totals
+
+
+class Trie:
+    """Files of a model, opened as they are asked for."""
+
+    def __init__(self, model: dict):
+        self.m, self.words = model, Vocabulary(model["folder"], model["bits"], model["sizes"])
+        self.width = model["words"] + 2  # the start and the unknown word have ids too
+        self._levels: dict[tuple, Level | None] = {}
+
+    def level(self, name: str, s: int) -> Level | None:
+        if (name, s) not in self._levels:
+            path = f"{self.m['folder']}/{name}-{s}"
+            self._levels[name, s] = Level(load(path), self.width) if os.path.exists(path) else None
+        return self._levels[name, s]
+
+    def totals(self, ids: np.ndarray) -> np.ndarray:
+        """Occurrences of words as contexts, by id in ascending order; the start counts once a text."""
+        out = np.full(len(ids), self.m["documents"], np.int64)
+        off = self.words.offsets
+        shard = np.searchsorted(off, ids, "right") - 1
+        for s, here in _groups(np.where(ids < self.m["words"], shard, -1) + 1):
+            if s:
+                out[here] = self.words._shard(s - 1)[1][ids[here] - off[s - 1]]
+        return out
+
+    def read(self, texts: pa.Array) -> tuple[Tokens, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens with the id and count of each occurrence, and those of the token before it."""
+        t = Tokens(texts)
+        hashes, back = t.distinct()
+        ids, counts = self.words.find(hashes)
+        ids, counts = ids[back], counts[back]
+        context, before = np.roll(ids, 1), np.roll(counts, 1)
+        context[t.starts], before[t.starts] = self.m["words"], self.m["documents"]
+        return t, ids, counts, context, before
+
+    def shards(self, context: np.ndarray, word: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+        x = np.where(frequent, _mixed(context) ^ _mixed(word + 1), _mixed(context))
+        return (_mixed(x) % _U(self.m["shards"])).astype(np.int64)
+
+    def pairs(self, context: np.ndarray, word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For known contexts: shard and place of the pair (-1: not seen), its share, and the successors of its context.
+        Each different pair is searched once."""
+        word = np.where(word < 0, self.m["words"] + 1, word)
+        order = np.argsort(context * self.width + word)
+        c, w, b = context[order], word[order], before[order]
+        new = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])[: len(c)]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        c, w, b = c[new], w[new], b[new]
+        shard = self.shards(c, w, b > self.m["hot"])
+        at, share, n = np.full(len(c), -1, np.int64), np.zeros(len(c)), np.zeros(len(c), np.int64)
+        for s, here in _groups(shard):
+            if level := self.level("pairs", s):
+                at[here], share[here], n[here], _ = level.find(c[here], w[here])
+        if len(spread := self.m["spread"][0]):
+            k = np.minimum(np.searchsorted(spread, c), len(spread) - 1)
+            often = spread[k] == c
+            n[often] = self.m["spread"][1][k[often]]
+        return shard[which], at[which], share[which], n[which]
+
+    def codes(self, shard: np.ndarray, at: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shard and code of the context of triples whose pair is at a place of a shard, and the number of the context
+        among the frequent ones or -1."""
+        names = self.m["hot_pairs"][0]
+        if not len(names):
+            return shard, at, np.full(len(at), -1, np.int64)
+        name = (shard << 32) | at
+        k = np.minimum(np.searchsorted(names, name), len(names) - 1)
+        often = names[k] == name
+        dealt = (_mixed(_mixed(name) ^ _mixed(word + 1)) % _U(self.m["shards"])).astype(np.int64)
+        return np.where(often, dealt, shard), np.where(often, _SPREAD + k, at), np.where(often, k, -1)
+
+    def triples(self, shard: np.ndarray, at: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For seen pairs and the word after them: its share and what the discount left to the pair."""
+        word = np.where(word < 0, self.m["words"] + 1, word)
+        shard, code, often = self.codes(shard, at, word)
+        share, rest = np.zeros(len(code)), np.ones(len(code))
+        for s, here in _groups(shard):
+            here = here[np.argsort(code[here] * self.width + word[here])]
+            if level := self.level("triples", s):
+                _, share[here], n, left = level.find(code[here], word[here])
+                rest[here] = np.where(n > 0, left, 1.0)
+        hot = np.flatnonzero(often >= 0)
+        rest[hot] = self.m["hot_pairs"][1][often[hot]]
+        return share, rest
+
+
+@lru_cache(1)
+def _trie(folder: str, stage: str, model) -> Trie:
+    return Trie(model.value)
 
 
 def fit(texts: DataFrame, folder: str | None = None) -> dict:
-    """Train on the column text; returns the description of the files, of bounded size."""
+    """Train on the column text; returns the description of the files: a number per shard and frequent context."""
     folder = local(folder or f"{shared_dir(texts.sparkSession)}/trie-{uuid.uuid4().hex}")
     os.makedirs(folder, exist_ok=True)
     texts = small_batches(texts).select("text")
+    context = texts.sparkSession.sparkContext
     total = texts.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) / 6 + 1), F.count("*")).first()
-    documents = total[1]
-    bits = max(0, int((total[0] or 1) / (4 * SHARD)).bit_length())  # some words repeat: fewer shards than of pairs
-    n_shards = 1 + int((total[0] or 1) / SHARD)
+    size = int(total[0] or 1)
+    bits = max(0, int(size / (4 * SHARD)).bit_length())  # some words repeat: fewer shards than of pairs
+    model: dict = {"folder": folder, "bits": bits, "shards": 1 + int(size / SHARD), "documents": total[1], "sizes": [0] * (1 << bits)}
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = _Dealer()
-        for _, t in _chunks(batches):
-            n = np.bincount(t.codes, minlength=len(t.hashes))
-            at = np.flatnonzero(n)
-            h = t.hashes[at]
-            yield from dealer.add(h, n[at], (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64))
+        for batch in batches:
+            h = Tokens(batch.column("text")).flat
+            yield from dealer.add(h, h >> _U(64 - bits) if bits else np.zeros(len(h), _U))
         yield from dealer.flush()
 
     def build_words(key: tuple, group: pa.Table) -> pa.Table:
-        hashes, counts = _gathered(group, np.uint64)
+        hashes, counts = _gathered(group)
         universe = 1 << (64 - bits)
         kind = np.uint32 if counts.max(initial=0) < 1 << 32 else np.uint64
-        save(f"{folder}/words-{key[0].as_py()}", encode("words", hashes & np.uint64(universe - 1), universe) | {"counts": counts.astype(kind)})
-        return _done([(key[0].as_py(), len(hashes), counts.sum(), None, None)])
+        save(f"{folder}/words-{key[0].as_py()}", encode("words", hashes & _U(universe - 1), universe) | {"counts": counts.astype(kind)})
+        return _done([(key[0].as_py(), len(hashes), counts.sum(), None, None, None)])
 
-    done = "shard long, entries long, tokens long, context long, successors long"
-    dealt = "shard long, keys binary, counts binary"
-    rows = texts.mapInArrow(count_words, dealt).groupBy("shard").applyInArrow(build_words, done).collect()  # one row per shard
-    sizes = [0] * (1 << bits)
+    rows = texts.mapInArrow(count_words, _DEALT_SQL).groupBy("shard").applyInArrow(build_words, _DONE_SQL).collect()  # one row per shard
     for r in rows:
-        sizes[r["shard"]] = r["entries"]
-    tokens, words = sum(r["tokens"] for r in rows), sum(sizes)
-    hot = max(HOT, tokens // 10_000)
-    model = {"folder": folder, "bits": bits, "sizes": sizes, "shards": n_shards, "tokens": tokens, "words": words, "documents": documents, "hot": hot}
+        model["sizes"][r["shard"]] = r["entries"]
+    model["tokens"], model["words"] = sum(r["tokens"] for r in rows), sum(model["sizes"])
+    model["hot"] = max(HOT, model["tokens"] // 10_000)
+    none = np.empty(0, np.int64)
+    model["spread"], model["hot_pairs"] = (none, none), (none, none)
+    first, width = context.broadcast(dict(model)), model["words"] + 2
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, dealer = _trie(folder, bits, tuple(sizes), n_shards), _Dealer()
-        for _, t in _chunks(batches):
-            ids, counts = trie.words.find(t.hashes)
-            context, before = _contexts(t, ids, counts, words, documents)
-            keys = context * (words + 1) + ids[t.codes]
-            order = np.argsort(keys)
-            first = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0])) if len(keys) else order
-            n = np.diff(np.append(first, len(keys)))
-            at = order[first]
-            yield from dealer.add(keys[at], n, _shards_of(context[at], ids[t.codes[at]], before[at], n_shards, hot))
+        trie, dealer = _trie(folder, "words", first), _Dealer()
+        for batch in batches:
+            _, ids, _, before, n = trie.read(batch.column("text"))
+            yield from dealer.add(before.astype(_U) * _U(width) + ids.astype(_U), trie.shards(before, ids, n > trie.m["hot"]))
         yield from dealer.flush()
 
     def build_pairs(key: tuple, group: pa.Table) -> pa.Table:
-        trie = _trie(folder, bits, tuple(sizes), n_shards)
-        keys, counts = _gathered(group, np.int64)
-        context, successor = keys // (words + 1), keys % (words + 1)
-        first = np.flatnonzero(np.concatenate([[True], np.diff(context) != 0]))
-        contexts, pointers = context[first], np.append(first, len(keys))
-        totals = trie.totals(contexts, words, documents)
-        place = np.repeat(np.arange(len(contexts)), np.diff(pointers))
-        share = np.log10((counts - DISCOUNT) / totals[place])
-        # 256 even steps bound the error of every pair; quantiles would blur the rare ends.
-        levels = np.linspace(share.min(), share.max(), 256).astype(np.float32)
-        code = np.searchsorted((levels[1:] + levels[:-1]) / 2, share).astype(np.uint8)
-        arrays = encode("contexts", contexts, words + 1) | encode("pointers", pointers, len(keys) + 1)
-        arrays |= encode("successors", place * (words + 1) + successor, len(contexts) * (words + 1))
-        save(f"{folder}/pairs-{key[0].as_py()}", arrays | {"code": code, "levels": levels})
-        s, often = key[0].as_py(), np.flatnonzero(totals > hot)
-        spread = [(s, None, None, int(contexts[i]), int(pointers[i + 1] - pointers[i])) for i in often]
-        return _done([(s, len(keys), counts.sum(), None, None), *spread])
-
-    built = texts.mapInArrow(count_pairs, dealt).groupBy("shard").applyInArrow(build_pairs, done)
-    # Back come one row per shard, and the numbers of successors of the few contexts that all shards share.
-    rows = built.groupBy("context").agg(F.sum("successors").alias("successors"), F.collect_set(F.when(F.col("context").isNull(), F.col("shard"))).alias("shards")).collect()
-    model["spread"] = {r["context"]: r["successors"] for r in rows if r["context"] is not None}
-    model["present"] = sorted(s for r in rows if r["context"] is None for s in r["shards"])
-    return model
-
-
-def _contexts(t: Tokens, ids: np.ndarray, counts: np.ndarray, words: int, documents: int) -> tuple[np.ndarray, np.ndarray]:
-    """Id and count of the token before each token; before the first is the start, whose id is `words`."""
-    before = np.roll(t.codes, 1)
-    context, n = ids[before], counts[before]
-    context[t.starts], n[t.starts] = words, documents
-    return context, n
-
-
-class Trie:
-    def __init__(self, folder: str, bits: int, sizes: tuple, n_shards: int):
-        self.folder, self.words, self.n_shards = folder, Vocabulary(folder, bits, list(sizes)), n_shards
-        self._pairs: dict[int, dict] = {}
-
-    def totals(self, ids: np.ndarray, words: int, documents: int) -> np.ndarray:
-        """Occurrences of contexts, by id in ascending order."""
-        out = np.full(len(ids), documents, np.int64)
-        off = self.words.offsets
-        shard = np.searchsorted(off, ids, "right") - 1
-        for s in np.unique(shard[ids < words]):
-            here = np.flatnonzero((shard == s) & (ids < words))
-            out[here] = self.words._shard(int(s))[1][ids[here] - off[s]]
-        return out
-
-    def pairs(self, s: int) -> dict:
-        if s not in self._pairs:
-            arrays = load(f"{self.folder}/pairs-{s}")
-            self._pairs[s] = {k: EliasFano(arrays, k) for k in ("contexts", "pointers", "successors")} | {k: arrays[k] for k in ("code", "levels")}
-        return self._pairs[s]
-
-    def search(self, s: int, context: np.ndarray, word: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-        """Discounted share of each pair (0: not seen) and number of successors of its context in this shard."""
-        level = self.pairs(s)
-        distinct, back = np.unique(context, return_inverse=True)
-        place = level["contexts"].find(distinct)
-        seen = place >= 0
-        n = np.zeros(len(distinct), np.int64)
-        lo = level["pointers"].at(place[seen]).astype(np.int64)
-        n[seen] = level["pointers"].at(place[seen] + 1).astype(np.int64) - lo
-        place, share = place[back], np.zeros(len(context))
-        on = np.flatnonzero(place >= 0)
-        at = level["successors"].find(place[on] * (words + 1) + word[on])
-        hit = at >= 0
-        share[on[hit]] = 10.0 ** level["levels"][level["code"][at[hit]]].astype(np.float64)
-        return share, n[back]
-
+        trie, s = _trie(folder, "words", first), key[0].as_py()
+        keys, counts = _gathered(group)
+        arrays, contexts, pointers, totals = _level_arrays(keys, counts, lambda c, _: trie.totals(c), width, width)
+        save(f"{folder}/pairs-{s}", arrays)
+        spread = [(None, None, None, int(contexts[i]), int(pointers[i + 1] - pointers[i]), None) for i in np.flatnonzero(totals > trie.m["hot"])]
+        often = [(s, None, None, int(i), None, int(counts[i])) for i in np.flatnonzero(counts > trie.m["hot"])]
+        return _done([(s, len(keys), counts.sum(), None, None, None), *spread, *often])
+
+    def built(counted: DataFrame, build) -> list:
+        """One row for each shard, and for each of the few contexts that all shards share."""
+        found = counted.groupBy("shard").applyInArrow(build, _DONE_SQL).where("context is not null")
+        return found.groupBy("shard", "context").agg(F.sum("successors").alias("successors"), F.max("total").alias("total")).collect()
+
+    rows = built(texts.mapInArrow(count_pairs, _DEALT_SQL), build_pairs)
+    spread = sorted((r["context"], r["successors"]) for r in rows if r["total"] is None)
+    often = sorted(((r["shard"] << 32) | r["context"], r["total"]) for r in rows if r["total"] is not None)
+    model["spread"] = tuple(np.array([r[k] for r in spread], np.int64) for k in (0, 1))
+    model["hot_pairs"] = tuple(np.array([r[k] for r in often], np.int64) for k in (0, 1))
+    second = context.broadcast(dict(model))
+
+    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, dealer = _trie(folder, "pairs", second), _Dealer()
+        for batch in batches:
+            t, ids, _, before, n = trie.read(batch.column("text"))
+            shard, at, _, _ = trie.pairs(before, ids, n)
+            after = np.ones(len(ids), bool)
+            after[t.starts] = False
+            after = np.flatnonzero(after)
+            shard, code, _ = trie.codes(shard[after - 1], at[after - 1], ids[after])
+            yield from dealer.add(code.astype(_U) * _U(width) + ids[after].astype(_U), shard)
+        yield from dealer.flush()
 
-@lru_cache(2)
-def _trie(folder: str, bits: int, sizes: tuple, n_shards: int) -> Trie:
-    return Trie(folder, bits, sizes, n_shards)
+    def build_triples(key: tuple, group: pa.Table) -> pa.Table:
+        trie, s = _trie(folder, "pairs", second), key[0].as_py()
+        keys, counts = _gathered(group)
+        known = trie.m["hot_pairs"][1]
+        totals = lambda c, own: np.where(c < _SPREAD, own, known[np.clip(c - _SPREAD, 0, len(known) - 1)]) if len(known) else own
+        arrays, contexts, pointers, all_ = _level_arrays(keys, counts, totals, int(keys[-1]) // width + 1, width)
+        n = np.diff(pointers)
+        code, levels = _quantised(np.log10(DISCOUNT * n / all_))
+        save(f"{folder}/triples-{s}", arrays | {"rest": code, "rest_levels": levels})
+        often = [(None, None, None, int(contexts[i]) - _SPREAD, int(n[i]), None) for i in np.flatnonzero(contexts >= _SPREAD)]
+        return _done([(s, len(keys), counts.sum(), None, None, None), *often])
+
+    rows = built(texts.mapInArrow(count_triples, _DEALT_SQL), build_triples)
+    names, totals = model["hot_pairs"]
+    left = np.ones(len(names))
+    for r in rows:
+        left[r["context"]] = DISCOUNT * r["successors"] / totals[r["context"]]
+    model["hot_pairs"] = names, left
+    return model
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
@@ -290,35 +466,24 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        words, total, n_shards = m["words"], m["tokens"], m["shards"]
-        trie = _trie(m["folder"], m["bits"], tuple(m["sizes"]), n_shards)
-        spread = np.array(sorted(m["spread"]), np.int64)
-        spread_n = np.array([m["spread"][int(x)] for x in spread], np.int64)
-        present = set(m["present"])
-        for part, t in _chunks(batches):
-            ids, counts = trie.words.find(t.hashes)
-            p1 = (counts + SMOOTH) / (total + SMOOTH * (words + 1))
-            context, before = _contexts(t, ids, counts, words, m["documents"])
-            word, base = ids[t.codes], p1[t.codes]
+        trie = _trie(m["folder"], "score", sent)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t, ids, counts, context, before = trie.read(batch.column("text"))
+            base = (counts + SMOOTH) / (m["tokens"] + SMOOTH * (m["words"] + 1))
             p = base.copy()
             after = np.flatnonzero((context >= 0) & (before > 0))
-            # Each different pair is searched once, in the order of its shard and place there.
-            keys, first, back = np.unique(context[after] * (words + 2) + (word[after] + 1), return_index=True, return_inverse=True)
-            at = after[first]
-            c, w, n_before = context[at], word[at], before[at]
-            shard = _shards_of(c, w, n_before, n_shards, m["hot"])
-            share, successors = np.zeros(len(at)), np.zeros(len(at), np.int64)
-            order = np.argsort(shard, kind="stable")
-            for here in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else ():
-                if (s := int(shard[here[0]])) in present:
-                    share[here], successors[here] = trie.search(s, c[here], np.where(w[here] < 0, words, w[here]), words)
-            if len(spread):
-                k = np.minimum(np.searchsorted(spread, c), len(spread) - 1)
-                often = spread[k] == c
-                successors[often] = spread_n[k[often]]
-            p[after] = (share + DISCOUNT * successors / n_before * base[at])[back]
-            sums = [np.add.reduceat(x, t.starts) if len(t.starts) else x for x in (np.log10(base), np.log10(p))]
-            known = np.add.reduceat((counts[t.codes] > 0).astype(np.int64), t.starts) if len(t.starts) else t.lengths
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, (t.lengths, known, *sums))], schema=out)
+            shard, at = np.zeros(len(ids), np.int64), np.full(len(ids), -1, np.int64)
+            shard[after], at[after], share, n = trie.pairs(context[after], ids[after], before[after])
+            p[after] = share + DISCOUNT * n / before[after] * base[after]
+            pair, first = np.roll(at, 1), np.roll(shard, 1)
+            pair[t.starts] = -1
+            after = np.flatnonzero(pair >= 0)
+            share, rest = trie.triples(first[after], pair[after], ids[after])
+            p[after] = share + rest * p[after]
+            sums = [np.add.reduceat(x, t.starts) for x in (np.log10(base), np.log10(p))]
+            known = np.add.reduceat((counts > 0).astype(np.int64), t.starts)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (t.lengths, known, *sums))], schema=out)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")

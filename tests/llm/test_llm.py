@@ -456,6 +456,8 @@ def test_elias_fano(n, universe):
     place = {int(v): i for i, v in enumerate(x)}
     assert e.find(asked).tolist() == [place.get(int(v), -1) for v in asked]
     assert e.at(np.arange(len(x))).tolist() == x.tolist()
+    first, after = e.ranges(np.arange(len(x) - 1))
+    assert first.tolist() == x[:-1].tolist() and after.tolist() == x[1:].tolist()
 
 
 def test_elias_fano_file(tmp_path):
@@ -470,34 +472,41 @@ def test_elias_fano_file(tmp_path):
 def test_trie_scores_equal_brute_force(spark, corpus, monkeypatch, hot):
     monkeypatch.setattr(triemodel, "HOT", hot)
     monkeypatch.setattr(triemodel, "SHARD", 500)
-    rows = [r for r in corpus if r[0] != 204]
+    monkeypatch.setattr(triemodel, "HELD", 900)
+    rows = [*corpus, (205, "Straße STRASSE\x1cé\u3000x \x0b\x0cÉ", "de", None), (206, corpus[3][1] + " " + corpus[4][1] + " unseenword", None, None), (207, "y" * 70_000 + " Y" + "y" * 69_999, None, None)]
     table = docs(spark, rows)
-    train = [r for r in rows if r[0] is None or zlib.crc32(str(r[0]).encode()) % 10]
+    train = [r for r in rows if r[0] is None or (zlib.crc32(str(r[0]).encode()) % 10 and r[0] != 206)]
     model = triemodel.fit(docs(spark, train))
-    assert len(model["present"]) > 3 and (hot > 3 or model["spread"])
+    assert model["shards"] > 3 and (hot > 3 or (len(model["spread"][0]) and len(model["hot_pairs"][0])))
     got = triemodel.score(table, model).collect()
-    tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()), None]
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), None]
     c = collections.Counter(w for r in train for w in tokens(r[1]))
-    pairs = collections.Counter(p for r in train for p in zip(["<s>", *tokens(r[1])], tokens(r[1])))
-    before, kinds = collections.Counter(), collections.Counter()
-    for (v, _), n in pairs.items():
-        before[v] += n
-        kinds[v] += 1
+    start = lambda t: ["<s>", *tokens(t)]
+    pairs = collections.Counter(p for r in train for p in zip(start(r[1]), tokens(r[1])))
+    triples = collections.Counter(p for r in train for p in zip(start(r[1]), tokens(r[1]), tokens(r[1])[1:]))
+    seen, kinds = collections.Counter(), collections.Counter()
+    for (*context, _), n in [*pairs.items(), *triples.items()]:
+        seen[tuple(context)] += n
+        kinds[tuple(context)] += 1
     total, v = sum(c.values()), len(c)
-    assert model["tokens"] == total
+    assert model["tokens"] == total and model["words"] == v
+    down = lambda x, w, counts, lower: max(counts[*x, w] - 0.75, 0) / seen[x] + 0.75 * kinds[x] / seen[x] * lower if seen[x] else lower
     want = collections.defaultdict(list)
     for r in rows:
         t = tokens(r[1])
         p1 = [(c[w] + 0.1) / (total + 0.1 * (v + 1)) for w in t]
-        p2 = [max(pairs[x, w] - 0.75, 0) / before[x] + 0.75 * kinds[x] / before[x] * p if before[x] else p for x, w, p in zip(["<s>", *t], t, p1)]
-        want[r[0]].append((len(t), sum(c[w] > 0 for w in t), sum(map(math.log10, p1)), sum(map(math.log10, p2))))
+        p2 = [down((x,), w, pairs, p) for x, w, p in zip(["<s>", *t], t, p1)]
+        p3 = [down((x, y), w, triples, p) if k else p for k, (x, y, w, p) in enumerate(zip([None, "<s>", *t], ["<s>", *t], t, p2))]
+        want[r[0]].append((len(t), sum(c[w] > 0 for w in t), sum(map(math.log10, p1)), sum(map(math.log10, p3))))
     for r in got:
         n, known, base, full = want[r["doc_id"]][0]
         assert (r["n_tokens"], r["n_known"]) == (n, known) and r["base_score"] == pytest.approx(base)
-        assert abs(r["score"] - full) <= 0.02 * n
+        assert abs(r["score"] - full) <= 0.02 * n, (r, full)
     assert len(got) == len(rows)
     empty = triemodel.score(table, triemodel.fit(table.limit(0))).collect()
     assert len(empty) == len(rows) and all(r["n_known"] == 0 for r in empty)
+    assert triemodel.score(table.limit(0), model).count() == 0
 
 
 @pytest.mark.parametrize("slab", [64, 2])
