@@ -17,9 +17,13 @@ BATCH_ROWS = 1_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or a default where it is unset."""
+    """Folder that driver and executors share: spark.checkpoint.dir, or a default where it is unset and all tasks run
+    in this process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir: {master} has executors on other machines")
         spark.sparkContext.setCheckpointDir(DEFAULT_SHARED)
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -101,7 +105,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def small_batches(df: DataFrame) -> DataFrame:
     """df, with Arrow batches of at most BATCH_ROWS rows in its session: texts are long, and every Python worker holds
-    a batch as Arrow and as strings."""
+    a batch as Arrow and as strings. A larger setting of the session stays lowered, because plans read it when they run."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= BATCH_ROWS:
         conf.set(key, str(BATCH_ROWS))

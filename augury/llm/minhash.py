@@ -238,8 +238,9 @@ def _across(star: DataFrame, first: DataFrame, nodes: DataFrame, docs: DataFrame
     percent = round(100 * similarity)
     under = star.select(F.col("a").alias("lead"), F.col("b").alias("node")).unionByName(star.select(F.col("a").alias("lead"), F.col("a").alias("node")).distinct())
     under = under.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = under.groupBy("lead").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where("lo < hi and c > 2").select("lead")
-    under = under.join(mixed, "lead").join(nodes.select("node", "n"), "node")
+    # Most leads have one component only. Written, so that the join below is dealt by itself and Spark can split a lead.
+    mixed = written(under.groupBy("lead").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where("lo < hi and c > 2").select("lead"), "mixed")
+    under = written(under.join(mixed, "lead"), "under").join(nodes.select("node", "n"), "node")
     under = under.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / -np.log(similarity)).cast("long"))
     placed = ranked(under, ["lead", "class", "root", "node"])
     begin = placed.groupBy("lead", "class").agg(F.min("rank").alias("begin"))

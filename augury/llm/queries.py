@@ -97,7 +97,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality(docs, table(spark, sf_dir, "labels")).select("row.doc_id", "row.lang", "n_symbols", "perplexity", "threshold", "accepted")
+    return quality(docs, table(spark, sf_dir, "labels")).select("row.doc_id", "row.lang", "n_symbols", "perplexity", "threshold", "slack", "accepted")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

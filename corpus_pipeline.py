@@ -40,13 +40,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(docs, roots=True)
     each = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     alone = F.when(F.col("root").isNull(), F.struct("doc_id", "text_hash"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("n").alias("__n")))
-    kept = written(each.groupBy("root", alone.alias("alone")).agg(first.alias("x")).select("x.__id", "x.__hash", "x.__n"), "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    once = docs.join(kept.where("__n = 1"), same, "left_semi")
-    repeated = docs.join(kept.where("__n > 1"), same, "left_semi")
-    row = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
-    return once.unionByName(repeated.groupBy("doc_id", F.xxhash64("text").alias("__hash")).agg(row).select("row.*"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"), F.col("n").alias("n")))
+    kept = written(each.groupBy("root", alone.alias("alone")).agg(first.alias("x")).select("x.k_id", "x.k_hash", "x.n"), "kept")
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("k_id")) & (F.col("hash") == F.col("k_hash"))
+    once = packed.join(kept.where("n = 1"), same, "left_semi").select("row")
+    repeated = packed.join(kept.where("n > 1"), same, "left_semi")
+    one = repeated.groupBy("id", "hash").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return once.unionByName(one).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -605,7 +605,7 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     rows += [(200, None, "en", None), (201, "", None, None), (None, clean[0], "fr", None), (202, " ".join(clean) * 50, "en", None), (3, clean[3], "en", None)]
     table = docs(spark, rows)
     trusted = table.where("doc_id < 40")
-    found = kneserney.judged(table, trusted).select("row.doc_id", "row.text", "accepted", "perplexity", "threshold", "n_symbols").collect()
+    found = kneserney.judged(table, trusted).select("row.doc_id", "row.text", "accepted", "perplexity", "threshold", "slack", "n_symbols").collect()
     got = {r["doc_id"]: r["accepted"] for r in found}
     assert len(found) == len(rows) and sum(got[i] for i in range(60)) >= 58 and got[202]
     assert not any(got[100 + i] for i in range(10)) and not got[200] and not got[201]
@@ -617,7 +617,7 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     own = lambda t: -dense[kneserney.codes(kneserney.symbols(t, alphabet))].astype(float).sum() / len(t)
     for r in found:
         if r["text"]:
-            assert math.log(r["perplexity"]) == pytest.approx(own(r["text"]), abs=1e-4) and r["accepted"] == (r["perplexity"] <= r["threshold"])
+            assert math.log(r["perplexity"]) == pytest.approx(own(r["text"]), abs=1e-4) and r["accepted"] == (math.log(r["perplexity"]) <= math.log(r["threshold"]) + r["slack"] + 1e-12)
     held = [own(r["text"]) for r in found if r["doc_id"] in set(ids) - chosen]
     mixed = sorted((math.ceil(v / kneserney.STEP), 1 + kneserney.COMMON / len(held)) for v in held)
     run = np.cumsum([n for _, n in mixed])
@@ -632,7 +632,9 @@ def test_quantiles(spark):
     x, y = rng.random(500), rng.random(3) / 10
     frame = spark.createDataFrame([("a", float(v)) for v in x] + [(None, float(v)) for v in y], "lang string, value double")
     for common in (0, 20):
-        got = {r["lang"]: r["limit"] for r in kneserney.quantiles(frame, 0.9, common).collect()}
+        rows = kneserney.quantiles(frame, 0.9, common).collect()
+        got = {r["lang"]: r["limit"] for r in rows}
+        assert common or next(r["error"] for r in rows if r["lang"] == "a") == pytest.approx(np.std(x) / math.sqrt(500), rel=1e-2)
         for lang, own in (("a", x), (None, y)):
             weighted = sorted([(v, 1.0) for v in own] + [(v, common / 503) for v in [*x, *y]])
             run = np.cumsum([w for _, w in weighted])

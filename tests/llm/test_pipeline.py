@@ -109,7 +109,7 @@ def test_near_dedup_keeps_one_row_of_each_group(spark, inputs):
     far = " ".join(words[::2])
     rows = [(1, text, "en", "a")] * 5 + [(1, near, "en", "a"), (2, text, "en", "a"), (None, text, "en", "a")]  # one group
     rows += [(None, other, "en", "b")] * 3 + [(None, far, "en", "c")] * 2 + [(7, " ", "en", "d")] * 2 + [(8, " ", "en", "d"), (9, "alone", "en", "d")]
-    table = spark.createDataFrame([(*r, 0) for r in rows], DOCS)
+    table = spark.createDataFrame([(*r, 0, "p", "q", "r") for r in rows], DOCS + ", k_id string, hash string, row string")
     got = corpus_pipeline.near_dedup(spark, table, folder)
     assert got.columns == table.columns
     got = [(r["doc_id"], r["text"]) for r in got.collect()]
