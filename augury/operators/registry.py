@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from augury.operators import tables
 
 #: Categories that count as primary when found among tags: fixed values, in order of preference.
-PRIMARY = ("politics", "sports", "crypto", "finance", "science", "culture")
-SCHEMA = "id string, conditionId string, clobTokenIds string, outcomes string, outcomePrices string, tags string, category string, closed string, createdAt string"
+PRIMARY = ("politics", "sports", "crypto", "weather", "economy", "economics", "finance", "tech", "science", "pop-culture")
+#: Labels that say which outcome is which; they may not stand twice. Fixed values.
+LABELS = ("YES", "NO", "UP", "DOWN")
+FIELDS = ("id", "gamma_market_id", "conditionId", "condition_id", "clobTokenIds", "clob_token_ids", "outcomes", "outcomePrices", "outcome_prices", "tags", "category", "categories", "closed", "createdAt", "created_at", "events", "slug")
+EVENT_FIELDS = ("id", "slug", "tags", "category", "subcategory", "categories")
 
 
 def collapsed(text: Column) -> Column:
@@ -18,9 +24,33 @@ def collapsed(text: Column) -> Column:
     return F.when(out != "", out)
 
 
+def _list(text: Column) -> Column:
+    """A JSON list as texts of its entries; null if it is none."""
+    return F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>"))
+
+
 def sequence_of(text: Column) -> Column:
-    """A list that comes as JSON array or as JSON text of one."""
-    return F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))
+    """A list that comes as JSON array or as JSON text of one; empty if there is none."""
+    return F.coalesce(_list(text), F.array().cast("array<string>"))
+
+
+def malformed(text: Column) -> Column:
+    """Whether something is there that is no list."""
+    return text.isNotNull() & (text != "") & _list(text).isNull()
+
+
+def labelled(entry: Column) -> Column:
+    """A tag or category: its text, or the slug or else the label of an object, in lower case; null if empty."""
+    thing = entry.rlike(r"^\s*\{")
+    named = F.coalesce(F.nullif(F.get_json_object(entry, "$.slug"), F.lit("")), F.get_json_object(entry, "$.label"))
+    return F.lower(collapsed(F.when(thing, named).otherwise(entry)))
+
+
+def tags_of(*texts: Column) -> Column:
+    """Distinct tags of several fields in order; a field may be a list, JSON text of one, an object or a bare tag."""
+    items = lambda t: F.when(t.isNull() | (t == ""), F.array().cast("array<string>")).otherwise(F.coalesce(_list(t), F.array(t)))
+    found = F.transform(F.concat(*map(items, texts)), labelled)
+    return F.array_distinct(F.filter(found, lambda x: x.isNotNull()))
 
 
 def boolean(text: Column) -> Column:
@@ -35,36 +65,122 @@ def moment(text: Column) -> Column:
     return F.unix_micros(F.try_to_timestamp(plain))
 
 
-def category(explicit: Column, tags: Column) -> Column:
-    first = F.get(F.filter(F.array(*map(F.lit, PRIMARY)), lambda t: F.array_contains(tags, t)), 0)
-    return F.coalesce(F.lower(collapsed(explicit)), first, F.get(tags, 0), F.lit("other"))
+def category(candidates: list[Column], lists: Column, tags: Column) -> Column:
+    """The first category named; else the first primary one among the tags, the first tag, or `other`."""
+    primary = F.get(F.filter(F.array(*map(F.lit, PRIMARY)), lambda t: F.array_contains(tags, t)), 0)
+    listed = F.get(F.filter(F.transform(lists, labelled), lambda x: x.isNotNull()), 0)
+    return F.coalesce(*map(labelled, candidates), listed, primary, F.get(tags, 0), F.lit("other"))
+
+
+def event_markets(roots: DataFrame) -> DataFrame:
+    """Rows (id, ordinal, payload, event) of the markets that event pages (id, payload: JSON text) nest; payload is the
+    market's JSON and event the page's. Pages that are no objects have none."""
+    rows = roots.select("id", F.col("payload").alias("event"), F.get_json_object("payload", "$.markets").alias("__m"))
+    each = rows.select("id", "event", F.posexplode(sequence_of(F.col("__m"))).alias("ordinal", "payload"))
+    return each.where(F.col("payload").rlike(r"^\s*\{")).select("id", "ordinal", "payload", "event")
 
 
 def normalize_markets(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(markets, rejects with the first reason) from rows (id, payload: JSON text)."""
-    rows = pages.select("id", F.from_json("payload", SCHEMA).alias("m")).select("id", *[F.col(f"m.{c.split()[0]}").alias(c.split()[0]) for c in SCHEMA.split(", ")[1:]], F.col("m.id").alias("own_id"))
+    """(markets, rejects with the first reason) from rows (id, payload: JSON text) and, optionally, event: JSON text of
+    the event that the market was found in; without it the first of the market's own events counts."""
+    extra = [c for c in ("ordinal",) if c in pages.columns]
+    given = F.col("event") if "event" in pages.columns else F.lit(None).cast("string")
+    # Rows that are no objects have null fields, and are rejected for that.
+    rows = pages.select("id", *extra, F.from_json("payload", ", ".join(f"{c} string" for c in FIELDS)).alias("m"), given.alias("event"))
+    m = lambda *names: F.coalesce(*[F.nullif(F.col(f"m.{n}"), F.lit("")) for n in names])
+    first_event = F.get(F.coalesce(_list(F.col("m.events")), F.array().cast("array<string>")), 0)
+    event = F.from_json(F.coalesce("event", first_event), ", ".join(f"{c} string" for c in EVENT_FIELDS))
+    rows = rows.withColumn("e", event)
+    condition = F.lower(collapsed(m("conditionId", "condition_id")))
+    names = lambda text: F.transform(sequence_of(text), lambda x: F.coalesce(collapsed(x), F.lit("")))
+    tokens, outcomes, prices = m("clobTokenIds", "clob_token_ids"), m("outcomes"), m("outcomePrices", "outcome_prices")
     rows = rows.select(
-        "id", "own_id", F.lower(collapsed(F.col("conditionId"))).alias("condition_id"), sequence_of(F.col("clobTokenIds")).alias("tokens"),
-        F.transform(sequence_of(F.col("outcomes")), lambda x: F.coalesce(collapsed(x), F.lit(""))).alias("outcomes"),
-        F.transform(sequence_of(F.col("outcomePrices")), lambda x: x.try_cast("decimal(20,10)")).alias("prices"),
-        F.array_distinct(F.filter(F.transform(sequence_of(F.col("tags")), lambda x: F.lower(collapsed(x))), lambda x: x.isNotNull())).alias("tags"),
-        "category", "closed", boolean(F.col("closed")).alias("is_closed"), "createdAt", moment(F.col("createdAt")).alias("created_us"),
+        "id", *extra, collapsed(m("id", "gamma_market_id")).alias("own_id"), F.when(condition.startswith("0x"), condition).otherwise(F.concat(F.lit("0x"), condition)).alias("condition_id"),
+        names(tokens).alias("tokens"), names(outcomes).alias("outcomes"), F.transform(sequence_of(prices), lambda x: x.try_cast("decimal(20,10)")).alias("prices"),
+        *[malformed(c).alias(f"bad_{n}") for c, n in ((tokens, "tokens"), (outcomes, "outcomes"), (prices, "prices"))],
+        tags_of(F.col("m.tags"), F.col("e.tags")).alias("tags"), F.col("e.id").alias("event_id"), F.col("e.slug").alias("event_slug"),
+        F.array(*[F.col(c) for c in ("m.category", "e.category", "e.subcategory")]).alias("named"), F.coalesce(_list(F.col("e.categories")), sequence_of(F.col("m.categories"))).alias("listed"),
+        F.col("m.closed").alias("closed"), F.when(F.col("m.closed").isNull(), True).otherwise(boolean(F.col("m.closed"))).alias("is_closed"), m("createdAt", "created_at").alias("created"), moment(m("createdAt", "created_at")).alias("created_us"),
     )
+    upper = F.transform("outcomes", F.upper)
+    rows = rows.withColumn("upper", upper)
     reason = (
-        F.when(F.col("own_id").isNull(), "not an object").when(F.col("condition_id").isNull(), "no condition")
-        .when((F.size("tokens") != 2) | (F.size(F.array_distinct("tokens")) != 2), "two distinct tokens required")
-        .when((F.size("outcomes") != 2) | F.array_contains("outcomes", ""), "two outcomes required")
-        .when(F.exists("prices", lambda x: F.coalesce(~x.between(0, 1), F.lit(True))), "price out of range")
-        .when(F.col("closed").isNotNull() & F.col("is_closed").isNull(), "not a boolean").when(F.col("createdAt").isNotNull() & F.col("created_us").isNull(), "not a time")
+        F.when(F.col("own_id").isNull(), "no id").when(F.col("condition_id").isNull(), "no condition").when(F.col("bad_tokens"), "tokens are no list")
+        .when((F.size("tokens") != 2) | F.array_contains("tokens", "") | (F.size(F.array_distinct("tokens")) != 2), "two distinct tokens required")
+        .when(F.col("bad_outcomes"), "outcomes are no list").when((F.size("outcomes") != 2) | F.array_contains("outcomes", ""), "two outcomes required")
+        .when((F.get("upper", 0) == F.get("upper", 1)) & F.get("upper", 0).isin(*LABELS), "outcomes are the same label").when(F.col("bad_prices"), "prices are no list")
+        .when((F.size("prices") > 0) & (F.size("prices") != 2), "two prices required").when(F.exists("prices", lambda x: F.coalesce(~x.between(0, 1), F.lit(True))), "price out of range")
+        .when(F.col("is_closed").isNull(), "not a boolean").when(F.col("created").isNotNull() & F.col("created_us").isNull(), "not a time")
     )
     good, bad = tables.split(rows.withColumn("reason", reason))
-    upper = F.transform("outcomes", F.upper)
-    yes = F.coalesce(F.nullif(F.array_position(upper, F.lit("YES")), F.lit(0)), F.nullif(F.array_position(upper, F.lit("UP")), F.lit(0)), F.lit(1)).cast("int")
+    # Only the full pairs Yes and No, or Up and Down, name their sides; other labels keep their order.
+    swapped = ((F.get("upper", 0) == "NO") & (F.get("upper", 1) == "YES")) | ((F.get("upper", 0) == "DOWN") & (F.get("upper", 1) == "UP"))
+    yes = F.when(swapped, 2).otherwise(1)
     other = F.lit(3) - yes
     return good.select(
-        "id", "condition_id", F.element_at("tokens", yes).alias("yes_token"), F.element_at("tokens", other).alias("no_token"),
-        F.element_at("outcomes", yes).alias("yes_outcome"), F.element_at("outcomes", other).alias("no_outcome"), "tags", category(F.col("category"), F.col("tags")).alias("category"), "is_closed", "created_us",
-    ), bad.select("id", "reason")
+        "id", *extra, "condition_id", F.element_at("tokens", yes).alias("yes_token"), F.element_at("tokens", other).alias("no_token"), F.element_at("outcomes", yes).alias("yes_outcome"), F.element_at("outcomes", other).alias("no_outcome"),
+        F.get("prices", yes - 1).alias("yes_price"), F.get("prices", other - 1).alias("no_price"), "tags", category([F.get("named", k) for k in range(3)], F.col("listed"), F.col("tags")).alias("category"), "event_id", "event_slug", "is_closed", "created_us",
+    ), bad.select("id", *extra, "reason")
+
+
+#: Versions of catalogue rows, and the kind of their tokens: fixed values.
+KINDS = {"1": "CLOB_TOKEN_ID", "2": "POSITION_ID"}
+
+
+def catalog_identity(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(eligible, excluded, unresolved with reason) of catalogue rows: id, conditionId, version, clobTokenIds, positionIds,
+    outcomes (JSON lists), closed, enableOrderBook (booleans or null).
+
+    Version 1 is identified by its order-book tokens, version 2 by its positions. Rows that are closed or have no order
+    book are excluded before their identity is looked at.
+    """
+    version = F.regexp_replace(F.lower(F.coalesce("version", F.lit("1"))), "^v", "")
+    kind = F.when(version == "1", KINDS["1"]).when(version == "2", KINDS["2"])
+    assets = F.when(version == "1", sequence_of(F.col("clobTokenIds"))).otherwise(sequence_of(F.col("positionIds")))
+    marked = rows.withColumns({"__version": version, "asset_id_kind": kind, "assets": assets, "__outcomes": sequence_of(F.col("outcomes"))})
+    out = F.coalesce(F.col("closed"), F.lit(False)) | ~F.coalesce(F.col("enableOrderBook"), F.lit(True))
+    binary = (F.size("assets") == 2) & (F.size(F.array_distinct("assets")) == 2) & F.forall("assets", lambda t: F.coalesce(t.rlike("^[0-9]+$"), F.lit(False)))
+    reason = (
+        F.when(F.col("asset_id_kind").isNull(), "UNSUPPORTED_MARKET_VERSION").when(~binary, "UNRESOLVED_BINARY_IDENTITY").when(F.size("__outcomes") != F.size("assets"), "OUTCOME_MAPPING_MISSING")
+        .when(F.col("conditionId").isNull() | (F.col("conditionId") == "") | F.col("id").isNull(), "MARKET_ID_MISSING")
+    )
+    marked = marked.withColumns({"__out": out, "reason": reason})
+    eligible = marked.where("not __out and reason is null").select("id", F.col("conditionId").alias("market"), F.col("__version").alias("version"), "asset_id_kind", "assets", F.col("__outcomes").alias("outcomes"))
+    return eligible, marked.where("__out").select("id", "closed", "enableOrderBook"), marked.where("not __out and reason is not null").select("id", "reason")
+
+
+def identity_classes(markets: DataFrame) -> DataFrame:
+    """Markets without an id of the catalogue (market_id, category, slug, tags, condition_id) with the one class that their
+    marks name, and the number of marks."""
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    tagged, named = lambda t: F.contains(low("tags"), F.lit(t)), lambda p: low("slug").startswith(p)
+    marks = {
+        "legacy_placeholder": (low("category") == "orderfilled-placeholder") | named("trade-indexer-placeholder-"),
+        "legacy_combo": tagged("data-api-combo") | (named("combo-") & tagged("combo")),
+        "legacy_ghost": low("category").isin("ghost", "[ghost]") | named("ghost-market-") | (tagged("orphaned") & tagged("unknown")),
+        "chain_v2": named("onchain-condition-v2-"),
+        "invalid_shell": F.trim(low("condition_id")) == "0x" + "0" * 64,
+    }
+    count = sum((m.cast("long") for m in marks.values()), F.lit(0).cast("long"))
+    return markets.select("market_id", F.coalesce(*[F.when(m, F.lit(k)) for k, m in marks.items()]).alias("target_kind"), count.alias("marks"))
+
+
+def identity_gate(classes: DataFrame) -> DataFrame:
+    """One row: markets by class, those without a mark and those with several; `passed` if neither of these is there."""
+    kinds = ("legacy_placeholder", "legacy_combo", "legacy_ghost", "chain_v2", "invalid_shell")
+    out = classes.agg(F.count("*").alias("total"), *[F.count_if(F.col("target_kind") == k).alias(k) for k in kinds], F.count_if(F.col("marks") == 0).alias("unclassified"), F.count_if(F.col("marks") > 1).alias("overlapping"))
+    return out.withColumn("passed", (F.col("unclassified") == 0) & (F.col("overlapping") == 0))
+
+
+def rule_violations(markets: DataFrame) -> DataFrame:
+    """Markets (market_id, identity_kind, gamma_market_id) that break a rule, with each rule they break."""
+    known = ("canonical_gamma", "protocol_structural", "official_combo", "canonical_clob", "legacy_placeholder", "legacy_combo", "legacy_ghost", "chain_v2", "invalid_shell")
+    source = F.coalesce(F.trim("gamma_market_id") != "", F.lit(False))
+    broken = tables.reasons(
+        (F.col("identity_kind").isin(*known), "identity kind"), ((F.col("identity_kind") != "canonical_gamma") | source, "canonical without source"),
+        (~source | F.col("identity_kind").isin("canonical_gamma", "canonical_clob"), "source without canonical kind"),
+    )
+    return markets.select("market_id", F.explode(broken).alias("rule"))
 
 
 def filter_claims(claims: DataFrame, owned: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,28 +207,82 @@ def failure_key(*parts: str) -> Column:
     return F.sha2(F.to_json(F.array(*[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts])), 256)
 
 
+def _states(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs the entries' states over rows sorted by market and seq; only the state of the market at hand is kept."""
+    market, state, own = None, None, None
+    for frame in rows:
+        out = []
+        for name, action, body, source, taken in zip(frame["market"], frame["action"], frame["body"], frame["source"], frame["taken"]):
+            if name != market:
+                market, state, own = name, None, None
+            state, own, change = moved(state, own, action, body, source, taken)
+            out.append((state, change))
+        yield frame[["market", "seq"]].assign(state=[s for s, _ in out], change=[c for _, c in out])
+
+
+REVALIDATED = "GAMMA_KNOWN_ID_REVALIDATION"
+
+
+def moved(state: str | None, own: str | None, action: str, body: str | None, source: str | None, taken: bool) -> tuple[str | None, str | None, str | None]:
+    """State and identity of an entry after an event, and the kind of change, if it made one."""
+    if action == "RESOLVE":
+        return ("TERMINAL", own, "TERMINAL") if state != "TERMINAL" else (state, own, None)
+    if action == "NEW":
+        return ("PENDING_VALIDATION", own, "PENDING_VALIDATION") if state is None else (state, own, None)
+    if action == "EXCLUDE":
+        return ("EXCLUDED_SCOPE", own, "SCOPE_EXCLUDED") if state not in (None, "TERMINAL", "EXCLUDED_SCOPE") else (state, own, None)
+    if state in ("TERMINAL", "QUARANTINED") or (state == "EXCLUDED_SCOPE" and source != REVALIDATED):
+        return state, own, None
+    if own is not None and own != body:
+        return "QUARANTINED", own, "IDENTITY_QUARANTINED"
+    if own == body and state == "ELIGIBLE":
+        return state, own, None
+    return ("QUARANTINED", body, "TOKEN_OWNERSHIP_CONFLICT") if taken else ("ELIGIBLE", body, "UPSERT")
+
+
 def catalog_fold(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(state, changes) of catalogue entries from events (id, seq, action): UPSERT makes an entry eligible, unless it is
-    terminal; QUARANTINE, EXCLUDE and PENDING set their state unless it is terminal; TERMINAL is final. changes has one
-    row for each event that moved an entry, with its revision."""
-    w = tables.Window.partitionBy("id").orderBy("seq")
-    to = F.create_map(*[F.lit(x) for pair in (("UPSERT", "ELIGIBLE"), ("QUARANTINE", "QUARANTINED"), ("EXCLUDE", "EXCLUDED_SCOPE"), ("PENDING", "PENDING_VALIDATION"), ("TERMINAL", "TERMINAL")) for x in pair])
-    over = F.max((F.col("action") == "TERMINAL").cast("int")).over(w.rowsBetween(tables.Window.unboundedPreceding, -1))
-    rows = events.withColumn("state", F.when(F.coalesce(over, F.lit(0)) == 1, "TERMINAL").otherwise(F.try_element_at(to, F.col("action"))))
-    before = F.lag("state").over(w)
-    moved = rows.withColumn("__moved", ~before.eqNullSafe(F.col("state"))).where("__moved").withColumn("revision", F.row_number().over(w)).drop("__moved")
-    return moved.groupBy("id").agg(F.max_by("state", "seq").alias("state"), F.max("revision").alias("revision")), moved.select("id", "seq", "state", "revision")
-
-
-def probe_health(probes: DataFrame, limit_ms: int = 2_000, needed: int = 3) -> DataFrame:
-    """Outcome of each probe of a connection and whether the last `needed` ones were all good: a pong right after its
-    ping is good if quick enough; a ping after an unanswered ping is ambiguous and bad; other pongs are ignored."""
-    w = tables.Window.partitionBy("connection").orderBy("ms", "id")
+    """(state, changes) of catalogue entries from events (market, seq, action, body, assets, source).
+
+    UPSERT makes an entry eligible, but not a terminal or quarantined one, and an excluded one only if its source is a
+    revalidation; another body than the entry's quarantines it, as does an asset that another entry owns already: the
+    entry whose accepted UPSERT came first. EXCLUDE takes any entry that is there out of scope; NEW makes it pending if it is
+    not there; RESOLVE is final. changes has one row for each event that moved an entry, with its revision. seq is
+    unique. Each market's events are folded in order within sorted partitions, one row at a time.
+    """
+    w = tables.Window.partitionBy("market").orderBy("seq")
+    claims = events.where("action = 'UPSERT'").select("market", "seq", F.explode("assets").alias("asset"))
+    taken, before = None, None
+    # Who owns an asset depends on which claims were accepted, and that on who owns the others: repeated until it is stable.
+    while True:
+        marked = events.withColumn("taken", F.lit(False)) if taken is None else events.join(taken, ["market", "seq"], "left").withColumn("taken", F.coalesce("taken", F.lit(False)))
+        dealt = marked.select("market", "seq", "action", "body", "source", "taken").repartition("market").sortWithinPartitions("market", "seq")
+        folded = dealt.mapInPandas(_states, "market long, seq long, state string, change string").persist()
+        first = claims.join(folded.where("change = 'UPSERT'").select("market", "seq"), ["market", "seq"]).groupBy("asset").agg(F.min_by(F.struct("market", "seq"), "seq").alias("o"))
+        found = claims.join(first, "asset").where((F.col("o.market") != F.col("market")) & (F.col("o.seq") < F.col("seq"))).select("market", "seq").distinct().withColumn("taken", F.lit(True)).persist()
+        now = found.agg(F.count("*"), F.sum(F.xxhash64("market", "seq").cast("decimal(38,0)"))).first()
+        if now == before:
+            break
+        taken, before = found, now
+    changes = folded.where("change is not null").withColumn("revision", F.row_number().over(w))
+    return folded.where("state is not null").groupBy("market").agg(F.max_by("state", "seq").alias("state")).join(changes.groupBy("market").agg(F.max("revision").alias("revision")), "market"), changes.select("market", "seq", "state", "change", "revision")
+
+
+def probe_health(probes: DataFrame, limit_ms: int = 2_000, needed: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(answered probes, sessions) from pings and pongs (id, connection, session, kind, ms).
+
+    A pong answers the one ping that is outstanding; a pong without one is unmatched. A ping while another is outstanding
+    makes its session ambiguous, and so it stays: nothing in it is matched any more. An answer later than limit_ms is late;
+    a connection is healthy while the last `needed` answers of its session were all in time.
+    """
+    w = tables.Window.partitionBy("connection", "session").orderBy("ms", "id")
     rows = probes.withColumns({"__kind": F.lag("kind").over(w), "__ms": F.lag("ms").over(w)})
-    rows = rows.where("__kind = 'PING'").withColumn("good", (F.col("kind") == "PONG") & (F.col("ms") - F.col("__ms") <= limit_ms))
-    runs = w.rowsBetween(1 - needed, 0)
-    good = F.sum(F.col("good").cast("int")).over(runs)
-    return rows.select("id", "connection", "kind", (F.col("ms") - F.col("__ms")).alias("rtt_ms"), "good", (good == needed).alias("healthy"))
+    overlap = (F.col("kind") == "PING") & F.coalesce(F.col("__kind") == "PING", F.lit(False))
+    rows = rows.withColumn("ambiguous", F.max(overlap).over(w))
+    rows = rows.withColumn("matched", (F.col("kind") == "PONG") & F.coalesce(F.col("__kind") == "PING", F.lit(False)) & ~F.col("ambiguous"))
+    answers = rows.where("matched").withColumn("rtt_ms", F.col("ms") - F.col("__ms")).withColumn("late", F.col("rtt_ms") > limit_ms)
+    good = F.sum((~F.col("late")).cast("int")).over(w.rowsBetween(1 - needed, 0))
+    sessions = rows.groupBy("connection", "session").agg(F.count_if(F.col("kind") == "PING").alias("pings"), F.count_if("matched").alias("answers"), F.count_if((F.col("kind") == "PONG") & ~F.col("matched")).alias("unmatched"), F.max("ambiguous").alias("ambiguous"))
+    return answers.select("id", "connection", "session", "rtt_ms", "late", (good == needed).alias("healthy")), sessions
 
 
 def upsert_registry(rows: DataFrame, markets: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

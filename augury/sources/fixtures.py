@@ -94,9 +94,9 @@ def readiness(d: Dialect) -> str:
 
 
 def probes(d: Dialect) -> str:
-    """Ping and pong events of connections: id, connection, kind, ms."""
+    """Ping and pong events of connections: id, connection, session, kind, ms."""
     return f"""
-        SELECT event_id AS id, user_id AS connection, CASE event_type WHEN 'click' THEN 'PING' ELSE 'PONG' END AS kind, {d.millis('ts')} AS ms
+        SELECT event_id AS id, user_id AS connection, {d.div('event_id', 200)} AS session, CASE event_type WHEN 'click' THEN 'PING' ELSE 'PONG' END AS kind, {d.millis('ts')} AS ms
         FROM {{events}} WHERE event_type IN ('click', 'view')"""
 
 
@@ -150,12 +150,14 @@ def pages(d: Dialect) -> str:
     same = f"CASE WHEN {p} % 23 = 5 THEN {token(1)} ELSE {token(2)} END"
     return f"""
         SELECT {p} AS id, CASE WHEN {p} % 41 = 7 THEN chr(123) || 'broken' ELSE chr(123) || {text("'id'")} || ':' || cast({p} AS varchar(20))
-            || ',' || {text("'conditionId'")} || ':' || CASE WHEN {p} % 31 = 3 THEN 'null' ELSE {text("'0x' || " + d.hex64(p + ' + 900'))} END
+            || ',' || {text("'conditionId'")} || ':' || CASE WHEN {p} % 31 = 3 THEN 'null' WHEN {p} % 33 = 1 THEN {text(d.hex64(p + ' + 900'))} ELSE {text("'0x' || " + d.hex64(p + ' + 900'))} END
             || ',' || {text("'clobTokenIds'")} || ':' || CASE {p} % 2 WHEN 0 THEN {text("'[' || " + quoted(token(1)) + " || ',' || " + quoted(same) + " || ']'")} ELSE '[' || {text(token(1))} || ',' || {text(same)} || ']' END
             || ',' || {text("'outcomes'")} || ':' || CASE {p} % 5 WHEN 0 THEN '[' || {text("'Yes'")} || ',' || {text("'No'")} || ']' WHEN 1 THEN '[' || {text("' no '")} || ',' || {text("'YES'")} || ']'
                 WHEN 2 THEN '[' || {text("'Down'")} || ',' || {text("'Up'")} || ']' WHEN 3 THEN '[' || {text("'Team   A'")} || ',' || {text("'Team B'")} || ']' ELSE CASE {p} % 3 WHEN 0 THEN '[' || {text("''")} || ',' || {text("'x'")} || ']' ELSE '[' || {text("'x'")} || ']' END END
-            || ',' || {text("'outcomePrices'")} || ':[' || {text("'0.' || cast(" + p + " % 10 AS varchar(2))")} || ',' || {text("CASE WHEN " + p + " % 19 = 2 THEN '1.5' ELSE '0.5' END")} || ']'
-            || ',' || {text("'tags'")} || ':[' || {text("p_brand")} || ',' || {text("CASE " + p + " % 4 WHEN 0 THEN 'Sports' WHEN 1 THEN 'Crypto' ELSE 'other-things' END")} || ',' || {text("lower(p_brand)".replace('lower', 'upper'))} || ']'
+            || ',' || {text("'outcomePrices'")} || ':' || CASE WHEN {p} % 47 = 9 THEN {text("'not json'")} WHEN {p} % 43 = 8 THEN '[' || {text("'0.5'")} || ']' ELSE '[' || {text("'0.' || cast(" + p + " % 10 AS varchar(2))")} || ',' || {text("CASE WHEN " + p + " % 19 = 2 THEN '1.5' ELSE '0.5' END")} || ']' END
+            || ',' || {text("'tags'")} || ':' || CASE WHEN {p} % 15 = 7 THEN {text("'Solo  Tag'")} ELSE '[' || CASE {p} % 9 WHEN 2 THEN chr(123) || {text("'slug'")} || ':' || {text("'Tech'")} || chr(125) WHEN 5 THEN chr(123) || {text("'slug'")} || ':' || {text("''")} || ',' || {text("'label'")} || ':' || {text("'Label X'")} || chr(125) ELSE {text("p_brand")} END || ',' || {text("CASE " + p + " % 4 WHEN 0 THEN 'Sports' WHEN 1 THEN 'Crypto' ELSE 'other-things' END")} || ',' || {text("lower(p_brand)".replace('lower', 'upper'))} || ']' END
+            || CASE {p} % 8 WHEN 3 THEN ',' || {text("'events'")} || ':[' || chr(123) || {text("'id'")} || ':' || {text("'e5'")} || ',' || {text("'slug'")} || ':' || {text("'ev'")} || ',' || {text("'tags'")} || ':[' || chr(123) || {text("'slug'")} || ':' || {text("'Weather'")} || chr(125) || ']'
+                || CASE {p} % 3 WHEN 1 THEN ',' || {text("'categories'")} || ':[' || chr(123) || {text("'label'")} || ':' || {text("'Cat  L'")} || chr(125) || ']' ELSE '' END || chr(125) || ']' ELSE '' END
             || ',' || {text("'category'")} || ':' || CASE {p} % 6 WHEN 1 THEN {text("'  Politics '")} ELSE 'null' END
             || ',' || {text("'closed'")} || ':' || CASE {p} % 4 WHEN 0 THEN 'true' WHEN 1 THEN {text("'FALSE'")} WHEN 2 THEN '1' ELSE CASE {p} % 37 WHEN 11 THEN {text("'maybe'")} ELSE 'null' END END
             || ',' || {text("'createdAt'")} || ':' || CASE {p} % 3 WHEN 0 THEN {text("'2024-05-06T07:08:09.123456789Z'")} WHEN 1 THEN {text("'2024-05-06 07:08:09'")} ELSE CASE {p} % 29 WHEN 4 THEN {text("'soon'")} ELSE 'null' END END
@@ -163,6 +165,47 @@ def pages(d: Dialect) -> str:
         FROM {{part}}"""
 
 
+def event_pages(d: Dialect) -> str:
+    """Event pages as JSON text, which nest two markets each: id, payload. Some are broken, some nest none."""
+    q, p = "chr(34)", "p_partkey"
+    text = lambda x: f"{q} || {x} || {q}"
+    field = lambda name, value: f"{text(repr(name))} || ':' || {value}"
+    listed = lambda *xs: "'[' || " + " || ',' || ".join(map(text, xs)) + " || ']'"
+    number = lambda k: f"cast({p} * 2 + {k} AS varchar(20))"
+    market = lambda k: "chr(123) || " + " || ',' || ".join([
+        field("id", text(number(k))), field("condition_id", text(f"'0X' || {d.hex64(f'{p} * 2 + {k}')}")), field("clob_token_ids", listed(f"{number(k)} || '1'", f"{number(k)} || '2'")),
+        field("outcomes", listed(f"CASE WHEN {p} % 7 = 3 THEN 'Down' ELSE 'No' END", f"CASE WHEN {p} % 7 = 4 THEN 'NO' ELSE 'Yes' END")), field("tags", f"CASE {k} WHEN 0 THEN {listed(chr(39) + 'Finance' + chr(39), 'p_brand')} ELSE 'null' END"),
+    ]) + " || chr(125)"
+    return f"""
+        SELECT {p} AS id, CASE WHEN {p} % 29 = 6 THEN 'oops' WHEN {p} % 23 = 2 THEN chr(123) || {field("id", text("'none'"))} || chr(125) ELSE chr(123) || {field("id", text(f"'e' || cast({p} AS varchar(20))"))} || ',' || {field("slug", text("lower(p_brand)"))}
+            || ',' || {field("tags", "'[' || chr(123) || " + field("slug", text("'Science'")) + " || chr(125) || ',' || " + text("p_type") + " || ']'")} || ',' || {field("subcategory", f"CASE {p} % 4 WHEN 1 THEN {text(chr(39) + ' Sub  Cat' + chr(39))} ELSE 'null' END")}
+            || ',' || {field("markets", f"'[' || {market(0)} || ',' || CASE {p} % 5 WHEN 2 THEN 'null' ELSE {market(1)} END || ']'")} || chr(125) END AS payload
+        FROM {{part}}"""
+
+
+def catalog_rows(d: Dialect) -> str:
+    """Catalogue rows to identify: id, conditionId, version, clobTokenIds, positionIds, outcomes, closed, enableOrderBook."""
+    q, p = "chr(34)", "p_partkey"
+    two = lambda a, b: f"'[' || {q} || {a} || {q} || ',' || {q} || {b} || {q} || ']'"
+    n = lambda k: f"cast({p} * 10 + {k} AS varchar(20))"
+    return f"""
+        SELECT cast({p} AS varchar(20)) AS id, CASE WHEN {p} % 31 = 4 THEN '' ELSE '0x' || {d.hex64(p)} END AS "conditionId", CASE {p} % 7 WHEN 1 THEN 'V2' WHEN 2 THEN '2' WHEN 3 THEN 'v3' WHEN 4 THEN 'v1' ELSE NULL END AS version,
+            CASE {p} % 11 WHEN 3 THEN {two(n(1), n(1))} WHEN 4 THEN {two(n(1), "'x'")} ELSE {two(n(1), n(2))} END AS "clobTokenIds", {two(n(3), n(4))} AS "positionIds",
+            CASE WHEN {p} % 13 = 5 THEN '[]' ELSE {two("'Yes'", "'No'")} END AS outcomes, {p} % 9 = 4 AS closed, CASE {p} % 5 WHEN 1 THEN false WHEN 2 THEN true ELSE NULL END AS "enableOrderBook"
+        FROM {{part}}""".replace('"', "`" if d.spark else '"')
+
+
+def unnamed_markets(d: Dialect) -> str:
+    """Markets by their marks: market_id, category, slug, tags, condition_id, identity_kind, gamma_market_id."""
+    p = "p_partkey"
+    return f"""
+        SELECT {p} AS market_id, CASE {p} % 10 WHEN 0 THEN 'OrderFilled-Placeholder' WHEN 1 THEN '[ghost]' WHEN 2 THEN 'Ghost' ELSE 'x' END AS category,
+            CASE {p} % 12 WHEN 3 THEN 'trade-indexer-placeholder-7' WHEN 4 THEN 'Combo-9' WHEN 5 THEN 'ghost-market-1' WHEN 6 THEN 'onchain-condition-v2-a' ELSE 'm' END AS slug,
+            CASE {p} % 4 WHEN 0 THEN 'data-api-combo' WHEN 1 THEN 'Combo, x' WHEN 2 THEN 'orphaned,unknown' ELSE NULL END AS tags, CASE WHEN {p} % 3 = 2 THEN ' 0x' || repeat('0', 64) ELSE '0x1' END AS condition_id,
+            CASE {p} % 6 WHEN 0 THEN 'canonical_gamma' WHEN 1 THEN 'official_combo' WHEN 2 THEN 'other' WHEN 3 THEN 'canonical_clob' ELSE 'chain_v2' END AS identity_kind, CASE {p} % 5 WHEN 0 THEN ' ' WHEN 1 THEN NULL ELSE 'g' END AS gamma_market_id
+        FROM {{part}}"""
+
+
 def frames(d: Dialect) -> str:
     """Captured frames as text: pos, raw. Some hold two messages, some are broken, some are heartbeats."""
     k, q = d.number("props"), "chr(34)"
