@@ -19,7 +19,7 @@ def test_recovery(spark):
     good = '{"id":"1","conditionId":"C1","clobTokenIds":"[\\"1\\",\\"2\\"]","outcomes":["Yes","No"]}'
     latest = spark.createDataFrame([("a", 1, good), ("b", 2, good), ("c", 1, "{oops"), ("d", 1, good.replace("C1", "C9"))], "failure_key string, generation long, payload string")
     ledger = spark.createDataFrame([("a", 1, "open"), ("b", 1, "open"), ("c", 1, "open"), ("d", 1, "open")], "failure_key string, generation long, status string")
-    markets = spark.createDataFrame([("c1",)], "condition_id string")
+    markets = spark.createDataFrame([("0xc1",)], "condition_id string")
     got = {r["failure_key"]: r["status"] for r in registry.recover_failures(ledger, latest, markets).collect()}
     assert got == {"a": "resolved", "b": "open", "c": "open", "d": "open"}
 
