@@ -41,3 +41,45 @@ def of_long(value: Column) -> Column:
 def address(word_: Column) -> Column:
     """The address in the last 20 bytes of a topic."""
     return F.concat(F.lit("0x"), F.substring(body(word_), 25, 40))
+
+
+def _div(x: Column, by: int) -> Column:
+    """Whole quotient of non-negative BIGINTs."""
+    return ((x - x % by).cast("decimal(20,0)") / by).cast("bigint") if by & (by - 1) else F.shiftright(x, by.bit_length() - 1)
+
+
+def _folded(digits: Column, start: int, base: int, limbs: int, limb: int) -> Column:
+    """Horner's rule over digits (array of BIGINT) of a base, in so many limbs under `limb`, the lowest first; null if the
+    value needs more. No step leaves 63 bits."""
+    none = F.struct(F.lit(start).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(acc: Column, digit: Column) -> Column:
+        first = F.struct(digit.cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(
+            acc["out"], first,
+            lambda s, x: F.struct(_div(x * F.lit(base).cast("bigint") + s["carry"], limb).alias("carry"), F.array_append(s["out"], (x * F.lit(base).cast("bigint") + s["carry"]) % F.lit(limb).cast("bigint")).alias("out")),
+            lambda s: F.struct((acc["carry"] + s["carry"]).alias("carry"), s["out"].alias("out")),
+        )
+
+    zero = F.struct(none["carry"].alias("carry"), F.array_repeat(F.lit(0).cast("bigint"), limbs).alias("out"))
+    return F.aggregate(digits, zero, step, lambda s: F.when(s["carry"] == 0, s["out"]))
+
+
+def from_decimal(text: Column) -> Column:
+    """Word of a whole number in decimal text; null if it is none or does not fit in 256 bits."""
+    digits = F.transform(F.sequence(F.lit(0), F.lit(8)), lambda i: F.substring(F.lpad(text, 81, "0"), 9 * i + 1, F.lit(9)).try_cast("bigint"))
+    limbs = _folded(digits, 0, 10**9, 8, 1 << 32)
+    joined = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    return F.when(text.rlike("^[0-9]{1,78}$"), F.when(limbs.isNotNull(), joined))
+
+
+def to_decimal(hex64: Column) -> Column:
+    """Decimal text of a word, without leading zeros; null if it is none."""
+    digits = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.conv(F.substring(hex64, 8 * i + 1, F.lit(8)), 16, 10).cast("bigint"))
+    joined = F.array_join(F.transform(F.reverse(_folded(digits, 0, 1 << 32, 9, 10**9)), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    return F.when(hex64.rlike("^[0-9a-f]{64}$"), F.regexp_replace(joined, "^0+(?=[0-9])", ""))
+
+
+def position(condition: Column, outcome: Column) -> Column:
+    """Word of the position of a module condition's outcome: the condition's 31 bytes, then the outcome."""
+    return F.concat(F.substring(condition, 3, 62), F.lpad(F.lower(F.hex(outcome.cast("bigint"))), 2, "0"))

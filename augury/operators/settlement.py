@@ -5,8 +5,12 @@ Whole numbers up to 256 bits are decimal text; sums are taken in limbs of twenty
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from augury.functions import hexes
 
 # Contracts whose events count: fixed values.
 CONDITIONS = "0x4d97dcd97ec945f40cf65f87097ace5ea0476045"
@@ -87,7 +91,8 @@ def settlement_evidence(markets: DataFrame, tokens: DataFrame, events: DataFrame
     """Every market once, with readiness and, where READY, payouts by token (numerator and denominator as text).
 
     modules, if given, has one row per module condition: condition_id, module_readiness, module_numerators,
-    module_denominator. as_of is the moment at which open markets count as pending.
+    module_denominator, settlement_basis and terminal_zero; a market that they settle must own the two positions of its
+    condition. as_of is the moment at which open markets count as pending.
     """
     ctf, uma, owned = condition_summary(events), adjudication_summary(events), token_map(tokens)
     rows = markets.withColumnRenamed("id", "market_id").join(ctf, "condition_id", "left").join(validated_settlements(events), "settlement_id", "left")
@@ -95,13 +100,15 @@ def settlement_evidence(markets: DataFrame, tokens: DataFrame, events: DataFrame
     if modules is not None:
         rows = rows.join(modules, "condition_id", "left")
     else:
-        rows = rows.withColumns({"module_readiness": F.lit(None).cast("string"), "module_numerators": F.lit(None).cast("array<string>"), "module_denominator": F.lit(None).cast("string")})
+        rows = rows.withColumns({"module_readiness": F.lit(None).cast("string"), "module_numerators": F.lit(None).cast("array<string>"), "module_denominator": F.lit(None).cast("string"), "settlement_basis": F.lit(None).cast("string"), "terminal_zero": F.lit(None).cast("boolean")})
+    slots = [F.coalesce(hexes.from_decimal(F.get("tokens", k)["token_id"]) == hexes.position(F.col("condition_id"), F.lit(k)), F.lit(False)) for k in (0, 1)]
+    own = F.col("module_readiness").isNull() | ((F.col("module_readiness") == "READY") & slots[0] & slots[1])
     numerators, denominator = F.coalesce("numerators", "module_numerators"), F.coalesce("denominator", "module_denominator")
     rows = rows.withColumns({"numerators": numerators, "denominator": denominator})
     n = F.col("n_tokens")
     mapped = (
         (n == F.size("numerators")) & (F.col("first_slot") == 0) & (F.col("last_slot") == n - 1) & (F.col("slots") == n) & (F.col("ids") == n) & F.col("valid")
-        & (F.col("first_condition") == F.col("condition_id")) & (F.col("last_condition") == F.col("condition_id"))
+        & (F.col("first_condition") == F.col("condition_id")) & (F.col("last_condition") == F.col("condition_id")) & own
     )
     rows = rows.withColumn("token_mapping_valid", F.coalesce(mapped, F.lit(False)))
     open_ = F.col("active") & ~F.col("closed") & (F.col("end_date").isNull() | (F.col("end_date") > as_of))
@@ -118,7 +125,7 @@ def settlement_evidence(markets: DataFrame, tokens: DataFrame, events: DataFrame
     paid = F.transform("tokens", lambda t: F.struct(t["token_id"].alias("token_id"), t["outcome_index"].alias("outcome_index"), t["outcome"].alias("outcome"), F.get("numerators", t["outcome_index"]).alias("numerator"), F.col("denominator").alias("denominator")))
     rows = rows.withColumn("readiness", state)
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("requests", "settles", "uma_requests", "uma_proposes", "uma_disputes", "uma_settles")]
-    return rows.select("market_id", "identity_kind", "condition_id", "readiness", "settlement_id", *counts, "token_mapping_valid", F.when(F.col("readiness") == "READY", paid).alias("payouts"))
+    return rows.select("market_id", "identity_kind", "condition_id", "readiness", "settlement_id", *counts, "token_mapping_valid", F.when(F.col("readiness") == "READY", paid).alias("payouts"), F.when(settled, "CTF_CONDITION_RESOLUTION").otherwise(F.col("settlement_basis")).alias("settlement_basis"), F.coalesce("terminal_zero", F.lit(False)).alias("terminal_zero"))
 
 
 def coverage_summary(evidence: DataFrame) -> DataFrame:
@@ -159,7 +166,7 @@ def native_results(module_events: DataFrame, epochs: DataFrame) -> DataFrame:
         .when(~F.coalesce(known, F.lit(False)), "INCOMPLETE_MODULE_PROVENANCE").when(F.col("implementation").isNull(), "MODULE_IMPLEMENTATION_UNVERIFIED")
         .when(~supported, "MODULE_IMPLEMENTATION_UNSUPPORTED").otherwise("READY")
     )
-    return last.select("condition_id", state.alias("module_readiness"), "module_numerators", F.lit("1000000").alias("module_denominator"))
+    return last.select("condition_id", state.alias("module_readiness"), "module_numerators", F.lit("1000000").alias("module_denominator"), F.lit("V2_CONDITION_RESOLUTION").alias("settlement_basis"), F.lit(False).alias("terminal_zero"))
 
 
 #: Implementation of the combination module whose results are understood: fixed value.
@@ -203,17 +210,51 @@ def combo_results(preparations: DataFrame, native: DataFrame, epochs: DataFrame)
     other = text((unit - F.col("paid.up.hi") - borrow).cast("decimal(38,0)"), F.when(F.col("paid.up.lo") > 0, unit - F.col("paid.up.lo")).otherwise(0).cast("decimal(38,0)"))
     zero = F.coalesce("terminal_zero", F.lit(False))
     numerators = F.when(zero, F.array(F.lit("0"), F.lit(str(10**36)))).when(F.col("paid").isNotNull(), F.array(text(F.col("paid.down.hi"), F.col("paid.down.lo")), other))
-    return rows.select("condition_id", state.alias("module_readiness"), numerators.alias("module_numerators"), F.lit(str(10**36)).alias("module_denominator"))
+    return rows.select("condition_id", state.alias("module_readiness"), numerators.alias("module_numerators"), F.lit(str(10**36)).alias("module_denominator"), F.lit("COMBO_LEG_RESOLUTIONS").alias("settlement_basis"), zero.alias("terminal_zero"))
+
+
+def leg_checks(legs: DataFrame) -> DataFrame:
+    """Legs (leg_id, condition_id, outcome_index, position: decimal text) with the position's word and whether it is that
+    of its condition and outcome."""
+    word = hexes.from_decimal(F.col("position"))
+    module = F.col("condition_id").rlike(_MODULE) & F.col("outcome_index").between(0, 1)
+    return legs.select("leg_id", F.coalesce(word, F.lit("")).alias("word"), F.coalesce(module & (word == hexes.position(F.col("condition_id"), F.col("outcome_index"))), F.lit(False)).alias("valid"))
+
+
+_PAID = StructType([StructField("payout", StringType()), StructField("reason", StringType())])
+
+
+def _paid(amount: pd.Series, numerator: pd.Series, denominator: pd.Series, basis: pd.Series, slot: pd.Series, zero: pd.Series) -> pd.DataFrame:
+    """Products of two 256-bit numbers fit no column type, so they are taken in Python, a batch at a time."""
+    out = []
+    for a, n, d, by, k, none in zip(amount, numerator, denominator, basis, slot, zero):
+        if a is None or not (a.isascii() and a.isdigit()) or int(a) >= 2**256:
+            out.append((None, "amount is no 256-bit number"))
+            continue
+        a, n, d = int(a), int(n), int(d)
+        combo = by == "COMBO_LEG_RESOLUTIONS"
+        if not 0 <= n <= d or not d:
+            out.append((None, "invalid payout fraction"))
+        elif combo and none:
+            out.append((str(a if k == 1 else 0), None))
+        # The contract multiplies the up factor for the second side and takes what is left.
+        elif a * (d - n if combo and k == 1 else n) >= 2**256:
+            out.append((None, "product is over 256 bits"))
+        else:
+            out.append((str(a * n // d), None))
+    return pd.DataFrame(out, columns=["payout", "reason"], dtype=object)
 
 
 def payout_for_amount(evidence: DataFrame, positions: DataFrame) -> DataFrame:
-    """Payout of held amounts (market_id, token_id, amount): floor(amount * numerator / denominator) of READY markets,
-    exact while the product has at most 38 digits; otherwise, and where nothing pays, a reason."""
-    paid = evidence.where("readiness = 'READY'").select("market_id", F.explode("payouts").alias("p")).select("market_id", "p.*")
+    """Payout of held amounts (market_id, token_id, amount: whole number or its decimal text) as decimal text:
+    floor(amount * numerator / denominator) of READY markets, exact for 256 bits; where nothing pays, a reason."""
+    ready = evidence.where("readiness = 'READY'").select("market_id", "settlement_basis", "terminal_zero", F.explode("payouts").alias("p")).select("market_id", "settlement_basis", "terminal_zero", "p.*")
+    paid = ready.groupBy("market_id", "token_id").agg(F.count("*").alias("__n"), F.first(F.struct("numerator", "denominator", "settlement_basis", "outcome_index", "terminal_zero")).alias("f"))
     rows = positions.join(paid, ["market_id", "token_id"], "left").join(evidence.select("market_id", "readiness"), "market_id", "left")
-    number = lambda c: F.col(c).try_cast("decimal(38,0)")
-    product = F.try_multiply(F.col("amount").cast("decimal(38,0)"), number("numerator")).cast("decimal(38,0)")
-    rows = rows.withColumns({"__p": product, "__d": number("denominator")})
-    exact = ((F.col("__p") - F.col("__p") % F.col("__d")) / F.col("__d")).cast("decimal(38,0)")
-    reason = F.when(F.col("readiness").isNull(), "unknown market").when(F.col("readiness") != "READY", F.col("readiness")).when(F.col("numerator").isNull(), "unknown token").when(F.col("__p").isNull() | F.col("__d").isNull(), "amount is too wide")
-    return rows.select("market_id", "token_id", "amount", F.when(reason.isNull(), exact).alias("payout"), reason.alias("reason"))
+    why = F.when(F.col("readiness").isNull(), "unknown market").when(F.col("readiness") != "READY", F.col("readiness")).when(F.coalesce("__n", F.lit(0)) != 1, "unknown token")
+    marked = rows.withColumn("__why", why)
+    one = F.col("__why").isNull()
+    f = lambda c, of: F.when(one, of).otherwise(F.lit(c))  # noqa: E731  rows that cannot pay take no part in the arithmetic
+    got = F.pandas_udf(_paid, _PAID)(F.col("amount").cast("string"), f("0", F.col("f.numerator")), f("1", F.col("f.denominator")), F.col("f.settlement_basis"), F.col("f.outcome_index"), F.coalesce("f.terminal_zero", F.lit(False)))
+    out = marked.withColumn("__paid", got)
+    return out.select("market_id", "token_id", "amount", F.when(one, F.col("__paid.payout")).alias("payout"), F.coalesce("__why", "__paid.reason").alias("reason"))

@@ -178,9 +178,8 @@ def bridged(spark, sf_dir):
 
 
 def combos(spark, sf_dir):
-    """Payout factors of the first legs of each market, in limbs."""
-    e = fx.frame(spark, sf_dir, fx.lifecycle)
-    legs = tables.top_per(e.where("value % 4 <> 0"), ["market"], [F.asc("id")], 12).groupBy("market").agg(F.array_sort(F.collect_list(F.struct("place", ((F.col("value") * 9973) % 1_000_001).alias("n")))).alias("x"))
+    """Payout factors of all legs of each market, in limbs."""
+    legs = fx.frame(spark, sf_dir, fx.lifecycle).groupBy("market").agg(F.array_sort(F.collect_list(F.struct("id", ((F.col("value") * 9973) % 1_000_001).alias("n")))).alias("x"))
     paid = legs.select("market", F.size("x").cast("long").alias("legs"), oracle.combo_payout(F.transform("x", lambda s: s["n"])).alias("p"))
     return paid.select("market", "legs", *[F.col(f"p.{side}.{limb}").cast("long").alias(f"{side}_{limb}") for side in ("down", "up") for limb in ("hi", "lo")])
 
@@ -211,12 +210,7 @@ def _conflicts(claims):
 
 
 def ownership_conflicts(spark, sf_dir):
-    """Tokens that more than one condition claims, from order lines as claims; one token in 40, as its SQL says."""
-    return _conflicts(_line_claims(spark, sf_dir).where("token % 40 = 7"))
-
-
-def ownership_conflicts_all(spark, sf_dir):
-    """Tokens that more than one condition claims, of all tokens."""
+    """Tokens that more than one condition claims, from all order lines as claims."""
     return _conflicts(_line_claims(spark, sf_dir))
 
 
@@ -237,7 +231,7 @@ QUERIES = {
     "token_lanes": lane_reasons, "lane_counters": lane_counters, "market_pairs": pair_coverage, "catalog_membership": id_membership, "soak_windows": soak, "contiguous_prefix": ranges_prefix,
     "price_rejects": price_rejects, "price_window": recent_prices, "price_rounds": price_rounds, "price_asof": price_asof, "exact_quantiles": latency_quantiles, "histogram_quantiles": latency_histogram,
     "adjudication_readiness": adjudications, "market_bridge": bridged, "combo_payout": combos, "payload_reuse": payload_reuse, "identity_classes": identity_classes,
-    "ownership_conflicts": ownership_conflicts, "ownership_conflicts_all": ownership_conflicts_all, "shard_plan": shard_plan,
+    "ownership_conflicts": ownership_conflicts, "ownership_conflicts_all": ownership_conflicts, "shard_plan": shard_plan,
 }
 
 _BOOK = fx.cte(ev=fx.book_events) + """
@@ -351,7 +345,16 @@ ORACLE_SQL = {
         SELECT id, CASE WHEN ok THEN x ELSE -1 END AS market_id, CASE WHEN ok THEN CASE WHEN g IS NOT NULL THEN 'gamma' WHEN c IS NOT NULL THEN 'condition' ELSE 'question' END ELSE 'none' END AS matched_by FROM o""",
     "payload_reuse": "WITH e AS (SELECT source, text, count(*) AS n, max(strlen(text)) AS b FROM documents GROUP BY ALL) SELECT source, sum(n)::BIGINT AS occurrences, count(*) AS payloads, sum(n * b)::BIGINT AS raw_bytes, sum(b)::BIGINT AS unique_bytes, sum((n - 1) * b)::BIGINT AS saved_bytes FROM e GROUP BY source",
     "identity_classes": fx.cte(m=fx.markets) + "SELECT CASE WHEN slug LIKE 'ghost-market-%' OR lower(category) IN ('ghost', '[ghost]') THEN 'ghost' WHEN identity_kind = 'legacy_placeholder' THEN 'placeholder' WHEN identity_kind = 'invalid_shell' THEN 'shell' WHEN identity_kind = 'official_combo' THEN 'combo' ELSE 'standard' END AS label, count(*) AS markets, min(market_id) AS first FROM m GROUP BY 1",
-    "ownership_conflicts": "SELECT l_partkey AS token, count(DISTINCT l_orderkey // 50) AS conditions, min(l_orderkey // 50) AS lowest, count(*) AS claims FROM lineitem WHERE l_partkey % 40 = 7 GROUP BY 1 HAVING conditions > 1",
+    "combo_payout": fx.cte(e=fx.lifecycle).replace("WITH ", "WITH RECURSIVE ", 1) + """
+        , l AS (SELECT market, value * 9973 % 1000001 AS n, row_number() OVER (PARTITION BY market ORDER BY id) AS i FROM e), c AS (SELECT market, count(*) AS legs FROM l GROUP BY 1),
+        f AS (
+            SELECT market, 0::BIGINT AS i, side, 1000000000000000000::HUGEINT AS hi, 0::HUGEINT AS lo FROM c, (VALUES (0), (1)) AS sides(side)
+            UNION ALL
+            SELECT market, i, side, hi * n // 1000000 + (low + up) // 1000000000000000000, (low + up) % 1000000000000000000
+            FROM (SELECT *, wide // 1000000 AS low, CASE WHEN side = 1 AND wide % 1000000 > 0 THEN 1 ELSE 0 END AS up FROM (SELECT f.market, l.i, side, hi, n, hi * n % 1000000 * 1000000000000000000 + lo * n AS wide FROM f JOIN l ON l.market = f.market AND l.i = f.i + 1))
+        )
+        SELECT c.market, legs, d.hi::BIGINT AS down_hi, d.lo::BIGINT AS down_lo, u.hi::BIGINT AS up_hi, u.lo::BIGINT AS up_lo FROM c JOIN f d ON d.market = c.market AND d.i = legs AND d.side = 0 JOIN f u ON u.market = c.market AND u.i = legs AND u.side = 1""",
+    "ownership_conflicts": "SELECT l_partkey AS token, count(DISTINCT l_orderkey // 50) AS conditions, min(l_orderkey // 50) AS lowest, count(*) AS claims FROM lineitem GROUP BY 1 HAVING conditions > 1",
     "ownership_conflicts_all": "SELECT l_partkey AS token, count(DISTINCT l_orderkey // 50) AS conditions, min(l_orderkey // 50) AS lowest, count(*) AS claims FROM lineitem GROUP BY 1 HAVING conditions > 1",
     "shard_plan": fx.cte(m=fx.markets) + "SELECT market_id, (row_number() OVER (ORDER BY sha256(market_id::VARCHAR)) - 1) // 16 AS shard FROM m",
 }

@@ -49,11 +49,10 @@ def violations(spark, sf_dir):
     return registry.rule_violations(fx.frame(spark, sf_dir, fx.unnamed_markets))
 
 
-def _claims(spark, sf_dir, claiming="l_orderkey % 9 = 4", owning="l_orderkey % 9 = 5"):
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    claims = lines.where(claiming).select(F.floor(F.col("l_orderkey") / 400).alias("condition_id"), (F.col("l_partkey") * 50 + F.col("l_suppkey")).alias("token")).distinct()
-    owned = lines.where(owning).select(F.floor(F.col("l_orderkey") / 400).alias("condition_id"), (F.col("l_partkey") * 50 + F.col("l_suppkey")).alias("token")).distinct()
-    return claims, owned.groupBy("token").agg(F.min("condition_id").alias("condition_id"))
+def _claims(spark, sf_dir):
+    """Every order line is a claim of its order, or, in one order of nine, owned by it already."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").alias("condition_id"), (F.col("l_partkey") * 50 + F.col("l_suppkey")).alias("token"))
+    return lines.where("condition_id % 9 < 8").distinct(), lines.where("condition_id % 9 = 8").groupBy("token").agg(F.min("condition_id").alias("condition_id"))
 
 
 def accepted(spark, sf_dir):
@@ -64,18 +63,6 @@ def blocked(spark, sf_dir):
     return registry.filter_claims(*_claims(spark, sf_dir))[1]
 
 
-#: Every order is either a claim or an owner.
-_ALL = ("l_orderkey % 9 < 8", "l_orderkey % 9 = 8")
-
-
-def accepted_all(spark, sf_dir):
-    return registry.filter_claims(*_claims(spark, sf_dir, *_ALL))[0]
-
-
-def blocked_all(spark, sf_dir):
-    return registry.filter_claims(*_claims(spark, sf_dir, *_ALL))[1]
-
-
 def ledger(spark, sf_dir):
     """Ledger of rejected catalogue rows after a second scan that saw only some of them."""
     bad = rejects(spark, sf_dir).select(F.col("id").cast("string").alias("failure_key"), "reason")
@@ -142,7 +129,7 @@ def streamed_fills(spark, sf_dir):
 
 
 QUERIES = {
-    "market_normalized": normalized, "market_rejects": rejects, "event_markets_normalized": event_normalized, "event_market_rejects": event_rejects, "catalog_identity": identities, "identity_marks": classes, "identity_gate": gate, "rule_violations": violations, "probe_sessions": probe_sessions, "claims_accepted": accepted, "claims_blocked": blocked, "claims_accepted_all": accepted_all, "claims_blocked_all": blocked_all, "failure_ledger": ledger, "catalog_state": catalog_state, "catalog_changes": catalog_changes,
+    "market_normalized": normalized, "market_rejects": rejects, "event_markets_normalized": event_normalized, "event_market_rejects": event_rejects, "catalog_identity": identities, "identity_marks": classes, "identity_gate": gate, "rule_violations": violations, "probe_sessions": probe_sessions, "claims_accepted": accepted, "claims_blocked": blocked, "claims_accepted_all": accepted, "claims_blocked_all": blocked, "failure_ledger": ledger, "catalog_state": catalog_state, "catalog_changes": catalog_changes,
     "probe_health": probes, "stream_rounds": streamed_rounds, "stream_dedupe": streamed_keys, "stream_tape": streamed_tape, "stream_fills": streamed_fills,
 }
 
@@ -199,14 +186,13 @@ _EVENTS = _normal(fx.cte(pg=fx.event_pages) + """
     , r AS (SELECT id, payload AS event, try_cast(payload AS JSON)->'markets' AS ms FROM pg), u AS (SELECT id, event, unnest(ms::JSON[]) AS x, unnest(range(len(ms::JSON[]))) AS ordinal FROM r WHERE json_type(ms) = 'ARRAY'),
     src AS (SELECT id, ordinal::INTEGER AS ordinal, x::VARCHAR AS payload, event FROM u WHERE json_type(x) = 'OBJECT')""")
 _CLAIMS = """
-    WITH c AS (SELECT DISTINCT l_orderkey // 400 AS condition_id, l_partkey * 50 + l_suppkey AS token FROM lineitem WHERE l_orderkey % 9 = 4),
-    o AS (SELECT l_partkey * 50 + l_suppkey AS token, min(l_orderkey // 400) AS owner FROM lineitem WHERE l_orderkey % 9 = 5 GROUP BY 1),
+    WITH c AS (SELECT DISTINCT l_orderkey AS condition_id, l_partkey * 50 + l_suppkey AS token FROM lineitem WHERE l_orderkey % 9 < 8),
+    o AS (SELECT l_partkey * 50 + l_suppkey AS token, min(l_orderkey) AS owner FROM lineitem WHERE l_orderkey % 9 = 8 GROUP BY 1),
     r AS (
         SELECT c.condition_id, bool_or(coalesce(o.owner <> c.condition_id, false)) AS taken, bool_or(EXISTS (SELECT 1 FROM c d WHERE d.token = c.token AND d.condition_id <> c.condition_id)) AS twice
         FROM c LEFT JOIN o ON o.token = c.token GROUP BY 1
     )
 """
-_CLAIMS_ALL = _CLAIMS.replace("l_orderkey % 9 = 4", "l_orderkey % 9 < 8").replace("l_orderkey % 9 = 5", "l_orderkey % 9 = 8")
 #: The states one event at a time, as a recursion over each entry's events; who owns a shared asset is found in rounds.
 _CATALOG = """
     WITH RECURSIVE e AS (
@@ -269,8 +255,8 @@ ORACLE_SQL = {
         UNION ALL SELECT market_id, 'source without canonical kind' FROM g WHERE s AND k NOT IN ('canonical_gamma', 'canonical_clob')""",
     "claims_accepted": _CLAIMS + "SELECT condition_id FROM r WHERE NOT taken AND NOT twice",
     "claims_blocked": _CLAIMS + "SELECT condition_id, CASE WHEN taken THEN 'token belongs to another condition' ELSE 'token claimed twice in batch' END AS reason FROM r WHERE taken OR twice",
-    "claims_accepted_all": _CLAIMS_ALL + "SELECT condition_id FROM r WHERE NOT taken AND NOT twice",
-    "claims_blocked_all": _CLAIMS_ALL + "SELECT condition_id, CASE WHEN taken THEN 'token belongs to another condition' ELSE 'token claimed twice in batch' END AS reason FROM r WHERE taken OR twice",
+    "claims_accepted_all": _CLAIMS + "SELECT condition_id FROM r WHERE NOT taken AND NOT twice",
+    "claims_blocked_all": _CLAIMS + "SELECT condition_id, CASE WHEN taken THEN 'token belongs to another condition' ELSE 'token claimed twice in batch' END AS reason FROM r WHERE taken OR twice",
     "failure_ledger": _PAGES + """
         , x AS (SELECT id, reason, id % 5 <> 1 AS a, id % 2 = 0 AS b FROM k WHERE reason IS NOT NULL)
         SELECT id::VARCHAR AS failure_key, reason, a::BIGINT + b::BIGINT AS occurrences, CASE WHEN a THEN 1 ELSE 2 END AS first_seen, CASE WHEN b THEN 2 ELSE 1 END AS last_seen, CASE WHEN a AND id % 3 = 0 THEN 'closed' ELSE 'open' END AS status FROM x WHERE a OR b""",

@@ -287,3 +287,49 @@ def request_logs(d: Dialect) -> str:
             '0x' || {w('1')} || {w('2')} || CASE WHEN p_partkey % 19 = 4 THEN {w('9999')} ELSE {w('192')} END || CASE WHEN p_partkey % 2 = 0 THEN {w('4')} ELSE {price} END || {w('p_partkey')} || {w('6')} || {blob} AS data,
             '0x' || {w('p_partkey')} AS tx_hash, p_partkey % 10 AS log_index, p_partkey AS block_number, p_name AS name, p_partkey AS id
         FROM {{part}}"""
+
+
+def module_events(d: Dialect) -> str:
+    """Results of module conditions: id, module_address, condition_id, event_name, payouts, tx_hash, block_number, log_index, event_time."""
+    k = d.number("props")
+    first, second = "0x1000008dd9001b968442c1000017eae6e0da00ba", "0x200000900045e3b6259600682756002200028933"
+    part = f"({k} * 9973 % 1000001)"
+    return f"""
+        SELECT event_id AS id, CASE event_id % 2 WHEN 0 THEN '{first}' ELSE '{second}' END AS module_address,
+            CASE WHEN event_id % 31 = 3 THEN '0x03' WHEN event_id % 2 = 0 THEN '0x01' ELSE '0x02' END || substr({d.hex64('user_id * 100 + event_id % 100')}, 5) AS condition_id, CASE event_type WHEN 'error' THEN 'ConditionPrepared' ELSE 'ConditionResolved' END AS event_name,
+            CASE {k} % 13 WHEN 3 THEN '[1000000, 1]' WHEN 4 THEN '[01,2]' WHEN 5 THEN NULL WHEN 6 THEN '[0, 1000000]' ELSE '[' || cast({part} AS varchar(20)) || ',' || cast(1000000 - {part} AS varchar(20)) || ']' END AS payouts,
+            CASE WHEN event_id % 37 = 5 THEN 'lost' ELSE '0x' || {d.hex64('event_id')} END AS tx_hash, {d.div(d.millis('ts'), 60000)} AS block_number, event_id % 100 AS log_index, {d.millis('ts')} AS event_time
+        FROM {{events}}"""
+
+
+def implementations(d: Dialect) -> str:
+    """Implementations of modules that were seen or upgraded to: seen, module_address, implementation, block_number, log_index."""
+    return f"""
+        SELECT event_id % 2 = 0 AS seen, CASE event_id % 3 WHEN 0 THEN '0x1000008dd9001b968442c1000017eae6e0da00ba' WHEN 1 THEN '0x200000900045e3b6259600682756002200028933' ELSE '0x30000034706c7d8e12009dab006be20000c031a8' END AS module_address,
+            CASE event_id % 3 WHEN 0 THEN '0x492FEC596ec347459e1ebe30b9245eb3b49b1bba' WHEN 1 THEN CASE WHEN event_id % 7 = 2 THEN '0xnew' ELSE '0xa61e7ca374f721d5b9fd5b0fee6fb90f27d448d7' END ELSE '0x572cd48cce93b2e58f1cc0253a7fdd4b4952a9c2' END AS implementation,
+            {d.div(d.millis('ts'), 600000)} AS block_number, event_id AS log_index
+        FROM {{events}} WHERE event_id % 97 < 9"""
+
+
+def preparations(d: Dialect) -> str:
+    """Combinations and their legs: id, condition_id, legs (words joined by commas), block_number, log_index."""
+    leg = lambda k: f"CASE WHEN (user_id * 100 + (event_id + {k}) % 100) % 2 = 0 THEN '01' ELSE '02' END || substr({d.hex64(f'user_id * 100 + (event_id + {k}) % 100')}, 5) || CASE (event_id + {k}) % 3 WHEN 0 THEN '00' ELSE '01' END"
+    return f"""
+        SELECT event_id AS id, '0x03' || substr({d.hex64('user_id * 1000 + event_id % 50')}, 5) AS condition_id,
+            {leg(0)} || ',' || CASE WHEN event_id % 11 = 4 THEN {leg(0)} ELSE {leg(2)} END || CASE event_id % 4 WHEN 1 THEN ',' || {leg(4)} ELSE '' END AS legs, event_id AS block_number, 0 AS log_index
+        FROM {{events}} WHERE event_type <> 'error' AND event_id % 100 < 94"""
+
+
+def module_markets(d: Dialect) -> str:
+    """Markets of modules and their two tokens: id, condition_id, first and second (64-digit positions), active, closed."""
+    return f"""
+        SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN '0x01' ELSE '0x02' END || substr({d.hex64('p_partkey')}, 5) AS condition_id, CASE WHEN p_partkey % 17 = 3 THEN 1 ELSE 0 END AS swapped, p_partkey % 3 = 0 AS active, p_partkey % 4 = 0 AS closed
+        FROM {{part}}"""
+
+
+def legs(d: Dialect) -> str:
+    """Legs with the words of their positions: leg_id, condition_id, outcome_index, word (64 digits, or none)."""
+    return f"""
+        SELECT p_partkey AS leg_id, CASE p_partkey % 7 WHEN 3 THEN '0x04' WHEN 4 THEN '0x02' ELSE '0x01' END || substr({d.hex64('p_partkey')}, 5) AS condition_id, cast(p_partkey % 3 AS int) AS outcome_index,
+            CASE WHEN p_partkey % 5 = 2 THEN 'none' ELSE CASE p_partkey % 7 WHEN 3 THEN '04' WHEN 4 THEN '02' ELSE '01' END || substr({d.hex64('p_partkey')}, 5) || CASE WHEN p_partkey % 11 = 4 THEN 'ff' ELSE '0' || cast(p_partkey % 3 AS varchar(2)) END END AS word
+        FROM {{part}}"""

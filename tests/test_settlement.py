@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from augury.functions import hexes
 from augury.operators import settlement
 
 NOW = datetime(2026, 1, 3)
@@ -79,4 +80,40 @@ def test_amounts(spark):
     evidence = settlement.settlement_evidence(*inventory(spark), F.lit(NOW))
     held = spark.createDataFrame([(2, "200", 15), (1, "101", 5), (2, "999", 1), (3, "300", 1), (99, "1", 1)], "market_id long, token_id string, amount long")
     got = {(r["market_id"], r["token_id"]): (r["payout"], r["reason"]) for r in settlement.payout_for_amount(evidence, held).collect()}
-    assert got == {(2, "200"): (7, None), (1, "101"): (0, None), (2, "999"): (None, "unknown token"), (3, "300"): (None, "PENDING"), (99, "1"): (None, "unknown market")}
+    assert got == {(2, "200"): ("7", None), (1, "101"): ("0", None), (2, "999"): (None, "unknown token"), (3, "300"): (None, "PENDING"), (99, "1"): (None, "unknown market")}
+
+
+def test_amounts_are_exact_in_256_bits(spark):
+    """Halves, thirds and combinations of the unit 10^36 against Python's integers."""
+    unit, big = 10**36, 2**256 - 1
+    paid = {1: (1, 2, "CTF_CONDITION_RESOLUTION", False), 2: (big, big, "CTF_CONDITION_RESOLUTION", False), 3: (unit // 3, unit, "COMBO_LEG_RESOLUTIONS", False), 4: (0, unit, "COMBO_LEG_RESOLUTIONS", True), 5: (3, 2, "CTF_CONDITION_RESOLUTION", False)}
+    kind = "market_id long, readiness string, payouts array<struct<token_id string, outcome_index int, outcome string, numerator string, denominator string>>, settlement_basis string, terminal_zero boolean"
+    rows = [(m, "READY", [("a", 0, "", str(n), str(d)), ("b", 1, "", str(max(d - n, 0)), str(d)), ("twice", 0, "", "1", str(d)), ("twice", 1, "", "1", str(d))], basis, zero) for m, (n, d, basis, zero) in paid.items()]
+    held = [(m, t, str(x)) for m in paid for t in ("a", "b", "twice") for x in (0, 7, 10**36 // 2, 10**41 + 1, big)] + [(1, "a", str(2**256)), (1, "a", "-1"), (1, "a", None)]
+    got = settlement.payout_for_amount(spark.createDataFrame(rows, kind), spark.createDataFrame(held, "market_id long, token_id string, amount string")).collect()
+    assert len(got) == len(held)
+    for r in got:
+        n, d, basis, zero = paid[r["market_id"]]
+        combo, x = basis.startswith("COMBO"), r["amount"]
+        if r["token_id"] == "twice":
+            assert r["reason"] == "unknown token"
+        elif x is None or not x.isdigit() or int(x) > big:
+            assert r["reason"] == "amount is no 256-bit number"
+        elif r["market_id"] == 5 and r["token_id"] == "a":
+            assert r["reason"] == "invalid payout fraction"
+        elif combo and zero:
+            assert r["payout"] == (x if r["token_id"] == "b" else "0")
+        else:
+            own = n if r["token_id"] == "a" else max(d - n, 0)
+            checked = int(x) * (d - own if combo and r["token_id"] == "b" else own)
+            assert (r["payout"], r["reason"]) == ((None, "product is over 256 bits") if checked > big else (str(int(x) * own // d), None))
+
+
+def test_words_and_decimal_text(spark):
+    import random
+
+    random.seed(4)
+    values = [0, 1, 255, 2**64, 2**256 - 1, *[random.getrandbits(random.choice([20, 90, 200, 256])) for _ in range(100)]]
+    rows = [(str(v), f"{v:064x}") for v in values] + [(str(2**256), None), ("x", None), ("-1", None)]
+    frame = spark.createDataFrame(rows, "text string, word string").select("*", hexes.from_decimal(F.col("text")).alias("a"), hexes.to_decimal(F.col("word")).alias("b"))
+    assert all(r["a"] == r["word"] and r["b"] == (r["text"] if r["word"] else None) for r in frame.collect())
