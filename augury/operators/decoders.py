@@ -119,7 +119,7 @@ def decode_module_events(logs: DataFrame, names: dict[str, str], modules: dict[s
     place = F.when(event == "ResultReported", F.col("topic2")).when(event.isin("ConditionResolved", "CombinatorialConditionPrepared", "MigrationConditionRegistered", "MigrationResolved"), F.col("topic1"))
     data = F.col("__data")
     results = F.when(event.isin(*_RESULTS), dynamic_words(data, 0)).when(event == "MigrationResolved", F.array(hexes.word(data, 2), hexes.word(data, 3)))
-    rows = rows.withColumns({"module_id": F.try_element_at(ids, F.col("module")), "condition": F.substring(hexes.body(place), 1, 62), "results": results, "legs": F.when(event == "CombinatorialConditionPrepared", dynamic_words(data, 0))})
+    rows = rows.withColumns({"module_id": F.try_element_at(ids, F.col("module")), "condition": F.when(place.isNotNull(), F.substring(hexes.body(place), 1, 62)), "results": results, "legs": F.when(event == "CombinatorialConditionPrepared", dynamic_words(data, 0))})
     rows = rows.withColumn("payouts", F.transform("results", hexes.unsigned))
     combo = F.col("module") == combo_module
     resolved = event.isin(*_RESULTS, "MigrationResolved")

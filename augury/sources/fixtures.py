@@ -333,3 +333,29 @@ def legs(d: Dialect) -> str:
         SELECT p_partkey AS leg_id, CASE p_partkey % 7 WHEN 3 THEN '0x04' WHEN 4 THEN '0x02' ELSE '0x01' END || substr({d.hex64('p_partkey')}, 5) AS condition_id, cast(p_partkey % 3 AS int) AS outcome_index,
             CASE WHEN p_partkey % 5 = 2 THEN 'none' ELSE CASE p_partkey % 7 WHEN 3 THEN '04' WHEN 4 THEN '02' ELSE '01' END || substr({d.hex64('p_partkey')}, 5) || CASE WHEN p_partkey % 11 = 4 THEN 'ff' ELSE '0' || cast(p_partkey % 3 AS varchar(2)) END END AS word
         FROM {{part}}"""
+
+
+def adapter_logs(d: Dialect) -> str:
+    """Logs of adapters of both eras: initialised (0x11), reset (0x12), resolved (0x13), settled (0x14), some broken."""
+    w = d.hex64
+    text = "lower(hex('q ' || cast(p_partkey AS varchar(20)) || ' ' || p_brand))"
+    price = f"CASE p_partkey % 3 WHEN 0 THEN {w('1000000000000000000')} WHEN 1 THEN {w('0')} ELSE repeat('f', 63) || 'b' END"
+    return f"""
+        SELECT p_partkey AS id, CASE p_partkey % 2 WHEN 0 THEN '0xOLD' ELSE '0xNEW' END AS address, CASE WHEN p_partkey % 23 = 4 THEN '0x99' WHEN p_partkey % 7 < 2 THEN '0x11' WHEN p_partkey % 7 = 2 THEN '0x12' WHEN p_partkey % 7 < 5 THEN '0x13' ELSE '0x14' END AS topic0,
+            '0x' || {w('p_partkey % 500')} AS topic1, '0x' || {price} AS topic2, '0x' || {w('p_partkey % 4 - p_partkey % 2')} AS topic3, '0x' || {w('p_partkey')} AS tx_hash, p_partkey % 10 AS log_index, p_partkey AS block_number,
+            '0x' || CASE WHEN p_partkey % 19 = 3 THEN {w('4096')} ELSE {w('32')} END || {w(d.div('length(' + text + ')', 2))} || rpad({text}, 128, '0') AS data
+        FROM {{part}}"""
+
+
+def module_logs(d: Dialect) -> str:
+    """Logs of modules: resolved (0x21), reported (0x22), combination prepared (0x23), upgraded (0x24), migrated (0x25)."""
+    w, k = d.hex64, d.number("props")
+    part = f"({k} * 9973 % 1000001)"
+    module = "CASE event_id % 4 WHEN 0 THEN '0xM1' WHEN 1 THEN '0xM2' WHEN 2 THEN '0xM3' ELSE '0xM1' END"
+    own = "CASE WHEN event_id % 41 = 8 THEN '09' WHEN event_id % 4 = 1 THEN '02' WHEN event_id % 4 = 2 THEN '03' ELSE '01' END"
+    topic = f"'0x' || {own} || substr({w('event_id')}, 5) || '00'"
+    pair = f"{w(part)} || CASE WHEN event_id % 29 = 6 THEN {w('7')} ELSE {w('1000000 - ' + part)} END"
+    return f"""
+        SELECT event_id AS id, {module} AS address, CASE event_type WHEN 'view' THEN '0x21' WHEN 'click' THEN '0x22' WHEN 'purchase' THEN '0x23' WHEN 'error' THEN '0x24' ELSE '0x25' END AS topic0, {topic} AS topic1, {topic} AS topic2, '0x' || {w('0')} AS topic3,
+            '0x' || {w('event_id')} AS tx_hash, event_id % 100 AS log_index, event_id AS block_number, '0x' || CASE WHEN event_type = 'signup' THEN {w('0')} || {w('1')} || {pair} ELSE {w('32')} || {w('2')} || {pair} END AS data
+        FROM {{events}}"""
