@@ -6,6 +6,10 @@ one asset, CHANGE, GAP: the market's books are no longer ready) and levels, an a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from heapq import heappop, heappush
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,8 +88,9 @@ def level_intervals(rows: DataFrame) -> DataFrame:
     return out.where("size > 0 and pos < until").select("market", "asset", "side", "price", "size", "base", "pos", "until")
 
 
-def bbo_timeline(rows: DataFrame) -> DataFrame:
-    """Best prices after each event that touched an asset, by joining positions with level intervals of one reset."""
+def bbo_by_intervals(rows: DataFrame) -> DataFrame:
+    """Best prices after each event that touched an asset, by joining positions with level intervals of one reset: every
+    moment of a reset meets every interval of it. For checks of bbo_timeline()."""
     moments = rows.where("base is not null").select("market", "asset", "base", F.col("pos").alias("moment")).distinct()
     spans = level_intervals(rows)
     found = moments.join(spans, ["market", "asset", "base"], "left").where("pos is null or (pos <= moment and moment < until)")
@@ -94,6 +99,82 @@ def bbo_timeline(rows: DataFrame) -> DataFrame:
     return moments.select("market", "asset", "moment").join(best, ["market", "asset", "moment"], "left")
 
 
+class Ladder:
+    """One side of a book with its best price. Prices wait in a heap; those without size are dropped as they come up."""
+
+    def __init__(self, best: int):
+        self.sizes: dict[int, int] = {}
+        self._heap: list[int] = []
+        self._sign = -best
+
+    def put(self, price: int, size: int) -> None:
+        if size <= 0:
+            self.sizes.pop(price, None)
+            return
+        if price not in self.sizes:
+            heappush(self._heap, self._sign * price)
+        self.sizes[price] = size
+
+    def best(self) -> int | None:
+        while self._heap and self._sign * self._heap[0] not in self.sizes:
+            heappop(self._heap)
+        return self._sign * self._heap[0] if self._heap else None
+
+
+def _swept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Best prices at the end of each position, over rows sorted by (market, asset, base, pos, idx). Only the ladders of the
+    reset at hand are kept."""
+    key, at, sides = None, None, {}
+
+    def row() -> tuple:
+        return (*key[:2], at, sides["BUY"].best(), sides["SELL"].best())
+
+    out: list[tuple] = []
+    for frame in frames:
+        for market, asset, base, pos, idx, side, price, size in zip(*(frame[c].tolist() for c in ("market", "asset", "base", "pos", "idx", "side", "price", "size"))):
+            if (market, asset, base) != key or pos != at:
+                if key is not None:
+                    out.append(row())
+                if (market, asset, base) != key:
+                    key, sides = (market, asset, base), {"BUY": Ladder(1), "SELL": Ladder(-1)}
+                at = pos
+            if idx >= 0:
+                sides[side].put(int(price), int(size))
+        yield _moments(out)
+        out = []
+    if key is not None:
+        yield _moments([row()])
+
+
+def _moments(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=["market", "asset", "moment", "best_bid", "best_ask"])
+    return out.astype({"best_bid": "Int64", "best_ask": "Int64"})
+
+
+def bbo_timeline(rows: DataFrame) -> DataFrame:
+    """Best prices after each event that touched an asset: one sweep over the sorted rows of each reset, in which a level
+    is put or taken once. Resets of a market are dealt to different tasks, so its history is cut at them."""
+    sorted_ = rows.where("base is not null").select("market", "asset", "base", "pos", "idx", "side", "price", "size").repartition("market", "asset", "base").sortWithinPartitions("market", "asset", "base", "pos", "idx")
+    return sorted_.mapInPandas(_swept, "market long, asset long, moment long, best_bid long, best_ask long")
+
+
+def compare_cuts(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Per market: moments of two timelines, and those at which their best prices differ or one of them is missing."""
+    tag = lambda df, n: df.select("market", "asset", "moment", F.struct("best_bid", "best_ask").alias(n))
+    both = tag(a, "__a").join(tag(b, "__b"), ["market", "asset", "moment"], "full_outer")
+    return both.groupBy("market").agg(F.count("*").alias("moments"), F.count_if(~F.col("__a").eqNullSafe(F.col("__b"))).alias("differing"))
+
+
+def native_check(claims: DataFrame, timeline: DataFrame) -> DataFrame:
+    """Best prices that messages declare (market, asset, pos, idx, best_bid, best_ask) against the rebuilt ones: the last
+    claim of an asset in a message counts, after the whole message."""
+    last = tables.latest_by(claims, ["market", "asset", "pos"], ["idx"])
+    t = timeline.select("market", "asset", F.col("moment").alias("pos"), F.col("best_bid").alias("__bid"), F.col("best_ask").alias("__ask"), F.lit(True).alias("__there"))
+    both = last.join(t, ["market", "asset", "pos"], "left")
+    same = F.col("best_bid").eqNullSafe(F.col("__bid")) & F.col("best_ask").eqNullSafe(F.col("__ask"))
+    return both.select("market", "asset", "pos", F.when(F.col("__there").isNull(), "NO_BOOK").when(same, "MATCH").otherwise("MISMATCH").alias("result"))
+
+
 def sequence_tape(events: DataFrame) -> DataFrame:
     """Adds market_seq, prev_market_seq and book_epoch (number of resets so far) of each market."""
     w = Window.partitionBy("market").orderBy("pos")

@@ -73,8 +73,9 @@ def audit_keys(expected: DataFrame, actual: DataFrame, keys: list[str], by: list
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each key that is last in the given order (descending; the columns must decide ties)."""
-    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    rest = [c for c in df.columns if c not in keys]
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__r"))  # partial before the shuffle
+    return last.select(*[F.col(c) if c in keys else F.col("__r").getField(c).alias(c) for c in df.columns])
 
 
 def top_per(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
@@ -108,16 +109,25 @@ def contiguous_prefix(ranges: DataFrame, keys: list[str], first: str, last: str)
     )
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_at: str, right_at: str, take: list[str]) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_at: str, right_at: str, take: list[str], cell: int | None = None) -> DataFrame:
     """Each left row with the latest right row of its key at or before it: a union ordered by time, no range join.
 
-    right has one row per key and time; columns `take` come back under their names, null where there is none.
+    right has one row per key and time; columns `take` come back under their names, null where there is none. With cell, a
+    width in units of time, a key is sorted by cells in as many tasks, and each cell starts with the last row before it.
     """
     keys = [F.col(k) for k in by]
     l_ = left.select(*keys, F.col(left_at).alias("__at"), F.lit(1).alias("__side"), F.struct("*").alias("__l"), F.lit(None).cast(right.select(F.struct(*take)).schema[0].dataType).alias("__r"))
     r_ = right.select(*keys, F.col(right_at).alias("__at"), F.lit(0).alias("__side"), F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("__l"), F.struct(*take).alias("__r"))
-    w = Window.partitionBy(*by).orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    found = l_.unionByName(r_).withColumn("__r", F.last("__r", ignorenulls=True).over(w)).where("__side = 1")
+    both, parts = l_.unionByName(r_), list(by)
+    carried = F.lit(None).cast(both.schema["__r"].dataType)
+    if cell:
+        both, parts = both.withColumn("__cell", F.floor(F.col("__at") / cell)), [*by, "__cell"]
+        lasts = both.groupBy(*parts).agg(F.max_by("__r", F.when(F.col("__side") == 0, F.col("__at"))).alias("__last"))
+        earlier = Window.partitionBy(*by).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+        lasts = lasts.withColumn("__before", F.last("__last", ignorenulls=True).over(earlier)).select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(parts)], "__before")
+        both, carried = both.join(lasts, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(parts)])), F.col("__before")
+    w = Window.partitionBy(*parts).orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("__r", F.coalesce(F.last("__r", ignorenulls=True).over(w), carried)).where("__side = 1")
     return found.select("__l.*", *[F.col("__r").getField(c).alias(c) for c in take])
 
 

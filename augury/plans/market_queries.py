@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from augury.operators import book, coverage, oracle, prices, tables
 from augury.sources import fixtures as fx
+from augury.sources import sinks
+from augury.streaming import jobs
 
 
 def whole(df: DataFrame) -> DataFrame:
@@ -48,6 +50,32 @@ def bbo_history(spark, sf_dir):
     return whole(book.bbo_timeline(_rows(spark, sf_dir)))
 
 
+def every_cut(spark, sf_dir):
+    """The sweep against the join of intervals, at every moment."""
+    rows = _rows(spark, sf_dir)
+    return book.compare_cuts(book.bbo_timeline(rows), book.bbo_by_intervals(rows))
+
+
+def native_best(spark, sf_dir):
+    """Declared best prices, some off by one and some of books that are not there."""
+    t = book.bbo_timeline(_rows(spark, sf_dir))
+    claims = t.select("market", (F.col("asset") + F.when(F.col("moment") % 23 == 7, 9).otherwise(0)).alias("asset"), F.col("moment").alias("pos"), F.lit(1).alias("idx"), (F.col("best_bid") + F.when(F.col("moment") % 17 == 3, 1).otherwise(0)).alias("best_bid"), "best_ask")
+    early = claims.withColumns({"idx": F.lit(0), "best_bid": F.lit(-5).cast("long")})
+    return book.native_check(claims.unionByName(early), t)
+
+
+def live_book(spark, sf_dir):
+    """Changes of best prices from a stream of the level rows."""
+    folder = jobs.work_dir(spark)
+    _rows(spark, sf_dir).select("market", "asset", "base", "pos", "idx", "side", "price", "size").coalesce(1).write.parquet(f"{folder}/rows")
+    jobs.drain(jobs.live_book_stream(jobs.file_stream(spark, f"{folder}/rows")), folder)
+    return whole(spark.read.schema("market long, asset long, pos long, best_bid long, best_ask long").parquet(f"{folder}/out"))
+
+
+def checkpoint_files(spark, sf_dir):
+    return sinks.write_checkpoint(_rows(spark, sf_dir), _cut(spark, sf_dir, 6), f"{jobs.work_dir(spark)}/checkpoint").select("table", "n")
+
+
 def tape(spark, sf_dir):
     return book.sequence_tape(fx.frame(spark, sf_dir, fx.book_events)).select("pos", "market", "market_seq", "prev_market_seq", "book_epoch")
 
@@ -149,7 +177,7 @@ def price_rounds(spark, sf_dir):
 def price_asof(spark, sf_dir):
     """Each record with the latest agreed price of its asset a day or more before."""
     left = fx.frame(spark, sf_dir, fx.prices).select("id", "asset", (F.col("observed_ms") - 86_400_000).alias("at"))
-    return tables.asof_join(left, _agreed(spark, sf_dir), ["asset"], "at", "observed_ms", ["observed_ms", "price"]).select("id", "asset", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("observed_ms", "price")])
+    return tables.asof_join(left, _agreed(spark, sf_dir), ["asset"], "at", "observed_ms", ["observed_ms", "price"], 90 * 86_400_000).select("id", "asset", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("observed_ms", "price")])
 
 
 def latency_quantiles(spark, sf_dir):
@@ -226,7 +254,7 @@ def shard_plan(spark, sf_dir):
 
 
 QUERIES = {
-    "book_at_cut": book_cut, "book_bbo": book_bbo, "book_depth": book_depth, "book_digest": book_digests, "bbo_timeline": bbo_history, "tape_sequence": tape, "tape_gaps": tape_gaps,
+    "book_at_cut": book_cut, "book_bbo": book_bbo, "book_depth": book_depth, "book_digest": book_digests, "bbo_timeline": bbo_history, "every_cut": every_cut, "native_best": native_best, "live_book": live_book, "checkpoint_files": checkpoint_files, "tape_sequence": tape, "tape_gaps": tape_gaps,
     "checkpoint_resume": resumed, "checkpoint_no_baseline": no_baseline, "depth_labels": depth_labels, "interval_coverage": time_coverage, "source_selection": chosen_sources,
     "token_lanes": lane_reasons, "lane_counters": lane_counters, "market_pairs": pair_coverage, "catalog_membership": id_membership, "soak_windows": soak, "contiguous_prefix": ranges_prefix,
     "price_rejects": price_rejects, "price_window": recent_prices, "price_rounds": price_rounds, "price_asof": price_asof, "exact_quantiles": latency_quantiles, "histogram_quantiles": latency_histogram,
@@ -358,3 +386,13 @@ ORACLE_SQL = {
     "ownership_conflicts_all": "SELECT l_partkey AS token, count(DISTINCT l_orderkey // 50) AS conditions, min(l_orderkey // 50) AS lowest, count(*) AS claims FROM lineitem GROUP BY 1 HAVING conditions > 1",
     "shard_plan": fx.cte(m=fx.markets) + "SELECT market_id, (row_number() OVER (ORDER BY sha256(market_id::VARCHAR)) - 1) // 16 AS shard FROM m",
 }
+
+ORACLE_SQL |= {
+    "every_cut": f"SELECT market, count(*) AS moments, 0::BIGINT AS differing FROM ({ORACLE_SQL['bbo_timeline']}) GROUP BY market",
+    "native_best": f"""
+        SELECT market, asset + CASE WHEN moment % 23 = 7 THEN 9 ELSE 0 END AS asset, moment AS pos, CASE WHEN moment % 23 = 7 THEN 'NO_BOOK' WHEN moment % 17 = 3 AND best_bid >= 0 THEN 'MISMATCH' ELSE 'MATCH' END AS result FROM ({ORACLE_SQL['bbo_timeline']})""",
+    "live_book": f"""
+        WITH t AS ({ORACLE_SQL['bbo_timeline']}), l AS (SELECT *, lag(best_bid, 1, -1) OVER w AS b, lag(best_ask, 1, -1) OVER w AS a FROM t WINDOW w AS (PARTITION BY market, asset ORDER BY moment))
+        SELECT market, asset, moment AS pos, best_bid, best_ask FROM l WHERE best_bid <> b OR best_ask <> a""",
+    "checkpoint_files": f"SELECT 'levels' AS \"table\", count(*) AS n FROM ({ORACLE_SQL['book_at_cut']}) UNION ALL SELECT 'without_baseline', (SELECT count(*) FROM (SELECT user_id FROM events WHERE event_id <= (SELECT max(event_id) * 6 // 10 FROM events) GROUP BY user_id HAVING count(*) FILTER (event_type = 'signup') = 0))",
+}

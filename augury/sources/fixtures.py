@@ -122,8 +122,25 @@ def lifecycle(d: Dialect) -> str:
 TABLES = ("lineitem", "orders", "part", "events", "customer", "supplier", "nation", "documents")
 
 
+#: Fixtures that were written, by folder of the tables and name.
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def keep(spark: SparkSession, sf_dir: str, folder: str, *builds) -> dict[str, int]:
+    """Write fixtures, which frame() reads from then on; returns their rows."""
+    rows = {}
+    for build in builds:
+        df, path = frame(spark, sf_dir, build), f"{folder}/{build.__name__}"
+        df.write.parquet(path)
+        rows[build.__name__] = spark.read.parquet(path).count()
+        _WRITTEN[sf_dir, build.__name__] = path
+    return rows
+
+
 def frame(spark: SparkSession, sf_dir: str, build) -> DataFrame:
     """A fixture as a DataFrame."""
+    if (sf_dir, build.__name__) in _WRITTEN:
+        return spark.read.parquet(_WRITTEN[sf_dir, build.__name__])
     text = build(SPARK)
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in text}
     return spark.sql(text, **used)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from augury.operators import book
+
 
 def _digest() -> Column:
     """Order-insensitive digest of rows: their number and the sum of their hashes."""
@@ -39,3 +41,24 @@ def write_observations(rows: DataFrame, path: str, bundle_rows: int = 10_000) ->
     if out.where("bad > 0").limit(1).count():
         raise ValueError(f"{path}: a payload was not rebuilt")
     return out.select("bundle", "occurrences", "raw_bytes", "unique_bytes", (F.col("raw_bytes") - F.col("unique_bytes")).alias("saved_bytes"))
+
+
+def write_outputs(outputs: dict[str, DataFrame], path: str) -> DataFrame:
+    """Write named tables in folders of their own; returns by table the rows and the digest read back. Raises if anything
+    differs from what was to be written."""
+    receipts = None
+    for name, df in outputs.items():
+        df.write.parquet(f"{path}/{name}")
+        receipt = lambda d: d.withColumn("__h", F.xxhash64(*df.columns)).agg(F.count("*").alias("n"), _digest())  # noqa: B023, E731
+        back = receipt(df.sparkSession.read.parquet(f"{path}/{name}"))
+        if back.first() != receipt(df).first():
+            raise ValueError(f"{path}/{name}: what was read back is not what was written")
+        back = back.select(F.lit(name).alias("table"), "n", "digest")
+        receipts = back if receipts is None else receipts.unionByName(back)
+    return receipts
+
+
+def write_checkpoint(rows: DataFrame, cut: int, path: str) -> DataFrame:
+    """Write the ladders of every book at the cut and the markets without a baseline by then; returns the receipt."""
+    levels, without = book.checkpoint(rows, cut)
+    return write_outputs({"levels": levels, "without_baseline": without}, path)
