@@ -308,7 +308,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     leads = banded.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("c")).where("c > 1").select("bucket", "a")
     star = written(banded.join(leads, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
     likely = written(_likely(star, nodes, n_perms, similarity, miss), "likely")
-    full = _sets(likely.select(F.explode(F.array("a", "b")).alias("node")), nodes, docs, size)
+    # Written, so that the joins with the leads of many pairs are dealt by themselves and Spark can split a lead.
+    full = written(_sets(likely.select(F.explode(F.array("a", "b")).alias("node")), nodes, docs, size), "sets")
     links = written(_confirmed(likely, full, similarity), "links")
     first = written(components(links), "roots")
 
@@ -319,7 +320,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     # In each component the least id; a node without links is its own.
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     by_key = written(named.join(least, "root").select("key", "component_id", *["root"] * roots), "named")
-    for table in (star, likely, links, first, links2, final, nodes):
+    for table in (star, likely, full, links, first, links2, final, nodes):
         remove(table)
     out = signed.select("doc_id", "n_shingles", "key", "text_hash").join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
