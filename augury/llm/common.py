@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 #: Used only where the session names no checkpoint folder (tests, one machine).
 DEFAULT_SHARED = "file:///tmp/checkpoints"
-BATCH_ROWS = 1_000
+BATCH_ROWS, BATCH_BYTES = 1_000, "16m"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -109,6 +109,7 @@ def small_batches(df: DataFrame) -> DataFrame:
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= BATCH_ROWS:
         conf.set(key, str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)  # and a few rows if they are very long
     return df
 
 

@@ -37,11 +37,15 @@ def without_boilerplate(docs: DataFrame, host: Column, text: Column | str = "tex
     """Columns row (the columns named in keep, all if that is not given), host, clean (text without boilerplate lines),
     n_lines, n_dropped (both of non-blank lines).
 
-    Texts are cut and hashed once; the counts need the hashes only, which are summed before they are shuffled.
+    The counts need the hashes of lines only, which are summed before they are shuffled. A text that is an expression is
+    made, cut and hashed once and written; a column is cut again when its lines are dropped, which costs less than to
+    write it.
     """
-    text = F.col(text) if isinstance(text, str) else text
+    made = not isinstance(text, str)
+    text = text if made else F.col(text)
     lines = docs.select(F.struct(*(["*"] if keep is None else [F.col(f"`{c}`") for c in keep])).alias("row"), host.alias("host"), F.split(text, "\n").alias("lines"))
-    pages = written(lines.select("row", "host", "lines", F.transform("lines", _key).alias("keys")), "pages")
+    pages = lines.select("row", "host", "lines", F.transform("lines", _key).alias("keys"))
+    pages = written(pages, "pages") if made else pages
     found = pages.where("lines is not null").select("host", F.xxhash64("lines").alias("page"), F.array_distinct(F.filter("keys", lambda k: k.isNotNull())).alias("keys"))
     # A null line stands for the page itself, so that one pass counts pages and lines.
     each = found.select("host", "page", F.explode(F.array_append("keys", F.lit(None).cast("long"))).alias("line"))

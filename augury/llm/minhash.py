@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from augury.llm.common import components, ranked, remove, small_batches, written
+from augury.llm.words import Tokens, changes
 
 SHINGLE, SIMILARITY = 5, 0.75
 BANDS, ROWS, BATCH = 32, 4, 16
@@ -29,34 +30,28 @@ MISS = 1e-6
 _STEP = 2048
 #: Most sets, and most shingles about, of a block of nodes that are compared with each other.
 _BLOCK, _BLOCK_ITEMS = 256, 1 << 21
-_KEEP = 300_000
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
-class WordHashes(dict):
-    """64-bit hash of each word; forgets all when it holds too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KEEP:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def shingle_set(text: str | None, size: int, words: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
+def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of hashed words."""
+    if not len(words):
         return np.empty(0, np.uint64)
-    size = min(size, len(found))
-    h = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
-    n = len(h) - size + 1
+    size = min(size, len(words))
+    n = len(words) - size + 1
     out = np.full(n, size, np.uint64)
     for k in range(size):
-        out = (out ^ h[k : k + n]) * _M[0]
+        out = (out ^ words[k : k + n]) * _M[0]
         out ^= out >> np.uint64(29)
     out = (out ^ (out >> np.uint64(32))) * _M[1]
-    return np.unique(out ^ (out >> np.uint64(31)))
+    out = np.sort(out ^ (out >> np.uint64(31)))
+    return out[changes(out)]
+
+
+def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The set of each text."""
+    t = Tokens(texts)
+    return (shingle_set(t.flat[a : a + n - 1], size) for a, n in zip(t.starts, t.lengths))  # without the end
 
 
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,11 +92,10 @@ def _signed(texts: DataFrame, size: int, n_perms: int) -> DataFrame:
     out = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, perms = WordHashes(), _permutations(n_perms)
+        perms = _permutations(n_perms)
         for batch in batches:
             sizes, keys, sigs = [], [], []
-            for text in batch.column("text"):
-                s = shingle_set(text.as_py(), size, words)
+            for s in shingle_sets(batch.column("text"), size):
                 sizes.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s) if len(s) else None)
                 sigs.append(signature(s, perms).tobytes() if len(s) else None)
@@ -156,11 +150,9 @@ def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> Da
     out = pa.schema([("node", pa.int64()), ("members", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
             found, members = [], []
-            for node, key, text in zip(*(batch.column(c) for c in ("node", "key", "text"))):
-                s = shingle_set(text.as_py(), size, words)
+            for node, key, s in zip(batch.column("node"), batch.column("key"), shingle_sets(batch.column("text"), size)):
                 if len(s) and xxhash.xxh3_128_digest(s) == key.as_py():  # not another text under the same id
                     found.append(node.as_py())
                     members.append(s.tobytes())

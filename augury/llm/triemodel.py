@@ -27,12 +27,12 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from augury.llm.common import shared_dir, small_batches
 from augury.llm.eliasfano import EliasFano, encode, load, save
+from augury.llm.words import Tokens, changes, mixed
 
 DISCOUNT = 0.75
 SMOOTH = 0.1
@@ -43,10 +43,6 @@ HOT = 1 << 20
 #: In the shard of a triple, codes of pairs from here on stand for the frequent ones in their order.
 _SPREAD = 1 << 28
 _U = np.uint64
-_M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], _U)
-_END = _U(0x5851F42D4C957F2D)
-#: Bytes whose words are hashed together, and the bytes that part words.
-_GROUP, _SPACES = 1 << 18, b" \t\n\v\f\r"
 _DEALT = pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 _DONE = pa.schema([("shard", pa.int64()), ("entries", pa.int64()), ("tokens", pa.int64()), ("context", pa.int64()), ("successors", pa.int64()), ("total", pa.int64())])
 _DEALT_SQL, _DONE_SQL = "shard long, keys binary, counts binary", "shard long, entries long, tokens long, context long, successors long, total long"
@@ -60,84 +56,9 @@ def local(folder: str) -> str:
     return found.path
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x.astype(_U) * _M[0]
-    x ^= x >> _U(32)
-    x *= _M[1]
-    return x ^ (x >> _U(29))
-
-
-def _byte_values() -> np.ndarray:
-    """A number for each byte, the same for a capital and its small letter."""
-    out = _mixed(np.arange(1, 257))
-    out[65:91] = out[97:123]
-    return out
-
-
-_VALUES = _byte_values()
-_SPACE = np.isin(np.arange(256), np.frombuffer(_SPACES, np.uint8))
-_POWERS = np.cumprod(np.full(1 << 16, _M[0], _U))
-
-
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word, data[start:end]."""
-    out = np.empty(len(starts), _U)
-    at = 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _GROUP, "right")))
-        a, n = starts[at:to], ends[at:to] - starts[at:to]
-        first = np.cumsum(n) - n
-        inside = np.arange(int(n.sum())) - np.repeat(first, n)
-        values = _VALUES[data[np.repeat(a, n) + inside]] * _POWERS[inside & 0xFFFF]
-        if n.max() > 1 << 16:  # the powers go on
-            further = np.full(int(n.max() >> 16) + 1, _POWERS[-1], _U)
-            further[0] = 1
-            values *= np.cumprod(further)[inside >> 16]
-        out[at:to] = np.add.reduceat(values, first)
-        at = to
-    return _mixed(out)
-
-
-class Tokens:
-    """Tokens of some texts: the hash of each occurrence, text after text, and where the texts start."""
-
-    def __init__(self, texts: pa.Array):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
-        buffer = texts.buffers()[2] if len(texts) else None
-        data = np.frombuffer(buffer, np.uint8)[edges[0] : edges[-1]] if buffer is not None and edges[-1] > edges[0] else np.empty(0, np.uint8)
-        edges = edges - edges[0]
-        full = np.concatenate([[False], ~_SPACE[data], [False]])
-        begins, stops = full[1:-1] & ~full[:-2], full[1:-1] & ~full[2:]
-        inner = edges[(edges > 0) & (edges < len(data))]  # a word ends where its text does
-        begins[inner] = full[1:-1][inner]
-        stops[inner - 1] = full[1:-1][inner - 1]
-        starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-        words = np.diff(np.searchsorted(starts, edges, "left"))
-        self.lengths = words + 1
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.full(len(starts) + len(words), _END, _U)
-        last = np.zeros(len(self.flat), bool)
-        last[self.starts + words] = True
-        self.flat[~last] = _hashes(data, starts, ends)
-
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct hashes in order, and the place of each occurrence among them."""
-        order = np.argsort(self.flat)
-        new = _changes(self.flat[order])
-        back = np.empty(len(order), np.int64)
-        back[order] = np.cumsum(new) - 1
-        return self.flat[order][new], back
-
-
-def _changes(x: np.ndarray) -> np.ndarray:
-    """Where a sorted array has a new value."""
-    return np.concatenate([[True], x[1:] != x[:-1]])[: len(x)]
-
-
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values of a sorted array, and how often each occurs."""
-    first = np.flatnonzero(_changes(x))
+    first = np.flatnonzero(changes(x))
     return x[first], np.diff(np.append(first, len(x)))
 
 
@@ -180,7 +101,7 @@ def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     keys = np.concatenate([np.cumsum(_from_planes(b, _U), dtype=_U) for b in group.column("keys").to_pylist()])
     counts = np.concatenate([_from_planes(b, np.uint32) for b in group.column("counts").to_pylist()]).astype(np.int64)
     order = np.argsort(keys)
-    first = np.flatnonzero(_changes(keys[order]))
+    first = np.flatnonzero(changes(keys[order]))
     return keys[order][first], np.add.reduceat(counts[order], first)
 
 
@@ -242,7 +163,7 @@ class Level:
     def find(self, context: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, ...]:
         """For queries sorted by context: place of the entry (-1: not seen), its share, the number of successors of its
         context, and what the discount left to the context, if the level has that."""
-        new = _changes(context)
+        new = changes(context)
         which = np.cumsum(new) - 1
         place = self.contexts.find(context[new])
         seen = place >= 0
@@ -263,7 +184,7 @@ class Level:
 def _level_arrays(keys: np.ndarray, counts: np.ndarray, totals, contexts_under: int, width: int) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """Arrays of a level whose sorted keys are context * width + successor, with its contexts, pointers and totals."""
     context, successor = keys // _U(width), keys % _U(width)
-    first = np.flatnonzero(_changes(context))
+    first = np.flatnonzero(changes(context))
     contexts, pointers = context[first].astype(np.int64), np.append(first, len(keys))
     totals = totals(contexts, np.add.reduceat(counts, first))
     place = np.repeat(np.arange(len(contexts), dtype=_U), np.diff(pointers))
@@ -308,8 +229,8 @@ class Trie:
         return t, ids, counts, context, before
 
     def shards(self, context: np.ndarray, word: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-        x = np.where(frequent, _mixed(context) ^ _mixed(word + 1), _mixed(context))
-        return (_mixed(x) % _U(self.m["shards"])).astype(np.int64)
+        x = np.where(frequent, mixed(context) ^ mixed(word + 1), mixed(context))
+        return (mixed(x) % _U(self.m["shards"])).astype(np.int64)
 
     def pairs(self, context: np.ndarray, word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, ...]:
         """For known contexts: shard and place of the pair (-1: not seen), its share, and the successors of its context.
@@ -341,7 +262,7 @@ class Trie:
         name = (shard << 32) | at
         k = np.minimum(np.searchsorted(names, name), len(names) - 1)
         often = names[k] == name
-        dealt = (_mixed(_mixed(name) ^ _mixed(word + 1)) % _U(self.m["shards"])).astype(np.int64)
+        dealt = (mixed(mixed(name) ^ mixed(word + 1)) % _U(self.m["shards"])).astype(np.int64)
         return np.where(often, dealt, shard), np.where(often, _SPREAD + k, at), np.where(often, k, -1)
 
     def triples(self, shard: np.ndarray, at: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
