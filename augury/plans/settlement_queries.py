@@ -69,7 +69,7 @@ def payouts(spark, sf_dir):
     """What a holding of each token pays; every third holding is of a token that the market lacks."""
     found = _evidence(spark, sf_dir)
     token = F.when(F.col("p_partkey") % 3 == 0, F.lit("1")).otherwise((F.col("p_partkey") * 100 + F.col("p_partkey") % 2 + 1).cast("string"))
-    held = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("market_id"), token.alias("token_id"), F.when(F.col("p_partkey") % 10 == 9, F.lit(str(10**77 * 5))).otherwise(F.concat((F.col("p_partkey") * 1234567).cast("string"), F.lit("000000000000"))).alias("amount"))
+    held = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("market_id"), token.alias("token_id"), F.when(F.col("p_partkey") % 10 == 9, F.lit(str(10**77))).otherwise(F.concat((F.col("p_partkey") * 1234567).cast("string"), F.lit("000000000000"))).alias("amount"))
     return settlement.payout_for_amount(found, held).select("market_id", "token_id", F.coalesce("payout", F.lit("")).alias("payout"), F.coalesce("reason", F.lit("")).alias("reason"))
 
 
@@ -146,7 +146,7 @@ ORACLE_SQL = {
         , h AS (SELECT p_partkey AS market_id, CASE WHEN p_partkey % 3 = 0 THEN '1' ELSE (p_partkey * 100 + p_partkey % 2 + 1)::VARCHAR END AS token_id, p_partkey % 10 = 9 AS huge, p_partkey::HUGEINT * 1234567 * 1000000000000 AS amount FROM part),
         x AS (SELECT h.*, r.readiness, r.total, nums[list_position(ids, token_id)] AS num FROM h LEFT JOIN r ON r.id = h.market_id),
         y AS (SELECT *, CASE WHEN readiness <> 'READY' THEN readiness WHEN num IS NULL THEN 'unknown token' WHEN huge THEN 'huge' ELSE '' END AS reason FROM x)
-        SELECT market_id, token_id, CASE WHEN reason = '' THEN (amount * num // total)::VARCHAR WHEN reason = 'huge' AND num = 0 THEN '0' WHEN reason = 'huge' AND num = 1 THEN (5 * 10^0)::VARCHAR ELSE '' END AS payout,
+        SELECT market_id, token_id, CASE WHEN reason = '' THEN (amount * num // total)::VARCHAR WHEN reason = 'huge' AND num = 0 THEN '0' WHEN reason = 'huge' AND num = 1 THEN '1' || repeat('0', 77 - len(total::VARCHAR) + 1) ELSE '' END AS payout,
             CASE WHEN reason = 'huge' THEN CASE WHEN num > 1 THEN 'product is over 256 bits' ELSE '' END ELSE reason END AS reason FROM y""",
     "leg_checks": fx.cte(l=fx.legs) + """
         SELECT leg_id, CASE WHEN word = 'none' THEN '' ELSE word END AS word, word <> 'none' AND outcome_index < 2 AND condition_id NOT LIKE '0x04%' AND word NOT LIKE '%ff' AS valid FROM l""",
