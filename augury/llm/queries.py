@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from augury.llm import bpe, credentials, kneserney, langid, lines, quotes, simhash, triemodel, wumanber
+from augury.llm import bpe, credentials, kneserney, langid, lines, phrases, quotes, simhash, topk, triemodel, whitening, wumanber
 from augury.llm.minhash import near_duplicates
 
 
@@ -100,6 +100,25 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(docs, table(spark, sf_dir, "labels")).select("row.doc_id", "row.lang", "n_symbols", "perplexity", "threshold", "slack", "accepted")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """deviation is null where the exact sum passes 64 bits; deviation_exact holds up to 38 digits."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    each = found.select("row.vec_id", "n", "deviation", "eigenvalues", "trace", "identity_error", F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.when(F.col("trace") > 0, F.get("eigenvalues", F.col("at")) / F.col("trace"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened",
+        explained.alias("explained"), "identity_error", F.col("deviation").alias("deviation_exact"),
+    )
+
+
+def op12_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents")).drop("cut")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_quote_threads": op2_quote_threads,
@@ -111,11 +130,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_trie_scores": op8_trie_scores,
     "op9_language_id": op9_language_id,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_whitening": op11_whitening,
+    "op12_threshold_topk": op12_threshold_topk,
+    "op13_phrase_graph": op13_phrase_graph,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op12_threshold_topk": """
+        WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+            FROM x q JOIN x c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+    """,
+    "op13_phrase_graph": rf"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+        words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang),
+        grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS g
+            FROM words, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+        f AS (SELECT lang, k, g, count(*)::HUGEINT AS c FROM grams GROUP BY ALL HAVING count(*) >= 100),
+        kept AS (SELECT * FROM f WHERE k > 1 AND NOT EXISTS (
+            SELECT 1 FROM f b WHERE b.lang = f.lang AND b.k > f.k AND contains(' ' || b.g || ' ', ' ' || f.g || ' ') AND 100 * b.c >= 100 * f.c)),
+        cuts AS (SELECT *, string_split(g, ' ') AS w, unnest(range(1, k)) AS j FROM kept),
+        scored AS (SELECT c.lang, c.g, c.c AS a, x.c AS l, y.c AS r, n, j, (1000 * c.c * n) // (x.c * y.c) AS score FROM cuts c
+            JOIN f x ON x.lang = c.lang AND x.g = array_to_string(w[1:j], ' ') JOIN f y ON y.lang = c.lang AND y.g = array_to_string(w[j+1:], ' ')
+            JOIN totals t ON t.lang = c.lang),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g)) AS rank, g AS phrase,
+            a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM lowest QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g)) <= 2000
+    """,
     "op1_minhash": rf"""
         WITH RECURSIVE words AS (
             SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
