@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -207,66 +204,6 @@ def failure_key(*parts: str) -> Column:
     return F.sha2(F.to_json(F.array(*[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts])), 256)
 
 
-def _states(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs the entries' states over rows sorted by market and seq; only the state of the market at hand is kept."""
-    market, state, own = None, None, None
-    for frame in rows:
-        out = []
-        for name, action, body, source, taken in zip(frame["market"], frame["action"], frame["body"], frame["source"], frame["taken"]):
-            if name != market:
-                market, state, own = name, None, None
-            state, own, change = moved(state, own, action, body, source, taken)
-            out.append((state, change))
-        yield frame[["market", "seq"]].assign(state=[s for s, _ in out], change=[c for _, c in out])
-
-
-REVALIDATED = "GAMMA_KNOWN_ID_REVALIDATION"
-
-
-def moved(state: str | None, own: str | None, action: str, body: str | None, source: str | None, taken: bool) -> tuple[str | None, str | None, str | None]:
-    """State and identity of an entry after an event, and the kind of change, if it made one."""
-    if action == "RESOLVE":
-        return ("TERMINAL", own, "TERMINAL") if state != "TERMINAL" else (state, own, None)
-    if action == "NEW":
-        return ("PENDING_VALIDATION", own, "PENDING_VALIDATION") if state is None else (state, own, None)
-    if action == "EXCLUDE":
-        return ("EXCLUDED_SCOPE", own, "SCOPE_EXCLUDED") if state not in (None, "TERMINAL", "EXCLUDED_SCOPE") else (state, own, None)
-    if state in ("TERMINAL", "QUARANTINED") or (state == "EXCLUDED_SCOPE" and source != REVALIDATED):
-        return state, own, None
-    if own is not None and own != body:
-        return "QUARANTINED", own, "IDENTITY_QUARANTINED"
-    if own == body and state == "ELIGIBLE":
-        return state, own, None
-    return ("QUARANTINED", body, "TOKEN_OWNERSHIP_CONFLICT") if taken else ("ELIGIBLE", body, "UPSERT")
-
-
-def catalog_fold(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(state, changes) of catalogue entries from events (market, seq, action, body, assets, source).
-
-    UPSERT makes an entry eligible, but not a terminal or quarantined one, and an excluded one only if its source is a
-    revalidation; another body than the entry's quarantines it, as does an asset that another entry owns already: the
-    entry whose accepted UPSERT came first. EXCLUDE takes any entry that is there out of scope; NEW makes it pending if it is
-    not there; RESOLVE is final. changes has one row for each event that moved an entry, with its revision. seq is
-    unique. Each market's events are folded in order within sorted partitions, one row at a time.
-    """
-    w = tables.Window.partitionBy("market").orderBy("seq")
-    claims = events.where("action = 'UPSERT'").select("market", "seq", F.explode("assets").alias("asset"))
-    taken, before = None, None
-    # Who owns an asset depends on which claims were accepted, and that on who owns the others: repeated until it is stable.
-    while True:
-        marked = events.withColumn("taken", F.lit(False)) if taken is None else events.join(taken, ["market", "seq"], "left").withColumn("taken", F.coalesce("taken", F.lit(False)))
-        dealt = marked.select("market", "seq", "action", "body", "source", "taken").repartition("market").sortWithinPartitions("market", "seq")
-        folded = dealt.mapInPandas(_states, "market long, seq long, state string, change string").persist()
-        first = claims.join(folded.where("change = 'UPSERT'").select("market", "seq"), ["market", "seq"]).groupBy("asset").agg(F.min_by(F.struct("market", "seq"), "seq").alias("o"))
-        found = claims.join(first, "asset").where((F.col("o.market") != F.col("market")) & (F.col("o.seq") < F.col("seq"))).select("market", "seq").distinct().withColumn("taken", F.lit(True)).persist()
-        now = found.agg(F.count("*"), F.sum(F.xxhash64("market", "seq").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        taken, before = found, now
-    changes = folded.where("change is not null").withColumn("revision", F.row_number().over(w))
-    return folded.where("state is not null").groupBy("market").agg(F.max_by("state", "seq").alias("state")).join(changes.groupBy("market").agg(F.max("revision").alias("revision")), "market"), changes.select("market", "seq", "state", "change", "revision")
-
-
 def probe_health(probes: DataFrame, limit_ms: int = 2_000, needed: int = 3) -> tuple[DataFrame, DataFrame]:
     """(answered probes, sessions) from pings and pongs (id, connection, session, kind, ms).
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from augury.operators import book, fills, registry
+from augury.operators import book, catalogue, fills, registry
 from augury.sources import fixtures as fx
 from augury.streaming import jobs
 
@@ -72,20 +72,37 @@ def ledger(spark, sf_dir):
 
 
 def _catalog_events(spark, sf_dir):
-    """Events of entries; a body now and then differs, and entries of one cell share an asset."""
+    """Events of entries; the identity now and then differs, the body more often, and entries of one cell share an asset."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("m", F.col("user_id") * 20 + F.col("event_id") % 20)
     action = F.when(F.col("event_type") == "error", "EXCLUDE").when(F.col("event_type") == "signup", "NEW").when(F.col("event_id") % 11 == 3, "RESOLVE").otherwise("UPSERT")
-    body = F.when(F.col("event_id") % 13 == 5, "other").otherwise("own")
+    identity = F.when(F.col("event_id") % 13 == 5, "other").otherwise("own")
+    body = F.concat(identity, F.when(F.col("event_id") % 7 == 2, "-b").otherwise("-a"))
     assets = F.array(F.concat(F.lit("a"), F.col("m")), F.when(F.col("m") % 10 == 7, F.concat(F.lit("s"), F.floor(F.col("m") / 100))).otherwise(F.concat(F.lit("b"), F.col("m"))))
-    return e.select(F.col("m").alias("market"), F.col("event_id").alias("seq"), action.alias("action"), body.alias("body"), assets.alias("assets"), F.when(F.col("event_id") % 3 == 1, registry.REVALIDATED).otherwise("SCAN").alias("source"))
+    return e.select(F.col("m").alias("market"), F.col("event_id").alias("seq"), action.alias("action"), identity.alias("identity"), body.alias("body"), assets.alias("assets"), F.when(F.col("event_id") % 3 == 1, catalogue.REVALIDATED).otherwise("SCAN").alias("source"))
 
 
 def catalog_state(spark, sf_dir):
-    return registry.catalog_fold(_catalog_events(spark, sf_dir))[0]
+    return catalogue.fold(_catalog_events(spark, sf_dir))[0].select("market", "state", "revision", F.coalesce("body", F.lit("")).alias("body"))
 
 
 def catalog_changes(spark, sf_dir):
-    return registry.catalog_fold(_catalog_events(spark, sf_dir))[1]
+    return catalogue.fold(_catalog_events(spark, sf_dir))[1]
+
+
+def _catalog_streamed(spark, sf_dir):
+    folder = jobs.work_dir(spark)
+    jobs.write_in_order(_catalog_events(spark, sf_dir), "seq", f"{folder}/events", 4)
+    return jobs.catalog_stream(jobs.file_stream(spark, f"{folder}/events", 2), folder)
+
+
+def streamed_catalog(spark, sf_dir):
+    """The changes from four micro-batches."""
+    return spark.read.schema(f"{catalogue.CHANGE}, batch int").parquet(_catalog_streamed(spark, sf_dir)[1]).drop("batch")
+
+
+def streamed_entries(spark, sf_dir):
+    entries = _catalog_streamed(spark, sf_dir)[0]
+    return jobs.last_entries(spark, entries).select("market", "state", "revision", F.coalesce("body", F.lit("")).alias("body"))
 
 
 def probes(spark, sf_dir):
@@ -129,7 +146,7 @@ def streamed_fills(spark, sf_dir):
 
 
 QUERIES = {
-    "market_normalized": normalized, "market_rejects": rejects, "event_markets_normalized": event_normalized, "event_market_rejects": event_rejects, "catalog_identity": identities, "identity_marks": classes, "identity_gate": gate, "rule_violations": violations, "probe_sessions": probe_sessions, "claims_accepted": accepted, "claims_blocked": blocked, "claims_accepted_all": accepted, "claims_blocked_all": blocked, "failure_ledger": ledger, "catalog_state": catalog_state, "catalog_changes": catalog_changes,
+    "market_normalized": normalized, "market_rejects": rejects, "event_markets_normalized": event_normalized, "event_market_rejects": event_rejects, "catalog_identity": identities, "identity_marks": classes, "identity_gate": gate, "rule_violations": violations, "probe_sessions": probe_sessions, "claims_accepted": accepted, "claims_blocked": blocked, "claims_accepted_all": accepted, "claims_blocked_all": blocked, "failure_ledger": ledger, "catalog_state": catalog_state, "catalog_changes": catalog_changes, "stream_catalog": streamed_catalog, "stream_catalog_entries": streamed_entries,
     "probe_health": probes, "stream_rounds": streamed_rounds, "stream_dedupe": streamed_keys, "stream_tape": streamed_tape, "stream_fills": streamed_fills,
 }
 
@@ -193,28 +210,28 @@ _CLAIMS = """
         FROM c LEFT JOIN o ON o.token = c.token GROUP BY 1
     )
 """
-#: The states one event at a time, as a recursion over each entry's events; who owns a shared asset is found in rounds.
+#: The states one event at a time, as a recursion over the events of an entry, or of all entries that share an asset.
 _CATALOG = """
     WITH RECURSIVE e AS (
         SELECT user_id * 20 + event_id % 20 AS market, event_id AS seq, CASE WHEN event_type = 'error' THEN 'EXCLUDE' WHEN event_type = 'signup' THEN 'NEW' WHEN event_id % 11 = 3 THEN 'RESOLVE' ELSE 'UPSERT' END AS action,
-            CASE WHEN event_id % 13 = 5 THEN 'other' ELSE 'own' END AS body, event_id % 3 = 1 AS again FROM events
-    ), n AS (SELECT *, row_number() OVER (PARTITION BY market ORDER BY seq) AS k, CASE WHEN market % 10 = 7 THEN market // 100 END AS shared FROM e),
+            CASE WHEN event_id % 13 = 5 THEN 'other' ELSE 'own' END AS identity, identity || CASE WHEN event_id % 7 = 2 THEN '-b' ELSE '-a' END AS body, event_id % 3 = 1 AS again FROM events
+    ), n AS (SELECT *, CASE WHEN market % 10 = 7 THEN market // 100 END AS shared FROM e),
     -- Entries that share an asset are walked together, all others alone.
     w AS (SELECT *, coalesce('s' || shared, 'm' || market) AS g, row_number() OVER (PARTITION BY coalesce('s' || shared, 'm' || market) ORDER BY seq) AS i FROM n),
     walk AS (
-        SELECT g, 0::BIGINT AS i, NULL::BIGINT AS market, NULL::BIGINT AS seq, NULL::VARCHAR AS change, NULL::VARCHAR AS state, MAP {}::MAP(BIGINT, VARCHAR) AS states, MAP {}::MAP(BIGINT, VARCHAR) AS bodies, NULL::BIGINT AS owner FROM (SELECT DISTINCT g FROM w)
+        SELECT g, 0::BIGINT AS i, NULL::BIGINT AS market, NULL::BIGINT AS seq, NULL::VARCHAR AS change, NULL::VARCHAR AS state, NULL::VARCHAR AS body, MAP {}::MAP(BIGINT, VARCHAR) AS states, MAP {}::MAP(BIGINT, VARCHAR) AS bodies, NULL::BIGINT AS owner FROM (SELECT DISTINCT g FROM w)
         UNION ALL
-        SELECT g, i, market, seq, change, new_state, map_concat(states, MAP {market: new_state}), map_concat(bodies, MAP {market: new_body}), CASE WHEN change = 'UPSERT' AND shared IS NOT NULL THEN coalesce(owner, market) ELSE owner END FROM (
+        SELECT g, i, market, seq, change, new_state, new_body, map_concat(states, MAP {market: new_state}), map_concat(bodies, MAP {market: new_body}), CASE WHEN change = 'UPSERT' AND shared IS NOT NULL THEN coalesce(owner, market) ELSE owner END FROM (
             SELECT *, CASE change WHEN 'TERMINAL' THEN 'TERMINAL' WHEN 'PENDING_VALIDATION' THEN 'PENDING_VALIDATION' WHEN 'SCOPE_EXCLUDED' THEN 'EXCLUDED_SCOPE' WHEN 'UPSERT' THEN 'ELIGIBLE' WHEN 'IDENTITY_QUARANTINED' THEN 'QUARANTINED' WHEN 'TOKEN_OWNERSHIP_CONFLICT' THEN 'QUARANTINED' ELSE was END AS new_state,
                 CASE WHEN change IN ('UPSERT', 'TOKEN_OWNERSHIP_CONFLICT') THEN body ELSE own END AS new_body FROM (
                 SELECT *, CASE WHEN action = 'RESOLVE' THEN CASE WHEN was IS DISTINCT FROM 'TERMINAL' THEN 'TERMINAL' END WHEN action = 'NEW' THEN CASE WHEN was IS NULL THEN 'PENDING_VALIDATION' END
                     WHEN action = 'EXCLUDE' THEN CASE WHEN was IN ('PENDING_VALIDATION', 'ELIGIBLE', 'QUARANTINED') THEN 'SCOPE_EXCLUDED' END WHEN was IN ('TERMINAL', 'QUARANTINED') OR (was = 'EXCLUDED_SCOPE' AND NOT again) THEN NULL
-                    WHEN own <> body THEN 'IDENTITY_QUARANTINED' WHEN own = body AND was = 'ELIGIBLE' THEN NULL WHEN shared IS NOT NULL AND owner <> event_market THEN 'TOKEN_OWNERSHIP_CONFLICT' ELSE 'UPSERT' END AS change FROM (
-                    SELECT w.g, w.i, w.market, w.seq, w.action, w.body, w.again, w.shared, w.market AS event_market, walk.states, walk.bodies, walk.owner, walk.states[w.market] AS was, walk.bodies[w.market] AS own FROM walk JOIN w ON w.g = walk.g AND w.i = walk.i + 1
+                    WHEN split_part(own, '-', 1) <> identity THEN 'IDENTITY_QUARANTINED' WHEN own = body AND was = 'ELIGIBLE' THEN NULL WHEN shared IS NOT NULL AND owner <> event_market THEN 'TOKEN_OWNERSHIP_CONFLICT' ELSE 'UPSERT' END AS change FROM (
+                    SELECT w.g, w.i, w.market, w.seq, w.action, w.identity, w.body, w.again, w.shared, w.market AS event_market, walk.states, walk.bodies, walk.owner, walk.states[w.market] AS was, walk.bodies[w.market] AS own FROM walk JOIN w ON w.g = walk.g AND w.i = walk.i + 1
                 )
             )
         )
-    ), c AS (SELECT market, seq, state, change, row_number() OVER (PARTITION BY market ORDER BY seq) AS revision FROM walk WHERE change IS NOT NULL)
+    ), c AS (SELECT market, seq, state, change, body, row_number() OVER (PARTITION BY market ORDER BY seq) AS revision FROM walk WHERE change IS NOT NULL)
 """
 
 _MARKS = fx.cte(m=fx.unnamed_markets) + """
@@ -260,7 +277,7 @@ ORACLE_SQL = {
     "failure_ledger": _PAGES + """
         , x AS (SELECT id, reason, id % 5 <> 1 AS a, id % 2 = 0 AS b FROM k WHERE reason IS NOT NULL)
         SELECT id::VARCHAR AS failure_key, reason, a::BIGINT + b::BIGINT AS occurrences, CASE WHEN a THEN 1 ELSE 2 END AS first_seen, CASE WHEN b THEN 2 ELSE 1 END AS last_seen, CASE WHEN a AND id % 3 = 0 THEN 'closed' ELSE 'open' END AS status FROM x WHERE a OR b""",
-    "catalog_state": _CATALOG + "SELECT market, last(state ORDER BY seq) AS state, max(revision) AS revision FROM c GROUP BY market",
+    "catalog_state": _CATALOG + "SELECT market, last(state ORDER BY seq) AS state, max(revision) AS revision, coalesce(last(body ORDER BY seq), '') AS body FROM c GROUP BY market",
     "catalog_changes": _CATALOG + "SELECT market, seq, state, change, revision FROM c",
     "probe_health": _PROBES + """
         SELECT id, connection, session, ms - pms AS rtt_ms, ms - pms > 86400000 AS late, count(*) OVER l3 = 3 AND max(ms - pms) OVER l3 <= 86400000 AS healthy
@@ -275,3 +292,4 @@ ORACLE_SQL = {
         SELECT market, pos, CASE WHEN kind = 'RESET' THEN 'RESET' WHEN epoch > 0 AND bad = 0 THEN 'APPLIED' ELSE 'RESET_REQUIRED' END AS status FROM b""",
     "stream_fills": _FILLS["fill_facts"],
 }
+ORACLE_SQL |= {"stream_catalog": ORACLE_SQL["catalog_changes"], "stream_catalog_entries": ORACLE_SQL["catalog_state"]}

@@ -43,43 +43,6 @@ def test_gateway(spark):
     assert got == {0: [], 1: ["GATEWAY_PAIR_NOT_READY"], 2: ["COMMITTED_SOURCE_EVIDENCE_MISSING"], 3: ["GATEWAY_SOURCE_SESSION_MISMATCH"], 4: ["GATEWAY_PARENT_OUTSIDE_CAPTURED_PLANT_PREFIX"], 5: ["GATEWAY_PAIR_NOT_READY"]}
 
 
-def test_catalogue_equals_a_walk_in_order(spark):
-    """All events in one order, with owners of assets in a dictionary, against the fold by market."""
-    import numpy as np
-
-    rng = np.random.default_rng(3)
-    rows = []
-    for seq in range(900):
-        market = int(rng.integers(0, 40))
-        action = str(rng.choice(["UPSERT", "UPSERT", "UPSERT", "EXCLUDE", "NEW", "RESOLVE"], p=[0.3, 0.3, 0.2, 0.1, 0.05, 0.05]))
-        rows.append((market, seq, action, str(rng.choice(["x", "y"], p=[0.9, 0.1])), [f"a{market // 4}", f"b{int(rng.integers(0, 30))}"], str(rng.choice([registry.REVALIDATED, "SCAN"]))))
-    state, body, owner, want = {}, {}, {}, {}
-    for market, seq, action, own, assets, source in rows:
-        s, change = state.get(market), None
-        if action == "RESOLVE" and s != "TERMINAL":
-            state[market], change = "TERMINAL", "TERMINAL"
-        elif action == "NEW" and s is None:
-            state[market], change = "PENDING_VALIDATION", "PENDING_VALIDATION"
-        elif action == "EXCLUDE" and s in ("PENDING_VALIDATION", "ELIGIBLE", "QUARANTINED"):
-            state[market], change = "EXCLUDED_SCOPE", "SCOPE_EXCLUDED"
-        elif action == "UPSERT" and not (s in ("TERMINAL", "QUARANTINED") or (s == "EXCLUDED_SCOPE" and source != registry.REVALIDATED)):
-            if body.get(market, own) != own:
-                state[market], change = "QUARANTINED", "IDENTITY_QUARANTINED"
-            elif not (body.get(market) == own and s == "ELIGIBLE"):
-                taken = any(owner.get(a, market) != market for a in assets)
-                body[market] = own
-                state[market], change = ("QUARANTINED", "TOKEN_OWNERSHIP_CONFLICT") if taken else ("ELIGIBLE", "UPSERT")
-                if not taken:
-                    owner |= {a: owner.get(a, market) for a in assets}
-        if change:
-            want[market, seq] = (state[market], change)
-    frame = spark.createDataFrame(rows, "market long, seq long, action string, body string, assets array<string>, source string")
-    now, changes = registry.catalog_fold(frame)
-    assert {(r["market"], r["seq"]): (r["state"], r["change"]) for r in changes.collect()} == want
-    assert {r["market"]: r["state"] for r in now.collect()} == state
-    assert sum(c == "TOKEN_OWNERSHIP_CONFLICT" for _, c in want.values()) > 5
-
-
 def test_probes_stay_ambiguous_until_a_new_session(spark):
     rows = [("PING", 0), ("PONG", 5), ("PONG", 6), ("PING", 10), ("PONG", 12), ("PING", 20), ("PONG", 99), ("PING", 100), ("PING", 101), ("PONG", 102), ("PING", 110), ("PONG", 111)]
     rows = [(i, 1, 0, k, ms) for i, (k, ms) in enumerate(rows)] + [(100 + i, 1, 1, "PING" if i % 2 == 0 else "PONG", 200 + i) for i in range(8)]
