@@ -7,9 +7,10 @@ would miss the last words. Edges are counted in each task, then by Spark. The fl
 and of the ends in it, so each shorter gram's count is the sum over the next longer ones that it begins. Unary paths are
 compacted: a phrase whose whole flow goes on to one longer phrase, or comes from one, is that phrase's and is dropped.
 
-Counting starts with a filter: pairs and words are counted in a table of hashed buckets whose size a parameter bounds, and a piece is cut
-at pairs whose bucket holds fewer than `least` occurrences. No phrase that is frequent enough holds such a pair, so
-counts stay exact; the fuller the table, the less is cut. The table's bits, one for each bucket, are all that is broadcast.
+Edges are cut by two filters, tables of hashed buckets whose size a parameter bounds: the first counts words and pairs,
+the second longer grams whose pairs the first has left. An edge ends before the gram whose bucket holds fewer than `least`
+occurrences. No phrase that is frequent enough goes beyond, so counts stay exact; the fuller the tables, the less is cut. A
+bit for each bucket is all that is broadcast.
 
 A word of a language is a 64-bit number. Words whose texts are kept are compared by number and text, and everything is
 counted again with other numbers if two share one. Grams are compared by the numbers of all their words.
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,12 +95,22 @@ class Words:
         number = mixed(_hashes(self.data, self.starts, self.ends, seed) + salt[self.lang]) if len(self.text) else np.empty(0, _U)
         self.number = np.where(number == 0, _U(1), number)
 
-    def pairs(self) -> np.ndarray:
-        """Hash of the pair that starts at each word, 0 where the piece ends with it."""
-        out = np.zeros(len(self.number), _U)
-        if len(out):
-            out[:-1] = np.where(self.opens[1:], _U(0), mixed(self.number[:-1] * _NEXT + self.number[1:]) | _U(1))
-        return out
+
+def _runs(w: Words, filters: list[np.ndarray], bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For k = 2 to LONGEST: hashes of the grams of k words that start at each word, and which of them may be frequent: they lie
+    in a piece, the two grams in them that are a word shorter may be, and so may their bucket (the first filter is for
+    pairs, the second for all longer ones; a missing one lets all pass)."""
+    size, hashes = len(w.number), w.number
+    number = np.concatenate([w.number, np.zeros(LONGEST, _U)])
+    alive = np.zeros(size, bool)
+    alive[:-1] = ~w.opens[1:]
+    for k in range(2, LONGEST + 1):
+        hashes = mixed(hashes * _NEXT + number[k - 1 : size + k - 1])
+        if k > 2:
+            alive = alive & np.append(alive[1:], False)[:size]
+        if len(filters) > min(k - 2, 1):
+            alive = alive & filters[min(k - 2, 1)][_bucket(hashes, bits)]
+        yield k, hashes, alive
 
 
 def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -116,19 +128,22 @@ def _merged(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray],
     return [c[at] for c in columns], np.add.reduceat(n[order], at) if len(at) else n
 
 
-def _masses(docs: DataFrame, bits: int, least: int, seed: int) -> DataFrame:
-    """Rows (block, counts) of each task's filter, counts up to `least`, and rows (lang, n) of its words."""
+def _masses(docs: DataFrame, bits: int, least: int, seed: int, first: Broadcast | None = None) -> DataFrame:
+    """Rows (block, counts) of each task's filter, counts up to `least`, and rows (lang, n) of its words. The filter holds
+    words and pairs, or with the first filter's bits the longer grams that this lets pass."""
     kind = np.min_scalar_type(least)
     out = pa.schema([("block", pa.int32()), ("counts", pa.binary()), ("lang", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, total = np.zeros(1 << bits, kind), {}
+        filters = [] if first is None else [np.unpackbits(first.value).view(bool)]
         for batch in batches:
             w = Words(batch.column("text"), batch.column("lang"), seed)
             for lang, n in zip(w.langs, np.bincount(w.lang, minlength=len(w.langs))):
                 total[lang] = total.get(lang, 0) + int(n)
-            pairs = w.pairs()
-            at, n = np.unique(_bucket(np.concatenate([mixed(w.number), pairs[pairs != 0]]), bits), return_counts=True)
+            runs = _runs(w, filters, bits)
+            found = [h[alive] for k, h, alive in runs if k > 2] if filters else [mixed(w.number), (pairs := next(runs))[1][pairs[2]]]
+            at, n = np.unique(_bucket(np.concatenate(found), bits), return_counts=True)
             table[at] = np.minimum(table[at].astype(np.int64) + n, least)
         for k in range(0, len(table), _BLOCK):
             if (block := table[k : k + _BLOCK]).any():
@@ -161,9 +176,8 @@ def _filter(masses: DataFrame, bits: int, least: int) -> np.ndarray:
 GRAM = [f"w{k}" for k in range(1, LONGEST + 1)]
 
 
-def _grams(docs: DataFrame, often: np.ndarray, bits: int, seed: int) -> DataFrame:
-    """Each task's edges (w1 to w5, 0 after the end; n), and its words as rows with lang and word."""
-    sent = docs.sparkSession.sparkContext.broadcast(often)
+def _grams(docs: DataFrame, sent: list[Broadcast], bits: int, seed: int) -> DataFrame:
+    """Edges (w1 to w5, 0 after the end; n), and words as rows with lang and word; counted by task, then by Spark."""
     out = pa.schema([*[(c, pa.int64()) for c in GRAM], ("n", pa.int64()), ("lang", pa.string()), ("word", pa.string())])
 
     def shown(columns: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -173,25 +187,22 @@ def _grams(docs: DataFrame, often: np.ndarray, bits: int, seed: int) -> DataFram
             yield pa.RecordBatch.from_arrays([*part, pa.array(n[a : a + 50_000]), pa.nulls(size, pa.string()), pa.nulls(size, pa.string())], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.unpackbits(sent.value).view(bool)
+        filters = [np.unpackbits(x.value).view(bool) for x in sent]
         held: tuple[list[np.ndarray], np.ndarray] = [np.empty(0, _U)] * LONGEST, np.empty(0, np.int64)
         known, count, label = np.empty(0, _U), np.empty(0, np.int64), []
         for batch in batches:
             w = Words(batch.column("text"), batch.column("lang"), seed)
-            pairs = w.pairs()
-            goes = np.zeros(len(pairs) + LONGEST, bool)
-            goes[: len(pairs)] = (pairs != 0) & frequent[_bucket(pairs, bits)]
-            at, number = np.flatnonzero(goes), np.concatenate([w.number, np.zeros(LONGEST, _U)])
-            columns, alive = [number[at]], np.ones(len(at), bool)
-            for k in range(1, LONGEST):
-                alive = alive & goes[at + k - 1]
-                columns.append(np.where(alive, number[at + k], _U(0)))
+            number, columns = np.concatenate([w.number, np.zeros(LONGEST, _U)]), []
+            for k, _, alive in _runs(w, filters, bits):
+                at = np.flatnonzero(alive) if k == 2 else at
+                columns = columns or [number[at]]
+                columns.append(np.where(alive[at], number[at + k - 1], _U(0)))
             held = _merged([np.concatenate(x) for x in zip(held[0], columns)], np.concatenate([held[1], np.ones(len(at), np.int64)]))
             if len(held[1]) > _HELD:
                 yield from shown(*held)
                 held = [np.empty(0, _U)] * LONGEST, np.empty(0, np.int64)
             # Words: those of frequent buckets, each with its text the first time.
-            full = np.flatnonzero(frequent[_bucket(mixed(w.number), bits)]) if len(w.number) else np.empty(0, np.int64)
+            full = np.flatnonzero(filters[0][_bucket(mixed(w.number), bits)]) if len(w.number) else np.empty(0, np.int64)
             ids, first, n = np.unique(w.number[full], return_index=True, return_counts=True)
             place = np.minimum(np.searchsorted(known, ids), max(0, len(known) - 1))
             old = known[place] == ids if len(known) else np.zeros(len(ids), bool)
@@ -222,12 +233,13 @@ def counted(docs: DataFrame, least: int = LEAST, text: str = "text", lang: str =
     if bits is None:
         chars = docs.agg(F.sum(F.length("text").cast("decimal(38,0)"))).first()[0] or 0
         bits = min(max((int(chars) // CHARS_A_BUCKET).bit_length(), BITS[0]), BITS[1])
-    seed = 0
+    seed, send = 0, docs.sparkSession.sparkContext.broadcast
     while True:
         masses = written(_masses(docs, bits, least, seed), "masses")
         totals = written(masses.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-        often = _filter(masses, bits, least)
-        grams = written(_grams(docs, often, bits, seed), "grams")
+        sent = [send(_filter(masses, bits, least))]
+        sent.append(send(_filter(_masses(docs, bits, least, seed, sent[0]), bits, least)))
+        grams = written(_grams(docs, sent, bits, seed), "grams")
         remove(masses)
         named = grams.where("word is not null")
         if named.groupBy("w1").agg(F.count("*").alias("x")).where("x > 1").isEmpty():
@@ -236,8 +248,9 @@ def counted(docs: DataFrame, least: int = LEAST, text: str = "text", lang: str =
         remove(totals)
         seed += 1
     levels, flow = [], grams.where("word is null")
-    for k in range(LONGEST, 1, -1):  # a node's flow is that of the longer grams that it begins
-        flow = flow.groupBy(*GRAM[:k]).agg(F.sum("n").alias("n"))
+    for k in range(LONGEST, 1, -1):
+        if k < LONGEST:  # a node's flow is that of the longer grams that it begins
+            flow = written(flow.groupBy(*GRAM[:k]).agg(F.sum("n").alias("n")), "flow")
         levels.append(flow.where((F.col("n") >= least) & (F.col(GRAM[k - 1]) != 0)).select(F.array(*GRAM[:k]).alias("gram"), F.col("n").alias("a")))
     words = written(named.where(F.col("n") >= least).select(F.col("w1").alias("number"), "lang", "word", "n"), "words")
     found = words.select(F.array("number").alias("gram"), F.col("n").alias("a"))
