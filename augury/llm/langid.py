@@ -11,12 +11,12 @@ texts count whole. Repeated rows, null ids and extra columns pass through in `ro
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +27,7 @@ BITS = 16
 #: Languages of a slab of the matrix (2**16 buckets of 4 bytes each), and products held at once.
 SLAB, PRODUCTS = 64, 4_000_000
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 

@@ -89,15 +89,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
-def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Judged documents; those that a label calls good, and none calls bad or toxic, are the trusted ones."""
     marks = labels.groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
-    return kneserney.judged(docs, marks.where("good"))
+    return kneserney.judged(docs, marks.where("good"), keep=keep)
 
 
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality(docs, table(spark, sf_dir, "labels")).select("row.doc_id", "row.lang", "n_symbols", "perplexity", "threshold", "slack", "accepted")
+    return quality(docs, table(spark, sf_dir, "labels"), keep=["doc_id", "lang"]).select("row.doc_id", "row.lang", "n_symbols", "perplexity", "threshold", "slack", "accepted")
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
