@@ -509,6 +509,13 @@ def test_trie_scores_equal_brute_force(spark, corpus, monkeypatch, hot):
     assert triemodel.score(table.limit(0), model).count() == 0
 
 
+def test_language_needs_a_letter(spark):
+    model = langid.fit(docs(spark, [(1, "abc", "en", None), (2, "½ ② ²", "fr", None)]))
+    texts = {1: "½ ²", 2: "①", 3: "Ⅷ", 4: "12 _ !", 5: "½a", 6: "日", 7: "ª"}
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs(spark, [(i, t, None, None) for i, t in texts.items()]), model).select("row.doc_id", "lang_pred").collect()}
+    assert {i for i, lang in got.items() if lang == "und"} == {1, 2, 3, 4}
+
+
 @pytest.mark.parametrize("slab", [64, 2])
 def test_language_id_equals_brute_force(spark, slab):
     rng = np.random.default_rng(2)
@@ -607,21 +614,20 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     trusted = table.where("doc_id < 40")
     found = kneserney.judged(table, trusted).select("row.doc_id", "row.text", "accepted", "perplexity", "threshold", "slack", "n_symbols").collect()
     got = {r["doc_id"]: r["accepted"] for r in found}
-    assert len(found) == len(rows) and sum(got[i] for i in range(60)) >= 58 and got[202]
+    # About 20 documents set the threshold: one of 20 others lies beyond it by chance.
+    assert len(found) == len(rows) and sum(got[i] for i in range(60)) >= 54 and got[202]
     assert not any(got[100 + i] for i in range(10)) and not got[200] and not got[201]
     # The perplexity is the document's own, and the decision follows from the two numbers that are shown.
     ids = [r["doc_id"] for r in trusted.select("doc_id").distinct().collect()]
-    chosen = {r["doc_id"] for r in spark.createDataFrame([(i,) for i in ids], "doc_id long").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(0.8 * (1 << 30))).collect()}
+    chosen = {r["doc_id"] for r in spark.createDataFrame([(i,) for i in ids], "doc_id long").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(kneserney.TRAINED * (1 << 30))).collect()}
     model = kneserney.fit(table.where(F.col("doc_id").isin(*chosen)))
     alphabet, dense = kneserney._alphabet(model["chars"]), kneserney.unfolded(model)
     own = lambda t: -dense[kneserney.codes(kneserney.symbols(t, alphabet))].astype(float).sum() / len(t)
     for r in found:
         if r["text"]:
-            assert math.log(r["perplexity"]) == pytest.approx(own(r["text"]), abs=1e-4) and r["accepted"] == (math.log(r["perplexity"]) <= math.log(r["threshold"]) + r["slack"] + 1e-12)
+            assert math.log(r["perplexity"]) == pytest.approx(own(r["text"]), abs=1e-4) and r["accepted"] == (math.log(r["perplexity"]) <= math.log(r["threshold"]) + 1e-12)
     held = [own(r["text"]) for r in found if r["doc_id"] in set(ids) - chosen]
-    mixed = sorted((math.ceil(v / kneserney.STEP), 1 + kneserney.COMMON / len(held)) for v in held)
-    run = np.cumsum([n for _, n in mixed])
-    limit = mixed[int(np.argmax(run >= run[-1] * kneserney.QUANTILE - 1e-6))][0] * kneserney.STEP
+    limit = sorted(math.ceil(v / kneserney.STEP) for v in held)[math.ceil(len(held) * kneserney.QUANTILE - 1e-6) - 1] * kneserney.STEP
     assert all(math.log(r["threshold"]) == pytest.approx(limit, abs=2e-4) for r in found)
     untrained = kneserney.judged(table, table.limit(0)).select("accepted", "row.text").collect()
     assert all(r["accepted"] == bool(r["text"]) for r in untrained)
@@ -631,12 +637,9 @@ def test_quantiles(spark):
     rng = np.random.default_rng(8)
     x, y = rng.random(500), rng.random(3) / 10
     frame = spark.createDataFrame([("a", float(v)) for v in x] + [(None, float(v)) for v in y], "lang string, value double")
-    for common in (0, 20):
-        rows = kneserney.quantiles(frame, 0.9, common).collect()
-        got = {r["lang"]: r["limit"] for r in rows}
-        assert common or next(r["error"] for r in rows if r["lang"] == "a") == pytest.approx(np.std(x) / math.sqrt(500), rel=1e-2)
-        for lang, own in (("a", x), (None, y)):
-            weighted = sorted([(v, 1.0) for v in own] + [(v, common / 503) for v in [*x, *y]])
-            run = np.cumsum([w for _, w in weighted])
-            exact = weighted[int(np.argmax(run >= 0.9 * run[-1] - 1e-6))][0]
-            assert exact <= got[lang] + 1e-12 and got[lang] - exact <= kneserney.STEP
+    rows = kneserney.quantiles(frame, 0.9).collect()
+    got = {r["lang"]: r["limit"] for r in rows}
+    assert next(r["error"] for r in rows if r["lang"] == "a") == pytest.approx(np.std(x) / math.sqrt(500), rel=1e-2)
+    for lang, own in (("a", x), (None, y)):
+        exact = sorted(own)[math.ceil(0.9 * len(own) - 1e-6) - 1]
+        assert exact <= got[lang] + 1e-12 and got[lang] - exact <= kneserney.STEP

@@ -25,6 +25,9 @@ def inputs(spark, tmp_path_factory):
     rows = [[i, prose(80), "en" if i % 3 else "fr", f"s{i % 2}"] for i in range(90)]
     for r in rows[:40]:
         r[1] = "Shared menu line\n" + r[1] if r[3] == "s0" else r[1]
+    for r in rows[51:81:10]:  # three of a source
+        assert r[3] == "s1"
+        r[1] += "\nRare footer line"
     for i in range(90, 100):  # near copies of the first ten, and exact ones
         w = rows[i - 90][1].split(" ")
         w[40] = "changed"
@@ -38,7 +41,7 @@ def inputs(spark, tmp_path_factory):
     rows = [(*r, len(r[1] or "")) for r in rows]
     folder = str(tmp_path_factory.mktemp("corpus"))
     spark.createDataFrame(rows, DOCS).write.parquet(f"{folder}/documents.parquet")
-    spark.createDataFrame([(i, 1, 0) for i in range(10, 80)] + [(103, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(100)] + [(103, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, "Intro " + passage + " end"), (2, "unrelated item text of many words that no document has at all")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return folder, rows
 
@@ -57,9 +60,10 @@ def test_pipeline_equals_brute_force(spark, inputs):
             for line in {x.strip() for x in t.split("\n")} - {""}:
                 counts[source, line] = counts.get((source, line), 0) + 1
     for r in docs:
-        keep = [x for x in r[1].split("\n") if not x.strip() or not (counts[r[3], x.strip()] >= 3 and counts[r[3], x.strip()] > 0.1 * len(totals[r[3]]))]
+        keep = [x for x in r[1].split("\n") if not x.strip() or not (counts[r[3], x.strip()] >= 3 and counts[r[3], x.strip()] > 0.01 * len(totals[r[3]]))]
         r[1] = "\n".join(keep) if any(x.strip() for x in keep) else r[1]
-    assert any("Shared menu" in r[1] for r in rows if r[1]) and not any("Shared menu" in r[1] for r in docs)
+    assert all(any(x in r[1] for r in rows if r[1]) and not any(x in r[1] for r in docs) for x in ("Shared menu", "Rare footer"))
+    assert 0.01 < counts["s1", "Rare footer line"] / len(totals["s1"]) < 0.1  # a ratio of 0.1 would keep it
     sets, up = [shingles(r[1]) for r in docs], list(range(len(docs)))
     for i in range(len(docs)):
         for j in range(i):
