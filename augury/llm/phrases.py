@@ -40,7 +40,10 @@ UNKNOWN = "und"
 #: Characters of text to a bucket of the filter, and the least and largest number of its bits.
 CHARS_A_BUCKET, BITS = 64, (16, 26)
 #: Buckets of one row of the filter; edges that a task counts before it passes them on; bytes hashed together.
-_BLOCK, _HELD, _GROUP = 1 << 16, 1 << 21, 1 << 20
+_BLOCK, _HELD, _GROUP = 1 << 16, 1 << 20, 1 << 20
+#: Input partitions that one task counts, as long as every core has SPREAD of them: each task passes on a filter and its
+#: own distinct edges, which large tasks have fewer of.
+_JOINED, _SPREAD = 4, 2
 _U = np.uint64
 _NEXT = _U(0x9E3779B97F4A7C15)
 #: 0 for bytes of words, 1 between words, 2 between pieces: fixed values.
@@ -230,6 +233,7 @@ def counted(docs: DataFrame, least: int = LEAST, text: str = "text", lang: str =
     """Exact counts: phrases (gram array of word numbers, a) of one to LONGEST words that occur `least` times, words
     (number, lang, word) and totals (lang, n). All three are written tables."""
     docs = small_batches(docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")))
+    docs = docs.coalesce(max(1, _SPREAD * docs.sparkSession.sparkContext.defaultParallelism, docs.rdd.getNumPartitions() // _JOINED))
     if bits is None:
         chars = docs.agg(F.sum(F.length("text").cast("decimal(38,0)"))).first()[0] or 0
         bits = min(max((int(chars) // CHARS_A_BUCKET).bit_length(), BITS[0]), BITS[1])
