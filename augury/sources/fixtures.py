@@ -376,3 +376,59 @@ def module_logs(d: Dialect) -> str:
         SELECT event_id AS id, {module} AS address, CASE event_type WHEN 'view' THEN '0x21' WHEN 'click' THEN '0x22' WHEN 'purchase' THEN '0x23' WHEN 'error' THEN '0x24' ELSE '0x25' END AS topic0, {topic} AS topic1, {topic} AS topic2, '0x' || {w('0')} AS topic3,
             '0x' || {w('event_id')} AS tx_hash, event_id % 100 AS log_index, event_id AS block_number, '0x' || CASE WHEN event_type = 'signup' THEN {w('0')} || {w('1')} || {pair} ELSE {w('32')} || {w('2')} || {pair} END AS data
         FROM {{events}}"""
+
+
+def capture(d: Dialect) -> str:
+    """Records of a capture: pos, kind, shard, lane, connection, market, raw. Every shard and lane connects at first; some
+    frames are of an older connection, keepalives, broken, or of a market that is not in scope."""
+    k, q, market = d.number("props"), "chr(34)", "user_id % 40"
+    pair = lambda name, value: f"{q} || '{name}' || {q} || ':' || {q} || {value} || {q}"
+    obj = lambda *parts: "chr(123) || " + " || ',' || ".join(parts) + " || chr(125)"
+    listed = lambda name, *items: f"{q} || '{name}' || {q} || ':[' || " + " || ',' || ".join(items) + " || ']'"
+    asset = lambda shift: f"'t' || cast({market} AS varchar(9)) || '-' || cast(({d.div('event_id', 2)} + {shift}) % 2 AS varchar(2))"
+    price = lambda n: f"'0.' || lpad(cast(({k} * {n} + {n}) % 99 + 1 AS varchar(3)), 2, '0') || CASE WHEN event_id % 4 = 1 THEN '00' ELSE '' END"
+    size = f"cast(CASE WHEN event_type = 'purchase' THEN 0 ELSE cast(round(value) AS bigint) + 1 END AS varchar(20)) || CASE WHEN event_id % 3 = 1 THEN '.0' ELSE '' END"
+    level = lambda n: obj(pair("price", price(n)), pair("size", size))
+    named = pair("market", f"CASE WHEN event_id % 43 = 7 THEN 'other' ELSE cast({market} AS varchar(9)) END")
+    book = obj(pair("event_type", "'book'"), named, pair("asset_id", asset(0)), f"CASE WHEN {k} % 99 = 98 THEN {listed('bids', level(1))} ELSE {listed('bids', level(1), level(5))} END", listed("asks", level(7)))
+    row = lambda shift, n: obj(pair("asset_id", asset(shift)), pair("side", "CASE event_id % 3 WHEN 0 THEN 'SELL' ELSE 'BUY' END"), pair("price", price(n)), pair("size", size))
+    change = obj(pair("event_type", "'price_change'"), named, f"CASE WHEN event_id % 5 = 2 THEN {listed('price_changes', row(0, 1), row(1, 3))} ELSE {listed('price_changes', row(0, 5))} END")
+    broken = obj(pair("event_type", "'book'"), named)
+    last = f"max(CASE WHEN event_id % 1009 = 1 THEN event_id ELSE -1 END) OVER (PARTITION BY {market} % 3, event_id % 2 ORDER BY event_id)"
+    return f"""
+        SELECT event_id AS pos, CASE WHEN event_id % 1009 = 1 THEN 'CONNECT' WHEN event_id % 1511 = 2 THEN 'DISCONNECT' WHEN event_id % 499 = 3 THEN 'SOURCE_ASSIGNED' WHEN event_id % 797 = 4 THEN 'SOURCE_STATE_RELEASED' ELSE 'RAW' END AS kind,
+            {market} % 3 AS shard, event_id % 2 AS lane, {last} - CASE WHEN event_id % 47 = 5 THEN 1000 ELSE 0 END AS connection, cast({market} AS varchar(9)) AS market,
+            CASE WHEN event_id % 31 = 4 THEN 'PONG' WHEN event_id % 37 = 6 THEN chr(123) || 'oops' WHEN event_id % 41 = 9 THEN '[' || {book} || ',' || {broken} || ',' || {change} || ']' WHEN event_id % 29 = 8 THEN '[]'
+                WHEN event_type = 'signup' THEN {book} WHEN event_type = 'error' THEN '[' || {change} || ',' || {book} || ']' ELSE {change} END AS raw
+        FROM {{events}}
+        UNION ALL SELECT -1 - s * 2 - l, 'CONNECT', s, l, -1, NULL, NULL FROM (SELECT DISTINCT {market} % 3 AS s, event_id % 2 AS l FROM {{events}}) AS slots"""
+
+
+def capture_scope(d: Dialect) -> str:
+    """Markets in scope and their two assets: market, asset."""
+    return """
+        SELECT DISTINCT cast(user_id % 40 AS varchar(9)) AS market, 't' || cast(user_id % 40 AS varchar(9)) || '-' || cast(s AS varchar(2)) AS asset
+        FROM {events}, (SELECT 0 AS s UNION ALL SELECT 1) AS sides"""
+
+
+def gateway_records(d: Dialect) -> str:
+    """Records that plants send: plant, seq, kind, session, stream, offset, bytes, digest. Some repeat an offset, a few of
+    them with another content, some are of an older session or of another stream."""
+    return """
+        SELECT plant, seq, CASE WHEN starts THEN 'SESSION' ELSE 'RECORD' END AS kind, 's' || cast(CASE WHEN seq % 37 = 5 AND NOT starts THEN own - 1 ELSE own END AS varchar(20)) AS session,
+            CASE WHEN seq % 41 = 6 AND NOT starts THEN 'old' ELSE 'g' || cast(own AS varchar(20)) END AS stream, n - CASE WHEN seq % 5 = 2 THEN 3 WHEN seq % 17 = 4 THEN 40 ELSE 0 END AS offset, 20 + seq % 50 AS bytes,
+            CASE WHEN seq % 23 = 9 THEN 'x' || cast(seq AS varchar(20)) ELSE 'd' || cast(n - CASE WHEN seq % 5 = 2 THEN 3 WHEN seq % 17 = 4 THEN 40 ELSE 0 END AS varchar(20)) END AS digest
+        FROM (SELECT plant, seq, starts, coalesce(max(CASE WHEN starts THEN seq END) OVER (PARTITION BY plant ORDER BY seq), -5) AS own, row_number() OVER (PARTITION BY plant ORDER BY seq) AS n
+            FROM (SELECT user_id % 8 AS plant, event_id AS seq, event_id % 211 = 7 AS starts FROM {events}) AS a) AS b"""
+
+
+def transport_probes(d: Dialect) -> str:
+    """Probes of transports: id, connection, session, kind, ms. Pings and pongs alternate but for some."""
+    return f"""
+        SELECT id, connection, session, CASE WHEN id % 29 = 3 THEN 'PING' WHEN n % 2 = 1 THEN 'PING' ELSE 'PONG' END AS kind, ms
+        FROM (SELECT event_id AS id, user_id % 10 AS connection, {d.div('event_id', 700)} AS session, {d.millis('ts')} AS ms, row_number() OVER (PARTITION BY user_id % 10, {d.div('event_id', 700)} ORDER BY event_id) AS n FROM {{events}}) AS a"""
+
+
+def soak_samples(d: Dialect) -> str:
+    """Samples of deployments: key, id, ms, fingerprint."""
+    return f"SELECT user_id % 12 AS key, event_id AS id, {d.millis('ts')} AS ms, {d.div('event_id', 1300)} % 3 AS fingerprint FROM {{events}} WHERE event_id % 500 < 430"
