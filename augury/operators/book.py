@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ def book_levels(events: DataFrame, top_price: int = TOP_PRICE) -> tuple[DataFram
 def applied(levels: DataFrame) -> DataFrame:
     """Level rows that take effect, with `base` (position of the reset they build on) and the control rows of each
     asset (idx -1, ready or not). A change group that touches an asset without a ready book has no effect."""
+    levels = levels.repartition("market")  # serves every join, window and sum of a market below, and those of the callers
     assets = levels.where("asset is not null").select("market", "asset").distinct()
     control = levels.where("idx = -1").select("pos", "idx", "market", F.col("asset").alias("__scope"), "kind")
     control = control.join(assets, "market").where("__scope is null or __scope = asset").select("pos", "idx", "market", "asset", "kind", *[F.lit(None).cast(t).alias(c) for c, t in (("side", "string"), ("price", "long"), ("size", "long"))])
@@ -121,41 +124,62 @@ class Ladder:
         return self._sign * self._heap[0] if self._heap else None
 
 
-def _swept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Best prices at the end of each position, over rows sorted by (market, asset, base, pos, idx). Only the ladders of the
-    reset at hand are kept."""
-    key, at, sides = None, None, {}
-
-    def row() -> tuple:
-        return (*key[:2], at, sides["BUY"].best(), sides["SELL"].best())
-
-    out: list[tuple] = []
-    for frame in frames:
-        for market, asset, base, pos, idx, side, price, size in zip(*(frame[c].tolist() for c in ("market", "asset", "base", "pos", "idx", "side", "price", "size"))):
-            if (market, asset, base) != key or pos != at:
-                if key is not None:
-                    out.append(row())
-                if (market, asset, base) != key:
-                    key, sides = (market, asset, base), {"BUY": Ladder(1), "SELL": Ladder(-1)}
-                at = pos
-            if idx >= 0:
-                sides[side].put(int(price), int(size))
-        yield _moments(out)
-        out = []
-    if key is not None:
-        yield _moments([row()])
-
-
-def _moments(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["market", "asset", "moment", "best_bid", "best_ask"])
-    return out.astype({"best_bid": "Int64", "best_ask": "Int64"})
+def _standing(own: np.ndarray, price: np.ndarray, size: np.ndarray, group: np.ndarray, carried: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """After each row, by price: whether a level stands there, from the last write of the price within the row's group.
+
+    own: rows that write this side; group: row number at which each row's group starts, -1 for the group that goes on
+    from the rows before, whose sizes are `carried`. Returns also the sizes to carry on.
+    """
+    last = np.full((len(own), len(carried)), -1, np.int32)
+    at = np.flatnonzero(own)
+    last[at, price[at]] = at
+    np.maximum.accumulate(last, axis=0, out=last)
+    inside = last >= np.maximum(group, 0)[:, None]
+    sizes = np.where(inside, size[last], np.where(group[:, None] < 0, carried, 0))
+    return sizes > 0, sizes[-1]
+
+
+def _swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Best prices at the end of each position, over rows sorted by (market, asset, base, pos, idx): whole batches at a time
+    over the slots of all prices. Only the sizes of the reset at hand are kept between batches."""
+    names = ["market", "asset", "base", "pos"]
+    carried = {s: np.zeros(TOP_PRICE + 1, np.int64) for s in ("BUY", "SELL")}
+    before, waiting = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in names])
+        side = batch.column("side").to_numpy(zero_copy_only=False)
+        level = batch.column("idx").to_numpy() >= 0
+        price, size = (np.where(level, pc.fill_null(batch.column(c), 0).to_numpy(zero_copy_only=False), 0).astype(np.int64) for c in ("price", "size"))
+        opens = np.ones(keys.shape[1], bool)
+        opens[1:] = (keys[:3, 1:] != keys[:3, :-1]).any(axis=0)
+        opens[0] = before is None or (keys[:3, 0] != before[:3]).any()
+        group = np.maximum.accumulate(np.where(opens, np.arange(len(opens)), -1))
+        best = {}
+        for name, pick in (("BUY", lambda up: TOP_PRICE - np.argmax(up[:, ::-1], axis=1)), ("SELL", lambda up: np.argmax(up, axis=1))):
+            up, carried[name] = _standing(level & (side == name), price, size, group, carried[name])
+            best[name] = np.where(up.any(axis=1), pick(up), -1)
+        ends = np.append((keys[:, 1:] != keys[:, :-1]).any(axis=0), True)
+        found = np.stack([keys[0], keys[1], keys[3], best["BUY"], best["SELL"]])[:, ends]
+        if waiting is not None and (keys[:, 0] != before).any():  # the last position of the batch before was complete
+            found = np.column_stack([waiting, found])
+        before, waiting = keys[:, -1], found[:, -1]
+        yield _moments(found[:, :-1])
+    if waiting is not None:
+        yield _moments(waiting[:, None])
+
+
+def _moments(rows: np.ndarray) -> pa.RecordBatch:
+    best = [pa.array(c, mask=c < 0) for c in rows[3:]]
+    return pa.RecordBatch.from_arrays([*map(pa.array, rows[:3]), *best], ["market", "asset", "moment", "best_bid", "best_ask"])
 
 
 def bbo_timeline(rows: DataFrame) -> DataFrame:
-    """Best prices after each event that touched an asset: one sweep over the sorted rows of each reset, in which a level
-    is put or taken once. Resets of a market are dealt to different tasks, so its history is cut at them."""
+    """Best prices after each event that touched an asset: one sweep over the sorted rows of each reset, a batch at a
+    time. Resets of a market are dealt to different tasks, so its history is cut at them."""
     sorted_ = rows.where("base is not null").select("market", "asset", "base", "pos", "idx", "side", "price", "size").repartition("market", "asset", "base").sortWithinPartitions("market", "asset", "base", "pos", "idx")
-    return sorted_.mapInPandas(_swept, "market long, asset long, moment long, best_bid long, best_ask long")
+    return sorted_.mapInArrow(_swept, "market long, asset long, moment long, best_bid long, best_ask long")
 
 
 def compare_cuts(a: DataFrame, b: DataFrame) -> DataFrame:
