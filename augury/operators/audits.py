@@ -138,3 +138,19 @@ def valid_legs(legs: Column) -> Column:
     conditions = F.transform(legs, lambda x: F.substring(x, 1, 62))
     rising = F.forall(F.sequence(F.lit(1), F.size(legs)), lambda i: (i == 1) | (F.get(legs, i - 2) < F.get(legs, i - 1)))
     return F.coalesce(F.size(legs).between(1, 50) & F.forall(legs, one) & (F.size(F.array_distinct(conditions)) == F.size(legs)) & F.when(F.size(legs) > 0, rising).otherwise(False), F.lit(False))
+
+
+def stream_digests(frames: DataFrame, fan: int = 1024, depth: int = 3) -> DataFrame:
+    """Digest of each stream's frames (stream, offset, frame) in their order, with first and last offset and their number.
+
+    A tree over ranges of offsets: a node's digest is that of its children's with their numbers, so that two frames that
+    change places change it, while no task reads more than `fan` entries of one stream at once. Repeated equal frames
+    count once, different ones of an offset are both in it. Offsets must lie below fan ** depth.
+    """
+    digest = F.sha2(F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", F.lpad(F.col("at").cast("string"), 20, "0"), "d"))), ","), 256)
+    low, high, count = F.min("first").alias("first"), F.max("last").alias("last"), F.sum("frames").alias("frames")
+    nodes = frames.select("stream", F.col("offset").alias("at"), F.sha2(F.col("frame").cast("binary"), 256).alias("d")).distinct()
+    nodes = nodes.select("stream", "at", "d", F.col("at").alias("first"), F.col("at").alias("last"), F.lit(1).cast("long").alias("frames"))
+    for _ in range(depth):
+        nodes = nodes.groupBy("stream", F.floor(F.col("at") / fan).alias("up")).agg(digest.alias("d"), low, high, count).withColumnRenamed("up", "at")
+    return nodes.groupBy("stream").agg(digest.alias("digest"), low, high, count).select("stream", "first", "last", "frames", "digest")

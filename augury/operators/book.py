@@ -12,7 +12,7 @@ from heapq import heappop, heappush
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from augury.operators import tables
@@ -232,3 +232,29 @@ def compare_depth(before: DataFrame, after: DataFrame, actual: DataFrame) -> Dat
         .when((F.col("x") == F.col("b")) | (F.col("x") == F.col("a")), "MATCHES_ONE_SIDE").otherwise("REFERENCE_MOVED")
     )
     return all_.select("market", "asset", label.alias("label"))
+
+
+def _element(text: Column) -> Column:
+    """60 bits of a hash of one element of a state, as a number that sums hold exactly."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+
+
+def cut_hashes(rows: DataFrame) -> DataFrame:
+    """The whole state of each market after each of its events, as a hash: market, moment, elements, hash.
+
+    A state is the set of its levels (with sizes) and of the assets that are ready. Its hash is the sum of its elements'
+    hashes, so an element is added where its interval begins and taken off where it ends, and a running sum gives every
+    cut in one pass over the changes, however deep the books are.
+    """
+    level = F.concat_ws(":", F.col("asset").cast("string"), "side", F.col("price").cast("string"), F.col("size").cast("string"))
+    spans = level_intervals(rows).select("market", level.alias("element"), "pos", "until")
+    w = Window.partitionBy("market", "asset").orderBy("pos")
+    control = rows.where("idx = -1").select("market", "asset", "pos", "ready").withColumn("until", F.coalesce(F.lead("pos").over(w), F.lit(2**62)))
+    ready = control.where("ready").select("market", F.concat(F.col("asset").cast("string"), F.lit(":READY")).alias("element"), "pos", "until")
+    both = spans.unionByName(ready).withColumn("h", _element(F.col("element")))
+    begins = both.groupBy("market", "pos").agg(F.count("*").alias("n"), F.sum("h").alias("h"))
+    ends = both.where(F.col("until") < 2**62).groupBy("market", F.col("until").alias("pos")).agg((-F.count("*")).alias("n"), (-F.sum("h")).alias("h"))
+    moments = rows.select("market", "pos", F.lit(0).cast("long").alias("n"), F.lit(0).cast("decimal(38,0)").alias("h")).distinct()
+    steps = moments.unionByName(begins).unionByName(ends).groupBy("market", "pos").agg(F.sum("n").alias("n"), F.sum("h").alias("h"))
+    run = Window.partitionBy("market").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return steps.select("market", F.col("pos").alias("moment"), F.sum("n").over(run).alias("elements"), F.sum("h").over(run).cast("string").alias("hash"))

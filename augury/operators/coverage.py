@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,3 +120,69 @@ def storage_rollup(segments: DataFrame) -> DataFrame:
     """Bytes of segments by stream and state, oldest uncommitted time. segments: stream, state, bytes, at."""
     total = lambda s: F.coalesce(F.sum(F.when(F.col("state") == s, F.col("bytes"))), F.lit(0)).alias(s)
     return segments.groupBy("stream").agg(*map(total, ("pending", "committed", "evicted")), F.min(F.when(F.col("state") == "pending", F.col("at"))).alias("oldest_pending"))
+
+
+def market_coverage(changes: DataFrame, scope: DataFrame, start: int, end: int, plants: int = 2) -> DataFrame:
+    """Time within [start, end) by market: of its tokens with any plant and with all plants ready (summed over tokens), and of
+    the market with all its tokens ready at once on one lane of any plant, and on one lane of each plant.
+
+    scope has every expected (market, token), which are the denominator whether they were ever seen or not; changes are readiness
+    changes (plant, lane, token, ms, ready, id). Tokens that are ready on different lanes or plants make no complete market.
+    """
+    spans = tables.intervals(changes.join(scope.select("token").distinct(), "token", "left_semi"), ["plant", "lane", "token"], "ms", "id", "ready", start, end)
+    by_plant = merged(spans, ["plant", "token"])
+    one, all_ = tables.covered(by_plant, ["token"]), tables.covered(by_plant, ["token"], plants)
+    tokens = scope.join(one.withColumnRenamed("covered", "one"), "token", "left").join(all_.withColumnRenamed("covered", "all"), "token", "left")
+    sums = tokens.groupBy("market").agg(F.count("*").alias("tokens"), F.coalesce(F.sum("one"), F.lit(0)).alias("token_one_plant"), F.coalesce(F.sum("all"), F.lit(0)).alias("token_all_plants"))
+    # A lane holds a market while as many of its tokens' intervals are open as the market has tokens.
+    sized = spans.join(scope, "token").join(sums.select("market", "tokens"), "market")
+    ends = sized.select("market", "plant", "lane", "tokens", F.explode(F.array(F.struct(F.col("from").alias("at"), F.lit(1).alias("d")), F.struct(F.col("to").alias("at"), F.lit(-1).alias("d")))).alias("e"))
+    steps = ends.groupBy("market", "plant", "lane", "tokens", "e.at").agg(F.sum("e.d").alias("d"))
+    w = Window.partitionBy("market", "plant", "lane").orderBy("at")
+    lanes = steps.select("market", "plant", "tokens", F.col("at").alias("from"), F.lead("at").over(w).alias("to"), F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("open")).where("open = tokens")
+    complete = merged(lanes.select("market", "plant", "from", "to"), ["market", "plant"])
+    pairs = [tables.covered(complete, ["market"], n).withColumnRenamed("covered", c) for n, c in ((1, "market_one_plant"), (plants, "market_all_plants"))]
+    out = sums.join(pairs[0], "market", "left").join(pairs[1], "market", "left")
+    return out.withColumn("window", F.lit(end - start).cast("long")).fillna(0, ["market_one_plant", "market_all_plants"])
+
+
+def coverage_summary(by_market: DataFrame) -> DataFrame:
+    """One row: expected tokens and markets, the fixed denominators, and the four coverages as shares of them."""
+    out = by_market.agg(F.sum("tokens").alias("expected_tokens"), F.count("*").alias("expected_markets"), F.max("window").alias("window"), *[F.sum(c).alias(c) for c in ("token_one_plant", "token_all_plants", "market_one_plant", "market_all_plants")])
+    share = lambda c, n: F.when(F.col(n) * F.col("window") > 0, F.col(c) / (F.col(n) * F.col("window"))).alias(f"{c}_share")
+    return out.select("expected_tokens", "expected_markets", "window", share("token_one_plant", "expected_tokens"), share("token_all_plants", "expected_tokens"), share("market_one_plant", "expected_markets"), share("market_all_plants", "expected_markets"))
+
+
+def _chosen(prefer: bool):
+    """Sweeps changes sorted by (market, ms, id); of a market only its usable sources and the chosen one are kept."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, usable, now = None, set(), None
+        for frame in frames:
+            out = []
+            for market, ms, id_, lane, shard, good in zip(*(frame[c] for c in ("market", "ms", "id", "lane", "shard", "usable"))):
+                if market != at:
+                    at, usable, now = market, set(), None
+                source = int(lane), -int(shard)
+                (usable.add if good else usable.discard)(source)
+                if now == source and not good:
+                    now = min(usable, default=None)
+                    out.append((market, id_, ms, "GAP" if now is None else "RESET", now, "TRANSPORT_UNQUALIFIED"))
+                elif good and (now is None or (prefer and lane == 0 and now[0] != 0)):
+                    now = min(usable)
+                    out.append((market, id_, ms, "RESET", now, "HEALTHY_PRIMARY_READY" if lane == 0 else "HEALTHY_SOURCE_READY"))
+            rows = [(m, i, t, k, *((s[0], -s[1]) if s else (None, None)), why) for m, i, t, k, s, why in out]
+            yield pd.DataFrame(rows, columns=["market", "id", "ms", "kind", "lane", "shard", "reason"]).astype({"lane": "Int64", "shard": "Int64"})
+
+    return run
+
+
+def source_events(changes: DataFrame, prefer_primary: bool = True) -> DataFrame:
+    """RESET and GAP rows of the source that each market uses, from changes (market, ms, id, lane, shard, usable).
+
+    A source stays until it is no longer usable; then the usable one of the lowest lane and newest shard follows, or a GAP if there
+    is none. A market without a source takes the best one as soon as one becomes usable, and with prefer_primary a source
+    of lane 0 replaces one of another lane. Sources of a market are few; its changes are one sequence, markets are dealt to tasks.
+    """
+    dealt = changes.select("market", "ms", "id", "lane", "shard", "usable").repartition("market").sortWithinPartitions("market", "ms", "id")
+    return dealt.mapInPandas(_chosen(prefer_primary), "market long, id long, ms long, kind string, lane long, shard long, reason string")

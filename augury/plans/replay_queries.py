@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from augury.operators import book, replay
+from augury.operators import audits, book, coverage, replay
+from augury.plans import market_queries as mq
 from augury.sources import fixtures as fx
 
 
@@ -53,7 +54,39 @@ def source_audit(spark, sf_dir):
     return found.select(*replay.SOURCE, F.coalesce("digest", F.lit("")).alias("digest"), F.coalesce("declared", F.lit("")).alias("declared"), "result")
 
 
-QUERIES = {"replayed_books": replayed_books, "replay_counts": replay_counts, "raw_accounting": raw_accounting, "source_audit": source_audit}
+def every_state(spark, sf_dir):
+    return book.cut_hashes(mq._rows(spark, sf_dir))
+
+
+def stream_digests(spark, sf_dir):
+    f = fx.frame(spark, sf_dir, fx.frames)
+    return audits.stream_digests(f.select((F.col("pos") % 3).alias("stream"), F.floor(F.col("pos") / 3).alias("offset"), F.col("raw").alias("frame")))
+
+
+def _market_scope(spark, sf_dir):
+    """Two tokens each; the last market's tokens are never seen."""
+    tokens = fx.frame(spark, sf_dir, fx.readiness).select("token").distinct()
+    seen = tokens.select(F.floor(F.col("token") / 2).alias("market")).distinct()
+    both = seen.select("market", F.explode(F.array(F.col("market") * 2, F.col("market") * 2 + 1)).alias("token"))
+    return both.unionByName(spark.createDataFrame([(10**9, 2 * 10**9), (10**9, 2 * 10**9 + 1)], "market long, token long"))
+
+
+def market_seconds(spark, sf_dir):
+    return coverage.market_coverage(fx.frame(spark, sf_dir, fx.readiness), _market_scope(spark, sf_dir), *mq._edges(spark, sf_dir))
+
+
+def coverage_shares(spark, sf_dir):
+    found = coverage.coverage_summary(market_seconds(spark, sf_dir))
+    return found.select("expected_tokens", "expected_markets", "window", *[F.floor(F.col(c) * 10**9).alias(c) for c in found.columns[3:]])
+
+
+def source_events(spark, sf_dir):
+    r = fx.frame(spark, sf_dir, fx.readiness)
+    changes = r.select(F.col("token").alias("market"), "ms", "id", "lane", F.col("plant").alias("shard"), F.col("ready").alias("usable"))
+    return coverage.source_events(changes).fillna(-1)
+
+
+QUERIES = {"cut_hashes": every_state, "stream_digests": stream_digests, "market_seconds": market_seconds, "coverage_shares": coverage_shares, "source_events": source_events, "replayed_books": replayed_books, "replay_counts": replay_counts, "raw_accounting": raw_accounting, "source_audit": source_audit}
 
 #: Frames, messages and books from the raw texts; last records by as-of joins.
 _REPLAY = fx.cte(c=fx.capture, scope=fx.capture_scope) + """
@@ -101,3 +134,52 @@ ORACLE_SQL = {
         SELECT market, shard, lane, digest, CASE WHEN mark % 11 = 5 THEN '' WHEN mark % 7 = 3 THEN 'altered' ELSE digest END AS declared, CASE WHEN mark % 11 = 5 THEN 'MISSING' WHEN mark % 7 = 3 THEN 'MISMATCH' ELSE 'MATCH' END AS result
         FROM (SELECT *, market::BIGINT * 2 + lane AS mark FROM digests) UNION ALL SELECT DISTINCT 'gone-' || market, 0, 0, '', 'none', 'EXTRA' FROM scope""",
 }
+
+_LEVEL = "sha256(string_agg(lpad(up::VARCHAR, 20, '0') || ':' || d, ',' ORDER BY lpad(up::VARCHAR, 20, '0') || ':' || d)) AS d, min(lo) AS lo, max(hi) AS hi, sum(n)::BIGINT AS n"
+_WINDOW = "(SELECT max(ms) - (min(ms) + (max(ms) - min(ms)) // 4) FROM r)"
+#: Time cut at every change of any of a market's tokens; each stretch asks for the last change before it.
+_SECONDS = fx.cte(r=fx.readiness) + """
+    , e AS (SELECT min(ms) + (max(ms) - min(ms)) // 4 AS a, max(ms) AS z FROM r), c AS (SELECT plant, lane, token, ms, arg_max(ready, id) AS ready FROM r GROUP BY ALL),
+    m AS (SELECT DISTINCT token // 2 AS market FROM r), scope AS (SELECT market, market * 2 AS token FROM m UNION ALL SELECT market, market * 2 + 1 FROM m),
+    src AS (SELECT DISTINCT plant, lane, token FROM c), cutp AS (SELECT token // 2 AS market, greatest(a, least(z, ms)) AS t FROM c, e UNION SELECT market, a FROM m, e UNION SELECT market, z FROM m, e),
+    seg AS (SELECT market, t, lead(t) OVER (PARTITION BY market ORDER BY t) - t AS len FROM cutp),
+    st AS (SELECT s.market, s.t, s.len, x.token, x.plant, x.lane, coalesce(c.ready, false) AS ready FROM seg s JOIN src x ON x.token // 2 = s.market ASOF LEFT JOIN c ON c.token = x.token AND c.plant = x.plant AND c.lane = x.lane AND s.t >= c.ms WHERE s.len > 0),
+    tp AS (SELECT market, t, len, token, count(DISTINCT plant) FILTER (ready) AS k FROM st GROUP BY ALL),
+    tk AS (SELECT market, coalesce(sum(len) FILTER (k >= 1), 0)::BIGINT AS one, coalesce(sum(len) FILTER (k >= 2), 0)::BIGINT AS both FROM tp GROUP BY market),
+    lp AS (SELECT market, t, len, plant, lane, count(*) FILTER (ready) = 2 AS ok FROM st GROUP BY ALL), mp AS (SELECT market, t, len, count(DISTINCT plant) FILTER (ok) AS k FROM lp GROUP BY ALL),
+    mk AS (SELECT market, coalesce(sum(len) FILTER (k >= 1), 0)::BIGINT AS one, coalesce(sum(len) FILTER (k >= 2), 0)::BIGINT AS both FROM mp GROUP BY market),
+    f AS (
+        SELECT m.market, 2::BIGINT AS tokens, coalesce(tk.one, 0) AS token_one_plant, coalesce(tk.both, 0) AS token_all_plants, coalesce(mk.one, 0) AS market_one_plant, coalesce(mk.both, 0) AS market_all_plants, (SELECT z - a FROM e) AS "window"
+        FROM m LEFT JOIN tk USING (market) LEFT JOIN mk USING (market) UNION ALL SELECT 1000000000, 2, 0, 0, 0, 0, (SELECT z - a FROM e)
+    )
+"""
+
+ORACLE_SQL |= {
+    "market_seconds": _SECONDS + "SELECT * FROM f",
+    "coverage_shares": _SECONDS + """
+        SELECT sum(tokens)::BIGINT AS expected_tokens, count(*) AS expected_markets, max("window") AS "window", """ + ", ".join(f"floor(sum({k}_{p})::DOUBLE / ({'sum(tokens)' if k == 'token' else 'count(*)'} * max(\"window\"))::DOUBLE * 1000000000)::BIGINT AS {k}_{p}_share" for k in ("token", "market") for p in ("one_plant", "all_plants")) + " FROM f",
+    # Usable sources as bits, the best one the lowest: bit lane * 2 + (1 - plant).
+    "source_events": fx.cte(r=fx.readiness).replace("WITH ", "WITH RECURSIVE ", 1) + """
+        , n AS (SELECT token, ms, id, lane, ready, (lane * 2 + 1 - plant)::INTEGER AS b, row_number() OVER (PARTITION BY token ORDER BY ms, id) AS i FROM r),
+        best AS (SELECT m AS mask, CASE WHEN m & 1 > 0 THEN 0 WHEN m & 2 > 0 THEN 1 WHEN m & 4 > 0 THEN 2 WHEN m & 8 > 0 THEN 3 ELSE -1 END AS first FROM (SELECT unnest(range(16))::INTEGER AS m)),
+        walk AS (
+            SELECT token, 0::BIGINT AS i, NULL::BIGINT AS ms, NULL::BIGINT AS id, 0::INTEGER AS mask, -1::INTEGER AS own, NULL::VARCHAR AS kind, NULL::VARCHAR AS reason FROM (SELECT DISTINCT token FROM r)
+            UNION ALL
+            SELECT x.token, x.i, x.ms, x.id, x.now, CASE WHEN lost OR taken THEN first ELSE own END, CASE WHEN lost AND first < 0 THEN 'GAP' WHEN lost OR taken THEN 'RESET' END, CASE WHEN lost THEN 'TRANSPORT_UNQUALIFIED' WHEN taken AND lane = 0 THEN 'HEALTHY_PRIMARY_READY' WHEN taken THEN 'HEALTHY_SOURCE_READY' END
+            FROM (SELECT n.token, n.i, n.ms, n.id, n.lane, own, CASE WHEN ready THEN mask | (1 << b) ELSE mask & ~(1 << b) END::INTEGER AS now, own = b AND NOT ready AS lost, ready AND (own < 0 OR (lane = 0 AND own > 1)) AS taken FROM walk JOIN n ON n.token = walk.token AND n.i = walk.i + 1) x
+            JOIN best ON best.mask = x.now
+        )
+        SELECT token AS market, id, ms, kind, CASE WHEN own < 0 THEN -1 ELSE own // 2 END::BIGINT AS lane, CASE WHEN own < 0 THEN -1 ELSE 1 - own % 2 END::BIGINT AS shard, reason FROM walk WHERE kind IS NOT NULL""",
+    "stream_digests": fx.cte(f=fx.frames) + f"""
+        , a AS (SELECT DISTINCT pos % 3 AS stream, pos // 3 AS up, sha256(raw) AS d, pos // 3 AS lo, pos // 3 AS hi, 1 AS n FROM f),
+        b AS (SELECT stream, up // 1024 AS up, {_LEVEL} FROM a GROUP BY stream, a.up // 1024), c AS (SELECT stream, up // 1024 AS up, {_LEVEL} FROM b GROUP BY stream, b.up // 1024), d AS (SELECT stream, up // 1024 AS up, {_LEVEL} FROM c GROUP BY stream, c.up // 1024)
+        SELECT stream, lo AS first, hi AS last, n AS frames, digest FROM (SELECT stream, sha256(string_agg(lpad(up::VARCHAR, 20, '0') || ':' || d, ',' ORDER BY up)) AS digest, min(lo) AS lo, max(hi) AS hi, sum(n)::BIGINT AS n FROM d GROUP BY stream)""",
+    # The state at each moment from the last writes before it, not from changes.
+    "cut_hashes": mq._BOOK + """
+        , moments AS (SELECT DISTINCT market, pos AS moment FROM (SELECT market, pos FROM lev UNION SELECT market, pos FROM control)),
+        bases AS (SELECT m.market, m.moment, r.asset, max(r.base) AS base FROM moments m JOIN resets r ON r.market = m.market AND r.base <= m.moment GROUP BY ALL),
+        last AS (SELECT b.market, b.moment, b.asset, l.side, l.price, arg_max(l.size, l.pos) AS size FROM bases b JOIN lev l ON l.market = b.market AND l.asset = b.asset AND l.base = b.base AND l.pos <= b.moment GROUP BY ALL),
+        rd AS (SELECT m.market, m.moment, c.asset, arg_max(c.kind <> 'GAP', c.pos) AS ready FROM moments m JOIN control c ON c.market = m.market AND c.pos <= m.moment GROUP BY ALL),
+        el AS (SELECT market, moment, concat_ws(':', asset, side, price, size) AS x FROM last WHERE size > 0 UNION ALL SELECT market, moment, asset || ':READY' FROM rd WHERE ready)
+        SELECT market, moment, count(x) AS elements, coalesce(sum(('0x' || substr(md5(x), 1, 15))::HUGEINT), 0)::VARCHAR AS hash FROM moments LEFT JOIN el USING (market, moment) GROUP BY ALL""",
+}
