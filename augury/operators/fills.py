@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from augury.functions import hexes
 from augury.operators import tables
+from augury.sources.shared import written
 from augury.sources import fixtures
 
 LEGACY, CURRENT = "legacy", "v2026"
@@ -158,6 +159,28 @@ def write_facts(facts: DataFrame, path: str, blocks: int = 1_000_000) -> None:
     writer.mode("append").partitionBy("block_bucket").parquet(path)
 
 
+def append_once(facts: DataFrame, path: str, batch: int, key: list[str], blocks: int = 1_000_000) -> DataFrame:
+    """Append a batch's facts that no earlier batch has, in folders by block range and batch; returns its line of the ledger
+    (batch, projected, appended, known, repeated).
+
+    Only the block ranges that the batch touches are read, of lower batch numbers: a batch that runs again finds what it
+    found before and replaces what it wrote. Keys that repeat within the batch are left out and counted.
+    """
+    spark = facts.sparkSession
+    rows = written(facts.withColumn("block_bucket", F.floor(F.col("block_number") / blocks)), "facts")
+    copies = rows.groupBy("block_bucket", *key).agg(F.count("*").alias("__n"))
+    single = rows.join(copies.where("__n = 1").drop("__n"), ["block_bucket", *key], "left_semi")
+    touched = [r[0] for r in rows.select("block_bucket").distinct().collect()]  # block ranges of one batch
+    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields], "batch int"])
+    spark.createDataFrame([], schema).drop("block_bucket", "batch").write.mode("ignore").parquet(f"{path}/block_bucket=-1/batch=-1")
+    known = spark.read.schema(schema).parquet(path).where(F.col("block_bucket").isin(touched) & (F.col("batch") < batch) & (F.col("batch") >= 0))
+    fresh = single.join(known.select("block_bucket", *key), ["block_bucket", *key], "left_anti").withColumn("batch", F.lit(batch))
+    fresh.repartition("block_bucket").sortWithinPartitions("block_bucket", "market_id", "token_id", "block_number", "log_index").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("block_bucket", "batch").parquet(path)
+    own = spark.read.schema(schema).parquet(path).where(F.col("block_bucket").isin(touched) & (F.col("batch") == batch)).agg(F.count("*").alias("appended"))
+    counts = copies.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("projected"), F.count_if(F.col("__n") == 1).alias("single"))
+    return counts.crossJoin(own).select(F.lit(batch).alias("batch"), "projected", "appended", (F.col("single") - F.col("appended")).alias("known"), (F.col("projected") - F.col("single")).alias("repeated"))
+
+
 def rollup_gaps(unresolved: DataFrame) -> DataFrame:
     """Unresolved fills by token: first and last place seen, and how often."""
     place = F.struct("block_number", "log_index", "tx_hash")

@@ -432,3 +432,40 @@ def transport_probes(d: Dialect) -> str:
 def soak_samples(d: Dialect) -> str:
     """Samples of deployments: key, id, ms, fingerprint."""
     return f"SELECT user_id % 12 AS key, event_id AS id, {d.millis('ts')} AS ms, {d.div('event_id', 1300)} % 3 AS fingerprint FROM {{events}} WHERE event_id % 500 < 430"
+
+
+def _combo_position(d: Dialect, shift: str) -> str:
+    return f"CASE WHEN event_id % 61 = 7 THEN '01' ELSE '03' END || substr({d.hex64(f'user_id * 10 + event_id % 7')}, 5) || CASE WHEN (event_id + {shift}) % 2 = 0 THEN '00' ELSE '01' END"
+
+
+def combo_fills(d: Dialect) -> str:
+    """Trades of combinations: position, tx_hash, block_time. Some positions are of another module."""
+    return f"SELECT {_combo_position(d, '0')} AS position, '0x' || {d.hex64(d.div('event_id', 2))} AS tx_hash, {d.millis('ts')} AS block_time FROM {{events}}"
+
+
+def combo_activity(d: Dialect) -> str:
+    """Activity rows: id, tx_hash, position, is_combo, condition_id, title, outcome. Some are missing, unmarked, of another
+    condition, without a title, or with a title of their own."""
+    position = _combo_position(d, "0")
+    return f"""
+        SELECT event_id AS id, '0x' || {d.hex64(d.div('event_id', 2))} AS tx_hash, {position} AS position, event_id % 227 <> 3 AS is_combo, '0X' || substr({position}, 1, 60) || CASE WHEN event_id % 229 = 4 THEN 'ff' ELSE substr({position}, 61, 2) END AS condition_id,
+            CASE WHEN event_id % 233 = 5 THEN ' ' WHEN event_id % 113 = 6 THEN 'Other' ELSE 'Combo  ' || cast(user_id AS varchar(9)) END AS title, CASE WHEN event_id % 239 = 6 THEN 'Yes' ELSE '' END AS outcome
+        FROM {{events}} WHERE event_id % 241 <> 9"""
+
+
+def combo_details(d: Dialect) -> str:
+    """Details of combinations: id, position, condition_id, module_id, and two legs as columns (title, outcome)."""
+    position = _combo_position(d, "1")
+    return f"""
+        SELECT event_id AS id, {position} AS position, '0x' || CASE WHEN event_id % 19 = 4 THEN 'zz' ELSE substr({position}, 1, 2) END || substr({position}, 3, 60) AS condition_id, CASE WHEN event_id % 17 = 3 THEN 2 ELSE 3 END AS module_id,
+            CASE WHEN event_id % 23 = 5 THEN '' ELSE 'Team ' || cast(user_id AS varchar(9)) || ' wins' END AS title, CASE event_id % 3 WHEN 0 THEN 'Wins' WHEN 1 THEN '' ELSE 'No' END AS outcome
+        FROM {{events}} WHERE user_id % 3 <> 1"""
+
+
+def combo_markets(d: Dialect) -> str:
+    """Markets that are there before combinations are installed: condition_id, identity_kind, gamma_market_id, question_id, yes_token, no_token."""
+    head = f"'03' || substr({d.hex64('u * 10 + k')}, 5)"
+    return f"""
+        SELECT '0x' || {head} AS condition_id, CASE u % 4 WHEN 0 THEN 'legacy_combo' WHEN 1 THEN 'official_combo' ELSE 'canonical_gamma' END AS identity_kind, CASE WHEN u % 5 = 2 THEN 'g' ELSE ' ' END AS gamma_market_id, NULL AS question_id,
+            {head} || CASE WHEN u % 7 = 3 THEN '01' ELSE '00' END AS yes_token, {head} || '01' AS no_token
+        FROM (SELECT DISTINCT user_id AS u, event_id % 7 AS k FROM {{events}}) AS a WHERE k < 5"""
