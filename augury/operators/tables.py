@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from augury.sources.shared import written
+
 
 def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     """Equality of key columns, null equal to null."""
@@ -186,3 +188,14 @@ def split(df: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
     """Rows without and with a reason."""
     df = settled(df)
     return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull())
+
+
+def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """df with the 0-based place of each row in the given order: rows are dealt by ranges, sorted and written, and only
+    the number of rows of each partition is summed up. Nulls come first; ties get places of their own."""
+    by = [F.col(c).asc_nulls_first() for c in order]
+    at = F.monotonically_increasing_id()
+    fixed = written(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns({"__part": F.shiftrightunsigned(at, 33), "__at": at.bitwiseAND(F.lit((1 << 33) - 1))}), "ranked")
+    sizes = fixed.groupBy("__part").agg((F.max("__at") + 1).alias("__n"))
+    before = sizes.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return fixed.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__at")).drop("__part", "__at", "__before")

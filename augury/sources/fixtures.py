@@ -469,3 +469,32 @@ def combo_markets(d: Dialect) -> str:
         SELECT '0x' || {head} AS condition_id, CASE u % 4 WHEN 0 THEN 'legacy_combo' WHEN 1 THEN 'official_combo' ELSE 'canonical_gamma' END AS identity_kind, CASE WHEN u % 5 = 2 THEN 'g' ELSE ' ' END AS gamma_market_id, NULL AS question_id,
             {head} || CASE WHEN u % 7 = 3 THEN '01' ELSE '00' END AS yes_token, {head} || '01' AS no_token
         FROM (SELECT DISTINCT user_id AS u, event_id % 7 AS k FROM {{events}}) AS a WHERE k < 5"""
+
+
+def registry_rows(d: Dialect) -> str:
+    """Catalogue rows to write: condition_id, yes_token, no_token, gamma_market_id, category, normalized. Some claim the
+    tokens of another condition, which is in the registry, in the batch, or in both."""
+    p = "p_partkey"
+    own = f"CASE WHEN {p} % 12 = 2 THEN {p} - 1 WHEN {p} % 24 = 8 THEN {p} - 3 WHEN {p} % 48 = 20 THEN {p} + 3 ELSE {p} END"
+    return f"""
+        SELECT 'c' || lpad(cast({p} AS varchar(20)), 9, '0') AS condition_id, cast(({own}) * 10 AS varchar(20)) AS yes_token, cast(({own}) * 10 + 1 AS varchar(20)) AS no_token,
+            CASE WHEN {p} % 19 = 4 THEN ' ' ELSE 'g' || cast({p} AS varchar(20)) END AS gamma_market_id, p_brand AS category, {p} % 17 <> 3 AS normalized
+        FROM {{part}} WHERE {p} % 3 = 2"""
+
+
+def registry_markets(d: Dialect) -> str:
+    """Markets of the registry, canonical ones, shells and others: market_id, condition_id, identity_kind, gamma_market_id, category, slug."""
+    p = "p_partkey"
+    return f"""
+        SELECT {p} * 2 AS market_id, 'c' || lpad(cast({p} AS varchar(20)), 9, '0') AS condition_id, CASE {p} % 20 WHEN 1 THEN 'canonical_gamma' WHEN 5 THEN 'protocol_structural' WHEN 9 THEN 'legacy_placeholder' WHEN 13 THEN 'legacy_placeholder' ELSE 'canonical_clob' END AS identity_kind,
+            CASE {p} % 20 WHEN 1 THEN 'g' || cast({p} AS varchar(20)) WHEN 17 THEN 'x' ELSE ' ' END AS gamma_market_id, CASE {p} % 20 WHEN 9 THEN 'OrderFilled-Placeholder' ELSE 'old' END AS category,
+            CASE {p} % 20 WHEN 13 THEN 'trade-indexer-placeholder-1' ELSE 'slug' END AS slug
+        FROM {{part}} WHERE {p} % 4 = 1"""
+
+
+def registry_tokens(d: Dialect) -> str:
+    """Tokens of those markets: token_id, market_id, condition_id, id, outcome, outcome_index."""
+    p = "p_partkey"
+    return f"""
+        SELECT cast({p} * 10 + s AS varchar(20)) AS token_id, {p} * 2 AS market_id, 'c' || lpad(cast({p} AS varchar(20)), 9, '0') AS condition_id, -({p} * 4 - 1 + s) AS id, CASE s WHEN 0 THEN 'YES' ELSE 'NO' END AS outcome, cast(s AS int) AS outcome_index
+        FROM {{part}}, (SELECT 0 AS s UNION ALL SELECT 1) AS slots WHERE {p} % 4 = 1"""
