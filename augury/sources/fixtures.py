@@ -498,3 +498,13 @@ def registry_tokens(d: Dialect) -> str:
     return f"""
         SELECT cast({p} * 10 + s AS varchar(20)) AS token_id, {p} * 2 AS market_id, 'c' || lpad(cast({p} AS varchar(20)), 9, '0') AS condition_id, -({p} * 4 - 1 + s) AS id, CASE s WHEN 0 THEN 'YES' ELSE 'NO' END AS outcome, cast(s AS int) AS outcome_index
         FROM {{part}}, (SELECT 0 AS s UNION ALL SELECT 1) AS slots WHERE {p} % 4 = 1"""
+
+
+def cut_states(d: Dialect) -> str:
+    """States of tokens on two lanes of two plants at a cut; some are missing, twice, or lack evidence of a stage."""
+    x = "(c_custkey * 7 + plant * 3 + lane * 5)"
+    return f"""
+        SELECT {d.div('c_custkey', 2)} AS market, c_custkey AS token, plant, lane, 'k' || cast({d.div('c_custkey', 2)} % 50 AS varchar(9)) || CASE WHEN {x} % 47 = 11 AND c_custkey % 2 = 1 THEN 'x' ELSE '' END AS connection,
+            1 AS epoch, {d.div('c_custkey', 2)} % 4 AS shard, {x} % 31 <> 4 AS written, {x} % 29 <> 5 AS book_seen, CASE WHEN {x} % 37 = 6 THEN 'old' ELSE 'k' || cast({d.div('c_custkey', 2)} % 50 AS varchar(9)) || CASE WHEN {x} % 47 = 11 AND c_custkey % 2 = 1 THEN 'x' ELSE '' END END AS baseline_connection,
+            {x} % 1000 AS baseline_offset, {x} % 23 <> 7 AS baseline_durable, {x} % 1000 + CASE WHEN {x} % 61 = 8 THEN 1 ELSE 0 END AS receipt_offset, CASE WHEN {x} % 67 = 9 THEN 'CROSSED' ELSE NULL END AS eligible, {x} % 19 <> 3 AS ready, CASE WHEN {x} % 5 = 1 THEN NULL ELSE 'RECOVERING' END AS status, n AS copy
+        FROM {{customer}}, (SELECT 0 AS plant UNION ALL SELECT 1) AS p, (SELECT 0 AS lane UNION ALL SELECT 1) AS l, (SELECT 0 AS n UNION ALL SELECT 1) AS copies WHERE {x} % 43 <> 2 AND (n = 0 OR {x} % 89 = 3)"""
