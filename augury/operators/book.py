@@ -258,3 +258,25 @@ def cut_hashes(rows: DataFrame) -> DataFrame:
     steps = moments.unionByName(begins).unionByName(ends).groupBy("market", "pos").agg(F.sum("n").alias("n"), F.sum("h").alias("h"))
     run = Window.partitionBy("market").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     return steps.select("market", F.col("pos").alias("moment"), F.sum("n").over(run).alias("elements"), F.sum("h").over(run).cast("string").alias("hash"))
+
+
+def side_payloads(tokens: DataFrame, book: DataFrame, evidence: DataFrame, observed_ms: int, k: int = 12, fresh_ms: int = 15_000, lasts_ms: int = 20_000) -> DataFrame:
+    """What a reader gets of each token (market, asset): best k levels of each side as text, best prices, spread, and a
+    status. A book is live if its source is ready, its transport proven healthy by the fresh-pong policy, and its last
+    source time at most fresh_ms before the observation and not after it; else stale, or unavailable if there is none.
+
+    evidence: market, asset, ready, transport_healthy, transport_policy, source_ms.
+    """
+    best = depth_view(book, k)
+    entry = F.struct("place", F.concat_ws(":", F.col("price").cast("string"), F.col("size").cast("string")).alias("x"))
+    shown = lambda side, name: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, entry))), lambda e: e["x"]), ",").alias(name)
+    first = lambda side, name: F.max(F.when((F.col("side") == side) & (F.col("place") == 1), F.col("price"))).alias(name)
+    ladders = best.groupBy("market", "asset").agg(shown("BUY", "bids"), shown("SELL", "asks"), first("BUY", "best_bid"), first("SELL", "best_ask"))
+    rows = tokens.select("market", "asset").join(ladders, ["market", "asset"], "left").join(evidence.withColumn("__there", F.lit(True)), ["market", "asset"], "left")
+    age = F.lit(observed_ms) - F.col("source_ms")
+    live = F.coalesce(F.col("ready") & F.col("transport_healthy") & (F.col("transport_policy") == "fresh_pong_rtt_v1") & age.between(0, fresh_ms), F.lit(False))
+    status = F.when(live, "live").when(F.col("__there"), "stale").otherwise("unavailable")
+    return rows.select(
+        "market", "asset", F.coalesce("bids", F.lit("")).alias("bids"), F.coalesce("asks", F.lit("")).alias("asks"), "best_bid", "best_ask", (F.col("best_ask") - F.col("best_bid")).alias("spread"), status.alias("status"),
+        "source_ms", F.when(live, F.col("source_ms") + lasts_ms).alias("stale_after_ms"),
+    )

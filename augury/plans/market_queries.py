@@ -42,6 +42,17 @@ def book_depth(spark, sf_dir):
     return book.depth_view(book_cut(spark, sf_dir), 3).select("market", "asset", "side", "place", "price", "size")
 
 
+def book_payloads(spark, sf_dir):
+    """All twelve levels of both assets of every market at the cut; a source is fresh for half a day here."""
+    cut = _cut(spark, sf_dir, 6)
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("event_id") <= cut).select(F.col("user_id").alias("market"), (F.col("event_id") % 2).alias("asset"), "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    tokens = e.select("market").distinct().select("market", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))).alias("asset"))
+    last = e.groupBy("market", "asset").agg(F.max("ms").alias("source_ms"), F.max("event_id").alias("last")).where("last % 9 <> 4")
+    observed = e.agg(F.max("ms")).first()[0] or 0
+    evidence = last.select("market", "asset", (F.col("last") % 11 != 3).alias("ready"), (F.col("last") % 7 != 2).alias("transport_healthy"), F.when(F.col("last") % 13 == 5, "old").otherwise("fresh_pong_rtt_v1").alias("transport_policy"), "source_ms")
+    return whole(book.side_payloads(tokens, book.book_at_cut(_rows(spark, sf_dir), cut), evidence, observed, fresh_ms=43_200_000))
+
+
 def book_digests(spark, sf_dir):
     return book.book_digest(book_cut(spark, sf_dir))
 
@@ -254,7 +265,7 @@ def shard_plan(spark, sf_dir):
 
 
 QUERIES = {
-    "book_at_cut": book_cut, "book_bbo": book_bbo, "book_depth": book_depth, "book_digest": book_digests, "bbo_timeline": bbo_history, "every_cut": every_cut, "native_best": native_best, "live_book": live_book, "checkpoint_files": checkpoint_files, "tape_sequence": tape, "tape_gaps": tape_gaps,
+    "book_at_cut": book_cut, "book_bbo": book_bbo, "book_depth": book_depth, "book_payloads": book_payloads, "book_digest": book_digests, "bbo_timeline": bbo_history, "every_cut": every_cut, "native_best": native_best, "live_book": live_book, "checkpoint_files": checkpoint_files, "tape_sequence": tape, "tape_gaps": tape_gaps,
     "checkpoint_resume": resumed, "checkpoint_no_baseline": no_baseline, "depth_labels": depth_labels, "interval_coverage": time_coverage, "source_selection": chosen_sources,
     "token_lanes": lane_reasons, "lane_counters": lane_counters, "market_pairs": pair_coverage, "catalog_membership": id_membership, "soak_windows": soak, "contiguous_prefix": ranges_prefix,
     "price_rejects": price_rejects, "price_window": recent_prices, "price_rounds": price_rounds, "price_asof": price_asof, "exact_quantiles": latency_quantiles, "histogram_quantiles": latency_histogram,
@@ -396,3 +407,14 @@ ORACLE_SQL |= {
         SELECT market, asset, moment AS pos, best_bid, best_ask FROM l WHERE best_bid <> b OR best_ask <> a""",
     "checkpoint_files": f"SELECT 'levels' AS \"table\", count(*) AS n FROM ({ORACLE_SQL['book_at_cut']}) UNION ALL SELECT 'without_baseline', (SELECT count(*) FROM (SELECT user_id FROM events WHERE event_id <= (SELECT max(event_id) * 6 // 10 FROM events) GROUP BY user_id HAVING count(*) FILTER (event_type = 'signup') = 0))",
 }
+
+ORACLE_SQL["book_payloads"] = _CUT + f"""
+    , x AS (SELECT user_id AS market, event_id % 2 AS asset, max(epoch_us(ts) // 1000) AS source_ms, max(event_id) AS last FROM events WHERE event_id <= {_tenth(6)} GROUP BY ALL),
+    m AS (SELECT DISTINCT market FROM x), now AS (SELECT max(source_ms) AS t FROM x), tk AS (SELECT market, unnest([0, 1])::BIGINT AS asset FROM m),
+    pl AS (SELECT *, row_number() OVER (PARTITION BY market, asset, side ORDER BY CASE side WHEN 'BUY' THEN -price ELSE price END) AS place FROM b),
+    la AS (SELECT market, asset, coalesce(string_agg(price || ':' || size, ',' ORDER BY place) FILTER (side = 'BUY' AND place <= 12), '') AS bids, coalesce(string_agg(price || ':' || size, ',' ORDER BY place) FILTER (side = 'SELL' AND place <= 12), '') AS asks,
+        max(price) FILTER (side = 'BUY') AS best_bid, min(price) FILTER (side = 'SELL') AS best_ask FROM pl GROUP BY ALL),
+    j AS (SELECT tk.*, bids, asks, best_bid, best_ask, source_ms, last, last % 11 <> 3 AND last % 7 <> 2 AND last % 13 <> 5 AND t - source_ms <= 43200000 AS live FROM tk LEFT JOIN la USING (market, asset) LEFT JOIN (SELECT * FROM x WHERE last % 9 <> 4) USING (market, asset), now)
+    SELECT market, asset, coalesce(bids, '') AS bids, coalesce(asks, '') AS asks, coalesce(best_bid, -1) AS best_bid, coalesce(best_ask, -1) AS best_ask, coalesce(best_ask - best_bid, -1) AS spread, CASE WHEN live THEN 'live' WHEN last IS NOT NULL THEN 'stale' ELSE 'unavailable' END AS status,
+        coalesce(source_ms, -1) AS source_ms, CASE WHEN live THEN source_ms + 20000 ELSE -1 END AS stale_after_ms FROM j
+"""

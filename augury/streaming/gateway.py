@@ -1,7 +1,7 @@
 """Stateful streams of a gateway: accepted records with a bounded window of identities, freshness of transports, soak windows.
 
 State is typed and kept by key in RocksDB (transformWithState); what is due without a further event comes from timers on event
-time. Rows of a key must come in order from micro-batch to micro-batch; within one they are sorted.
+time, so that rows at or before the epoch count as late. Rows of a key must come in order from micro-batch to micro-batch; within one they are sorted.
 """
 
 from __future__ import annotations
