@@ -226,20 +226,17 @@ def upsert_registry(rows: DataFrame, markets: DataFrame, tokens: DataFrame) -> t
     """(markets, tokens, conflicts) after adding normalised rows (condition_id, yes_token, no_token, category).
 
     Conditions whose tokens are claimed elsewhere are conflicts and change nothing. Known conditions keep their id and
-    take a new category; new ones get ids after the highest, in the order of their condition, by distributed ranks.
+    take a new category; new ones get ids after the highest, in the order of their condition, by distributed ranks. Of rows
+    that repeat a condition the greatest counts.
     Tokens of a market have the ids 2m - 1 and 2m, negated.
     """
     claims = rows.select("condition_id", F.explode(F.array("yes_token", "no_token")).alias("token"))
     owned = tokens.join(markets.select("market_id", "condition_id"), "market_id").select("condition_id", F.col("token_id").alias("token"))
     accepted, conflicts = filter_claims(claims, owned)
-    good = rows.join(accepted, "condition_id", "left_semi").dropDuplicates(["condition_id"])
+    good = rows.join(accepted, "condition_id", "left_semi").groupBy("condition_id").agg(F.max(F.struct("yes_token", "no_token", "category")).alias("r")).select("condition_id", "r.*")
     new = good.join(markets.select("condition_id"), "condition_id", "left_anti").select("condition_id", "yes_token", "no_token", "category")
     top = markets.agg(F.coalesce(F.max("market_id"), F.lit(0)).alias("__top"))
-    # Ranks by hash cell: no task orders all conditions.
-    cell = F.pmod(F.xxhash64("condition_id"), F.lit(256))
-    placed = new.withColumn("__cell", cell).withColumn("__n", F.row_number().over(tables.Window.partitionBy("__cell").orderBy("condition_id")))
-    before = placed.groupBy("__cell").agg(F.count("*").alias("__c")).withColumn("__before", F.coalesce(F.sum("__c").over(tables.Window.orderBy("__cell").rowsBetween(tables.Window.unboundedPreceding, -1)), F.lit(0))).drop("__c")
-    placed = placed.join(F.broadcast(before), "__cell").crossJoin(F.broadcast(top)).withColumn("market_id", F.col("__top") + F.col("__before") + F.col("__n"))
+    placed = tables.ranked(new, ["condition_id"], "__n").crossJoin(F.broadcast(top)).withColumn("market_id", F.col("__top") + F.col("__n") + 1)
     changed = markets.join(good.select("condition_id", F.col("category").alias("__new")), "condition_id", "left").withColumn("category", F.coalesce("__new", "category")).select("market_id", "condition_id", "category")
     slots = F.explode(F.array(F.struct(F.col("yes_token").alias("token_id"), (-(2 * F.col("market_id") - 1)).alias("id"), F.lit(0).alias("outcome_index")), F.struct(F.col("no_token").alias("token_id"), (-2 * F.col("market_id")).alias("id"), F.lit(1).alias("outcome_index"))))
     added = placed.select("market_id", slots.alias("t")).select("market_id", "t.*")

@@ -196,8 +196,11 @@ def _upserts(spark, sf_dir):
 
 
 def upserted(spark, sf_dir):
-    """Ids of new markets depend on how ranks are dealt: shown are all other columns."""
-    return _upserts(spark, sf_dir)[0].select("condition_id", "category")
+    return _upserts(spark, sf_dir)[0]
+
+
+def upserted_tokens(spark, sf_dir):
+    return _upserts(spark, sf_dir)[1]
 
 
 def upsert_conflicts(spark, sf_dir):
@@ -237,7 +240,7 @@ def fact_layout(spark, sf_dir):
 QUERIES = {
     "recent_days": recent, "receive_order": received, "deterministic_sample": sample, "merged_streams": merged_streams, "token_pairs": pairs, "archive_segments": segments, "gap_attribution": gaps, "without_disposition": undisposed,
     "owner_map": owners, "owner_map_conflicts": owner_conflicts, "failure_versions": versions, "stage_sets": stages, "active_states": active, "candidate_states": candidates, "merged_lanes": lanes, "repair_windows": windows, "pending_validation": pending,
-    "shell_and_strict": shells, "promotion_ledger": promotions, "fleet_health": fleet, "storage_rollup": storage, "soak_windows": soak, "gateway_checks": gateway, "registry_upsert": upserted, "registry_conflicts": upsert_conflicts, "recovered_failures": recovered,
+    "shell_and_strict": shells, "promotion_ledger": promotions, "fleet_health": fleet, "storage_rollup": storage, "soak_windows": soak, "gateway_checks": gateway, "registry_upsert": upserted, "registry_upsert_tokens": upserted_tokens, "registry_conflicts": upsert_conflicts, "recovered_failures": recovered,
     "bound_rules": rules, "fact_layout": fact_layout,
 }
 
@@ -253,7 +256,11 @@ _STATES = """
 """
 _UPSERT = """
     WITH r AS (SELECT p_partkey AS p, CASE WHEN p_partkey % 12 = 2 THEN p_partkey - 1 ELSE p_partkey END AS own, p_brand FROM part WHERE p_partkey % 3 = 2),
-    j AS (SELECT r.*, own <> p AND own % 4 = 1 AS taken, count(*) OVER (PARTITION BY own) > 1 AS twice FROM r)
+    j AS (SELECT r.*, own <> p AND own % 4 = 1 AS taken, count(*) OVER (PARTITION BY own) > 1 AS twice FROM r), ok AS (SELECT * FROM j WHERE NOT taken AND NOT twice),
+    u AS (
+        SELECT p_partkey * 2 AS market_id, 'c' || lpad(p_partkey::VARCHAR, 9, '0') AS condition_id, coalesce(ok.p_brand, 'old') AS category, p_partkey AS own, false AS fresh FROM part LEFT JOIN ok ON ok.p = p_partkey WHERE p_partkey % 4 = 1
+        UNION ALL SELECT (SELECT max(p_partkey) * 2 FROM part WHERE p_partkey % 4 = 1) + row_number() OVER (ORDER BY p), 'c' || lpad(p::VARCHAR, 9, '0'), p_brand, own, true FROM ok WHERE p % 4 <> 1
+    )
 """
 from augury.plans.fill_queries import ORACLE_SQL as _FILLS  # noqa: E402
 from augury.plans.registry_queries import _PAGES  # noqa: E402
@@ -322,8 +329,10 @@ ORACLE_SQL = {
                 CASE WHEN market % 11 <> 3 AND source AND x % 9 = 4 THEN 'GATEWAY_SOURCE_SESSION_MISMATCH' END, CASE WHEN market % 11 <> 3 AND source AND (x % 10 > 8 OR x % 8 > 6) THEN 'GATEWAY_PARENT_OUTSIDE_CAPTURED_PLANT_PREFIX' END], lambda v: v IS NOT NULL) AS w FROM g
         )
         SELECT market, ready, array_to_string(w, ',') AS reasons, len(w) = 0 AS qualified FROM r""",
-    "registry_upsert": _UPSERT + """
-        SELECT 'c' || lpad(p_partkey::VARCHAR, 9, '0') AS condition_id, CASE WHEN j.p IS NOT NULL AND NOT taken AND NOT twice THEN j.p_brand ELSE 'old' END AS category FROM part LEFT JOIN j ON j.p = p_partkey WHERE p_partkey % 4 = 1 OR (j.p IS NOT NULL AND NOT taken AND NOT twice)""",
+    "registry_upsert": _UPSERT + "SELECT market_id, condition_id, category FROM u",
+    "registry_upsert_tokens": _UPSERT + """
+        SELECT p_partkey * 2 AS market_id, (p_partkey * 10 + s)::VARCHAR AS token_id, -p_partkey * 4 - s AS id, s AS outcome_index FROM part, (SELECT unnest([0, 1]) AS s) WHERE p_partkey % 4 = 1
+        UNION ALL SELECT market_id, (own * 10 + s)::VARCHAR, -(2 * market_id - 1 + s), s FROM u, (SELECT unnest([0, 1]) AS s) WHERE fresh""",
     "registry_conflicts": _UPSERT + "SELECT 'c' || lpad(p::VARCHAR, 9, '0') AS condition_id, CASE WHEN taken THEN 'token belongs to another condition' ELSE 'token claimed twice in batch' END AS reason FROM j WHERE taken OR twice",
     "recovered_failures": _PAGES + "SELECT id::VARCHAR AS failure_key, 0::BIGINT AS generation, CASE WHEN id % 5 = 3 THEN 'closed' WHEN id % 2 = 0 AND reason IS NULL AND id % 3 <> 0 THEN 'resolved' ELSE 'open' END AS status FROM k",
     "bound_rules": """
