@@ -2,7 +2,8 @@
 
 Each stage takes the documents that the stage before kept and returns documents with the same columns; the last one
 returns their tokens. Nulls, empty texts, ties, repeated rows and extra columns are handled as the operators say:
-null and empty texts are rejected by the quality stage; of rows that repeat an id and text near-dedup keeps one.
+null and empty texts are rejected by the quality stage; of rows that repeat an id and text near-dedup keeps one. Very
+long texts go through whole, each in one row; an empty table gives empty tables in every stage and no rows in the end.
 """
 
 from __future__ import annotations
