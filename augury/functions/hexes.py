@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,27 +12,42 @@ ZERO = "0" * 64
 
 def body(text: Column, width: int = 64) -> Column:
     """Hexadecimal digits without 0x, lower case, padded on the left."""
-    plain = F.regexp_replace(F.lower(F.trim(F.coalesce(text, F.lit("")))), "^0x", "")
-    return F.regexp_replace(F.concat(F.lit("0" * width), plain), f"^0{{0,{width}}}(?=.{{{width}}})", "") if width else plain
+    low = F.lower(F.trim(F.coalesce(text, F.lit(""))))
+    plain = F.substring(low, F.when(low.startswith("0x"), 3).otherwise(1), F.lit(2**31 - 1))
+    return F.lpad(plain, F.greatest(F.length(plain), F.lit(width)), F.lit("0")) if width else plain
 
 
 def word(data: Column, index: int) -> Column:
     """The index-th 32-byte word of hexadecimal data without prefix."""
-    return F.substring(data, 64 * index + 1, 64)
+    return F.substring(data.cast("binary"), 64 * index + 1, 64).cast("string")  # bytes need no walk over the characters before
+
+
+def digits(text: Column) -> Column:
+    """Whether there are only lower-case hexadecimal digits in a text."""
+    return F.unhex(text).isNotNull() & (F.lower(text) == text)
 
 
 def unsigned(hex64: Column) -> Column:
     """Value as DECIMAL(38,0); null where it has more digits than that, or is not hexadecimal."""
-    part = lambda at, n: F.conv(F.substring(hex64, at, n), 16, 10).cast("decimal(38,0)")
-    low = part(49, 16)
-    high = F.try_multiply(part(33, 16), F.lit("18446744073709551616").cast("decimal(20,0)")).cast("decimal(38,0)")
-    fits = hex64.rlike("^0{32}[0-4][0-9a-f]{31}$")  # under 5 * 2^124, which 38 digits hold
-    return F.when(fits, (high + low).cast("decimal(38,0)"))
+    def wide(h: Column) -> Column:
+        part = lambda at, n: F.conv(F.substring(h, at, n), 16, 10).cast("decimal(38,0)")
+        high = F.try_multiply(part(33, 16), F.lit("18446744073709551616").cast("decimal(20,0)")).cast("decimal(38,0)")
+        fits = h.rlike("^0{32}[0-4][0-9a-f]{31}$")  # under 5 * 2^124, which 38 digits hold
+        return F.when(fits, (high + part(49, 16)).cast("decimal(38,0)"))
+
+    return F.coalesce(small(hex64).cast("decimal(38,0)"), rarely(wide, hex64))
+
+
+def rarely(f: Callable[..., Column], *args: Column) -> Column:
+    """f of the arguments, as a function over an array of one: it takes little room in compiled code, which Java leaves
+    uncompiled where a method is long. For branches that few rows take."""
+    return F.element_at(F.transform(F.array(F.struct(*[a.alias(f"a{i}") for i, a in enumerate(args)])), lambda s: f(*[s[f"a{i}"] for i in range(len(args))])), 1)
 
 
 def small(hex64: Column) -> Column:
     """Value as BIGINT; null where it does not fit."""
-    return F.when(hex64.rlike("^0{48}[0-7][0-9a-f]{15}$"), F.conv(F.substring(hex64, 49, 16), 16, 10).cast("long"))
+    low = F.substring(hex64, 49, 16)
+    return F.when((F.length(hex64) == 64) & hex64.startswith("0" * 48) & (low < "8") & digits(low), F.conv(low, 16, 10).cast("long"))
 
 
 def of_long(value: Column) -> Column:

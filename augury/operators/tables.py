@@ -185,8 +185,12 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def split(df: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
-    """Rows without and with a reason."""
-    df = settled(df)
+    """Rows without and with a reason.
+
+    The reason depends, in form, on the partition's number: filters that ask for it are not rewritten into the expressions
+    below, and unlike a generator the projection is compiled.
+    """
+    df = df.withColumn(reason, F.when(F.spark_partition_id() >= 0, F.col(reason)))
     return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull())
 
 
