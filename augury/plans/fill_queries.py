@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from augury.operators import fills, tables
 from augury.sources import fixtures as fx
+from augury.sources.shared import written
 
 text = lambda *names: [F.col(n).cast("string").alias(n) for n in names]
 
@@ -75,17 +76,18 @@ def appended(spark, sf_dir):
 
 
 def safe(spark, sf_dir):
-    return fills.safe_rows(_fills(spark, sf_dir), 200_000).groupBy("contract").agg(F.count("*").alias("n"), F.max("block_number").alias("last"))
+    found = written(_fills(spark, sf_dir).select("contract", "block_number"), "fills")  # decoded once for head and rows
+    return fills.safe_rows(found, 200_000).groupBy("contract").agg(F.count("*").alias("n"), F.max("block_number").alias("last"))
 
 
 def windows(spark, sf_dir):
     """Fills by planned block window."""
-    found = _fills(spark, sf_dir).select("block_number")
+    found = written(_fills(spark, sf_dir).groupBy("block_number").agg(F.count("*").alias("n")), "blocks")
     edge = found.agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi")).first()
     if edge["lo"] is None:
         return spark.createDataFrame([], "from_block long, to_block long, n long")
     planned = fills.plan_windows(spark, edge["lo"] - 1, edge["hi"], 50_000)
-    counts = found.groupBy((F.floor((F.col("block_number") - edge["lo"]) / 50_000) * 50_000 + edge["lo"]).alias("from_block")).agg(F.count("*").alias("n"))
+    counts = found.groupBy((F.floor((F.col("block_number") - edge["lo"]) / 50_000) * 50_000 + edge["lo"]).alias("from_block")).agg(F.sum("n").alias("n"))
     return planned.join(counts, "from_block", "left").select("from_block", "to_block", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -97,7 +99,7 @@ def scanned(spark, sf_dir):
 
 def block_times(spark, sf_dir):
     """Fills by whether their block has one time: some blocks have none, some two."""
-    found = _fills(spark, sf_dir)
+    found = written(_fills(spark, sf_dir).select("block_number"), "fills")
     blocks = found.select("block_number").distinct().where("block_number % 7 <> 0")
     blocks = blocks.select("block_number", (F.col("block_number") * 2).alias("block_time"), F.lit("a").alias("block_hash")).unionByName(
         blocks.where("block_number % 11 = 3").select("block_number", (F.col("block_number") * 2).alias("block_time"), F.lit("b").alias("block_hash"))
@@ -113,7 +115,7 @@ def latest_fill(spark, sf_dir):
 
 def merged_gaps(spark, sf_dir):
     """Gaps of early fills merged with those of all later ones."""
-    open_ = fills.project_fills(_fills(spark, sf_dir), _owned(spark, sf_dir))[1]
+    open_ = written(fills.project_fills(_fills(spark, sf_dir), _owned(spark, sf_dir))[1].select("token_id", "block_number", "log_index", "tx_hash"), "open")
     early, late = open_.where("block_number % 2 = 0"), open_.where("block_number % 2 = 1")
     return fills.merge_gaps(fills.rollup_gaps(early), fills.rollup_gaps(late))
 
