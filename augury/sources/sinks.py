@@ -28,15 +28,19 @@ def write_tape(tape: DataFrame, path: str, buckets: int = 4) -> DataFrame:
 
 def write_observations(rows: DataFrame, path: str, bundle_rows: int = 10_000) -> DataFrame:
     """Write occurrences (position, source, raw) with each payload of a bundle stored once; returns by bundle the
-    occurrences, raw, unique and saved bytes. Bundles are ranges of positions. Raises if a payload cannot be rebuilt."""
+    occurrences, raw, unique and saved bytes. Bundles are ranges of positions. Raises if a payload cannot be rebuilt.
+
+    A bundle lies whole in one file, which holds many, sorted: files grow with the bytes, not with tasks times bundles.
+    """
     keyed = rows.withColumns({"bundle": F.floor(F.col("position") / bundle_rows), "sha": F.sha2(F.col("raw").cast("binary"), 256)})
-    keyed.drop("raw").write.partitionBy("bundle").parquet(f"{path}/occurrences")
-    keyed.groupBy("bundle", "sha").agg(F.first("raw").alias("raw")).write.partitionBy("bundle").parquet(f"{path}/payloads")
+    keyed.drop("raw").repartition("bundle").sortWithinPartitions("bundle", "position").write.parquet(f"{path}/occurrences")
+    keyed.repartition("bundle").groupBy("bundle", "sha").agg(F.first("raw").alias("raw")).sortWithinPartitions("bundle", "sha").write.parquet(f"{path}/payloads")
     read = rows.sparkSession.read.parquet
     rebuilt = read(f"{path}/occurrences").join(read(f"{path}/payloads"), ["bundle", "sha"], "left")
     length = F.octet_length("raw").cast("long")
     first = F.row_number().over(Window.partitionBy("bundle", "sha").orderBy("position")) == 1
-    marked = rebuilt.withColumns({"__bytes": length, "__first": first, "__ok": F.col("sha").eqNullSafe(F.sha2(F.col("raw").cast("binary"), 256))})
+    sized = rebuilt.select("bundle", "sha", "position", length.alias("__bytes"), F.col("sha").eqNullSafe(F.sha2(F.col("raw").cast("binary"), 256)).alias("__ok"))
+    marked = sized.withColumn("__first", first)
     out = marked.groupBy("bundle").agg(F.count("*").alias("occurrences"), F.sum("__bytes").alias("raw_bytes"), F.sum(F.when(F.col("__first"), F.col("__bytes")).otherwise(0)).alias("unique_bytes"), F.count_if(~F.col("__ok")).alias("bad"))
     if out.where("bad > 0").limit(1).count():
         raise ValueError(f"{path}: a payload was not rebuilt")
