@@ -91,8 +91,8 @@ def catalog_changes(spark, sf_dir):
 
 def _catalog_streamed(spark, sf_dir):
     folder = jobs.work_dir(spark)
-    jobs.write_in_order(_catalog_events(spark, sf_dir), "seq", f"{folder}/events", 4)
-    return jobs.catalog_stream(jobs.file_stream(spark, f"{folder}/events", 2), folder)
+    files = jobs.write_in_order(_catalog_events(spark, sf_dir), "seq", f"{folder}/events", 4)
+    return jobs.catalog_stream(jobs.file_stream(spark, f"{folder}/events", files), folder)
 
 
 def streamed_catalog(spark, sf_dir):

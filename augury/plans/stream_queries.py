@@ -14,8 +14,8 @@ WINDOW, MOST_BYTES, DEADLINE, AGE, GAP = 24, 900, 4 * 3_600_000, 9 * 3_600_000,
 def _drained(spark, sf_dir, build, key, stream, schema):
     """What a stream gives over four micro-batches of a fixture in the order of key."""
     folder = jobs.work_dir(spark)
-    jobs.write_in_order(fx.frame(spark, sf_dir, build), key, f"{folder}/in", 4)
-    jobs.drain(stream(jobs.file_stream(spark, f"{folder}/in", 2)), folder)
+    files = jobs.write_in_order(fx.frame(spark, sf_dir, build), key, f"{folder}/in", 4)
+    jobs.drain(stream(jobs.file_stream(spark, f"{folder}/in", files)), folder)
     return spark.read.schema(schema).parquet(f"{folder}/out")
 
 
