@@ -58,3 +58,16 @@ def test_observation_files_do_not_grow_with_bundles(spark, tmp_path):
         assert len(list((tmp_path / "o" / kind).rglob("*.parquet"))) <= 4
         shared = spark.read.parquet(str(tmp_path / "o" / kind)).select("bundle", F.input_file_name().alias("f")).distinct()
         assert shared.count() == 400
+
+
+def test_half_of_the_trusted_texts_train(spark, monkeypatch):
+    from augury.llm import kneserney
+
+    seen = []
+    monkeypatch.setattr(kneserney, "fit", lambda trusted: seen.append(trusted.count()) or (_ for _ in ()).throw(InterruptedError))
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"), F.lit("en").alias("lang"))
+    try:
+        kneserney.judged(docs, docs)
+    except InterruptedError:
+        pass
+    assert 29_000 < seen[0] < 31_000
