@@ -71,3 +71,18 @@ def test_half_of_the_trusted_texts_train(spark, monkeypatch):
     except InterruptedError:
         pass
     assert 29_000 < seen[0] < 31_000
+
+
+def test_training_texts_move_once(spark):
+    from augury.llm import kneserney
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.range(2_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some text "), "id").alias("text"), F.lit("en").alias("lang"))
+    kneserney.judged(docs.mapInArrow(counted, docs.schema), docs.select("doc_id"))
+    assert read.value == 4_000  # once to train and once to be scored
