@@ -142,7 +142,7 @@ def streamed_fills(spark, sf_dir):
     fx.frame(spark, sf_dir, fx.logs).write.parquet(f"{folder}/logs")
     owned = fills.owners(fx.frame(spark, sf_dir, fx.markets), fx.frame(spark, sf_dir, fx.tokens))
     facts, _ = jobs.fills_stream(jobs.file_stream(spark, f"{folder}/logs"), owned, folder)
-    return spark.read.parquet(facts).select("tx_hash", "log_index", "market_id", "token_id", "outcome_code", "side_code", "block_number", *[F.col(c).cast("string").alias(c) for c in ("price", "size")])
+    return facts.select("tx_hash", "log_index", "market_id", "token_id", "outcome_code", "side_code", "block_number", *[F.col(c).cast("string").alias(c) for c in ("price", "size")])
 
 
 QUERIES = {

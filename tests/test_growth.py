@@ -86,3 +86,14 @@ def test_training_texts_move_once(spark):
     docs = spark.range(2_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some text "), "id").alias("text"), F.lit("en").alias("lang"))
     kneserney.judged(docs.mapInArrow(counted, docs.schema), docs.select("doc_id"))
     assert read.value == 4_000  # once to train and once to be scored
+
+
+def test_fills_are_decoded_once_in_a_stream(spark, tmp_path):
+    logs, owned = fx.frame(spark, SMALL, fx.logs), fills.owners(fx.frame(spark, SMALL, fx.markets), fx.frame(spark, SMALL, fx.tokens))
+    logs.repartition(2).write.parquet(str(tmp_path / "logs"))
+    found = jobs.fills_stream(jobs.file_stream(spark, str(tmp_path / "logs"), 1), owned, str(tmp_path / "s"))
+    wanted = fills.project_fills(fills.decode_fills(logs)[0], owned)
+    for got, want in zip(found, wanted):
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect())) != []
+    assert {p.parent.name for p in (tmp_path / "s").rglob("*.parquet")} == {"batch=0", "batch=1"}
+    assert len({p.parent for p in (tmp_path / "s").rglob("*.parquet")}) == 2  # one table for each batch
