@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from augury.operators import coverage
 from augury.operators import qualification as q
 from augury.sources import fixtures as fx
+from augury.sources.shared import written
 from augury.streaming import jobs
 
 
@@ -39,13 +40,17 @@ def _tokens(spark, sf_dir):
     return q.token_rows(*_inputs(spark, sf_dir))
 
 
-def _markets(spark, sf_dir):
+def _markets(spark, sf_dir, tokens=None):
     desired, *_, lanes = _inputs(spark, sf_dir)
-    return q.market_rows(_tokens(spark, sf_dir), _gateway(desired.select("market").distinct()), lanes)
+    return q.market_rows(_tokens(spark, sf_dir) if tokens is None else tokens, _gateway(desired.select("market").distinct()), lanes)
+
+
+def _shown(tokens):
+    return tokens.select("market", "token", "plant", "lane", *q.STAGES, F.array_join("reasons", ",").alias("reasons"), "primary_reason")
 
 
 def token_qualification(spark, sf_dir):
-    return _tokens(spark, sf_dir).select("market", "token", "plant", "lane", *q.STAGES, F.array_join("reasons", ",").alias("reasons"), "primary_reason")
+    return _shown(_tokens(spark, sf_dir))
 
 
 def market_qualification(spark, sf_dir):
@@ -56,14 +61,21 @@ def reasons(spark, sf_dir):
     return q.reason_counts(_tokens(spark, sf_dir))
 
 
-def _gates(spark, sf_dir):
+def _gates(spark, sf_dir, tokens=None, markets=None):
+    """The gates read tokens twice and markets once, so both are written first."""
+    tokens = written(_tokens(spark, sf_dir), "tokens") if tokens is None else tokens
+    markets = written(_markets(spark, sf_dir, tokens), "markets") if markets is None else markets
     desired, owners, unadmitted, nodes, _, lanes = _inputs(spark, sf_dir)
     explained = owners.where(F.col("market") > 10**7)
-    return q.gates(desired, owners, explained, unadmitted, nodes, _tokens(spark, sf_dir), _markets(spark, sf_dir), lanes)
+    return q.gates(desired, owners, explained, unadmitted, nodes, tokens, markets, lanes)
 
 
 def outputs(spark, sf_dir):
-    return q.write_report(token_qualification(spark, sf_dir), market_qualification(spark, sf_dir), reasons(spark, sf_dir), _gates(spark, sf_dir), f"{jobs.work_dir(spark)}/report").select("table", "n")
+    """Each table is computed once, then written and checked from what was computed."""
+    tokens = written(_tokens(spark, sf_dir), "tokens")
+    markets = written(_markets(spark, sf_dir, tokens), "markets")
+    found, gates = written(q.reason_counts(tokens), "reasons"), written(_gates(spark, sf_dir, tokens, markets), "gates")
+    return q.write_report(_shown(tokens), markets.withColumn("gateway_reasons", F.array_join("gateway_reasons", ",")), found, gates, f"{jobs.work_dir(spark)}/report").select("table", "n")
 
 
 QUERIES = {"token_qualification": token_qualification, "market_qualification": market_qualification, "qualification_reasons": reasons, "qualification_gates": _gates, "qualification_outputs": outputs}

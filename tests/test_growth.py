@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from augury.functions import hexes
 from augury.operators import fills
-from augury.plans import fill_queries
+from augury.plans import fill_queries, qualification_queries
 from augury.sources import fixtures as fx
 from augury.sources import sinks
 from augury.streaming import jobs
@@ -97,3 +97,11 @@ def test_fills_are_decoded_once_in_a_stream(spark, tmp_path):
         assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect())) != []
     assert {p.parent.name for p in (tmp_path / "s").rglob("*.parquet")} == {"batch=0", "batch=1"}
     assert len({p.parent for p in (tmp_path / "s").rglob("*.parquet")}) == 2  # one table for each batch
+
+
+def test_report_computes_its_tokens_once(spark, monkeypatch):
+    made = []
+    one = qualification_queries.q.token_rows
+    monkeypatch.setattr(qualification_queries.q, "token_rows", lambda *inputs: made.append(1) or one(*inputs))
+    assert {r["table"]: r["n"] > 0 for r in qualification_queries.outputs(spark, SMALL).collect()} == dict.fromkeys(("token_state_at_cut", "market_gap_attribution", "reasons", "gates"), True)
+    assert len(made) == 1
