@@ -34,18 +34,19 @@ def bridge_markets(rows: DataFrame, markets: DataFrame, keys: tuple[str, ...]) -
 
 
 def _scaled(limbs: Column, n: Column, up: bool) -> Column:
-    """limbs * n / 1e6, rounded down or up, for a number held as hi * 1e18 + lo: each product fits 24 digits."""
+    """limbs * n / 1e6, rounded down or up, for a number held as hi * 1e18 + lo: each product fits 24 digits. Each step is
+    named, so that none is repeated in the next."""
     d = lambda x: x.cast("decimal(38,0)")
-    hi = d(limbs["hi"]) * n
-    hi_rest = hi % LEG
-    lo = hi_rest * F.lit(UNIT).cast("decimal(19,0)") + d(limbs["lo"]) * n
-    lo_rest = d(lo) % LEG
-    lo_part = d((d(lo) - lo_rest) / LEG)
-    add = F.when((lo_rest > 0), 1).otherwise(0) if up else F.lit(0)
-    total = d(lo_part + add)
-    carry = d(total % F.lit(UNIT).cast("decimal(19,0)"))
-    over = d((total - carry) / F.lit(UNIT).cast("decimal(19,0)"))
-    return F.struct(d(d((hi - hi_rest) / LEG) + over).alias("hi"), carry.alias("lo"))
+    named = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)
+    unit = F.lit(UNIT).cast("decimal(19,0)")
+
+    def joined(x: Column) -> Column:
+        whole = lambda lo_rest: d((d(x["lo"]) - lo_rest) / LEG) + (F.when(lo_rest > 0, 1).otherwise(0) if up else F.lit(0))
+        split = lambda t: named(d(t % unit), lambda carry: F.struct(d(x["hi"] + d((t - carry) / unit)).alias("hi"), carry.alias("lo")))
+        return named(d(whole(d(x["lo"]) % LEG)), split)
+
+    high = named(d(limbs["hi"]) * n, lambda hi: F.struct(hi.alias("hi"), (hi % LEG).alias("rest")))
+    return named(high, lambda h: named(F.struct(d((h["hi"] - h["rest"]) / LEG).alias("hi"), (h["rest"] * unit + d(limbs["lo"]) * n).alias("lo")), joined))
 
 
 def combo_payout(legs: Column) -> Column:

@@ -28,19 +28,22 @@ def below_limit(number: Column) -> Column:
 
 def total(numbers: Column) -> Column:
     """Exact sum of up to 256 whole numbers in decimal text, without leading zeros."""
-    def limb(i: int) -> Column:
-        part = lambda x: F.substring(F.lpad(x, _WIDE, "0"), 1 + _LIMB * i, _LIMB).cast("decimal(38,0)")
-        return F.aggregate(numbers, F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + part(x)).cast("decimal(38,0)"))
+    zero, unit = F.lit(0).cast("decimal(38,0)"), F.lit(str(10**_LIMB)).cast("decimal(21,0)")
 
-    unit = F.lit(str(10**_LIMB)).cast("decimal(21,0)")
-    carry, digits = F.lit(0).cast("decimal(38,0)"), []
-    for i in range(_WIDE // _LIMB - 1, -1, -1):
-        here = (limb(i) + carry).cast("decimal(38,0)")
-        rest = (here % unit).cast("decimal(38,0)")
-        carry = ((here - rest) / unit).cast("decimal(38,0)")
-        digits.insert(0, F.lpad(rest.cast("string"), _LIMB, "0"))
-    plain = F.regexp_replace(F.concat(*digits), "^0+(?=[0-9])", "")
-    return plain
+    def limbs_added(numbers: Column) -> Column:
+        part = lambda x, i: F.substring(F.lpad(x, _WIDE, "0"), 1 + _LIMB * i, F.lit(_LIMB)).cast("decimal(38,0)")
+        limbs = F.transform(F.sequence(F.lit(_WIDE // _LIMB - 1), F.lit(0)), lambda i: F.aggregate(numbers, zero, lambda s, x: (s + part(x, i)).cast("decimal(38,0)")))
+        here = lambda s, limb: (limb + s["carry"]).cast("decimal(38,0)")
+        rest = lambda s, limb: (here(s, limb) % unit).cast("decimal(38,0)")
+        return F.aggregate(
+            limbs, F.struct(zero.alias("carry"), F.lit("").alias("digits")),
+            lambda s, limb: F.struct(((here(s, limb) - rest(s, limb)) / unit).cast("decimal(38,0)").alias("carry"), F.concat(F.lpad(rest(s, limb).cast("string"), _LIMB, "0"), s["digits"]).alias("digits")),
+            lambda s: F.regexp_replace(s["digits"], "^0+(?=[0-9])", ""),
+        )
+
+    # Short numbers, which most are, fit in 38 digits together.
+    short = F.forall(numbers, lambda x: x.rlike("^[0-9]{1,35}$")) & (F.size(numbers) <= 256)
+    return F.when(short, F.aggregate(numbers, zero, lambda s, x: (s + x.cast("decimal(38,0)")).cast("decimal(38,0)")).cast("string")).otherwise(limbs_added(numbers))
 
 
 def payout_numbers(text: Column) -> Column:
@@ -196,7 +199,7 @@ def combo_results(preparations: DataFrame, native: DataFrame, epochs: DataFrame)
     )
     own = epochs.where(F.col("module_address") == COMBO[0]).agg(F.max("implementation").alias("__own"))  # one row
     rows = first.join(stats, "condition_id", "left").crossJoin(F.broadcast(own))
-    rows = rows.withColumn("paid", F.when((F.col("missing") == 0) & F.forall("numbers", lambda x: x.isNotNull()), oracle.combo_payout(F.col("numbers"))))
+    rows = rows.withColumn("paid", F.when(~F.col("terminal_zero") & (F.col("missing") == 0) & F.forall("numbers", lambda x: x.isNotNull()), oracle.combo_payout(F.col("numbers"))))
     state = (
         F.when(F.col("definitions") != 1, "CONFLICTING_COMBO_PREPARATION").when(~audits.valid_legs(F.col("legs")), "INVALID_COMBO_PREPARATION")
         .when(F.col("CONFLICTING_MODULE_SETTLEMENTS"), "CONFLICTING_MODULE_SETTLEMENTS").when(F.col("INVALID_MODULE_PAYOUT"), "INVALID_MODULE_PAYOUT").when(F.col("INCOMPLETE_MODULE_PROVENANCE"), "INCOMPLETE_MODULE_PROVENANCE")

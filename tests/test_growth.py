@@ -5,7 +5,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 from augury.functions import hexes
-from augury.operators import fills
+from augury.operators import fills, oracle, settlement
 from augury.plans import fill_queries, qualification_queries
 from augury.sources import fixtures as fx
 from augury.sources import sinks
@@ -105,3 +105,18 @@ def test_report_computes_its_tokens_once(spark, monkeypatch):
     monkeypatch.setattr(qualification_queries.q, "token_rows", lambda *inputs: made.append(1) or one(*inputs))
     assert {r["table"]: r["n"] > 0 for r in qualification_queries.outputs(spark, SMALL).collect()} == dict.fromkeys(("token_state_at_cut", "market_gap_attribution", "reasons", "gates"), True)
     assert len(made) == 1
+
+
+def test_long_sums_and_folds_repeat_no_step(spark):
+    lists = [["1", "0"], ["9" * 77] * 256, [str(2**256 - 1), "1"], [], ["9" * 35] * 256, ["0" * 40 + "5", "1" + "0" * 40], None]
+    sums = spark.createDataFrame([(x,) for x in lists], "n array<string>").select(settlement.total(F.col("n")).alias("t"))
+    assert [r["t"] for r in sums.collect()] == [None if x is None else str(sum(map(int, x))) for x in lists]
+    assert sums._jdf.queryExecution().analyzed().toString().count("lpad") < 5
+    legs = [[1_000_000, 1], [333_333, 999_999, 7], [0, 5], [999_999] * 50]
+    paid = spark.createDataFrame([(x,) for x in legs], "n array<bigint>").select(oracle.combo_payout(F.col("n").cast("array<decimal(38,0)>")).alias("p"))
+    for numbers, row in zip(legs, paid.collect()):
+        down = up = 10**36
+        for n in numbers:
+            down, up = down * n // 10**6, -(-up * n // 10**6)
+        assert [int(row["p"][side]["hi"]) * 10**18 + int(row["p"][side]["lo"]) for side in ("down", "up")] == [down, up]
+    assert paid._jdf.queryExecution().analyzed().toString().count("1000000") < 20
