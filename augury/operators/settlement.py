@@ -70,14 +70,19 @@ def adjudication_summary(events: DataFrame) -> DataFrame:
 
 
 def token_map(tokens: DataFrame) -> DataFrame:
-    """Per market: how many tokens, their slots and conditions, whether all ids are valid, and the list in order."""
+    """Per market: how many tokens, their slots and conditions, whether all ids are valid, and the list in order.
+
+    Tokens are dealt by market before they are grouped, so that no task sorts more than its share, and distinct slots and
+    ids are counted in the list, which needs no further copies of the rows.
+    """
     valid = F.coalesce(F.col("token_id").rlike("^[1-9][0-9]{0,77}$"), F.lit(False)) & F.coalesce(below_limit(F.col("token_id")), F.lit(False))
-    return tokens.groupBy("market_id").agg(
-        F.count("*").alias("n"), F.min("outcome_index").alias("first_slot"), F.max("outcome_index").alias("last_slot"), F.count_distinct("outcome_index").alias("slots"),
-        F.count_distinct("token_id").alias("ids"), F.min(valid & F.coalesce(F.col("condition_id") != "", F.lit(False))).alias("valid"),
+    different = lambda c: F.size(F.array_distinct(F.filter(F.transform("tokens", lambda t: t[c]), lambda x: x.isNotNull()))).cast("long")
+    return tokens.repartition("market_id").groupBy("market_id").agg(
+        F.count("*").alias("n"), F.min("outcome_index").alias("first_slot"), F.max("outcome_index").alias("last_slot"),
+        F.min(valid & F.coalesce(F.col("condition_id") != "", F.lit(False))).alias("valid"),
         F.min("condition_id").alias("first_condition"), F.max("condition_id").alias("last_condition"),
         F.array_sort(F.collect_list(F.struct("outcome_index", "token_id", "outcome"))).alias("tokens"),
-    )
+    ).withColumns({"slots": different("outcome_index"), "ids": different("token_id")})
 
 
 def validated_settlements(events: DataFrame) -> DataFrame:
@@ -97,8 +102,12 @@ def settlement_evidence(markets: DataFrame, tokens: DataFrame, events: DataFrame
     module_denominator, settlement_basis and terminal_zero; a market that they settle must own the two positions of its
     condition. as_of is the moment at which open markets count as pending.
     """
-    ctf, uma, owned = condition_summary(events), adjudication_summary(events), token_map(tokens)
-    rows = markets.withColumnRenamed("id", "market_id").join(ctf, "condition_id", "left").join(validated_settlements(events), "settlement_id", "left")
+    # Joined by sorting: these grow with the markets, and by the size of their files Spark would broadcast them.
+    ctf, uma, owned = (df.hint("merge") for df in (condition_summary(events), adjudication_summary(events), token_map(tokens)))
+    # Only the last settlement of each condition is parsed.
+    last = ctf.where("settlement_id is not null").select(F.col("settlement_id").alias("id"))
+    settlements = validated_settlements(events.join(last, "id", "left_semi")).hint("merge")
+    rows = markets.withColumnRenamed("id", "market_id").join(ctf, "condition_id", "left").join(settlements, "settlement_id", "left")
     rows = rows.join(owned.withColumnRenamed("n", "n_tokens"), "market_id", "left").join(uma, "market_id", "left")
     if modules is not None:
         rows = rows.join(modules, "condition_id", "left")

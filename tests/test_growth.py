@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from augury.functions import hexes
 from augury.operators import fills, oracle, settlement
-from augury.plans import fill_queries, qualification_queries
+from augury.plans import fill_queries, qualification_queries, settlement_queries
 from augury.sources import fixtures as fx
 from augury.sources import sinks
 from augury.streaming import jobs
@@ -120,3 +120,9 @@ def test_long_sums_and_folds_repeat_no_step(spark):
             down, up = down * n // 10**6, -(-up * n // 10**6)
         assert [int(row["p"][side]["hi"]) * 10**18 + int(row["p"][side]["lo"]) for side in ("down", "up")] == [down, up]
     assert paid._jdf.queryExecution().analyzed().toString().count("1000000") < 20
+
+
+def test_settlements_and_tokens_are_not_held_whole(spark):
+    plan = settlement_queries._evidence(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan  # distinct values are counted without copies of the rows
+    assert plan.count("BroadcastHashJoin") <= 1  # ids of the last settlements
