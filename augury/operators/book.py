@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from augury.operators import tables
+from augury.sources.shared import written
 
 TOP_PRICE = 100
+#: Level rows that a task of cut_hashes() is given; a market is never divided.
+TASK_ROWS = 100_000
 
 
 def book_levels(events: DataFrame, top_price: int = TOP_PRICE) -> tuple[DataFrame, DataFrame]:
@@ -83,10 +86,10 @@ def book_digest(book: DataFrame) -> DataFrame:
 def level_intervals(rows: DataFrame) -> DataFrame:
     """Level rows with the positions [pos, until) in which their size stands, within the reset they build on."""
     level = Window.partitionBy("market", "asset", "side", "price", "base").orderBy("pos", "idx")
-    nexts = rows.where("idx = -1 and kind <> 'GAP'").select("market", "asset", "pos")
-    w = Window.partitionBy("market", "asset").orderBy("pos")
-    ends = nexts.select("market", "asset", F.col("pos").alias("base"), F.lead("pos").over(w).alias("__end"))
-    out = rows.where("idx >= 0").withColumn("__next", F.lead("pos").over(level)).join(ends, ["market", "asset", "base"], "left")
+    # The next reset of the asset, from a walk backwards: no join of resets, so rows stay where their market is.
+    later = Window.partitionBy("market", "asset").orderBy(F.desc("pos"), F.desc("idx")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = F.last(F.when((F.col("idx") == -1) & (F.col("kind") != "GAP"), F.col("pos")), ignorenulls=True).over(later)
+    out = rows.withColumn("__end", ends).where("idx >= 0").withColumn("__next", F.lead("pos").over(level))
     out = out.withColumn("until", F.coalesce("__next", "__end", F.lit(2**62)))
     return out.where("size > 0 and pos < until").select("market", "asset", "side", "price", "size", "base", "pos", "until")
 
@@ -244,8 +247,12 @@ def cut_hashes(rows: DataFrame) -> DataFrame:
 
     A state is the set of its levels (with sizes) and of the assets that are ready. Its hash is the sum of its elements'
     hashes, so an element is added where its interval begins and taken off where it ends, and a running sum gives every
-    cut in one pass over the changes, however deep the books are.
+    cut in one pass over the changes, however deep the books are. Rows are computed once and dealt by market to tasks of
+    about TASK_ROWS: by bytes, which compress well, tasks would hold more and more of them.
     """
+    rows = written(rows, "rows")
+    tasks = rows.count() // TASK_ROWS + 1
+    rows = rows.repartition(tasks, "market")
     level = F.concat_ws(":", F.col("asset").cast("string"), "side", F.col("price").cast("string"), F.col("size").cast("string"))
     spans = level_intervals(rows).select("market", level.alias("element"), "pos", "until")
     w = Window.partitionBy("market", "asset").orderBy("pos")
@@ -255,7 +262,7 @@ def cut_hashes(rows: DataFrame) -> DataFrame:
     begins = both.groupBy("market", "pos").agg(F.count("*").alias("n"), F.sum("h").alias("h"))
     ends = both.where(F.col("until") < 2**62).groupBy("market", F.col("until").alias("pos")).agg((-F.count("*")).alias("n"), (-F.sum("h")).alias("h"))
     moments = rows.select("market", "pos", F.lit(0).cast("long").alias("n"), F.lit(0).cast("decimal(38,0)").alias("h")).distinct()
-    steps = moments.unionByName(begins).unionByName(ends).groupBy("market", "pos").agg(F.sum("n").alias("n"), F.sum("h").alias("h"))
+    steps = moments.unionByName(begins).unionByName(ends).repartition(tasks, "market").groupBy("market", "pos").agg(F.sum("n").alias("n"), F.sum("h").alias("h"))
     run = Window.partitionBy("market").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     return steps.select("market", F.col("pos").alias("moment"), F.sum("n").over(run).alias("elements"), F.sum("h").over(run).cast("string").alias("hash"))
 

@@ -5,8 +5,8 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 from augury.functions import hexes
-from augury.operators import fills, oracle, settlement
-from augury.plans import fill_queries, qualification_queries, settlement_queries
+from augury.operators import book, fills, oracle, settlement
+from augury.plans import fill_queries, market_queries, qualification_queries, settlement_queries
 from augury.sources import fixtures as fx
 from augury.sources import sinks
 from augury.streaming import jobs
@@ -126,3 +126,13 @@ def test_settlements_and_tokens_are_not_held_whole(spark):
     plan = settlement_queries._evidence(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan  # distinct values are counted without copies of the rows
     assert plan.count("BroadcastHashJoin") <= 1  # ids of the last settlements
+
+
+def test_states_are_hashed_in_tasks_of_so_many_rows(spark, monkeypatch):
+    rows = market_queries._rows(spark, SMALL).cache()
+    wanted = sorted(map(tuple, book.cut_hashes(rows).collect()))
+    monkeypatch.setattr(book, "TASK_ROWS", rows.count() // 7)
+    many = book.cut_hashes(rows)
+    assert sorted(map(tuple, many.collect())) == wanted
+    assert "hashpartitioning(market" in (plan := many._jdf.queryExecution().executedPlan().toString()) and ", REPARTITION_BY_NUM" in plan and "Join" not in plan
+    rows.unpersist()
