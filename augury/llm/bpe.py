@@ -163,23 +163,34 @@ def _place(path: str) -> str:
     return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_offsets: bool = False, with_split: bool = False, keep: list[str] | None = None) -> DataFrame:
-    """Columns row, ids array<int> and, if asked for, starts and ends array<int> (characters), and n_split long: tokens
-    that end within a character, by their offsets. row has the columns named in keep, all if that is not given."""
-    fields = pa.schema([("ids", pa.list_(pa.int32())), *[(c, pa.list_(pa.int32())) for c in ("starts", "ends") if with_offsets], *[("n_split", pa.int64())] * with_split])
+def _bytes_table(path: str, pattern: str) -> pa.Array:
+    """Bytes of each id; the last entry is for what has no bytes."""
+    return pa.array([*_decoder(_place(path), pattern), b""], pa.large_binary())
+
+
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_offsets: bool = False, with_split: bool = False, keep: list[str] | None = None, with_bytes: bool = False) -> DataFrame:
+    """Columns row, ids array<int> and, if asked for, starts and ends array<int> (characters), n_split long: tokens
+    that end within a character, by their offsets, and bytes binary: what the ids decode to. row has the columns named in
+    keep, all if that is not given.
+
+    Bytes that are asked for here are decoded by the worker that encoded; decode() after encode() in one stage needs two
+    workers for each core, both with the model.
+    """
+    fields = pa.schema([("ids", pa.list_(pa.int32())), *[(c, pa.list_(pa.int32())) for c in ("starts", "ends") if with_offsets], *[("n_split", pa.int64())] * with_split, *[("bytes", pa.binary())] * with_bytes])
 
     def start():
         known = Recent(), Recent()  # of this task: a worker that is idle holds the model only
         encoder, lengths = _encoder(_place(path), pattern), np.array([len(t) for t in token_bytes(_place(path))], np.int64)
+        table = _bytes_table(path, pattern) if with_bytes else None
 
         def run(row: pa.StructArray) -> list:
             texts = [t or "" for t in row.field(text).to_pylist()]
             ids = [x for s in _chunks(len(texts)) for x in encoder.encode(texts[s], known)]
-            if not with_offsets and not with_split:
-                return [_lists(ids)]
-            spans = [offsets(t, i, lengths) for t, i in zip(texts, ids)]
+            spans = [offsets(t, i, lengths) for t, i in zip(texts, ids)] if with_offsets or with_split else []
             lists = [_lists([s[k].astype(np.int32) for s in spans]) for k in (0, 1)] if with_offsets else []
-            return [_lists(ids), *lists, *[[int((a[1:] < z[:-1]).sum()) for a, z in spans]] * with_split]
+            found = _lists(ids)
+            raw = [joined(found, table).cast(pa.binary())] if with_bytes else []
+            return [found, *lists, *[[int((a[1:] < z[:-1]).sum()) for a, z in spans]] * with_split, *raw]
 
         return run
 
@@ -205,7 +216,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", with_t
     """
 
     def start():
-        table = pa.array([*_decoder(_place(path), pattern), b""], pa.large_binary())  # the last for what has no bytes
+        table = _bytes_table(path, pattern)
 
         def run(row: pa.StructArray) -> list:
             raw = joined(row.field(ids), table)

@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from augury.llm import bpe, credentials, eliasfano, kneserney, langid, lines, quotes, simhash, triemodel, wumanber
+import corpus_pipeline
+from augury.llm import bpe, credentials, eliasfano, kneserney, langid, lines, queries, quotes, simhash, triemodel, wumanber
 from augury.llm.common import components, ranked
 from augury.llm.minhash import least_matches, near_duplicates, shared_counts
 
@@ -314,6 +315,19 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, corpus, vocabulary):
     assert none.count() == 0 and bpe.decode(none.select("ids"), path, pattern).count() == 0
 
 
+def test_bpe_bytes_come_from_the_worker_that_encodes(spark, corpus, vocabulary):
+    given = docs(spark, [*corpus, (300, "naïve \U0001f600 日本語\x85  \n x", None, None)])
+    found = bpe.encode(given, *vocabulary, keep=["text"], with_offsets=True, with_split=True, with_bytes=True)
+    assert found.columns == ["row", "ids", "starts", "ends", "n_split", "bytes"]
+    rows = found.collect()
+    apart = bpe.decode(found.select("ids"), *vocabulary).collect()
+    assert len(rows) == len(corpus) + 1 and all(bytes(r["bytes"]) == (r["row"]["text"] or "").encode() for r in rows)
+    assert sorted((tuple(r["ids"]), bytes(r["bytes"])) for r in rows) == sorted((tuple(r["row"]["ids"]), bytes(r["bytes"])) for r in apart)
+    steps = lambda df: df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    assert steps(corpus_pipeline.tokens(spark, given, "")) == 1  # so many workers are at work for each core
+    assert steps(queries.op4_byte_bpe(spark, "/root/testdata/sf0.001")) == 1
+
+
 def test_bpe_parts_are_cut_where_no_match_goes_on(vocabulary):
     import tiktoken
 
