@@ -15,7 +15,7 @@ def _drained(spark, sf_dir, build, key, stream, schema):
     """What a stream gives over four micro-batches of a fixture in the order of key."""
     folder = jobs.work_dir(spark)
     files = jobs.write_in_order(fx.frame(spark, sf_dir, build), key, f"{folder}/in", 4)
-    jobs.drain(stream(jobs.file_stream(spark, f"{folder}/in", files)), folder)
+    jobs.drain(stream(jobs.file_stream(spark, f"{folder}/in", files)), folder, states=spark.sparkContext.defaultParallelism)  # about ten keys
     return spark.read.schema(schema).parquet(f"{folder}/out")
 
 

@@ -6,6 +6,7 @@ time, so that rows at or before the epoch count as late. Rows of a key must come
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,48 +34,49 @@ ACCEPTED = "plant long, seq long, status string"
 
 
 class _Accept(StatefulProcessor):
-    """State of a plant: its session and stream, the identities it remembers in the order of their arrival, their bytes."""
+    """State of a plant: its session and stream, and the identities it remembers in the order of their arrival. They are
+    read once and written once a micro-batch, not record by record: `window` bounds them."""
 
     def __init__(self, window: int, most_bytes: int):
         self.window, self.most_bytes = window, most_bytes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.now = handle.getValueState("now", "session string, stream string, first long, next long, bytes long")
-        self.seen = handle.getMapState("seen", "stream string, offset long", "digest string")
-        self.queue = handle.getMapState("queue", "n long", "stream string, offset long, bytes long")
-
-    def _forget(self, first: int) -> int:
-        stream, offset, size = self.queue.getValue((first,))
-        self.queue.removeKey((first,))
-        self.seen.removeKey((stream, offset))
-        return size
+        self.now = handle.getValueState("now", "session string, stream string")
+        self.queue = handle.getListState("queue", "stream string, offset long, bytes long, digest string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        session, stream, first, after, held = self.now.get() if self.now.exists() else (None, None, 0, 0, 0)
+        session, stream = self.now.get() if self.now.exists() else (None, None)
+        queue = deque(map(tuple, self.queue.get()))
+        seen, held = {x[:2]: x[3] for x in queue}, sum(x[2] for x in queue)
+        found = _sorted(rows, "seq")
         out = []
-        for seq, kind, own, of, offset, size, digest in _sorted(rows, "seq")[["seq", "kind", "session", "stream", "offset", "bytes", "digest"]].itertuples(index=False):
+        for kind, own, of, offset, size, digest in zip(*(found[c].tolist() for c in ("kind", "session", "stream", "offset", "bytes", "digest"))):
             if kind == "SESSION":  # the new session forgets all numbers of the old one
-                while first < after:
-                    self._forget(first)
-                    first += 1
+                queue.clear()
+                seen.clear()
                 session, stream, held, status = own, of, 0, "SESSION"
             elif own != session:
                 status = "STALE_SESSION"
             elif of != stream:
                 status = "RESET_REQUIRED_STREAM_GENERATION"
-            elif self.seen.containsKey((of, int(offset))):
-                status = "RETRY" if self.seen.getValue((of, int(offset)))[0] == digest else "IDENTITY_CONTENT_CONFLICT"
+            elif (place := (of, int(offset))) in seen:
+                status = "RETRY" if seen[place] == digest else "IDENTITY_CONTENT_CONFLICT"
             else:
                 status = "ACCEPTED"
-                self.seen.updateValue((of, int(offset)), (digest,))
-                self.queue.updateValue((after,), (of, int(offset), int(size)))
-                after, held = after + 1, held + int(size)
-                while after - first > self.window or held > self.most_bytes:
-                    held -= self._forget(first)
-                    first += 1
-            out.append((key[0], seq, status))
-        self.now.update((session, stream, first, after, held))
-        yield pd.DataFrame(out, columns=["plant", "seq", "status"])
+                seen[place] = digest
+                queue.append((*place, int(size), digest))
+                held += int(size)
+                while len(queue) > self.window or held > self.most_bytes:
+                    gone = queue.popleft()
+                    del seen[gone[:2]]
+                    held -= gone[2]
+            out.append(status)
+        self.now.update((session, stream))
+        if queue:
+            self.queue.put(list(queue))
+        else:
+            self.queue.clear()
+        yield pd.DataFrame({"plant": key[0], "seq": found["seq"].to_numpy(), "status": out})
 
     def close(self) -> None:
         pass

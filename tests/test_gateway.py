@@ -1,5 +1,7 @@
 """Stateful gateway streams over several micro-batches, a restart in the middle, and their rules."""
 
+import pandas as pd
+
 from augury.streaming import gateway, jobs
 
 RECORDS = "plant long, seq long, kind string, session string, stream string, offset long, bytes long, digest string"
@@ -47,3 +49,46 @@ def test_soak_windows_pass_over_midnight(spark, tmp_path):
     jobs.drain(gateway.soak_stream(jobs.file_stream(spark, f"{folder}/in", 1), 2 * hour), folder)
     got = {(r["key"], r["from"] // hour, r["to"] // hour, r["samples"], r["closed_by"], r["verdict"]) for r in spark.read.schema(gateway.SOAK).parquet(f"{folder}/out").collect()}
     assert got == {(1, 0, 29, 30, "GAP", "PASS"), (1, 60, 60, 1, "FINGERPRINT", "NOT_COMPLETE"), (1, 61, 61, 1, "GAP", "NOT_COMPLETE"), (2, 1, 1, 1, "GAP", "NOT_COMPLETE"), (2, 30, 30, 1, "GAP", "NOT_COMPLETE")}
+
+
+def test_accepted_records_read_their_state_once_a_batch():
+    """Calls to the state of a plant do not grow with its records."""
+
+    class State:
+        def __init__(self):
+            self.value, self.calls = None, 0
+
+        def _counted(name):
+            def call(self, *args):
+                self.calls += 1
+                return getattr(self, f"_{name}")(*args)
+
+            return call
+
+        exists, get, update, put, clear = map(_counted, ("exists", "get", "update", "put", "clear"))
+        _exists = lambda self: self.value is not None
+        _get = lambda self: self.value if self.value is not None else iter(())
+
+        def _update(self, value):
+            self.value = value
+
+        _put = _update
+
+        def _clear(self):
+            self.value = None
+
+    states = []
+
+    class Handle:
+        def __getattr__(self, name):  # any kind of state
+            return lambda *args: states.append(State()) or states[-1]
+
+    process = gateway._Accept(50, 10**6)
+    process.init(Handle())
+    rows = [(1, 0, "SESSION", "s", "g", 0, 0, "")] + [(1, i, "RECORD", "s", "g", i - i % 5, 10, "d") for i in range(1, 2_000)]
+    frame = pd.DataFrame(rows, columns=[c.split()[0] for c in RECORDS.split(", ")])
+    found = []
+    for part in (frame[:1_000], frame[1_000:]):
+        found += pd.concat(process.handleInputRows((1,), iter([part]), None))["status"].tolist()
+    assert found[:8] == ["SESSION", "ACCEPTED", "RETRY", "RETRY", "RETRY", "ACCEPTED", "RETRY", "RETRY"] and found[1_000:1_002] == ["ACCEPTED", "RETRY"]
+    assert sum(s.calls for s in states) <= 10
