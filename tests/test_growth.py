@@ -2,6 +2,9 @@
 
 from fractions import Fraction
 
+import numpy as np
+import pytest
+
 from pyspark.sql import functions as F
 
 from augury.functions import hexes
@@ -136,3 +139,45 @@ def test_states_are_hashed_in_tasks_of_so_many_rows(spark, monkeypatch):
     assert sorted(map(tuple, many.collect())) == wanted
     assert "hashpartitioning(market" in (plan := many._jdf.queryExecution().executedPlan().toString()) and ", REPARTITION_BY_NUM" in plan and "Join" not in plan
     rows.unpersist()
+
+
+def test_all_trusted_texts_train_and_set_thresholds(spark, tmp_path):
+    """Texts of trusted documents meet each other in the query's model, and the thresholds are those of all of them, each
+    scored by a model of the other part."""
+    from augury.llm import kneserney, queries
+
+    rng = np.random.default_rng(3)
+    prose = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma,", "Delta", "omega."], n))
+    rows = [(i, prose(30), "en" if i % 3 else None) for i in range(60)] + [(i, prose(30), "fr") for i in range(100, 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(41, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    whole = kneserney.fit(docs.where("doc_id < 40"))
+    first = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(kneserney.TRAINED * (1 << 30))
+    parts = [docs.where("doc_id < 40").where(c) for c in (first, ~first)]
+    models = [kneserney.fit(p) for p in parts]
+
+    def own(text, model):
+        table, alphabet = kneserney.unfolded(model), kneserney._alphabet(model["chars"])
+        return -table[kneserney.codes(kneserney.symbols(text, alphabet))].astype(float).sum() / len(text)
+
+    held = [(r["lang"], own(r["text"], other)) for p, other in zip(parts, models[::-1]) for r in p.collect()]
+    assert len(held) == 40
+    most = {lang: max(v for k, v in held if k == lang) for lang in ("en", None)} | {"fr": max(v for _, v in held)}
+    got = queries.quality(docs, labels, keep=["doc_id", "lang"]).select("row.*", "perplexity", "threshold").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = next(x[1] for x in rows if x[0] == r["doc_id"])
+        assert np.log(r["perplexity"]) == pytest.approx(own(text, whole), abs=1e-4)
+        assert np.log(r["threshold"]) == pytest.approx(most[r["lang"]], abs=2e-4)
+
+
+def test_few_texts_without_trust_are_shuffled(spark):
+    from augury.llm import kneserney
+
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    ids = docs.where("doc_id % 100 = 7").select("doc_id")
+    assert {r["doc_id"] for r in kneserney._of(docs, ids).collect()} == set(range(7, 20_000, 100))
+    moved = kneserney._of(docs, ids.where("doc_id < 5000"))
+    assert moved.count() == 50 and kneserney._of(docs, ids.limit(0)).count() == 0
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")  # the filter lies below the shuffle
