@@ -181,3 +181,15 @@ def test_few_texts_without_trust_are_shuffled(spark):
     assert moved.count() == 50 and kneserney._of(docs, ids.limit(0)).count() == 0
     plan = moved._jdf.queryExecution().executedPlan().toString()
     assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")  # the filter lies below the shuffle
+
+
+def test_quality_stage_trains_on_all_trusted_texts(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+    from augury.llm import kneserney
+
+    seen, fit = [], kneserney.fit
+    monkeypatch.setattr(kneserney, "fit", lambda trusted: seen.append(trusted.count()) or fit(trusted.limit(0)))
+    spark.range(400).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.range(500).selectExpr("id AS doc_id", "'text' AS text", "'en' AS lang")
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path)).count() == 500
+    assert len(seen) == 3 and seen[0] + seen[1] == seen[2] == 400
