@@ -79,7 +79,7 @@ def live_book(spark, sf_dir):
     """Changes of best prices from a stream of the level rows, in four micro-batches of several files."""
     folder = jobs.work_dir(spark)
     files = jobs.write_in_order(_rows(spark, sf_dir).select("market", "asset", "base", "pos", "idx", "side", "price", "size"), "pos", f"{folder}/rows", 4)
-    jobs.drain(jobs.live_book_stream(jobs.file_stream(spark, f"{folder}/rows", files)), folder)
+    jobs.drain(jobs.live_book_stream(jobs.file_stream(spark, f"{folder}/rows", files)), folder, states=4 * spark.sparkContext.defaultParallelism)
     return whole(spark.read.schema("market long, asset long, pos long, best_bid long, best_ask long").parquet(f"{folder}/out"))
 
 

@@ -193,3 +193,19 @@ def test_quality_stage_trains_on_all_trusted_texts(spark, monkeypatch, tmp_path)
     docs = spark.range(500).selectExpr("id AS doc_id", "'text' AS text", "'en' AS lang")
     assert corpus_pipeline.quality(spark, docs, str(tmp_path)).count() == 500
     assert len(seen) == 3 and seen[0] + seen[1] == seen[2] == 400
+
+
+def test_live_books_are_dealt_to_so_many_tasks(spark, tmp_path):
+    rows = market_queries._rows(spark, SMALL).select("market", "asset", "base", "pos", "idx", "side", "price", "size").where("market < 40")
+    files = jobs.write_in_order(rows, "pos", str(tmp_path / "in"), 3)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    jobs.drain(jobs.live_book_stream(jobs.file_stream(spark, str(tmp_path / "in"), files)), str(tmp_path / "s"), states=2)
+    assert sorted(p.name for p in (tmp_path / "s" / "checkpoint" / "state" / "0").iterdir() if p.name.isdigit()) == ["0", "1"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+    last, wanted = {}, []
+    for r in sorted(map(tuple, book.bbo_timeline(rows).collect())):
+        if last.get(r[:2], (None, None)) != r[3:]:
+            wanted.append(r)
+        last[r[:2]] = r[3:]
+    got = spark.read.schema("market long, asset long, pos long, best_bid long, best_ask long").parquet(str(tmp_path / "s" / "out"))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, wanted)) and len(wanted) > 20
