@@ -209,3 +209,17 @@ def test_live_books_are_dealt_to_so_many_tasks(spark, tmp_path):
         last[r[:2]] = r[3:]
     got = spark.read.schema("market long, asset long, pos long, best_bid long, best_ask long").parquet(str(tmp_path / "s" / "out"))
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, wanted)) and len(wanted) > 20
+
+
+def test_facts_of_a_batch_are_joined_and_written_once(spark, tmp_path, monkeypatch):
+    logs, owned = fx.frame(spark, SMALL, fx.logs), fills.owners(fx.frame(spark, SMALL, fx.markets), fx.frame(spark, SMALL, fx.tokens))
+    logs.repartition(1).write.parquet(str(tmp_path / "logs"))
+    made, one = [], jobs.written
+    for module in (jobs, fills):
+        monkeypatch.setattr(module, "written", lambda df, name="table": made.append(name) or one(df, name))
+    paths = jobs.facts_stream(jobs.file_stream(spark, str(tmp_path / "logs")), owned, str(tmp_path / "s"))
+    assert made == ["resolved", "gaps"]
+    facts, gaps = fills.project_fills(fills.decode_fills(logs)[0], owned)
+    got = spark.read.parquet(paths["facts"]).select(*facts.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, facts.collect())) != []
+    assert spark.read.parquet(paths["gaps"]).count() == gaps.select("token_id").distinct().count() > 0
